@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe
+from tessera.llm import bpe, fingerprints
+from tessera.llm.common import n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,5 +30,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op6_bpe": op6_bpe}
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowing fingerprints of all documents and of their edited texts, compared with the next documents."""
+    return fingerprints.compare_with_next(_docs(spark, sf_dir), blocks=4 * n_tasks(spark))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints, "op6_bpe": op6_bpe}
 ORACLE_SQL: dict[str, str] = {}
