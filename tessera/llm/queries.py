@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints
+from tessera.llm import bpe, fingerprints, sharding
 from tessera.llm.common import n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -35,5 +35,33 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(_docs(spark, sf_dir), blocks=4 * n_tasks(spark))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints, "op6_bpe": op6_bpe}
-ORACLE_SQL: dict[str, str] = {}
+SHARD_BYTES = 1 << 20
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extendible-hashing shard of every document, each shard of at most 1 MiB."""
+    found = sharding.shard(_docs(spark, sf_dir).select("doc_id", "text"), SHARD_BYTES)
+    return found.select("doc_id", "n_bytes", "shard", "depth", "overflow", "shard_bytes")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe}
+ORACLE_SQL: dict[str, str] = {
+    # a document's shard is its shortest hash prefix whose documents fit the limit
+    "op2_sharding": f"""
+        WITH d AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n_bytes,
+                   ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT AS bits FROM documents
+        ), p AS (
+            SELECT doc_id, n_bytes, depth, bits, bits >> (60 - depth) AS prefix FROM d, range(0, 61) AS r(depth)
+        ), b AS (
+            SELECT *, sum(n_bytes) OVER (PARTITION BY depth, prefix) AS shard_bytes,
+                   count(*) OVER (PARTITION BY depth, prefix) AS n_rows FROM p
+        ), leaf AS (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS k FROM b
+            WHERE shard_bytes <= {SHARD_BYTES} OR n_rows = 1
+        )
+        SELECT doc_id, n_bytes, substr(lpad(bin(bits), 60, '0'), 1, depth) AS shard, CAST(depth AS INTEGER) AS depth,
+               CAST(0 AS BIGINT) AS overflow, CAST(shard_bytes AS BIGINT) AS shard_bytes
+        FROM leaf WHERE k = 1
+    """,
+}
