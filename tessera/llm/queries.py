@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, sharding
-from tessera.llm.common import n_tasks
+from tessera.llm import bpe, fingerprints, labelled, quality_model, quality_rules, sharding, toxicity
+from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -44,7 +44,43 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "shard", "depth", "overflow", "shard_bytes")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_fingerprints": op1_fingerprints, "op2_sharding": op2_sharding, "op6_bpe": op6_bpe}
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by compression distance."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, _labels(spark, sf_dir))
+    found = toxicity.classify(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the likelihood-ratio verdict of all documents; trusted are documents labelled of good quality."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    trusted = labelled.labelled_sample(docs, _labels(spark, sf_dir), "quality").where("y = 1").select("doc_id")
+    found = quality_rules.judge(docs, trusted)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents by random Fourier features and ridge regression."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    model = quality_model.fit(docs, _labels(spark, sf_dir))
+    found = quality_model.classify(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_sharding": op2_sharding,
+    "op4_toxicity": op4_toxicity,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_bpe": op6_bpe,
+    "op8_quality_model": op8_quality_model,
+}
+
 ORACLE_SQL: dict[str, str] = {
     # a document's shard is its shortest hash prefix whose documents fit the limit
     "op2_sharding": f"""
