@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, labelled, quality_model, quality_rules, sharding, toxicity
+from tessera.llm import bpe, fingerprints, labelled, packing, quality_model, quality_rules, sharding, toxicity
 from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +64,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 1024 tokens."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, BYTE_BPE))
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents by random Fourier features and ridge regression."""
     docs = _docs(spark, sf_dir).select("doc_id", "text")
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
+    "op7_packing": op7_packing,
     "op8_quality_model": op8_quality_model,
 }
 
