@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, labelled, packing, quality_model, quality_rules, sharding, toxicity
+from tessera.llm import bpe, fingerprints, labelled, near_dup, packing, quality_model, quality_rules, sharding, toxicity
 from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,12 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    return near_dup.near_duplicates(docs, keep_text=False).select("doc_id", "class_id", "is_first")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op8_quality_model": op8_quality_model,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
