@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, labelled, near_dup, packing, quality_model, quality_rules, sharding, toxicity
+from tessera.llm import bpe, fingerprints, labelled, near_dup, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity
 from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,12 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that earlier documents have."""
+    found = suffix_dedup.remove_repeats(_docs(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents by compression distance."""
     docs = _docs(spark, sf_dir).select("doc_id", "text")
@@ -87,6 +93,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
