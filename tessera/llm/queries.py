@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, labelled, near_dup, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity
+from tessera.llm import bpe, fingerprints, html_blocks, labelled, near_dup, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity
 from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +84,13 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = html_blocks.extract(pages, html_blocks.fit(pages))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     docs = _docs(spark, sf_dir).select("doc_id", "text")
@@ -99,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
     "op8_quality_model": op8_quality_model,
+    "op9_html": op9_html,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
