@@ -28,9 +28,11 @@ def _prefix(bits: Column, depth: Column) -> Column:
     return F.call_function("shiftright", bits, F.lit(BITS) - depth)
 
 
-def directory(sizes: DataFrame, limit: int, stride: int = 8) -> DataFrame:
-    """Leaves (prefix, depth, n_rows, n_bytes) of the extendible directory over rows (bits, n_bytes).
+def directory(sizes: DataFrame, limit: int, stride: int = 4) -> DataFrame:
+    """Leaves (prefix, depth, n_rows, n_bytes) of the extendible directory over rows (bits, n_bytes, rows).
 
+    The first round looks as deep as buckets of a quarter of the limit would lie if hashes were even; each later one
+    ``stride`` bits deeper.
     A bucket splits while its bytes exceed ``limit`` and it has more than one row, up to all 60 bits.  An empty input has
     no leaves.
     """
@@ -38,8 +40,9 @@ def directory(sizes: DataFrame, limit: int, stride: int = 8) -> DataFrame:
     schema = T.StructType([T.StructField("prefix", T.LongType()), T.StructField("depth", T.IntegerType()), T.StructField("n_rows", T.LongType()), T.StructField("n_bytes", T.LongType())])
     leaves = spark.createDataFrame([], schema)
     rows, base = sizes, 0
+    total = sizes.agg(F.sum("n_bytes")).first()[0] or 0
+    top = min(max(stride, (int(total) // max(limit, 1)).bit_length() + 2), BITS)
     while base <= BITS:
-        top = min(base + stride, BITS)
         fine = rows.groupBy(_prefix(F.col("bits"), F.lit(top)).alias("fine")).agg(
             F.sum("rows").cast("long").alias("n_rows"), F.sum("n_bytes").cast("long").alias("n_bytes")
         )
@@ -64,7 +67,7 @@ def directory(sizes: DataFrame, limit: int, stride: int = 8) -> DataFrame:
         if over.isEmpty():
             break
         rows = rows.join(over, _prefix(F.col("bits"), F.lit(top)) == F.col("over"), "left_semi")
-        base = top
+        base, top = top, min(top + stride, BITS)
     return materialise(leaves, "directory")
 
 
@@ -95,7 +98,7 @@ def _overflow(df: DataFrame, limit: int) -> DataFrame:
     return df.withColumn("shard_bytes", F.sum("n_bytes").over(of).cast("long")).drop("__chunk")
 
 
-def shard(df: DataFrame, limit: int, key: str = "doc_id", text: str = "text", stride: int = 8) -> DataFrame:
+def shard(df: DataFrame, limit: int, key: str = "doc_id", text: str = "text", stride: int = 4) -> DataFrame:
     """Add n_bytes, shard (prefix bits as text), depth, overflow and shard_bytes to each row.
 
     ``n_bytes`` is the UTF-8 length of ``text`` (null: 0).  A shard is a pair of ``shard`` and ``overflow``; each holds at
@@ -107,8 +110,9 @@ def shard(df: DataFrame, limit: int, key: str = "doc_id", text: str = "text", st
     df = df.withColumn("n_bytes", F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")).withColumn("__bits", hash_bits(F.col(key)))
     sizes = df.groupBy(F.col("__bits").alias("bits")).agg(F.sum("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("rows"))
     leaves = directory(sizes, limit, stride)
-    deepest = leaves.agg(F.max("depth")).first()[0] or 0
-    index_bits = min(deepest, INDEX_BITS)
+    deepest, n = leaves.agg(F.max("depth"), F.count(F.lit(1))).first()
+    deepest = deepest or 0
+    index_bits = min(deepest, n.bit_length() + 1, INDEX_BITS)  # about as many slots as leaves
     found = df.withColumn("__slot", _prefix(F.col("__bits"), F.lit(index_bits))).join(
         slots(leaves, index_bits).withColumnRenamed("slot", "__slot").withColumnRenamed("leaves", "__leaves"), "__slot"
     )
