@@ -50,9 +50,8 @@ def sanitize(text: Column | str) -> Column:
 
 
 def _unquoted(c: Column, opening: str, closing: str) -> Column:
-    body = F.substring(c, F.lit(2), F.char_length(c) - 2)
-    free = ~F.contains(body, F.lit(opening)) & ~F.contains(body, F.lit(closing))
-    return F.when((F.char_length(c) >= 2) & c.startswith(opening) & c.endswith(closing) & free, body).otherwise(c)
+    """A text without one pair of outer quotes that holds no such quote."""
+    return F.regexp_replace(c, f"(?s)^{opening}([^{opening}{closing}]*){closing}$", "$1")
 
 
 def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:

@@ -74,23 +74,23 @@ def extraction_records(answers: DataFrame, key: str = "chunk_id", text: str = "a
     body = F.split(F.col(text), F.lit(f"\\Q{COMPLETE}\\E"))[0]
     rows = answers.select(key, F.posexplode(F.split(body, "\n")).alias("pos", "__record"))
     fields = F.transform(F.split(repair_delimiters(F.trim("__record")), F.lit(f"\\Q{DELIMITER}\\E")), lambda x: F.trim(x))
-    rows = rows.where("trim(__record) <> ''").withColumn("fields", fields).withColumn("kind", F.lower(F.col("fields")[0]))
+    rows = rows.where("trim(__record) <> ''").withColumn("fields", fields).withColumn("kind", F.lower(F.get("fields", F.lit(0))))
     return rows.drop("__record")
 
 
 def entity_records(records: DataFrame) -> DataFrame:
     """Valid entities (name, entity_type, description): four fields, none empty; of a list of types the first, in lower case."""
     rows = records.where((F.col("kind") == "entity") & (F.size("fields") == 4))
-    kind = F.regexp_replace(F.lower(F.split(normalize_name(F.col("fields")[2], True), ",")[0]), " ", "")
-    rows = rows.withColumn("name", normalize_name(F.col("fields")[1], True)).withColumn("entity_type", kind).withColumn("description", normalize_name(F.col("fields")[3]))
+    kind = F.regexp_replace(F.lower(F.split(normalize_name(F.get("fields", F.lit(2)), True), ",")[0]), " ", "")
+    rows = rows.withColumn("name", normalize_name(F.get("fields", F.lit(1)), True)).withColumn("entity_type", kind).withColumn("description", normalize_name(F.get("fields", F.lit(3))))
     return rows.where("name <> '' and description <> '' and entity_type <> '' and not entity_type rlike '[()<>|/\\\\\\\\]'").drop("fields", "kind")
 
 
 def relation_records(records: DataFrame) -> DataFrame:
     """Valid relations (src, tgt, keywords, description, weight): five fields, different ends; a weight that is no number is 1."""
     rows = records.where((F.col("kind") == "relation") & (F.size("fields") >= 5))
-    rows = rows.withColumn("src", normalize_name(F.col("fields")[1], True)).withColumn("tgt", normalize_name(F.col("fields")[2], True))
+    rows = rows.withColumn("src", normalize_name(F.get("fields", F.lit(1)), True)).withColumn("tgt", normalize_name(F.get("fields", F.lit(2)), True))
     last = F.element_at("fields", -1)
-    rows = rows.withColumn("keywords", F.regexp_replace(normalize_name(F.col("fields")[3], True), "，", ",")).withColumn("description", normalize_name(F.col("fields")[4]))
+    rows = rows.withColumn("keywords", F.regexp_replace(normalize_name(F.get("fields", F.lit(3)), True), "，", ",")).withColumn("description", normalize_name(F.get("fields", F.lit(4))))
     weight = F.when((F.size("fields") > 5) & is_float(last), last.cast("double")).otherwise(F.lit(1.0))
     return rows.withColumn("weight", weight).where("src <> '' and tgt <> '' and src <> tgt").drop("fields", "kind")

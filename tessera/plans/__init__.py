@@ -3,7 +3,7 @@
 
 def all_queries():
     """(queries, SQL) of every module of queries."""
-    from tessera.plans import queries_graph, registry
+    from tessera.plans import queries_graph, queries_text, registry
 
-    del queries_graph
+    assert queries_graph and queries_text
     return dict(registry.QUERIES), dict(registry.ORACLE_SQL)
