@@ -35,8 +35,8 @@ from tessera.llm.common import materialise, n_tasks, reach_workers, shared_dir
 
 WIDTH = 50
 GRAM = 16
-RUN_BYTES = 16 << 20
-_PART = 4 << 20  # bytes that are hashed at once
+RUN_BYTES = 8 << 20
+_PART = 2 << 20  # bytes that are hashed at once
 _SPAN = WIDTH - GRAM + 1  # gram positions in a string
 _LEFT = _SPAN - 1  # most bytes before an anchor
 _ROW = WIDTH + _LEFT + 2  # suffix, reversed left part, both lengths
@@ -245,6 +245,12 @@ def merge(runs: list[list[bytes]], shared: list[list[int]], width: int = _ROW) -
     return order, prefix
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows one at a time, so that only one run's payload is held."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def _read(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
@@ -423,7 +429,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run_name, payload, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for run_name, payload, packed in _rows(batch):
                 found = _open(payload, packed)[2]
                 rows = found["rows"]
                 cut = np.searchsorted(_range_of(rows, cuts), np.arange(len(cuts) + 2))
@@ -453,7 +459,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, payload, packed, told in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, payload, packed, told in _rows(batch):
                 table, run, found, keys = _open(payload, packed or [])
                 marks = np.zeros(len(run.raw) + 1, np.int32)
                 if told:
@@ -467,7 +473,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     p = found["p"][at]
                     np.add.at(marks, p - o2[which], 1)
                     np.add.at(marks, p - o1[which] + WIDTH, -1)
-                gone = np.cumsum(marks)[:-1] > 0
+                np.cumsum(marks, out=marks)
+                gone = marks[:-1] > 0
+                del marks, found
                 kept, removed, spans = [], [], []
                 for a, b in zip(run.bounds, run.bounds[1:]):
                     own = gone[a:b]
