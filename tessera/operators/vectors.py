@@ -31,13 +31,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 40, threshold: float
         q = np.array([r["v"] for r in block], np.float64) if block else np.zeros((0, 1))
         norms = np.linalg.norm(q, axis=1, keepdims=True)
         shared = spark.sparkContext.broadcast((ids, q / np.where(norms == 0, 1, norms)))
-        part = vectors.select("id", column).mapInArrow(_best(shared, k, threshold), f"query_id {dict(queries.dtypes)['query_id']}, id {dict(vectors.dtypes)['id']}, similarity double")
+        kinds = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
+        part = vectors.select("id", column).mapInArrow(_best(shared, k, threshold, kinds), f"query_id {kinds[0]}, id {kinds[1]}, similarity double")
         out = part if out is None else out.unionByName(part)
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _best(shared, k: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+_ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+
+
+def _best(shared, k: int, threshold: float, kinds: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = shared.value
         for batch in batches:
@@ -56,7 +60,8 @@ def _best(shared, k: int, threshold: float) -> Callable[[Iterator[pa.RecordBatch
                     near = near[s[near] >= edge]
                 rows += [(ids[i], own[j], float(s[j])) for j in near]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["query_id", "id", "similarity"])
+                types = (*(_ARROW[t] for t in kinds), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["query_id", "id", "similarity"])
 
     return run
 

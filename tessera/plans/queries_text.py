@@ -307,11 +307,11 @@ WEIGHT_SQL = "CASE channel " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ranki
     "qry_fusion",
     f"""WITH {NORMAL_SQL} SELECT candidate_id, round({WEIGHT_SQL} * CASE WHEN channel IN ('ISSUE_SIDECAR', 'VERSION_CONTEXT') THEN 0.0 ELSE factual_weight END * (1.0E0 / (60.0E0 + channel_rank))
         + CASE WHEN domain_code = 'D1' THEN 0.002 ELSE 0 END::DOUBLE + CASE WHEN feature_key IN ('F2', 'F3') THEN 0.002 ELSE 0 END::DOUBLE - CASE WHEN version_status = 'CONFLICT' THEN 0.003 ELSE 0 END::DOUBLE
-        - CASE WHEN NOT has_evidence AND channel LIKE 'PFSS%' THEN 0.004 ELSE 0 END::DOUBLE, 7) AS fused_score FROM n""",
+        - CASE WHEN NOT has_evidence AND channel LIKE 'PFSS%' THEN 0.004 ELSE 0 END::DOUBLE, 9) AS fused_score FROM n""",
 )
 def qry_fusion(spark, d):
     fused = ranking.fuse(ranking.normalize_channels(_candidates(spark, d)), ["D1"], ["F2", "F3"])
-    return fused.select("candidate_id", F.round("fused_score", 7).alias("fused_score"))
+    return fused.select("candidate_id", "fused_score")
 
 
 @query("qry_fallback", f"WITH c AS ({CANDIDATES}), s AS (SELECT bool_or(channel = 'RAW_TEXT') AS raw, bool_or(channel LIKE 'PFSS%') AS trusted, bool_or(version_status = 'CONFLICT') AS warned, count(*) AS n FROM c) SELECT CASE WHEN trusted AND warned THEN 'PFSS_WITH_VERSION_WARNING' ELSE 'HYBRID_EVIDENCE_READY' END AS status, n FROM s")
