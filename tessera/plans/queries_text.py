@@ -274,7 +274,7 @@ def agg_idf(spark, d):
 
 
 CANDIDATES = """SELECT l_orderkey * 10 + l_linenumber AS candidate_id, CASE l_linenumber WHEN 1 THEN 'RAW_TEXT' WHEN 2 THEN 'PFSS_ENTITY' WHEN 3 THEN 'PFSS_RELATION' WHEN 4 THEN 'PFSS_PATH' WHEN 5 THEN 'GENERIC_GRAPH' WHEN 6 THEN 'ISSUE_SIDECAR' ELSE 'VERSION_CONTEXT' END AS channel,
-    l_extendedprice AS raw_score, CASE WHEN l_linenumber = 5 THEN 0.2E0 ELSE 1.0E0 END AS factual_weight, 'key-' || l_partkey AS dedup_key, 'D' || (l_suppkey % 5) AS domain_code, 'F' || (l_suppkey % 7) AS feature_key,
+    l_extendedprice AS raw_score, CASE WHEN l_linenumber = 5 THEN 0.25E0 ELSE 1.0E0 END AS factual_weight, 'key-' || l_partkey AS dedup_key, 'D' || (l_suppkey % 5) AS domain_code, 'F' || (l_suppkey % 7) AS feature_key,
     CASE WHEN l_returnflag = 'A' THEN 'CONFLICT' ELSE 'CURRENT' END AS version_status, l_linestatus = 'F' AS has_evidence, l_returnflag = 'R' AS factual_path
     FROM (SELECT l_orderkey, l_linenumber, arg_min(l_extendedprice, o) AS l_extendedprice, arg_min(l_partkey, o) AS l_partkey, arg_min(l_suppkey, o) AS l_suppkey, arg_min(l_returnflag, o) AS l_returnflag, arg_min(l_linestatus, o) AS l_linestatus
         FROM (SELECT *, l_partkey * 100000 + l_suppkey AS o FROM lineitem WHERE l_orderkey % 20 = 0) GROUP BY l_orderkey, l_linenumber)"""
