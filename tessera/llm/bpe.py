@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding.
 
-A word's merges come off a segment tree over its adjacent pairs.  A leaf holds ``rank << 32 | position`` of one pair, so
-the root is the leftmost pair of the lowest rank; a merge changes three leaves, each in logarithmic time, until the root
-says that no pair can be merged.
+A word's merges come off a segment tree over its adjacent pairs.  A leaf holds rank and position of one pair, so the
+root is the leftmost pair of the lowest rank; a merge changes three leaves, each in logarithmic time, until the root says
+that no pair can be merged.  A node of the tree has sixteen children, so most words have the root alone above the leaves.
 
 Texts are cut before each space that stands alone before a non-space.  No pre-token crosses such a cut, so the pieces
 are encoded on their own and frequent ones come from a bounded cache.  Texts with other runs of spaces go through the
@@ -26,9 +26,14 @@ from tessera.llm.common import reach_workers
 #: The published pattern that splits a text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHE_ENTRIES = 400_000
+PIECE_ENTRIES = 300_000
+WORD_ENTRIES = 800_000
 CACHED_CHARS = 48
-_NONE = 1 << 62
+#: A leaf of the tree: rank, the merged id and the position of a pair, the most significant first.
+_ID_BITS, _AT_BITS = 17, 26
+_ID, _AT = (1 << _ID_BITS) - 1, (1 << _AT_BITS) - 1
+_NONE = 1 << 60
+_FAN = 16
 
 
 def _byte_symbols() -> list[str]:
@@ -52,11 +57,12 @@ class Vocabulary:
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[a] << 32 | ids[b]] = rank << 32 | ids[a + b]
+            self.merges[ids[a] << 32 | ids[b]] = rank << _ID_BITS + _AT_BITS | ids[a + b] << _AT_BITS
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.bytes_of = {i: bytes(as_byte[c] for c in s) for s, i in ids.items()}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.words = regex.compile(PATTERN)
+        self.odd_space = regex.compile(r" (?:\s|\Z)")
         known = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, known)) + ")") if known else None
         self.word_cache: dict[str, bytes] = {}
@@ -64,66 +70,50 @@ class Vocabulary:
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge the pairs of one word, lowest rank first and leftmost among equals."""
-        n = len(ids)
-        if n < 2:
+        m = len(ids) - 1  # leaves: one for each adjacent pair
+        if m < 1:
             return ids
-        merges = self.merges
-        size = 1
-        while size < n - 1:
-            size *= 2
-        made = [0] * (n - 1)  # what the pair at a position becomes
-        tree = [_NONE] * (2 * size)
-        for i in range(n - 1):
-            hit = merges.get(ids[i] << 32 | ids[i + 1])
-            if hit is not None:
-                tree[size + i] = (hit >> 32) << 32 | i
-                made[i] = hit & 0xFFFFFFFF
-        for i in range(size - 1, 0, -1):
-            a, b = tree[2 * i], tree[2 * i + 1]
-            tree[i] = a if a < b else b
-        if tree[1] == _NONE:
-            return ids
-        after = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        alive = [True] * n
-
-        def put(leaf: int, value: int) -> None:
-            at = size + leaf
-            tree[at] = value
-            at >>= 1
-            while at:
-                a, b = tree[2 * at], tree[2 * at + 1]
-                low = a if a < b else b
-                if tree[at] == low:
-                    break
-                tree[at] = low
-                at >>= 1
-
-        def pair(left: int, right: int) -> None:
-            hit = merges.get(ids[left] << 32 | ids[right])
-            if hit is None:
-                put(left, _NONE)
-            else:
-                made[left] = hit & 0xFFFFFFFF
-                put(left, (hit >> 32) << 32 | left)
-
-        while tree[1] != _NONE:
-            left = tree[1] & 0xFFFFFFFF
+        if m > _AT:
+            raise ValueError(f"a word of more than {_AT} bytes")
+        get = self.merges.get
+        leaves = [_NONE if (hit := get(a << 32 | b)) is None else hit | i for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+        tree = [leaves]  # each level holds the minima of the one before, _FAN to a node; the last has one node
+        while len(tree) == 1 or len(tree[-1]) > 1:
+            below = tree[-1]
+            tree.append([min(below[i : i + _FAN]) for i in range(0, len(below), _FAN)])
+        root = tree[-1]
+        after = list(range(1, m + 2))
+        before = list(range(-1, m))
+        while (top := root[0]) < _NONE:
+            left = top & _AT
+            ids[left] = new = top >> _AT_BITS & _ID
             gone = after[left]
-            ids[left] = made[left]
-            alive[gone] = False
-            right = after[gone]
-            after[left] = right
-            if gone < n - 1:
-                put(gone, _NONE)
-            if right < n:
+            ids[gone] = -1
+            right = after[left] = after[gone]
+            hit = None
+            if right <= m:
                 before[right] = left
-                pair(left, right)
-            else:
-                put(left, _NONE)
-            if before[left] >= 0:
-                pair(before[left], left)
-        return [x for x, on in zip(ids, alive) if on]
+                hit = get(new << 32 | ids[right])
+            leaves[left] = _NONE if hit is None else hit | left
+            if gone < m:
+                leaves[gone] = _NONE
+            prev = before[left]
+            if prev >= 0:
+                hit = get(ids[prev] << 32 | new)
+                leaves[prev] = _NONE if hit is None else hit | prev
+            if m <= _FAN:
+                root[0] = min(leaves)
+                continue
+            for at in {prev // _FAN if prev >= 0 else left // _FAN, left // _FAN, min(gone, m - 1) // _FAN}:
+                below = leaves
+                for level in tree[1:]:
+                    low = min(below[at * _FAN : at * _FAN + _FAN])
+                    if level[at] == low:
+                        break
+                    level[at] = low
+                    below = level
+                    at //= _FAN
+        return [x for x in ids if x >= 0]
 
     def _word(self, word: str) -> bytes:
         hit = self.word_cache.get(word)
@@ -131,40 +121,39 @@ class Vocabulary:
             of_byte = self.of_byte
             hit = array("I", self.merge([of_byte[b] for b in word.encode()])).tobytes()
             if len(word) <= CACHED_CHARS:
-                if len(self.word_cache) >= CACHE_ENTRIES:
+                if len(self.word_cache) >= WORD_ENTRIES:
                     self.word_cache.clear()
                 self.word_cache[word] = hit
         return hit
 
     def _whole(self, text: str) -> bytes:
-        """Ids of a text by the pattern alone, special tokens apart."""
-        parts = self.marks.split(text) if self.marks else [text]
-        out = []
-        for part in parts:
-            if part in self.special:
-                out.append(array("I", [self.special[part]]).tobytes())
-            elif part:
-                out.extend(map(self._word, self.words.findall(part)))
-        return b"".join(out)
+        """Ids of a text by the pattern alone."""
+        return b"".join(map(self._word, self.words.findall(text)))
+
+    def _marked(self, text: str) -> bytes:
+        """Ids of a text that holds special tokens."""
+        parts = self.marks.split(text)
+        return b"".join(array("I", [self.special[p]]).tobytes() if p in self.special else self._whole(p) for p in parts)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        pieces = text.split(" ")
-        if len(pieces) > 1 and ("" in pieces or any(p[0].isspace() for p in pieces[1:])):
+        if self.marks and self.marks.search(text):
+            return self._marked(text)
+        if self.odd_space.search(text):
             return self._whole(text)
-        out = [self._whole(pieces[0])]
+        first, *pieces = text.split(" ")
         cache = self.piece_cache
-        get = cache.get
-        for piece in pieces[1:]:
-            hit = get(piece)
-            if hit is None:
-                hit = self._whole(" " + piece)
-                if len(piece) <= CACHED_CHARS:
-                    if len(cache) >= CACHE_ENTRIES:
-                        cache.clear()
-                    cache[piece] = hit
-            out.append(hit)
-        return b"".join(out)
+        found = list(map(cache.get, pieces))
+        if None in found:
+            for i, hit in enumerate(found):
+                if hit is None:
+                    piece = pieces[i]
+                    found[i] = hit = self._whole(" " + piece)
+                    if len(piece) <= CACHED_CHARS:
+                        if len(cache) >= PIECE_ENTRIES:
+                            cache.clear()
+                        cache[piece] = hit
+        return self._whole(first) + b"".join(found)
 
     def decode(self, ids: bytes) -> str:
         """The text of packed ids; bytes that are no UTF-8 become U+FFFD, ids outside the vocabulary nothing."""
