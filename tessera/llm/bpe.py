@@ -67,6 +67,7 @@ class Vocabulary:
         self.marks = regex.compile("(" + "|".join(map(regex.escape, known)) + ")") if known else None
         self.word_cache: dict[str, bytes] = {}
         self.piece_cache: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}  # what the cache held before it was last full
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge the pairs of one word, lowest rank first and leftmost among equals."""
@@ -142,16 +143,17 @@ class Vocabulary:
         if self.odd_space.search(text):
             return self._whole(text)
         first, *pieces = text.split(" ")
-        cache = self.piece_cache
+        cache, older = self.piece_cache, self.older_pieces
         found = list(map(cache.get, pieces))
         if None in found:
             for i, hit in enumerate(found):
                 if hit is None:
                     piece = pieces[i]
-                    found[i] = hit = self._whole(" " + piece)
+                    found[i] = hit = cache.get(piece) or older.get(piece) or self._whole(" " + piece)
                     if len(piece) <= CACHED_CHARS:
                         if len(cache) >= PIECE_ENTRIES:
-                            cache.clear()
+                            older = self.older_pieces = cache
+                            cache = self.piece_cache = {}
                         cache[piece] = hit
         return self._whole(first) + b"".join(found)
 
