@@ -6,10 +6,11 @@ words.  Consistent weighted samples (Ioffe 2010) of these weights are banded: tw
 probability of their weighted Jaccard similarity to the power of the band's rows.
 
 Texts that meet are compared exactly.  A band's bucket is never expanded into all pairs: its members are compared with
-the bucket's first text.  Those that are too unlike are few in most buckets, and one task links them up; where they are
-many, they are compared with more first texts, until few are left.
+the bucket's first text.  Those that are too unlike are few in most buckets, and one task links them up.
 Jaccard distance is a metric, so a text that its first text is too unlike can only be linked to a member of that group whose
-own distance to the first text comes within 0.2 of the text's; such members stay with the rest (of a very large bucket, some).
+own distance to the first text comes within 0.2 of the text's; such members, all of them, stay with the rest.
+Where the rest is large, more first texts join up what they can; then members that are still in different groups are
+compared in pairs of blocks, one task a pair, so that every link of the bucket that could join two groups is looked at.
 Copies of a text count once in all of this and come back as members of its class.
 """
 
@@ -32,8 +33,9 @@ SIMILARITY = 0.8
 BANDS = 16
 ROWS = 5
 WORD_BUCKETS = 1 << 18
-GROUP = 1_024  # members of a bucket that one task compares
+GROUP = 1_024  # members of a bucket that one task compares, about
 FIRSTS = 32  # first texts at once in buckets that are larger
+_SLACK = 1e-9  # of the metric's bound, for rounding
 _DRAWS = 1 << 16
 _CHUNK = 1 << 20  # bytes of text that are hashed at once
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -144,10 +146,12 @@ def band_keys(h: np.ndarray, weight: np.ndarray, begin: np.ndarray) -> np.ndarra
     return keys
 
 
-def _spanning(texts: list[bytes], idf: np.ndarray, similarity: float, owners: list[bytes | None]) -> list[tuple[int, int]]:
+def _spanning(
+    texts: list[bytes], idf: np.ndarray, similarity: float, owners: list[bytes | None], sides: list[int] | None = None
+) -> list[tuple[int, int]]:
     """Pairs of texts that are alike, as few as join all that are: pairs in one group already are not compared.
 
-    Texts of one owner are one group from the start.
+    Texts of one owner are one group from the start.  With ``sides``, only texts of different sides are compared.
     Pairs whose samples agree far less often than such texts' would (five standard deviations) are passed over.
     """
     parts = [shingles(texts[p], idf) for p in _chunks(texts)]
@@ -166,8 +170,9 @@ def _spanning(texts: list[bytes], idf: np.ndarray, similarity: float, owners: li
         return x
 
     out = []
+    side = np.arange(len(texts)) if sides is None else np.array(sides)
     for i in np.flatnonzero(has):
-        near = np.flatnonzero(has[i + 1 :] & ((drawn[i + 1 :] == drawn[i]).sum(axis=1) >= least)) + i + 1
+        near = np.flatnonzero(has[i + 1 :] & (side[i + 1 :] != side[i]) & ((drawn[i + 1 :] == drawn[i]).sum(axis=1) >= least)) + i + 1
         for j in near:
             a, b = find(int(i)), find(int(j))
             if a != b and _overlap(vectors[i], vectors[j]) >= similarity:
@@ -287,44 +292,85 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         found = _spanning(raw, table.value, similarity, group.column("owner").to_pylist())
         return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.binary()), "b": pa.array([nodes[j] for _, j in found], pa.binary())})
 
+    def link_blocks(group: pa.Table) -> pa.Table:
+        """Links between two blocks of a bucket, or within one, that join members of different groups."""
+        nodes, raw, sides = group.column("node").to_pylist(), _raw(group.column("text")), group.column("block").to_pylist()
+        found = _spanning(raw, table.value, similarity, group.column("root").to_pylist(), sides if len(set(sides)) > 1 else None)
+        return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.binary()), "b": pa.array([nodes[j] for _, j in found], pa.binary())})
+
     far = 1 - similarity
-    all_sims = None
-    found_links = []
-    while True:
-        pairs = open_.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        if all_sims is not None:
-            pairs = pairs.join(all_sims.select("a", "b"), ["a", "b"], "left_anti")
-        new = compare(pairs)
-        all_sims = new if all_sims is None else all_sims.unionByName(new)
-        sims = all_sims.select(F.col("a").alias("leader"), F.col("b").alias("node"), "sim")
-        judged = materialise(open_.where("node <> leader").join(sims, ["leader", "node"]).select("band", "bucket", "leader", "node", "sim"), "judged")
-        # members that no first text of their bucket is like, and those that are but may also be like one of them
-        best = judged.groupBy("band", "bucket", "node").agg(F.max("sim").alias("sim"), F.max_by("leader", "sim").alias("owner"))
-        # first texts themselves have been compared with all of their bucket
-        firsts = open_.select("band", "bucket", F.col("leader").alias("node")).distinct()
-        best = best.join(firsts, ["band", "bucket", "node"], "left_anti").withColumn("tied", F.col("sim") >= similarity)
-        state = best.groupBy("band", "bucket").agg(F.count_if(~F.col("tied")).alias("n_rest"), F.max(F.when(~F.col("tied"), F.col("sim"))).alias("odd"))
-        state = state.where((F.col("n_rest") > 1) | (F.col("odd") >= 1 - 2 * far))
-        near = (F.col("odd") >= 1 - 2 * far) & (F.col("sim") <= F.col("odd") + far)
-        left = best.join(state, ["band", "bucket"]).where(~F.col("tied") | near).select("band", "bucket", "node", "tied", F.when(F.col("tied"), F.col("owner")).alias("owner"))
-        sizes = left.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"))
-        rest = materialise(left.join(sizes, ["band", "bucket"]), "rest")
-        few = rest.where(F.col("n") <= GROUP).join(texts, "node").select("band", "bucket", "node", "owner", "text")
-        found_links.append(materialise(few.groupBy("band", "bucket").applyInArrow(link_up, "a binary, b binary").distinct(), "links"))
-        many = rest.where((F.col("n") > GROUP) & (~F.col("tied") | (F.pmod(F.xxhash64("node"), F.col("n")) < FIRSTS))).select("band", "bucket", "node")
-        if many.isEmpty():
-            break
-        part = F.pmod(F.xxhash64("node"), F.lit(FIRSTS))
-        firsts = many.groupBy("band", "bucket", part).agg(F.min("node").alias("leader")).select("band", "bucket", "leader")
-        open_ = materialise(many.join(firsts, ["band", "bucket"]), "buckets")
-
-    links = all_sims.where(F.col("sim") >= similarity).select("a", "b")
-    for more in found_links:
-        links = links.union(more)
+    pairs = open_.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    all_sims = compare(pairs)
+    sims = all_sims.select(F.col("a").alias("leader"), F.col("b").alias("node"), "sim")
+    judged = open_.where("node <> leader").join(sims, ["leader", "node"])
+    # members that the first text of their bucket is not like, and those that it is but that may also be like one of them
+    judged = materialise(judged.select("band", "bucket", "node", "sim", (F.col("sim") >= similarity).alias("tied"), F.col("leader").alias("owner")), "judged")
+    state = judged.groupBy("band", "bucket").agg(F.count_if(~F.col("tied")).alias("n_rest"), F.max(F.when(~F.col("tied"), F.col("sim"))).alias("odd"))
+    bound = 1 - 2 * far - _SLACK
+    state = state.where((F.col("n_rest") > 1) | (F.col("odd") >= bound))
+    near = (F.col("odd") >= bound) & (F.col("sim") <= F.col("odd") + far + _SLACK)
+    left = judged.join(state, ["band", "bucket"]).where(~F.col("tied") | near)
+    left = left.select("band", "bucket", "node", "tied", "sim", "n_rest", F.when(F.col("tied"), F.col("owner")).alias("owner"))
+    sizes = left.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    rest = materialise(left.join(sizes, ["band", "bucket"]), "rest")
+    few = rest.where(F.col("n") <= GROUP).join(texts, "node").select("band", "bucket", "node", "owner", "text")
+    links = materialise(few.groupBy("band", "bucket").applyInArrow(link_up, "a binary, b binary").distinct(), "links")
+    large = rest.where(F.col("n") > GROUP)
+    if not large.isEmpty():
+        # more first texts, as long as each round ties half of what is left: that saves work, the blocks below see to the rest
+        many = large.where(~F.col("tied") & (F.col("n_rest") > GROUP)).select("band", "bucket", "node")
+        n_many = many.count()
+        while n_many:
+            part = F.pmod(F.xxhash64("node"), F.lit(FIRSTS))
+            firsts = many.groupBy("band", "bucket", part).agg(F.min("node").alias("leader")).select("band", "bucket", "leader")
+            open_ = materialise(many.join(firsts, ["band", "bucket"]), "buckets")
+            pairs = open_.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+            all_sims = all_sims.unionByName(compare(pairs.join(all_sims.select("a", "b"), ["a", "b"], "left_anti")))
+            sims = all_sims.where(F.col("sim") >= similarity).select(F.col("a").alias("leader"), F.col("b").alias("node"))
+            tied = open_.join(sims, ["leader", "node"]).select("band", "bucket", "node")
+            done = tied.union(firsts.select("band", "bucket", F.col("leader").alias("node"))).distinct()
+            many = materialise(many.join(done, ["band", "bucket", "node"], "left_anti"), "many")
+            before, n_many = n_many, many.count()
+            if 2 * n_many > before:
+                break
+        so_far = connected(links.union(all_sims.where(F.col("sim") >= similarity).select("a", "b")))
+        blocks = _block_pairs(large, so_far, far).join(texts, "node")
+        more = blocks.groupBy("band", "bucket", "pair").applyInArrow(link_blocks, "a binary, b binary")
+        links = links.union(materialise(more.distinct(), "links"))
+    links = links.union(all_sims.where(F.col("sim") >= similarity).select("a", "b"))
     roots = connected(links)
     return _classes(docs.withColumn("__node", node), roots, key, [] if keep_text else [text])
 
 
+def _block_pairs(large: DataFrame, roots: DataFrame, far: float) -> DataFrame:
+    """(band, bucket, node, root, block, pair): members of buckets dealt into blocks that meet in pairs.
+
+    The largest group of a bucket is not compared with itself: its blocks meet the blocks of the others, and those also each
+    other and themselves.  Members of the largest group whose similarity to the bucket's first text is further than ``far``
+    from that of all others are left out, since no link can reach them.  Buckets of one group have no rows.
+    """
+    half = max(1, GROUP // 2)
+    at = ["band", "bucket"]
+    rows = materialise(large.select(*at, "node", "sim").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "large")
+    groups = rows.groupBy(*at, "root").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"), F.max("sim").alias("high"))
+    main = groups.groupBy(*at).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    others = groups.join(main, at).where("root <> main").groupBy(*at, "main")
+    others = others.agg(F.sum("n").alias("n_others"), F.min("low").alias("low"), F.max("high").alias("high"))
+    is_main = F.col("root") == F.col("main")
+    reached = F.col("sim").between(F.col("low") - far - _SLACK, F.col("high") + far + _SLACK)
+    rows = materialise(rows.join(others, at).where(~is_main | reached).withColumn("is_main", is_main), "reached")
+    n_main = rows.where("is_main").groupBy(*at).agg(F.count(F.lit(1)).alias("n_main"))
+    rows = rows.join(n_main, at, "left")
+    p = F.ceil(F.coalesce("n_main", F.lit(0)) / half)
+    q = F.ceil(F.col("n_others") / half)
+    block = F.when(F.col("is_main"), F.pmod(F.xxhash64("node"), p)).otherwise(p + F.pmod(F.xxhash64("node"), q))
+    rows = rows.select(*at, "node", "root", "is_main", p.alias("p"), q.alias("q"), block.alias("block"))
+    own, first_other, last = F.col("block"), F.col("p"), F.col("p") + F.col("q") - 1
+    met = F.when(F.col("is_main"), F.sequence(first_other, last)).otherwise(F.sequence(F.lit(0).cast("long"), last))
+    pair = lambda b: F.struct(F.least(b, own).alias("low"), F.greatest(b, own).alias("high"))
+    return rows.select(*at, "node", "root", "block", F.explode(F.transform(met, pair)).alias("pair"))
+
+
 def _classes(docs: DataFrame, roots: DataFrame, key: str, without: list[str]) -> DataFrame:
     """Rows with the smallest key of their component, one of them marked as first."""
     ids = docs.select(F.col("__node").alias("node"), F.col(key).alias("__key")).groupBy("node").agg(F.min("__key").alias("least"))

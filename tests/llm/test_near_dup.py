@@ -97,3 +97,41 @@ def test_large_buckets_take_more_rounds(spark, monkeypatch):
     got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
     wanted = brute(rows)
     assert sum(got[k] == wanted[k] for k in wanted) >= 0.95 * len(wanted)
+
+
+def banded(rows, idf):
+    """The smallest key of each row's component, every pair that shares a bucket compared."""
+    raw = [t.encode() for _, t in rows]
+    h, w, begin = near_dup.shingles(raw, idf)
+    keys = near_dup.band_keys(h, w, begin)
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in np.flatnonzero((keys[:i] == keys[i]).any(axis=1)):
+            if near_dup._similarity(raw[i], raw[j], idf) >= 0.8:
+                parent[find(i)] = find(int(j))
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), k), k)
+    return {k: least[find(i)] for i, (k, _) in enumerate(rows)}
+
+
+def test_large_buckets_link_all_that_share_a_bucket(spark, monkeypatch):
+    """Chains of edits, whose links often hang on one member: no member of a large bucket may be left out."""
+    monkeypatch.setattr(near_dup, "GROUP", 3)
+    monkeypatch.setattr(near_dup, "FIRSTS", 1)
+    texts = []
+    for _ in range(6):
+        own = text(80)
+        for _ in range(30):
+            texts.append(own)
+            own = edited(own, 1)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
+    assert got == banded(rows, near_dup.inverse_frequencies(df))
