@@ -31,15 +31,16 @@ PATH_DIM, WORD_DIM, SHARES = 64, 16, 6
 HIDDEN = 16
 STEPS = 220
 BATCH = 24
-MOST_BLOCKS = 48  # of a page in training; extraction reads pages whole
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: Tags that do not end a block.
 _INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr"
+    " maction math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext"
+    " mtr munder munderover semantics annotation annotation-xml".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNSEEN = frozenset("script style head title noscript template svg iframe object math canvas".split())
+_UNSEEN = frozenset("script style head title noscript template iframe annotation annotation-xml desc metadata".split())
 #: Tags whose open element ends where one of them opens.
 _CLOSED_BY = {
     "p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
@@ -83,6 +84,8 @@ class _Reader(HTMLParser):
             if tag in ("br", "wbr", "img"):
                 self.parts.append(" " if tag != "wbr" else "")
                 return
+            if tag in ("mtr", "mtd"):
+                self.parts.append(" ")
         else:
             self.end_block()
             while self.open:
@@ -127,7 +130,7 @@ class _Reader(HTMLParser):
 
 
 def blocks(html: str | None) -> list[Block]:
-    """The leaf blocks of a page in order; text of scripts, styles, the head and the like is no block."""
+    """The leaf blocks of a page in order; what is not shown (scripts, styles, the head, notes on formulas and the like) is no block."""
     reader = _Reader()
     reader.feed(html or "")
     reader.close()
@@ -152,7 +155,7 @@ def vectors(found: list[Block]) -> np.ndarray:
         if b.path:
             at, sign = _slot("leaf " + b.path[-1], PATH_DIM)
             row[at] += sign
-        words = _WORD.findall(b.text[:400].lower())
+        words = _WORD.findall(b.text.lower())
         for w in words:
             at, sign = _slot(w, WORD_DIM)
             row[PATH_DIM + at] += sign
@@ -268,10 +271,10 @@ def train(pages: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, seed:
         if not pages:
             break
         some = [pages[i] for i in rng.integers(0, len(pages), BATCH)]
-        x, lengths = _padded([p[0][:MOST_BLOCKS] for p in some])
+        x, lengths = _padded([p[0] for p in some])
         y = np.zeros(x.shape[:2])
         for k, (_, own) in enumerate(some):
-            y[k, : min(len(own), MOST_BLOCKS)] = own[:MOST_BLOCKS]
+            y[k, : len(own)] = own
         _, g = gradients(w, x, lengths, y)
         rate = 0.02 * (1 - step / (steps + 1)) + 1e-3
         for k in w:
@@ -382,7 +385,7 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int =
     sample = pages.where(F.col(html).isNotNull())
     if n > bound:
         sample = sample.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(2 * bound / n * (1 << 30)))
-    rows = [r[0] for r in sample.select(F.substring(html, 1, 200_000)).limit(bound).collect()]
+    rows = [r[0] for r in sample.select(html).limit(bound).collect()]
     known: list[tuple[np.ndarray, np.ndarray]] = []
     words: dict[str, None] = {}
     for text in rows:
@@ -390,9 +393,9 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int =
         labels = [_sure(b) for b in found]
         if found and None not in labels:
             known.append((vectors(found), np.array(labels)))
-        for b in found[:40]:
-            words.update(dict.fromkeys(b.text.split()[:60]))
-    pool = sorted(words)[:20_000] or [f"word{i}" for i in range(500)]
+        for b in found:
+            words.update(dict.fromkeys(b.text.split()))
+    pool = sorted(words) or [f"word{i}" for i in range(500)]
     rng = np.random.default_rng(seed)
     for _ in range(DRAWN_PAGES):
         found, y = drawn_page(rng, pool)

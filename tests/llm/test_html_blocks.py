@@ -54,3 +54,27 @@ def test_extract(spark, weights):
 
 def test_fit_on_empty_table(spark):
     assert hb.fit(spark.createDataFrame([], "page_id long, html string"))["out"].shape[1] == 1
+
+
+def test_words_are_read_to_the_end_of_a_block():
+    start = "same words " * 60
+    a, b = (hb.vectors([hb.Block(("p",), start + end, 0)]) for end in ("alpha beta gamma", "delta omega kappa"))
+    words = slice(hb.PATH_DIM, hb.PATH_DIM + hb.WORD_DIM)
+    assert not np.array_equal(a[0, words], b[0, words])
+    more = hb.vectors([hb.Block(("p",), start * 2, 0)])
+    assert more[0, hb.PATH_DIM + hb.WORD_DIM + 2] == np.float32(np.log1p(240) / 5)
+
+
+def test_training_reads_pages_to_their_end():
+    x = hb.vectors([hb.Block(("p",), f"words {i}", 0) for i in range(60)])
+    y = np.ones(60)
+    tail = y.copy()
+    tail[50:] = 0
+    a, b = (hb.train([(x, labels)], steps=2) for labels in (y, tail))
+    assert any(not np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_text_of_formulas_and_drawings_is_kept():
+    page = """<p>so <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>tex</annotation></semantics></math> holds</p>
+      <svg><title>no</title><text>label</text></svg><object><p>instead</p></object><canvas>chart</canvas><noscript>no</noscript>"""
+    assert [b.text for b in hb.blocks(page)] == ["so E=m holds", "label", "instead", "chart"]
