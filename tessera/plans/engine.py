@@ -51,7 +51,7 @@ class Engine:
         cut = chunking.with_chunk_ids(cut, "full_doc_id")
         rows = self._vectors(cut.select(F.col("chunk_id").alias("id"), "content", "full_doc_id", "file_path"), "content")
         store.commit("chunks", store.read("chunks").join(rows.select("id"), "id", "left_anti").unionByName(rows))
-        self._merge(cut)
+        self._merge(cut, now)
         status = self._status(queued, cut, now)
         store.commit("doc_status", store.read("doc_status").join(status.select("id"), "id", "left_anti").unionByName(status))
         return lookups.existing_keys(queued, store.read("doc_status")).join(store.read("doc_status"), "id")
@@ -60,7 +60,33 @@ class Engine:
         named = docs.select(F.col("id").alias("full_doc_id"), "file_path", F.col("content").alias("whole"))
         return chunking.windows(named, chunking.words("whole"), self.chunk_tokens, self.chunk_overlap).drop("whole")
 
-    def _merge(self, cut: DataFrame) -> None:
+    def _supports(self, table: str, objects: DataFrame) -> DataFrame:
+        """(id, source_id): all chunks of entities or relations, from ``table`` and from what ``objects`` (id, source_ids) keep themselves."""
+        listed = self.store.read(table).select("id", F.explode("chunk_ids").alias("source_id"))
+        return listed.unionByName(objects.select("id", F.explode("source_ids").alias("source_id"))).distinct()
+
+    def _list(self, table: str, rows: DataFrame) -> None:
+        lists = rows.groupBy("id").agg(F.array_sort(F.collect_set("source_id")).alias("chunk_ids"))
+        self.store.commit(table, lists.withColumn("count", F.size("chunk_ids")))
+
+    def _entities(self, said: DataFrame) -> DataFrame:
+        """Entity fragments of answers (chunk_id, answer)."""
+        found = chunking.entity_records(chunking.extraction_records(said))
+        return found.select(F.col("name").alias("entity"), "entity_type", "description", F.col("chunk_id").alias("source_id"), F.concat_ws(":", "chunk_id", F.lpad("pos", 9, "0")).alias("pos"))
+
+    def _relations(self, said: DataFrame) -> DataFrame:
+        """Relations of answers (chunk_id, answer), one row an undirected pair."""
+        edges = chunking.relation_records(chunking.extraction_records(said)).withColumn("a", F.least("src", "tgt")).withColumn("b", F.greatest("src", "tgt"))
+        return edges.groupBy(F.col("a").alias("src"), F.col("b").alias("tgt")).agg(
+            F.sum("weight").alias("weight"), F.array_join(F.array_sort(F.collect_set("keywords")), ",").alias("keywords"), F.array_join(F.array_sort(F.collect_set("description")), "<SEP>").alias("description"),
+            F.array_sort(F.collect_set("chunk_id")).alias("source_ids"),
+        )
+
+    def _said(self, chunks: DataFrame) -> DataFrame:
+        """Kept answers of chunks (chunk_id)."""
+        return self.store.read("llm_response_cache").join(chunks.distinct(), "chunk_id", "left_semi").select("chunk_id", F.col("return").alias("answer"))
+
+    def _merge(self, cut: DataFrame, now: int) -> None:
         extract, store = self.extract, self.store
 
         def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,17 +94,25 @@ class Engine:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(extract(batch.column(1).to_pylist()), pa.string())], ["chunk_id", "answer"])
 
         said = cut.select("chunk_id", "content").distinct().mapInArrow(answers, "chunk_id string, answer string")
-        records = chunking.extraction_records(said)
-        entities = chunking.entity_records(records).select(F.col("name").alias("entity"), "entity_type", "description", F.col("chunk_id").alias("source_id"), F.concat_ws(":", "chunk_id", F.lpad("pos", 9, "0")).alias("pos"))
+        time = F.lit(now).cast("long")
+        answered = said.select(
+            F.concat(F.lit("default:extract:"), "chunk_id").alias("id"), F.col("answer").alias("return"), F.lit("extract").alias("cache_type"), "chunk_id",
+            F.lit("").alias("original_prompt"), F.lit("").alias("queryparam"), time.alias("create_time"), time.alias("update_time"),
+        )
+        own = cut.select("chunk_id").distinct()
+        store.commit("llm_response_cache", store.read("llm_response_cache").join(own, "chunk_id", "left_anti").unionByName(answered))
+        said = self._said(own)
+        entities = self._entities(said)
+        held = self._supports("entity_chunks", store.read("nodes").select("id", "source_ids"))
+        self._list("entity_chunks", held.unionByName(entities.select(F.col("entity").alias("id"), "source_id")))
         old = store.read("nodes").select(F.col("id").alias("entity"), "entity_type", F.explode(F.split("description", "<SEP>")).alias("description"), "source_ids")
-        old = old.select("entity", "entity_type", "description", F.explode("source_ids").alias("source_id"), F.lit("").alias("pos"))
+        old = old.select("entity", "entity_type", "description", F.explode("source_ids").alias("source_id")).withColumn("pos", F.col("source_id"))
         merged = aggregates.merge_entities(old.unionByName(entities))
         nodes = merged.select(F.col("entity").alias("id"), "entity_type", F.array_join("descriptions", "<SEP>").alias("description"), "source_ids", F.lit("").alias("file_path"))
-        edges = chunking.relation_records(records).withColumn("a", F.least("src", "tgt")).withColumn("b", F.greatest("src", "tgt"))
-        new = edges.groupBy(F.col("a").alias("src"), F.col("b").alias("tgt")).agg(
-            F.sum("weight").alias("weight"), F.array_join(F.array_sort(F.collect_set("keywords")), ",").alias("keywords"), F.array_join(F.array_sort(F.collect_set("description")), "<SEP>").alias("description"),
-            F.array_sort(F.collect_set("chunk_id")).alias("source_ids"),
-        )
+        new = self._relations(said)
+        pair = F.concat_ws("<SEP>", "src", "tgt").alias("id")
+        held = self._supports("relation_chunks", store.read("edges").select(pair, "source_ids"))
+        self._list("relation_chunks", held.unionByName(new.select(pair, F.explode("source_ids").alias("source_id"))))
         before = store.read("edges").select("src", "tgt", "weight", "keywords", "description", "source_ids")
         both = before.unionByName(new).groupBy("src", "tgt").agg(
             F.sum("weight").alias("weight"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("keywords", ","))))), ",").alias("keywords"),
@@ -117,15 +151,37 @@ class Engine:
         chunks = row.select(F.explode("chunks_list").alias("source_id"))
         shared = s.read("doc_status").where(F.col("id") != doc_id).select(F.explode("chunks_list").alias("source_id"))
         chunks = chunks.join(shared, "source_id", "left_anti")
-        nodes, edges = s.read("nodes"), s.read("edges")
-        impact = mutations.deletion_impact(nodes.select(F.col("id").alias("entity"), F.explode("source_ids").alias("source_id")), chunks)
+        pair = F.concat_ws("<SEP>", "src", "tgt").alias("id")
+        nodes, edges = s.read("nodes"), s.read("edges").withColumn("id", pair)
+        held, held_edges = self._supports("entity_chunks", nodes), self._supports("relation_chunks", edges)
+        impact = mutations.deletion_impact(held.withColumnRenamed("id", "entity"), chunks)
         gone = chunks.agg(F.collect_list("source_id").alias("gone"))  # chunks of one document
         less = lambda df: df.crossJoin(F.broadcast(gone)).withColumn("source_ids", F.array_except("source_ids", "gone")).drop("gone")
-        s.commit("edges", less(edges).where(F.size("source_ids") > 0))
+        answered = s.read("llm_response_cache").select(F.col("chunk_id").alias("source_id"))
+
+        def rebuildable(held: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+            """What is left of the chunks; the ids that lose some and whose others all have kept answers; those answers."""
+            left = held.join(chunks, "source_id", "left_anti")
+            lose = held.join(chunks, "source_id", "left_semi").select("id").distinct()
+            rows = left.join(lose, "id", "left_semi")
+            ids = rows.select("id").distinct().join(rows.join(answered, "source_id", "left_anti").select("id"), "id", "left_anti")
+            return left, ids, self._said(rows.join(ids, "id", "left_semi").select(F.col("source_id").alias("chunk_id")))
+
+        left_edges, ids, said = rebuildable(held_edges)
+        again = self._relations(said).withColumn("id", pair).join(ids, "id", "left_semi").withColumn("file_path", F.lit(""))
+        again = self._vectors(again.withColumn("__text", F.concat_ws("\t", "keywords", "src", "tgt", "description")), "__text").drop("__text")
+        others = less(edges.join(again.select("id"), "id", "left_anti")).join(left_edges, "id", "left_semi")
+        s.commit("edges", others.unionByName(again))
         kept_ends = s.read("edges").select(F.explode(F.array("src", "tgt")).alias("id")).distinct()
-        left = less(nodes)
-        left = left.where(F.size("source_ids") > 0).unionByName(left.where(F.size("source_ids") == 0).join(kept_ends, "id", "left_semi"))
-        s.commit("nodes", left)
+        left, ids, said = rebuildable(held)
+        merged = aggregates.merge_entities(self._entities(said).join(ids.withColumnRenamed("id", "entity"), "entity", "left_semi"))
+        again = merged.select(F.col("entity").alias("id"), "entity_type", F.array_join("descriptions", "<SEP>").alias("description"), "source_ids", F.lit("").alias("file_path"))
+        again = self._vectors(again.withColumn("__text", F.concat_ws("\n", "id", "description")), "__text").drop("__text")
+        others = less(nodes.join(again.select("id"), "id", "left_anti")).join(left.select("id").union(kept_ends), "id", "left_semi")
+        s.commit("nodes", others.unionByName(again))
+        self._list("entity_chunks", left)
+        self._list("relation_chunks", left_edges)
+        s.commit("llm_response_cache", s.read("llm_response_cache").join(chunks.withColumnRenamed("source_id", "chunk_id"), "chunk_id", "left_anti"))
         s.commit("chunks", s.read("chunks").join(chunks.withColumnRenamed("source_id", "id"), "id", "left_anti"))
         one = s.read("full_docs").where(F.col("id") == doc_id).select("id")
         s.commit("full_docs", mutations.delete(s.read("full_docs"), one))

@@ -58,3 +58,23 @@ def test_insert_query_and_delete(spark, engine):
 def test_unknown_mode(engine):
     with pytest.raises(ValueError):
         engine.query("x", QueryParam(mode="other"))
+
+
+def test_entities_of_more_chunks_than_nodes_keep(spark, tmp_path):
+    """A document whose chunk the node's capped list has lost still counts when it goes, and what is left is built again."""
+
+    def told(texts):
+        return [f"entity<|#|>Alice<|#|>Person<|#|>says {t}\nentity<|#|>Bob<|#|>Person<|#|>hears {t}\nrelation<|#|>Alice<|#|>Bob<|#|>talk<|#|>on {t}<|#|>2\n<|COMPLETE|>" for t in texts]
+
+    e = Engine(Store(spark, str(tmp_path)), embed, told, 8, 2)
+    e.insert(spark.createDataFrame([(i, f"topic{i} word", f"{i}.txt") for i in range(305)], "pos long, text string, file_path string"))
+    alice = e.store.read("nodes").where("id = 'Alice'").first()
+    assert len(alice.source_ids) == 300
+    assert e.store.read("entity_chunks").where("id = 'Alice'").first()["count"] == 305
+    lost = next(r for r in e.store.read("doc_status").collect() if r.chunks_list[0] not in alice.source_ids)
+    topic = lost.content_summary
+    assert {r.entity: (r.action, r.n_left) for r in e.delete(lost.id).collect()} == {"Alice": ("rebuild", 304), "Bob": ("rebuild", 304)}
+    alice, edge = e.store.read("nodes").where("id = 'Alice'").first(), e.store.read("edges").first()
+    assert f"says {topic}" not in alice.description.split("<SEP>") and len(alice.description.split("<SEP>")) == 304
+    assert edge.weight == 608 and len(edge.source_ids) == 304 and f"on {topic}" not in edge.description.split("<SEP>")
+    assert e.store.read("relation_chunks").first()["count"] == 304
