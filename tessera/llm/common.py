@@ -4,30 +4,57 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_ROWS = 1_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package when it is run from a source tree."""
+    """Let Python workers import this package when it is run from a source tree, and share one pool of them.
+
+    Plan nodes that shorten tracebacks and nodes that don't start workers of their own, so executors hold twice as many;
+    with the setting off all of them use the same ones.  Batches hold at most ``BATCH_ROWS`` rows, since texts can be long.
+    """
+    spark.conf.set("spark.sql.execution.pyspark.udf.simplifiedTraceback.enabled", "false")
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if ROOT not in have.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, have) if x)
 
 
+_kept: dict[str, tuple[object, object]] = {}
+
+
+def worker_slot(name: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in this Python worker until the operator ``name`` asks with another key or another operator asks.
+
+    A worker runs tasks of one operator after the other; so it holds the tables and caches of the latest alone.
+    """
+    if name not in _kept or _kept[name][0] != key:
+        _kept.clear()
+        _kept[name] = (key, make())
+    return _kept[name][1]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine), a folder is set once for the session.
+    On one machine a session that names none (a test) gets one; on a cluster that is an error, since a folder of one
+    machine would lose rows.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
         found = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

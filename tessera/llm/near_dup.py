@@ -33,11 +33,13 @@ SIMILARITY = 0.8
 BANDS = 16
 ROWS = 5
 WORD_BUCKETS = 1 << 18
-GROUP = 1_024  # members of a bucket that one task compares, about
+GROUP = 1_024  # members of a bucket that one task compares at once, about
+GROUP_BYTES = 8 << 20  # and bytes of their texts; a longer text is alone in its block
 FIRSTS = 32  # first texts at once in buckets that are larger
 _SLACK = 1e-9  # of the metric's bound, for rounding
 _DRAWS = 1 << 16
-_CHUNK = 1 << 20  # bytes of text that are hashed at once
+_CHUNK = 1 << 18  # bytes of text that are hashed at once
+_AT = ["band", "bucket"]
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -149,35 +151,48 @@ def band_keys(h: np.ndarray, weight: np.ndarray, begin: np.ndarray) -> np.ndarra
 def _spanning(
     texts: list[bytes], idf: np.ndarray, similarity: float, owners: list[bytes | None], sides: list[int] | None = None
 ) -> list[tuple[int, int]]:
-    """Pairs of texts that are alike, as few as join all that are: pairs in one group already are not compared.
+    """Pairs of texts that are alike, as few as join all that are: pairs in one group already are not looked at.
 
-    Texts of one owner are one group from the start.  With ``sides``, only texts of different sides are compared.
-    Pairs whose samples agree far less often than such texts' would (five standard deviations) are passed over.
+    Texts of one owner are one group from the start.  With ``sides``, only texts of different sides are compared.  Each
+    text meets all that share a shingle with it at once, over lists of the texts that hold each shingle, so the
+    similarities are exact and no pair is passed over.
     """
+    n = len(texts)
     parts = [shingles(texts[p], idf) for p in _chunks(texts)]
-    vectors = [(h[a:b], w[a:b]) for h, w, begin in parts for a, b in zip(begin, begin[1:])]
-    has = np.array([len(h) > 0 for h, _ in vectors])
-    drawn = np.zeros((len(texts), BANDS * ROWS), np.uint64)
-    drawn[has] = np.concatenate([samples(*p) for p in parts if len(p[0])] or [drawn[:0]])
-    n = BANDS * ROWS
-    least = n * similarity - 5 * (n * similarity * (1 - similarity)) ** 0.5
-    first: dict[bytes, int] = {}
-    parent = [i if o is None else first.setdefault(o, i) for i, o in enumerate(owners)]
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    held = np.concatenate([np.diff(begin) for _, _, begin in parts] or [np.zeros(0, np.int64)])
+    begin = np.concatenate([[0], np.cumsum(held)])
+    h, w = (np.concatenate([p[k] for p in parts] or [np.zeros(0)]) for k in (0, 1))
+    owner = np.repeat(np.arange(n), held)
+    # shingles that one text alone holds count for its total only
+    kinds, number, times = np.unique(h, return_inverse=True, return_counts=True)
+    del h
+    total = np.bincount(owner, w, n)
+    order = np.argsort(number, kind="stable")
+    holders, weights = owner[order], w[order]
+    first = np.concatenate([[0], np.cumsum(times)])
+    first_of: dict[bytes, int] = {}
+    parent = np.array([i if o is None else first_of.setdefault(o, i) for i, o in enumerate(owners)])
+    side = np.arange(n) if sides is None else np.array(sides)
     out = []
-    side = np.arange(len(texts)) if sides is None else np.array(sides)
-    for i in np.flatnonzero(has):
-        near = np.flatnonzero(has[i + 1 :] & (side[i + 1 :] != side[i]) & ((drawn[i + 1 :] == drawn[i]).sum(axis=1) >= least)) + i + 1
-        for j in near:
-            a, b = find(int(i)), find(int(j))
-            if a != b and _overlap(vectors[i], vectors[j]) >= similarity:
-                parent[b] = a
-                out.append((int(i), int(j)))
+    for i in range(n):
+        own = np.arange(begin[i], begin[i + 1])
+        own = own[times[number[own]] > 1]
+        if not len(own):
+            continue
+        open_ = (side != side[i]) & (parent != parent[i])
+        open_[: i + 1] = False
+        if not open_.any():
+            continue
+        shared = np.zeros(n)
+        for part in np.array_split(own, max(1, int(times[number[own]].sum()) >> 20)):
+            count = times[number[part]]
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[number[part]], count)
+            at_own = np.repeat(w[part], count)
+            shared += np.bincount(holders[at], np.minimum(at_own, weights[at]), n)
+        for j in np.flatnonzero(open_ & (shared >= similarity * (total[i] + total - shared))):
+            if parent[j] != parent[i]:
+                parent[parent == parent[j]] = parent[i]
+                out.append((i, int(j)))
     return out
 
 
@@ -269,11 +284,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         return pa.array([_similarity(x, y, table.value) for x, y in zip(_raw(a), _raw(b))], pa.float64())
 
     # one row a different text: its bands, which copies share
-    sketches = docs.select(node, bands(F.col(text)).alias("bands")).groupBy("node").agg(F.first("bands").alias("bands"))
-    met = sketches.select("node", F.posexplode("bands").alias("band", "bucket"))
-    met = materialise(met, "bands")
-    leaders = met.groupBy("band", "bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    open_ = materialise(met.join(leaders.select("band", "bucket", "leader"), ["band", "bucket"]), "buckets")
+    n_bytes = F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("n_bytes")
+    sketches = docs.select(node, n_bytes, bands(F.col(text)).alias("bands")).groupBy("node").agg(F.first("bands").alias("bands"), F.first("n_bytes").alias("n_bytes"))
+    met = materialise(sketches.select("node", "n_bytes", F.posexplode("bands").alias("band", "bucket")), "bands")
+    leaders = met.groupBy(*_AT).agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    open_ = materialise(met.join(leaders.select(*_AT, "leader"), _AT), "buckets")
     drop_path(met)
     # texts of candidates alone, once for each node
     wanted = open_.select("node").distinct()
@@ -287,99 +302,109 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         return materialise(pairs.join(b, "b").join(a, "a").select("a", "b", likeness("text_a", "text_b").alias("sim")), "compared")
 
     def link_up(group: pa.Table) -> pa.Table:
-        """Links that join the alike members of one bucket, as few as do."""
-        nodes, raw = group.column("node").to_pylist(), _raw(group.column("text"))
-        found = _spanning(raw, table.value, similarity, group.column("owner").to_pylist())
-        return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.binary()), "b": pa.array([nodes[j] for _, j in found], pa.binary())})
-
-    def link_blocks(group: pa.Table) -> pa.Table:
-        """Links between two blocks of a bucket, or within one, that join members of different groups."""
+        """Links that join the alike members of one bucket, or of two of its blocks, as few as do."""
         nodes, raw, sides = group.column("node").to_pylist(), _raw(group.column("text")), group.column("block").to_pylist()
-        found = _spanning(raw, table.value, similarity, group.column("root").to_pylist(), sides if len(set(sides)) > 1 else None)
+        found = _spanning(raw, table.value, similarity, group.column("owner").to_pylist(), sides if len(set(sides)) > 1 else None)
         return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.binary()), "b": pa.array([nodes[j] for _, j in found], pa.binary())})
 
+    def linked(blocks: DataFrame) -> DataFrame:
+        """Links within the blocks (band, bucket, pair, node, owner, block) of buckets."""
+        rows = blocks.join(texts, "node").select(*_AT, "pair", "node", "owner", "block", "text")
+        return materialise(rows.groupBy(*_AT, "pair").applyInArrow(link_up, "a binary, b binary").distinct(), "links")
+
     far = 1 - similarity
     pairs = open_.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     all_sims = compare(pairs)
     sims = all_sims.select(F.col("a").alias("leader"), F.col("b").alias("node"), "sim")
     judged = open_.where("node <> leader").join(sims, ["leader", "node"])
     # members that the first text of their bucket is not like, and those that it is but that may also be like one of them
-    judged = materialise(judged.select("band", "bucket", "node", "sim", (F.col("sim") >= similarity).alias("tied"), F.col("leader").alias("owner")), "judged")
-    state = judged.groupBy("band", "bucket").agg(F.count_if(~F.col("tied")).alias("n_rest"), F.max(F.when(~F.col("tied"), F.col("sim"))).alias("odd"))
+    judged = judged.select(*_AT, "node", "n_bytes", "sim", (F.col("sim") >= similarity).alias("tied"), F.col("leader").alias("owner"))
+    judged = materialise(judged, "judged")
+    drop_path(open_)
+    state = judged.groupBy(*_AT).agg(F.count_if(~F.col("tied")).alias("n_rest"), F.max(F.when(~F.col("tied"), F.col("sim"))).alias("odd"))
     bound = 1 - 2 * far - _SLACK
     state = state.where((F.col("n_rest") > 1) | (F.col("odd") >= bound))
     near = (F.col("odd") >= bound) & (F.col("sim") <= F.col("odd") + far + _SLACK)
-    left = judged.join(state, ["band", "bucket"]).where(~F.col("tied") | near)
-    left = left.select("band", "bucket", "node", "tied", "sim", "n_rest", F.when(F.col("tied"), F.col("owner")).alias("owner"))
-    sizes = left.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    rest = materialise(left.join(sizes, ["band", "bucket"]), "rest")
-    few = rest.where(F.col("n") <= GROUP).join(texts, "node").select("band", "bucket", "node", "owner", "text")
-    links = materialise(few.groupBy("band", "bucket").applyInArrow(link_up, "a binary, b binary").distinct(), "links")
-    large = rest.where(F.col("n") > GROUP)
+    left = judged.join(state, _AT).where(~F.col("tied") | near)
+    left = left.select(*_AT, "node", "n_bytes", "tied", "sim", "n_rest", F.when(F.col("tied"), F.col("owner")).alias("owner"))
+    sizes = left.groupBy(*_AT).agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"))
+    sizes = sizes.select(*_AT, ((F.col("n") <= GROUP) & (F.col("bytes") <= GROUP_BYTES)).alias("is_few"))
+    rest = materialise(left.join(sizes, _AT), "rest")
+    drop_path(judged)
+    links = linked(rest.where("is_few").select(*_AT, F.lit(0).alias("pair"), "node", "owner", F.lit(0).alias("block")))
+    large = rest.where("not is_few")
     if not large.isEmpty():
         # more first texts, as long as each round ties half of what is left: that saves work, the blocks below see to the rest
-        many = large.where(~F.col("tied") & (F.col("n_rest") > GROUP)).select("band", "bucket", "node")
+        many = large.where(~F.col("tied") & (F.col("n_rest") > GROUP)).select(*_AT, "node")
         n_many = many.count()
         while n_many:
             part = F.pmod(F.xxhash64("node"), F.lit(FIRSTS))
-            firsts = many.groupBy("band", "bucket", part).agg(F.min("node").alias("leader")).select("band", "bucket", "leader")
-            open_ = materialise(many.join(firsts, ["band", "bucket"]), "buckets")
+            firsts = many.groupBy(*_AT, part).agg(F.min("node").alias("leader")).select(*_AT, "leader")
+            open_ = materialise(many.join(firsts, _AT), "buckets")
             pairs = open_.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
             all_sims = all_sims.unionByName(compare(pairs.join(all_sims.select("a", "b"), ["a", "b"], "left_anti")))
             sims = all_sims.where(F.col("sim") >= similarity).select(F.col("a").alias("leader"), F.col("b").alias("node"))
-            tied = open_.join(sims, ["leader", "node"]).select("band", "bucket", "node")
-            done = tied.union(firsts.select("band", "bucket", F.col("leader").alias("node"))).distinct()
-            many = materialise(many.join(done, ["band", "bucket", "node"], "left_anti"), "many")
+            tied = open_.join(sims, ["leader", "node"]).select(*_AT, "node")
+            done = tied.union(firsts.select(*_AT, F.col("leader").alias("node"))).distinct()
+            many = materialise(many.join(done, [*_AT, "node"], "left_anti"), "many")
+            drop_path(open_)
             before, n_many = n_many, many.count()
             if 2 * n_many > before:
                 break
         so_far = connected(links.union(all_sims.where(F.col("sim") >= similarity).select("a", "b")))
-        blocks = _block_pairs(large, so_far, far).join(texts, "node")
-        more = blocks.groupBy("band", "bucket", "pair").applyInArrow(link_blocks, "a binary, b binary")
-        links = links.union(materialise(more.distinct(), "links"))
+        links = links.union(linked(_block_pairs(large, so_far, far)))
     links = links.union(all_sims.where(F.col("sim") >= similarity).select("a", "b"))
-    roots = connected(links)
-    return _classes(docs.withColumn("__node", node), roots, key, [] if keep_text else [text])
+    return _classes(docs.withColumn("__node", node), links, key, [] if keep_text else [text])
 
 
 def _block_pairs(large: DataFrame, roots: DataFrame, far: float) -> DataFrame:
-    """(band, bucket, node, root, block, pair): members of buckets dealt into blocks that meet in pairs.
+    """(band, bucket, pair, node, owner, block): members of buckets dealt into blocks that meet in pairs.
 
     The largest group of a bucket is not compared with itself: its blocks meet the blocks of the others, and those also each
     other and themselves.  Members of the largest group whose similarity to the bucket's first text is further than ``far``
     from that of all others are left out, since no link can reach them.  Buckets of one group have no rows.
     """
-    half = max(1, GROUP // 2)
-    at = ["band", "bucket"]
-    rows = materialise(large.select(*at, "node", "sim").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "large")
-    groups = rows.groupBy(*at, "root").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("low"), F.max("sim").alias("high"))
-    main = groups.groupBy(*at).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    others = groups.join(main, at).where("root <> main").groupBy(*at, "main")
-    others = others.agg(F.sum("n").alias("n_others"), F.min("low").alias("low"), F.max("high").alias("high"))
+    half, half_bytes = max(1, GROUP // 2), max(1, GROUP_BYTES // 2)
+    rows = large.select(*_AT, "node", "n_bytes", "sim").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialise(rows, "large")
+    groups = rows.groupBy(*_AT, "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes"), F.min("sim").alias("low"), F.max("sim").alias("high"))
+    main = groups.groupBy(*_AT).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    others = groups.join(main, _AT).where("root <> main").groupBy(*_AT, "main")
+    others = others.agg(F.sum("n").alias("n_others"), F.sum("bytes").alias("b_others"), F.min("low").alias("low"), F.max("high").alias("high"))
+    others = materialise(others, "others")  # so that a hot bucket's rows can be split where they join
     is_main = F.col("root") == F.col("main")
     reached = F.col("sim").between(F.col("low") - far - _SLACK, F.col("high") + far + _SLACK)
-    rows = materialise(rows.join(others, at).where(~is_main | reached).withColumn("is_main", is_main), "reached")
-    n_main = rows.where("is_main").groupBy(*at).agg(F.count(F.lit(1)).alias("n_main"))
-    rows = rows.join(n_main, at, "left")
-    p = F.ceil(F.coalesce("n_main", F.lit(0)) / half)
-    q = F.ceil(F.col("n_others") / half)
+    rows = materialise(rows.join(others, _AT).where(~is_main | reached).withColumn("is_main", is_main), "reached")
+    n_main = rows.where("is_main").groupBy(*_AT).agg(F.count(F.lit(1)).alias("n_main"), F.sum("n_bytes").alias("b_main"))
+    rows = rows.join(materialise(n_main, "main"), _AT, "left")
+    zero = F.lit(0)
+    p = F.ceil(F.greatest(F.coalesce("n_main", zero) / half, F.coalesce("b_main", zero) / half_bytes))
+    q = F.ceil(F.greatest(F.col("n_others") / half, F.col("b_others") / half_bytes, F.lit(1)))
     block = F.when(F.col("is_main"), F.pmod(F.xxhash64("node"), p)).otherwise(p + F.pmod(F.xxhash64("node"), q))
-    rows = rows.select(*at, "node", "root", "is_main", p.alias("p"), q.alias("q"), block.alias("block"))
+    rows = rows.select(*_AT, "node", F.col("root").alias("owner"), "is_main", p.alias("p"), q.alias("q"), block.alias("block"))
     own, first_other, last = F.col("block"), F.col("p"), F.col("p") + F.col("q") - 1
     met = F.when(F.col("is_main"), F.sequence(first_other, last)).otherwise(F.sequence(F.lit(0).cast("long"), last))
     pair = lambda b: F.struct(F.least(b, own).alias("low"), F.greatest(b, own).alias("high"))
-    return rows.select(*at, "node", "root", "block", F.explode(F.transform(met, pair)).alias("pair"))
+    return rows.select(*_AT, F.explode(F.transform(met, pair)).alias("pair"), "node", "owner", "block")
+
 
+def _classes(docs: DataFrame, links: DataFrame, key: str, without: list[str]) -> DataFrame:
+    """Rows with the smallest key of their component, one of them marked as first.
 
-def _classes(docs: DataFrame, roots: DataFrame, key: str, without: list[str]) -> DataFrame:
-    """Rows with the smallest key of their component, one of them marked as first."""
-    ids = docs.select(F.col("__node").alias("node"), F.col(key).alias("__key")).groupBy("node").agg(F.min("__key").alias("least"))
-    ids = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = ids.groupBy("root").agg(F.min("least").alias("class_id"))
-    known = ids.join(least, "root").select("node", "root", "class_id")
-    out = docs.drop(*without).join(known.withColumnRenamed("node", "__node"), "__node")
+    A text's number in the components is its smallest key (null as the largest) before its hash, so the root itself tells
+    the class and no rows meet by root.
+    """
+    least = docs.groupBy("__node").agg(F.min(key).alias("least")).select("__node", F.struct(F.col("least").isNull().alias("none"), "least", F.col("__node").alias("hash")).alias("id"))
+    least = materialise(least, "least")
+    named = lambda c: least.select(F.col("__node").alias(c), F.col("id").alias(f"id_{c}"))
+    edges = links.join(named("a"), "a").join(named("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    roots = connected(edges).select(F.col("node.hash").alias("__node"), "root")
+    known = least.join(roots, "__node", "left").withColumn("root", F.coalesce("root", "id"))
+    # a table of its own, so that the rows of a hot text can be split where they join
+    known = materialise(known.select("__node", F.col("root.least").alias("class_id"), F.col("root.hash").alias("__root")), "known")
+    out = materialise(docs.drop(*without).join(known, "__node").withColumn("__row", F.monotonically_increasing_id()), "classes")
     # of the rows that have the smallest key, the first by a number is the one that stays
-    out = materialise(out.withColumn("__row", F.monotonically_increasing_id()), "classes")
-    firsts = out.where(F.col(key).eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min("__row").alias("__first"))
-    out = out.join(firsts.select("root", "__first"), "root", "left")
-    return out.withColumn("is_first", F.col("__row") == F.col("__first")).drop("__node", "__row", "__first", "root")
+    at_least = out.where(F.col(key).eqNullSafe(F.col("class_id")))
+    firsts = at_least.groupBy("__root").agg(F.min("__row").alias("__row")).select("__row", F.lit(True).alias("is_first"))
+    out = out.join(firsts, "__row", "left").withColumn("is_first", F.coalesce("is_first", F.lit(False)))
+    return out.drop("__node", "__row", "__root")

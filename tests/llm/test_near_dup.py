@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tessera.llm import near_dup
 
@@ -87,18 +88,6 @@ def test_samples_meet_as_often_as_texts_are_alike():
     assert abs(np.mean(share) - np.mean(wanted)) < 0.06
 
 
-def test_large_buckets_take_more_rounds(spark, monkeypatch):
-    """With tiny limits most buckets are large: groups stay those of all pairs, but for what banding may miss."""
-    monkeypatch.setattr(near_dup, "GROUP", 3)
-    monkeypatch.setattr(near_dup, "FIRSTS", 2)
-    base = text(150)
-    rows = [(i, edited(base, i % 9)) for i in range(40)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
-    wanted = brute(rows)
-    assert sum(got[k] == wanted[k] for k in wanted) >= 0.95 * len(wanted)
-
-
 def banded(rows, idf):
     """The smallest key of each row's component, every pair that shares a bucket compared."""
     raw = [t.encode() for _, t in rows]
@@ -135,3 +124,32 @@ def test_large_buckets_link_all_that_share_a_bucket(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
     assert got == banded(rows, near_dup.inverse_frequencies(df))
+
+
+@pytest.mark.parametrize("limits", [{"GROUP": 20, "FIRSTS": 2}, {"GROUP_BYTES": 4_000}])
+def test_small_limits_change_no_class(spark, monkeypatch, limits):
+    """Buckets of too many members or bytes take another path and give the same classes, those of all banded pairs."""
+    base = text(150)
+    rows = [(i, edited(base, i % 9)) for i in range(40)] + [(100 + i, edited(base, 20 + i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name, value in limits.items():
+        monkeypatch.setattr(near_dup, name, value)
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
+    assert got == banded(rows, near_dup.inverse_frequencies(df))
+
+
+def test_null_and_repeated_keys_keep_one_row_a_class(spark):
+    base = text(120)
+    near = edited(base, 1)
+    other = text(100)
+    rows = [(None, base), (None, near), (1, other), (1, text(90)), (None, ""), (None, None), (2, other)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    firsts = [(r.doc_id, r.class_id) for r in got if r.is_first]
+    assert len(got) == 7 and sorted(firsts, key=str) == [(1, 1), (1, 1), (None, None), (None, None)]
+
+
+def test_long_texts_are_compared_whole(spark):
+    base = text(30_000)
+    rows = [(1, base), (2, base + " " + text(300)), (3, base[: len(base) // 2]), (4, text(30_000))]
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
