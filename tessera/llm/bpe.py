@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 from array import array
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import reach_workers
+from tessera.llm.common import reach_workers, worker_slot
 
 #: The published pattern that splits a text before byte-level merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -167,10 +166,9 @@ class Vocabulary:
         return raw.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """One vocabulary for each Python worker."""
-    return Vocabulary(path)
+    return worker_slot("bpe", path, lambda: Vocabulary(path))
 
 
 def encode(df: DataFrame, vocab_path: str, text: str = "text", out: str = "ids") -> DataFrame:

@@ -60,10 +60,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_dir(spark)}/tessera/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: this cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -77,6 +82,17 @@ def drop_path(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all that the operators of this session have written to the shared folder, and their tables.
+
+    Results that have not been written or collected read from there, so this comes last.
+    """
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("tessera_runs_")]:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def n_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

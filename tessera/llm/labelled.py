@@ -13,18 +13,20 @@ LABELLED_ROWS = 24_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = LABELLED_ROWS) -> DataFrame:
-    """(doc_id, text, y) of at most ``bound`` labelled documents outside the held-out fold.
+    """(doc_id, text, y) of at most ``bound`` labelled documents outside the held-out fold, one row a document.
 
-    Null ids and null labels are left out; of repeated labels of a document the largest counts.
+    Null ids and null labels are left out; of repeated labels of a document the largest counts, of rows that repeat an id
+    the smallest text (null counts as empty).  Empty tables give no rows.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
     n = known.count()
     if n > bound:
         cut = int(bound / n * (1 << 30) * 0.98)
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut).limit(bound)
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # at most ``bound`` rows of two numbers, so this side is small by construction
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

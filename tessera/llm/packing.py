@@ -15,7 +15,6 @@ from __future__ import annotations
 import bisect
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import bpe
-from tessera.llm.common import materialise, n_tasks, reach_workers
+from tessera.llm.common import materialise, n_tasks, reach_workers, worker_slot
 
 CAPACITY = 1024
 END = 2
@@ -51,9 +50,8 @@ class _Ranked(bpe.Vocabulary):
         return array("I", self.engine(text)).tobytes() if self.engine else super()._whole(text)
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(path: str) -> _Ranked:
-    return _Ranked(path)
+    return worker_slot("packing", path, lambda: _Ranked(path))
 
 
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:

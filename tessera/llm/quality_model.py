@@ -81,6 +81,7 @@ class Model:
     weights: np.ndarray
     knots: np.ndarray
     values: np.ndarray
+    learned: bool = True
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return fourier(x) @ self.weights
@@ -100,31 +101,44 @@ def _with_statistics(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", bound: int = LABELLED_ROWS) -> Model:
-    """Learn from at most ``bound`` labelled documents outside the held-out fold; without any, all scores are 0."""
-    sample = _with_statistics(labelled_sample(docs, labels, label, bound), "text", "x").select("x", "y")
+    """Learn from at most ``bound`` labelled documents outside the held-out fold; without any, all scores are 0.
+
+    The calibration is fitted on scores of each half of them by the ridge of the other half; the ridge itself learns from
+    both.
+    """
+    half = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(2)).cast("int").alias("half")
+    sample = _with_statistics(labelled_sample(docs, labels, label, bound), "text", "x").select("x", "y", half)
     sample = materialise(sample, "quality-sample")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((FEATURES + 1, FEATURES + 2))
+        total = np.zeros((2, FEATURES + 1, FEATURES + 2))
         for batch in batches:
             if batch.num_rows:
                 z = fourier(np.array(batch.column(0).to_pylist()))
-                y = np.asarray(batch.column(1))
-                total += z.T @ np.hstack([z, y[:, None]])
-        i, j = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["i", "j", "v"])
-
-    parts = sample.mapInArrow(sums, "i long, j long, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
-    total = np.zeros((FEATURES + 1, FEATURES + 2))
+                y, side = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+                for k in (0, 1):
+                    own = z[side == k]
+                    total[k] += own.T @ np.hstack([own, y[side == k, None]])
+        k, i, j = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(i), pa.array(j), pa.array(total[k, i, j])], ["k", "i", "j", "v"])
+
+    parts = sample.mapInArrow(sums, "k long, i long, j long, v double").groupBy("k", "i", "j").agg(F.sum("v").alias("v"))
+    total = np.zeros((2, FEATURES + 1, FEATURES + 2))
     for r in parts.collect():  # a fixed number of cells
-        total[r["i"], r["j"]] = r["v"]
-    n = max(total[FEATURES, FEATURES], 1.0)
-    weights = np.linalg.solve(total[:, :-1] + RIDGE * n * np.eye(FEATURES + 1), total[:, -1])
-    rows = sample.collect()  # at most ``bound`` rows of seventeen numbers
+        total[r["k"], r["i"], r["j"]] = r["v"]
+    weights = _ridge(total.sum(axis=0))
+    rows = sample.collect()  # at most ``bound`` rows of eighteen numbers
     if not rows:
-        return Model(weights, *isotonic(np.array([]), np.array([])))
-    knots, values = isotonic(fourier(np.array([r["x"] for r in rows])) @ weights, np.array([r["y"] for r in rows]))
-    return Model(weights, knots, values)
+        return Model(weights, *isotonic(np.array([]), np.array([])), learned=False)
+    z, y, side = fourier(np.array([r["x"] for r in rows])), np.array([r["y"] for r in rows]), np.array([r["half"] for r in rows])
+    other = [_ridge(total[1 - k]) if total[1 - k].any() else weights for k in (0, 1)]
+    return Model(weights, *isotonic(np.where(side == 0, z @ other[0], z @ other[1]), y))
+
+
+def _ridge(total: np.ndarray) -> np.ndarray:
+    """Weights from summed normal equations, the last column of which belongs to the labels."""
+    n = max(total[FEATURES, FEATURES], 1.0)
+    return np.linalg.solve(total[:, :-1] + RIDGE * n * np.eye(FEATURES + 1), total[:, -1])
 
 
 def classify(df: DataFrame, model: Model, text: str = "text", out: str = "score", threshold: float = 0.3) -> DataFrame:

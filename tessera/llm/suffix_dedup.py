@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import materialise, n_tasks, reach_workers, shared_dir
+from tessera.llm.common import materialise, n_tasks, reach_workers, scratch_dir
 
 WIDTH = 50
 GRAM = 16
@@ -338,13 +338,14 @@ def _answers(runs: dict[int, tuple[np.ndarray, ...]]) -> dict[int, tuple[np.ndar
     return result
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = False) -> DataFrame:
     """Add kept (binary), n_bytes, n_removed and n_spans to each row.
 
     Each byte of ``text`` that lies in a string of 50 bytes which also starts in a row with a smaller ``key`` is removed; strings
     are judged on the input and matches never cross rows.  Null texts count as empty; rows with null keys count as later
-    than all others and not as earlier than each other, as do rows of equal keys.  Other columns pass; clashing ones are
-    replaced.
+    than all others and not as earlier than each other, as do rows of equal keys.  Keys are longs.  With ``as_text`` kept is a
+    string without the bytes of characters that were cut in two.  A text has at most 2 GB, as a cell of Spark has.  Other
+    columns pass; clashing ones are replaced.  :func:`~tessera.llm.common.drop_scratch` removes the table of runs.
     """
     spark = docs.sparkSession
     reach_workers(spark)
@@ -399,7 +400,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     made = docs.mapInArrow(gather, "run long, payload binary, keys array<binary>, flags array<binary>, heads array<long>")
     name = f"tessera_runs_{uuid.uuid4().hex}"
     # bucketed by run: later joins leave the payloads where they are
-    made.write.bucketBy(2 * tasks, "run").option("path", f"{shared_dir(spark)}/tessera/{name}").option("compression", "none").saveAsTable(name)
+    made.write.bucketBy(2 * tasks, "run").option("path", f"{scratch_dir(spark)}/{name}").option("compression", "none").saveAsTable(name)
     runs = spark.table(name)
 
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
@@ -482,8 +483,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     n = int(own.sum())
                     removed.append(n)
                     spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()) if n else 0)
-                    kept.append((run.raw[a:b][~own] if n else run.raw[a:b]).tobytes())
-                out = table.append_column("kept", pa.array(kept, pa.binary()))
+                    left = (run.raw[a:b][~own] if n else run.raw[a:b]).tobytes()
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
+                out = table.append_column("kept", pa.array(kept, pa.string() if as_text else pa.binary()))
                 for c, values in (("n_bytes", np.diff(run.bounds)), ("n_removed", removed), ("n_spans", spans)):
                     out = out.append_column(c, pa.array(values, pa.int64()))
                 yield from out.combine_chunks().to_batches(max_chunksize=2_000)
@@ -491,7 +493,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     known = again.join(answers, "run", "left")
     joined = runs.select("run", "payload").join(known.hint("shuffle_hash"), "run", "left")
     schema = T.StructType(
-        [*docs.schema.fields, T.StructField("kept", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
+        [*docs.schema.fields, T.StructField("kept", T.StringType() if as_text else T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     )
     return joined.mapInArrow(cut_texts, schema)
 

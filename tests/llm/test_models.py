@@ -113,3 +113,78 @@ def test_counts_are_over_all_rows(spark, tables):
     counts = quality_rules.corpus_counts(docs.select("text", F.lit(True).alias("trusted"))).collect()
     grams = sum(max(0, len((r.text or "").encode()) - 3) for r in docs.collect())
     assert sum(r.n_raw for r in counts) == grams == sum(r.n_trusted for r in counts)
+
+
+def plain_ratio(text, trusted, raw):
+    """Mean log ratio of one text's byte n-grams, gram by gram."""
+    total_t, total_r = sum(trusted.values()), sum(raw.values())
+    at = quality_rules.grams(text.encode()).tolist()
+    out = 0.0
+    for b in at:
+        share = (raw[b] + 1) / (total_r + quality_rules.BUCKETS)
+        lean = quality_rules.LEAN * total_t
+        out += np.log((trusted[b] + lean * share) / (total_t + lean) / share)
+    return out / len(at) if at else 0.0
+
+
+def test_ratio_and_verdict_match_plain_counts(spark):
+    """Two languages, one of which has few trusted texts: ratios and verdicts as counted gram by gram."""
+    other = "zo ka mi tu pe wu xa".split()
+    texts = {i: document(False, i % 3 != 0) for i in range(120)}
+    texts |= {200 + i: " ".join(RND.choice(other) + RND.choice(other) for _ in range(60)) for i in range(24)}
+    trusted_ids = [i for i in texts if (i < 200 and i % 3 and i % 2) or (i >= 200 and i % 4 == 0)]
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()] + [(900, None), (901, "")], "doc_id long, text string")
+    rows = quality_rules.judge(docs, spark.createDataFrame([(i,) for i in trusted_ids], "doc_id long")).collect()
+    raw, trusted = Counter(), Counter()
+    for i, t in texts.items():
+        g = Counter(quality_rules.grams(t.encode()).tolist())
+        raw += g
+        trusted += g if i in trusted_ids else Counter()
+    loo = []
+    for i in trusted_ids:
+        if brute(texts[i])[0] >= 10 and 100 * brute(texts[i])[4] <= 20 * brute(texts[i])[0]:
+            loo.append(plain_ratio(texts[i], trusted - Counter(quality_rules.grams(texts[i].encode()).tolist()), raw))
+    least = np.percentile(loo, 100 * quality_rules.LEAST_SHARE)
+    for r in rows:
+        ratio = plain_ratio(r.text or "", trusted, raw)
+        assert abs(r.ratio - ratio) < 1e-9
+        if abs(ratio - least) > 1e-9:
+            assert r.kept == (not r.base_failed and ratio >= least)
+    good = [r for r in rows if r.doc_id < 900 and (r.doc_id >= 200 or r.doc_id % 3) and not r.base_failed]
+    for of in (lambda i: i < 200, lambda i: i >= 200):
+        assert np.mean([r.kept for r in good if of(r.doc_id)]) > 0.9
+
+
+def test_toxicity_scores_match_plain_compression(tables):
+    """Gains, histograms and scores computed text by text with zstandard alone, nulls and repeated ids included."""
+    import zstandard
+
+    docs, labels = tables
+    model = toxicity.fit(docs.union(docs.where("doc_id < 40")), labels)
+    parameters = zstandard.ZstdCompressionParameters.from_level(toxicity.LEVEL, min_match=3, write_content_size=False)
+    raw = lambda d: zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    size = lambda d, w: len(zstandard.ZstdCompressor(dict_data=raw(d), compression_params=parameters).compress(w))
+    for r in toxicity.classify(docs.where("doc_id % 9 = 0 or doc_id >= 1000"), model).collect():
+        total, n = 0.0, 0
+        for w in (r.text or "").lower().encode().translate(None, toxicity._PUNCTUATION).split():
+            framed = model.context + b" " + w + b" " + model.context[:16]
+            gain = min(max(size(model.ordinary, framed) - size(model.toxic, framed), 0), toxicity.GAINS - 1)
+            total, n = total + model.evidence[gain], n + 1
+        score = np.clip(np.interp(total / max(n, 1) ** 0.5, model.knots, model.values), 0, 1)
+        assert abs(r.score - score) < 1e-9 and r.predicted == int(r.score >= 0.5)
+
+
+def test_repeated_ids_stay_within_the_bound(tables):
+    docs, labels = tables
+    many = docs.union(docs).union(docs)
+    rows = labelled.labelled_sample(many, labels, "quality", 60).collect()
+    assert 0 < len(rows) <= 60 and len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_quality_scores_match_plain_features(tables):
+    docs, labels = tables
+    model = quality_model.fit(docs, labels)
+    for r in quality_model.classify(docs.where("doc_id % 25 = 0 or doc_id >= 1000"), model).collect():
+        x = np.array([quality_model.statistics(r.text or "")])
+        raw = quality_model.fourier(x)[0] @ model.weights
+        assert abs(r.score - np.clip(np.interp(raw, model.knots, model.values), 0, 1)) < 1e-9
