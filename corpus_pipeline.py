@@ -7,10 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.llm import near_dup, packing, quality_model, suffix_dedup, toxicity
-from tessera.llm.common import materialise, reach_workers
+from tessera.llm.common import materialise
 from tessera.llm.queries import BYTE_BPE
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,41 +20,45 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject; it learns from the documents it is given."""
+    """Documents that the quality classifier does not reject; it learns from the documents it is given.
+
+    Null and empty texts are judged like others.  Without a labelled document to learn from nothing is rejected.
+    """
     model = quality_model.fit(docs, _labels(spark, sf_dir))
+    if not model.learned:
+        return docs.select(*COLUMNS)
     return quality_model.classify(docs, model).where("predicted = 1").select(*COLUMNS)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject."""
+    """Documents that the toxicity classifier does not reject: all of them where no label says what is toxic.
+
+    Null and empty texts have no windows and stay.
+    """
     model = toxicity.fit(docs, _labels(spark, sf_dir))
     return toxicity.classify(docs, model).where("predicted = 0").select(*COLUMNS)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document, by doc_id, of each near-duplicate group."""
+    """The first document, by doc_id, of each near-duplicate group; of rows that repeat an id and a text one stays.
+
+    Null and empty texts are one group.
+    """
     return near_dup.near_duplicates(docs).where("is_first").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that earlier ones have.
 
-    Bytes of a character that was cut in two are left out; n_chars is counted anew.
+    Bytes of a character that was cut in two are left out; n_chars is counted anew.  Every row stays, also one of which
+    nothing is left; null texts become empty.
     """
-    reach_workers(spark)
-
-    @F.arrow_udf(T.StringType())
-    def text(kept):
-        import pyarrow as pa
-
-        return pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
-
-    cut = suffix_dedup.remove_repeats(docs).withColumn("text", text("kept"))
+    cut = suffix_dedup.remove_repeats(docs, as_text=True).withColumn("text", F.col("kept"))
     return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 1024 tokens."""
+    """The place of every piece of every document in sequences of 1024 tokens; an empty one has one piece of one token."""
     return packing.pack(packing.pieces(docs.select("doc_id", "text"), BYTE_BPE))
 
 
@@ -67,7 +70,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: No stage can be put in SQL: tests hold the stages against brute force.
+#: No stage can be put in SQL: tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
