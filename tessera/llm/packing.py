@@ -1,26 +1,29 @@
 """Best-fit packing of token pieces into sequences, in bulk-synchronous rounds.
 
-Pieces are range-sorted by length once, which gives each a rank among those of its length.  Gaps are kept as sorted
-runs: so many sequences, numbered without holes, that all have the same room left.  In a round every length, longest
-first, sweeps to its successor among the gaps, the smallest that fits; where more pieces want a gap than there are, the
-lower ranks win and the rest go on to the next larger gap.  Gaps that took a piece shrink and return in the next round.
-When no piece fits anywhere, as many sequences open as the tokens left need at least, each with one of the longest.
-
-Pieces of one length are alike, and so are gaps of one size, so rounds work on runs: their number depends on the capacity
-and not on the data.  Rows move only in the sort; at the end each finds its run by length and rank.
+Pieces are range-sorted by length once, which gives each a rank among those of its length.  Pieces of one length are alike,
+and so are gaps of one size, so both are kept as runs: so many pieces of a length from some rank on, so many sequences,
+numbered without holes, that all have the same room left.  The rows of both tables together are a few for each size, at
+every number of documents.
+
+A round range-sorts gaps and pieces together by size and sweeps each range from the largest size down: a piece takes its
+successor, the smallest gap at or above its size that no longer piece has taken.  Where more pieces want gaps than there
+are, the longer ones and then the lower ranks win, and the rest stay for the next round.  Gaps that took a piece shrink and
+return in the next round.  What ranges could not match by themselves meets in a sweep over all sizes.  When no piece fits
+anywhere, as many sequences open as the tokens left need at least, each with one of the longest.  The driver keeps counters
+alone.  Rows of pieces move only in the first sort; at the end each finds its run by length and rank.
 """
 
 from __future__ import annotations
 
-import bisect
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,70 +92,105 @@ def pieces(df: DataFrame, vocab_path: str, text: str = "text", capacity: int = C
     return df.select(*kept, F.posexplode(made(F.col(text))).alias("piece", "__piece")).select(*kept, "piece", "__piece.*")
 
 
-def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Runs (length, first rank, count, first sequence, offset) that place all pieces, and the number of sequences."""
-    left = {length: n for length, n in counts.items() if n}
-    if any(not 0 < length <= capacity for length in left):
-        raise ValueError("lengths must lie between 1 and the capacity")
-    taken = dict.fromkeys(left, 0)
-    runs: list[tuple[int, int, int, int, int]] = []
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    sizes: list[int] = []
-    opened = 0
-
-    def put(length: int, n: int, first: int, gap: int, out: list) -> None:
-        runs.append((length, taken[length], n, first, capacity - gap))
-        taken[length] += n
-        left[length] -= n
-        if gap > length:
-            out.append((gap - length, first, n))
-
-    while any(left.values()):
-        shrunk: list[tuple[int, int, int]] = []
-        placed = False
-        for length in sorted((k for k, n in left.items() if n), reverse=True):
-            while left[length]:
-                at = bisect.bisect_left(sizes, length)
-                if at == len(sizes):
-                    break
-                gap = sizes[at]
-                first, n = gaps[gap].pop()
-                k = min(n, left[length])
-                put(length, k, first, gap, shrunk)
-                placed = True
-                if k < n:
-                    gaps[gap].append((first + k, n - k))
-                elif not gaps[gap]:
-                    del gaps[gap], sizes[at]
-        if not placed:
-            total = sum(length * n for length, n in left.items())
-            need = -(-total // capacity)
-            for length in sorted((k for k, n in left.items() if n), reverse=True):
-                k = min(left[length], need)
-                put(length, k, opened, capacity, shrunk)
-                opened += k
-                need -= k
-                if not need:
-                    break
-        for gap, first, n in shrunk:
-            if gap not in gaps:
-                gaps[gap] = []
-                bisect.insort(sizes, gap)
-            gaps[gap].append((first, n))
-    return runs, opened
+STATE = "kind int, size long, n long, first long, sequence long, offset long"
+_GAP, _PIECE, _PLACED = 0, 1, 2
+RANGES = 8
+PLAN_ROWS = 200_000  # a larger plan is not broadcast
+
+
+def sweep(rows: list[tuple[int, int, int, int]], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """Match runs (kind, size, n, first) in order of falling size, gaps before pieces of their size.
+
+    Gives rows of :data:`STATE`: what is left of gaps and pieces, gaps that took a piece at their new size, and placements:
+    pieces of a size from rank ``first`` on, in sequences from ``sequence`` on, at ``offset``.
+    """
+    open_: list[list[int]] = []  # the last one is the smallest
+    out = []
+    for kind, size, n, first in rows:
+        if kind == _GAP:
+            open_.append([size, n, first])
+            continue
+        while n and open_:
+            gap, n_gaps, sequence = open_[-1]
+            k = min(n, n_gaps)
+            out.append((_PLACED, size, k, first, sequence, capacity - gap))
+            if gap > size:
+                out.append((_GAP, gap - size, k, sequence, None, None))
+            n, first = n - k, first + k
+            if k < n_gaps:
+                open_[-1] = [gap, n_gaps - k, sequence + k]
+            else:
+                open_.pop()
+        if n:
+            out.append((_PIECE, size, n, first, None, None))
+    return out + [(_GAP, *gap, None, None) for gap in open_]
+
+
+def best_fit(pieces_of: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
+    """Placements (rows of :data:`STATE`) of runs of pieces (size, n), and the number of sequences.
+
+    Sizes lie between 1 and ``capacity`` and are each in one row.  An empty table has no placements.
+    """
+    spark = pieces_of.sparkSession
+
+    def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        columns = list(zip(*sweep(rows, capacity))) or [[]] * 6
+        kinds = [pa.int32()] + [pa.int64()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in STATE.split(", ")])
+
+    def counted(df: DataFrame) -> tuple[int, int, int]:
+        is_piece = F.col("kind") == _PIECE
+        r = df.agg(F.count_if(F.col("kind") == _PLACED), F.sum(F.when(is_piece, F.col("n"))), F.sum(F.when(is_piece, F.col("n") * F.col("size")))).first()
+        return r[0], r[1] or 0, r[2] or 0
+
+    nothing = F.lit(None).cast("long")
+    state = pieces_of.select(F.lit(_PIECE).alias("kind"), "size", "n", F.lit(0).cast("long").alias("first"), nothing.alias("sequence"), nothing.alias("offset"))
+    state = materialise(state, "runs")
+    placed: list[DataFrame] = []
+    _, n_left, tokens = counted(state)
+    opened, n_ranges, idle = 0, RANGES, True
+    while n_left:
+        if idle and n_ranges == 1 or not opened:
+            need = -(-tokens // capacity)
+            before = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            # at most one row a size
+            longest = state.where(F.col("kind") == _PIECE).withColumn("before", before).withColumn("k", F.greatest(F.lit(0), F.least("n", F.lit(need) - F.col("before"))))
+            start = F.when(F.col("k") > 0, F.array(
+                F.struct(F.lit(_PLACED).alias("kind"), "size", F.col("k").alias("n"), "first", (F.lit(opened) + F.col("before")).alias("sequence"), F.lit(0).cast("long").alias("offset")),
+                F.struct(F.lit(_GAP).alias("kind"), (F.lit(capacity) - F.col("size")).alias("size"), F.col("k").alias("n"), (F.lit(opened) + F.col("before")).alias("first"), nothing.alias("sequence"), nothing.alias("offset")),
+            ))
+            rest = F.struct(F.lit(_PIECE).alias("kind"), "size", (F.col("n") - F.col("k")).alias("n"), (F.col("first") + F.col("k")).alias("first"), nothing.alias("sequence"), nothing.alias("offset"))
+            rows = longest.select(F.inline(F.concat(F.coalesce(start, F.array().cast("array<struct<kind:int,size:bigint,n:bigint,first:bigint,sequence:bigint,offset:bigint>>")), F.array(rest))))
+            after = rows.where("n > 0 and size > 0").unionByName(state.where(F.col("kind") == _GAP))
+            opened += min(need, n_left)
+            n_ranges = RANGES
+        else:
+            n_ranges = 1 if idle else RANGES
+            rows = state.select("kind", "size", "n", "first")
+            rows = rows.repartitionByRange(n_ranges, F.desc("size")) if n_ranges > 1 else rows.coalesce(1)
+            after = rows.sortWithinPartitions(F.desc("size"), "kind").mapInArrow(swept, STATE)
+        after = materialise(after, "runs")
+        n_placed, n_left, tokens = counted(after)
+        placed.append(after.where(F.col("kind") == _PLACED))
+        state = after.where(F.col("kind") != _PLACED)
+        idle = not n_placed
+    return reduce(DataFrame.unionByName, placed, state.limit(0)), opened
 
 
 def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset (longs) to each row: its place among sequences of at most ``capacity``.
 
-    Lengths lie between 1 and ``capacity``; offsets in a sequence have no gaps.  Rows of one length take places in the
-    order of a number given to each row before the sort.  An empty table gives no rows.  Other columns pass.
+    Offsets in a sequence have no gaps.  Rows of one length take places in the order of a number given to each row before
+    the sort, so repeated rows have places of their own.  Rows whose length is null, less than 1 or more than ``capacity``
+    have no place: both columns are null.  An empty table gives no rows.  Other columns pass; clashing ones are replaced.
     """
     spark = items.sparkSession
     reach_workers(spark)
     items = items.drop("sequence_id", "offset")
     at = items.columns.index(length)
     items = materialise(items.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    fits = F.coalesce(F.col(length).between(1, capacity), F.lit(False))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(capacity + 1, np.int64)
@@ -165,24 +203,21 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
                 seen[size] += own.sum()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ranks)], [*batch.schema.names, "__rank"])
 
-    ordered = items.repartitionByRange(2 * n_tasks(spark), F.desc(length), "__row").sortWithinPartitions(F.desc(length), "__row")
+    ordered = items.where(fits).repartitionByRange(2 * n_tasks(spark), F.desc(length), "__row").sortWithinPartitions(F.desc(length), "__row")
     schema = T.StructType([*ordered.schema.fields, T.StructField("__rank", T.LongType())])
     ranked = ordered.mapInArrow(number, schema).withColumn("__part", F.spark_partition_id())
     ranked = materialise(ranked, "ranked")
-    # a range partition holds neighbouring lengths: at most capacity + partitions rows come back
-    counted = ranked.groupBy(length, "__part").count().orderBy(F.desc(length), "__part").collect()
-    totals: dict[int, int] = {}
-    parts = []
-    for size, part, n in counted:
-        parts.append((size, part, totals.get(size, 0)))
-        totals[size] = totals.get(size, 0) + n
-    runs, _ = best_fit(totals, capacity)
-    base = spark.createDataFrame(parts, "__size long, __part int, __before long")
-    plan = spark.createDataFrame(runs, "__len long, __first long, __n long, __sequence long, offset long")
-    ranked = ranked.join(F.broadcast(base), (F.col(length) == F.col("__size")) & (ranked["__part"] == base["__part"])).drop(base["__part"])
+    # a range partition holds neighbouring lengths: a row for each length and partition, capacity + partitions at most
+    parts = materialise(ranked.groupBy(F.col(length).cast("long").alias("size"), "__part").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    before = F.sum("n").over(Window.partitionBy("size").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    base = parts.select(F.col("size").alias("__size"), F.col("__part").alias("__p"), F.coalesce(before, F.lit(0)).alias("__before"))
+    plan, _ = best_fit(parts.groupBy("size").agg(F.sum("n").alias("n")), capacity)
+    plan = plan.select(F.col("size").alias("__len"), F.col("first").alias("__first"), F.col("n").alias("__n"), F.col("sequence").alias("__sequence"), "offset")
+    small = F.broadcast if plan.count() <= PLAN_ROWS else lambda df: df
+    ranked = ranked.join(F.broadcast(base), (F.col(length) == F.col("__size")) & (F.col("__part") == F.col("__p")))
     ranked = ranked.withColumn("__at", F.col("__before") + F.col("__rank"))
-    # the plan's size depends on the capacity alone
-    fits = (F.col(length) == F.col("__len")) & (F.col("__at") >= F.col("__first")) & (F.col("__at") < F.col("__first") + F.col("__n"))
-    placed = ranked.join(F.broadcast(plan), fits)
-    place = (F.col("__sequence") + F.col("__at") - F.col("__first")).alias("sequence_id")
-    return placed.select(*[c for c in items.columns if c != "__row"], place, "offset")
+    own = (F.col(length) == F.col("__len")) & (F.col("__at") >= F.col("__first")) & (F.col("__at") < F.col("__first") + F.col("__n"))
+    columns = [c for c in items.columns if c != "__row"]
+    placed = ranked.join(small(plan), own).select(*columns, (F.col("__sequence") + F.col("__at") - F.col("__first")).alias("sequence_id"), "offset")
+    none = F.lit(None).cast("long")
+    return placed.unionByName(items.where(~fits).select(*columns, none.alias("sequence_id"), none.alias("offset")))
