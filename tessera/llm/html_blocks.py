@@ -28,6 +28,7 @@ from tessera.llm.common import reach_workers
 SAMPLE_PAGES = 150
 DRAWN_PAGES = 450
 PATH_DIM, WORD_DIM, SHARES = 64, 16, 6
+PATH_ELEMENTS = 256  # elements above a block that its path names, so that deep pages take linear time
 HIDDEN = 16
 STEPS = 220
 BATCH = 24
@@ -63,20 +64,31 @@ class Block:
 
 
 class _Reader(HTMLParser):
+    """Blocks of a page in time linear in its length: open elements know the block-level one above them and its path."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+        #: open elements: tag, the chain of block-level names down to here, place of the nearest block-level element
+        self.open: list[tuple[str, tuple | None, int]] = []
+        self.last: dict[str, list[int]] = {}  # places of the open elements of a tag
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
         self.unseen = 0
 
+    def _path(self) -> tuple[str, ...]:
+        """The names of the block-level elements above a block, the nearest :data:`PATH_ELEMENTS` of them."""
+        node, names = self.open[-1][1] if self.open else None, []
+        while node is not None and len(names) < PATH_ELEMENTS:
+            names.append(node[0])
+            node = node[1]
+        return tuple(x for own in reversed(names) for x in own)
+
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            path = tuple(name for tag, names in self.open if tag not in _INLINE for name in names)
-            self.blocks.append(Block(path, text, self.linked))
+            self.blocks.append(Block(self._path(), text, self.linked))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -90,17 +102,22 @@ class _Reader(HTMLParser):
             self.end_block()
             while self.open:
                 # inline elements do not keep a paragraph open
-                top = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] not in _INLINE), None)
-                if top is None or tag not in _CLOSED_BY.get(self.open[top][0], ()):
+                top = self.open[-1][2]
+                if top < 0 or tag not in _CLOSED_BY.get(self.open[top][0], ()):
                     break
                 self._close(top)
         if tag in _VOID:
             return
-        names = [tag]
-        for k, v in attrs:
-            if k in ("class", "id", "role") and v:
-                names += [f".{x}" for x in regex.findall(r"[a-z]+", v.lower())]
-        self.open.append((tag, tuple(names)))
+        above = self.open[-1] if self.open else ("", None, -1)
+        if tag in _INLINE:
+            self.open.append((tag, above[1], above[2]))
+        else:
+            names = [tag]
+            for k, v in attrs:
+                if k in ("class", "id", "role") and v:
+                    names += [f".{x}" for x in regex.findall(r"[a-z]+", v.lower())]
+            self.open.append((tag, (tuple(names), above[1]), len(self.open)))
+        self.last.setdefault(tag, []).append(len(self.open) - 1)
         self.links += tag == "a"
         self.unseen += tag in _UNSEEN
 
@@ -110,17 +127,18 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def _close(self, at: int) -> None:
-        for tag, _ in self.open[at:]:
+        for tag, *_ in reversed(self.open[at:]):
+            self.last[tag].pop()
             self.links -= tag == "a"
             self.unseen -= tag in _UNSEEN
         del self.open[at:]
 
     def handle_endtag(self, tag):
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
         if tag not in _INLINE:
             self.end_block()
-        if at is not None:
-            self._close(at)
+        places = self.last.get(tag)
+        if places:
+            self._close(places[-1])
 
     def handle_data(self, data):
         if not self.unseen:
@@ -377,7 +395,7 @@ def _sure(b: Block) -> float | None:
 
 
 def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int = SAMPLE_PAGES, seed: int = 3) -> dict[str, np.ndarray]:
-    """Train on drawn pages and on at most ``bound`` pages of the table, chosen by a hash of ``key``.
+    """Train on drawn pages and on at most ``bound`` pages of the table, chosen by a hash of ``key`` and, where keys repeat, of the page.
 
     An empty table leaves the drawn pages, with made-up words.
     """
@@ -385,7 +403,9 @@ def fit(pages: DataFrame, html: str = "html", key: str = "page_id", bound: int =
     sample = pages.where(F.col(html).isNotNull())
     if n > bound:
         sample = sample.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(2 * bound / n * (1 << 30)))
-    rows = [r[0] for r in sample.select(html).limit(bound).collect()]
+    # a total order up to equal pages, so that the weights do not depend on partitions
+    ids = sample.select(F.xxhash64(key).alias("h"), F.xxhash64(html).alias("g"), html).orderBy("h", "g").limit(bound)
+    rows = [r[2] for r in ids.collect()]
     known: list[tuple[np.ndarray, np.ndarray]] = []
     words: dict[str, None] = {}
     for text in rows:

@@ -78,3 +78,49 @@ def test_text_of_formulas_and_drawings_is_kept():
     page = """<p>so <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>tex</annotation></semantics></math> holds</p>
       <svg><title>no</title><text>label</text></svg><object><p>instead</p></object><canvas>chart</canvas><noscript>no</noscript>"""
     assert [b.text for b in hb.blocks(page)] == ["so E=m holds", "label", "instead", "chart"]
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (2_000, 16_000):
+        start = time.perf_counter()
+        found = hb.blocks("".join(f"<div class=c{i % 7}>w{i} <b>x" for i in range(n)) + "</div>" * n)
+        took.append(time.perf_counter() - start)
+        assert len(found) == n and found[-1].text == f"w{n - 1} x"
+    assert took[1] < 30 * took[0] + 1
+
+
+def plain_labels(w, x):
+    """The labeller block by block, without padding or batches."""
+    n = hb.HIDDEN
+
+    def one(side, rows):
+        h, c, out = np.zeros(n), np.zeros(n), []
+        for row in rows:
+            z = row @ w[f"x{side}"] + w[f"c{side}"] + h @ w[f"h{side}"]
+            i, f, o = (1 / (1 + np.exp(-z[k * n : (k + 1) * n])) for k in range(3))
+            c = f * c + i * np.tanh(z[3 * n :])
+            h = o * np.tanh(c)
+            out.append(h)
+        return out
+
+    ahead, behind = one("f", x), one("b", x[::-1])[::-1]
+    return [float(np.concatenate([a, b, row]) @ w["out"][:, 0] + w["bias"][0]) >= 0 for a, b, row in zip(ahead, behind, x)]
+
+
+def test_labels_match_a_plain_pass(spark, weights):
+    rng = np.random.default_rng(91)
+    pages = [hb.drawn_page(rng, WORDS)[0] for _ in range(20)] + [[]]
+    got = hb.label(weights, pages)
+    for found, on in zip(pages, got):
+        assert on.tolist() == plain_labels(weights, hb.vectors(found).astype(float))
+
+
+def test_repeated_and_long_pages(spark, weights):
+    long = "<article>" + "".join(f"<p>{'wort1 casa ' * 40}{i}.</p>" for i in range(3_000)) + "</article>"
+    df = spark.createDataFrame([(1, long), (1, long), (2, "<p>a")], "page_id long, html string")
+    rows = hb.extract(df, weights).collect()
+    assert len(rows) == 3 and rows[0].text == rows[1].text and rows[0].text.count("\n") > 2_950
+    assert rows[0].n_chars == len(rows[0].text)
