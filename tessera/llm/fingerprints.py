@@ -1,9 +1,10 @@
 """Winnowing fingerprints of documents, with DataFrame functions alone.
 
-A text is cut into units of at most :data:`UNIT` characters that hold no white space, so both prose and texts without
-spaces have many.  Each ``k`` neighbouring units give one hash; of every ``window`` neighbouring hashes the smallest is
+A text's units are its words.  A run of more than :data:`WORD` characters without white space (prose of languages without
+spaces, encoded data, minified code) has a unit at each character instead: the :data:`UNIT` characters from there on.  So
+what stands before a passage never changes the units inside it.  Each ``k`` neighbouring units give one hash; of every ``window`` neighbouring hashes the smallest is
 kept, the rightmost of equal ones, with its position.  Two texts that share ``k + window - 1`` units in a row therefore
-share at least one kept hash (the guarantee of winnowing).
+share at least one kept hash (the guarantee of winnowing): 11 words, or 18 characters of a run without spaces.
 
 The hash of a k-gram rolls by doubling: the hash of ``2m`` units combines those of two runs of ``m``.  Window minima are
 found the same way, so each step costs a few passes over an array and no substring is cut twice.
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+WORD = 32
 UNIT = 8
 K = 4
 WINDOW = 8
@@ -34,7 +36,11 @@ def _doubled(df: DataFrame, values: str, width: int, combine) -> DataFrame:
 
 
 def _units(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([^\x20\x09-\x0D]{1,%d})" % UNIT), F.lit(1))
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    # a match of no width at each character; the class keeps it from the second half of a surrogate pair
+    each = F.lit(r"(?s)(?=((?![\uDC00-\uDFFF]).{%d}))" % UNIT)
+    cut = F.flatten(F.transform(words, lambda w: F.when(F.char_length(w) <= WORD, F.array(w)).otherwise(F.regexp_extract_all(w, each, F.lit(1)))))
+    return F.when(F.exists(words, lambda w: F.char_length(w) > WORD), cut).otherwise(words)
 
 
 def _power_of_two(n: int, what: str) -> None:
@@ -108,18 +114,19 @@ def with_neighbours(df: DataFrame, key: str, blocks: int) -> tuple[DataFrame, Wi
 
     The keys that bound the blocks are quantiles of ``key`` and are keys themselves, so the first rows of a block are
     known before any row moves.  The copies have ``__ghost`` true; the last block ends with the largest key's rows.
-    Null keys come last.
+    Null keys come last.  Rows of one key (nulls too) are in one block.
     """
     shares = [i / blocks for i in range(blocks + 1)]
     cuts = df.select(F.percentile_approx(key, shares, max(10_000, 20 * blocks))).first()[0]
     cuts = sorted(set(cuts or ()), reverse=True)
-    bounds = F.array(*map(F.lit, cuts)).cast("array<bigint>") if cuts else F.array().cast("array<bigint>")
+    bounds = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")  # one constant, however many cuts
     n = max(1, len(cuts))
-    # the block of a key: how many cuts lie above it or on it
-    block = F.greatest(F.size(F.filter(bounds, lambda c: c >= F.col(key))) - 1, F.lit(0)) if cuts else F.lit(0)
-    block = F.when(F.col(key).isNull(), F.lit(n - 1)).otherwise(block)
-    df = df.withColumn("__block", block)
-    first = F.array_contains(bounds, F.col(key)) if cuts else F.lit(False)
+    # the block of a key: how many cuts lie above it or on it, by halving
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
+    above = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= n) & (F.try_element_at(bounds, at + step) >= F.col(key)), at + step).otherwise(at))
+    df = df.withColumn("__above", above if cuts else F.lit(0))
+    df = df.withColumn("__block", F.when(F.col(key).isNull(), F.lit(n - 1)).otherwise(F.greatest(F.col("__above") - 1, F.lit(0))))
+    first = F.coalesce((F.col("__above") > 0) & (F.try_element_at(bounds, F.col("__above")) == F.col(key)), F.lit(False))
     copies = F.when(
         first,
         F.array(
@@ -128,7 +135,7 @@ def with_neighbours(df: DataFrame, key: str, blocks: int) -> tuple[DataFrame, Wi
         ),
     ).otherwise(F.array(F.struct(F.col("__block").alias("block"), F.lit(False).alias("ghost"))))
     df = df.withColumn("__copy", F.explode(copies))
-    df = df.withColumn("__block", F.col("__copy.block")).withColumn("__ghost", F.col("__copy.ghost")).drop("__copy")
+    df = df.withColumn("__block", F.col("__copy.block")).withColumn("__ghost", F.col("__copy.ghost")).drop("__copy", "__above")
     return df, Window.partitionBy("__block").orderBy(F.col("__ghost").asc(), F.col(key).desc_nulls_last())
 
 

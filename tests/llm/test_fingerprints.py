@@ -7,7 +7,8 @@ from tessera.llm import fingerprints as fp
 
 
 def units(text):
-    return re.findall(r"[^\x20\x09-\x0D]{1,8}", text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return [u for w in words for u in ([w] if len(w) <= 32 else [w[i : i + 8] for i in range(len(w) - 7)])]
 
 
 def brute_next(rows):
@@ -17,7 +18,7 @@ def brute_next(rows):
 
 ROWS = [
     (7, "the quick brown fox jumps over the lazy dog and runs far away from the other quick brown dogs today"),
-    (3, None), (9, ""), (5, "short"), (4, "abcdefghijklmnop" * 40), (11, "🙂 é ñ " * 30),
+    (3, None), (9, ""), (5, "short"), (4, "abcdefghijklmnop" * 40), (11, "🙂 é ñ " * 30), (12, "🙂é" * 40 + " x"),
     (2, "the quick brown fox jumps over the lazy dog and runs far away from the other quick brown dogs today"),
 ]
 
@@ -67,3 +68,30 @@ def test_empty_tables_and_null_or_repeated_keys(spark):
     assert fp.compare_with_next(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     df = spark.createDataFrame([(None, "a b"), (None, "c"), (1, "x"), (1, "x"), (1, None)], "doc_id long, text string")
     assert fp.compare_with_next(df, blocks=3).count() == 5
+
+
+def test_passages_without_spaces_share_hashes_at_any_offset(spark):
+    passage = "".join(chr(0x4E00 + (i * i * 31 + 7 * i) % 4000) for i in range(60))
+    texts = [passage, "x" + passage, "abc" + passage + "def", passage[5:25] + "zz" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = fp.with_fingerprint(df).select("doc_id", fp.hashes_of("marks").alias("h")).collect()
+    own = {r.doc_id: set(r.h) for r in rows}
+    assert all(len(own[0] & own[i]) >= 0.7 * len(own[0]) for i in (1, 2))
+    assert own[0] & own[3]  # 20 characters in a row guarantee one
+
+
+def test_likeness_is_the_jaccard_share_of_hashes(spark):
+    got = run(spark, ROWS, 2)
+    after, order = brute_next(ROWS)
+    hashes = lambda s: {x.split(":")[1] for x in s.split()}
+    share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for i, r in enumerate(order):
+        own = got[r[0]]
+        assert abs(own.near_edited - share(hashes(own.fingerprint), hashes(own.edited_fingerprint))) < 1e-12
+        assert abs(own.near_next - share(hashes(own.fingerprint), hashes(got[order[(i + 1) % len(order)][0]].fingerprint))) < 1e-12
+
+
+def test_very_long_texts(spark):
+    rows = [(1, "word " * 200_000), (2, "x1y2" * 100_000)]
+    got = run(spark, rows, 2)
+    assert got[1].n_chars == 1_000_000 and got[2].n_chars == 400_000 and got[1].fingerprint and got[2].fingerprint
