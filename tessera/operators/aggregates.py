@@ -139,3 +139,54 @@ def usage(rows: DataFrame) -> DataFrame:
     """Token totals; a missing total is the sum of its parts."""
     total = F.coalesce("total_tokens", F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0)))
     return rows.agg(F.sum("prompt_tokens").alias("prompt_tokens"), F.sum("completion_tokens").alias("completion_tokens"), F.sum(total).alias("total_tokens"), F.count(F.lit(1)).alias("calls"))
+
+
+def description_order(fragments: DataFrame, key: str) -> DataFrame:
+    """(key, descriptions): different descriptions of rows (key, description, at, pos): each as it came first, by time, then the
+    longer ones, then as they came."""
+    first = fragments.where("description <> ''").groupBy(key, "description").agg(F.min_by(F.struct("at", "pos"), "pos").alias("f"))
+    row = F.struct(F.col("f.at"), -F.char_length("description"), F.col("f.pos"), F.col("description").alias("d"))
+    return first.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["d"]).alias("descriptions"))
+
+
+def longest_description(first: DataFrame, later: DataFrame, key: str) -> DataFrame:
+    """(key, description): that of the first pass, unless the later one has a strictly longer one or the first has none."""
+    rows = first.select(key, "description", F.lit(0).alias("later")).unionByName(later.select(key, "description", F.lit(1).alias("later")))
+    best = F.struct(F.coalesce(F.char_length("description"), F.lit(0)), -F.col("later"))
+    return rows.groupBy(key).agg(F.max_by("description", best).alias("description"))
+
+
+def effectiveness(cases: DataFrame, results: DataFrame, key: str, k: int) -> DataFrame:
+    """One row: mean recall and precision at ``k`` over cases (key, gold) of results (key, rank, item), and the share of cases
+    with any hit.  Cases without gold items count as recalled, cases without results have a precision of 0."""
+    wanted = cases.select(key, F.array_distinct("gold").alias("gold"))
+    found = results.where(F.col("rank") <= k).groupBy(key).agg(F.collect_set("item").alias("found"))
+    rows = wanted.join(found, key, "left").withColumn("found", F.coalesce("found", F.array_except("gold", "gold")))
+    hits = F.size(F.array_intersect("gold", "found"))
+    recall = F.when(F.size("gold") == 0, F.lit(1.0)).otherwise(hits / F.size("gold"))
+    precision = F.when(F.size("found") == 0, F.lit(0.0)).otherwise(hits / F.size("found"))
+    return rows.agg(F.avg(recall).alias("recall_at_k"), F.avg(precision).alias("precision_at_k"), F.avg((hits > 0).cast("double")).alias("hit_rate"))
+
+
+def version_snapshot(members: DataFrame) -> DataFrame:
+    """One row: groups, members, active and deleted members of version candidates."""
+    return members.agg(F.countDistinct("version_group_key").alias("n_groups"), F.count(F.lit(1)).alias("n_members"), F.count_if("active").alias("n_active"), F.count_if("deleted").alias("n_deleted"))
+
+
+def payload_quality(objects: DataFrame, kind: str, evidence: str, score: str) -> DataFrame:
+    """(kind, n, share, with_evidence, mean_score): distribution of a payload's objects over a column."""
+    total = objects.agg(F.count(F.lit(1)).alias("__total"))
+    g = objects.groupBy(kind).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(evidence).cast("double")).alias("with_evidence"), F.avg(score).alias("mean_score"))
+    return g.crossJoin(F.broadcast(total)).withColumn("share", F.col("n") / F.col("__total")).drop("__total")  # one row
+
+
+def metrics(samples: DataFrame) -> DataFrame:
+    """(name, labels, counter, gauge, n_samples): sums of counters, last gauges and numbers of samples (name, labels, kind, value, at)."""
+    of = lambda k: F.when(F.col("kind") == k, F.col("value"))
+    return samples.groupBy("name", "labels").agg(F.sum(of("counter")).alias("counter"), F.max_by(of("gauge"), F.when(F.col("kind") == "gauge", F.col("at"))).alias("gauge"), F.count(of("sample")).alias("n_samples"))
+
+
+def counts(rows: DataFrame, by: str, total: str | None = None) -> DataFrame:
+    """(by, n) of each value, and with ``total`` a row of that name for all."""
+    out = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    return out if total is None else out.unionByName(rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(total).alias(by), "n"))

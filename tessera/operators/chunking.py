@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ids import content_id
@@ -34,6 +37,53 @@ def windows(df: DataFrame, tokens: Column, size: int = 1200, overlap: int = 100)
     return out.select("*", "__part.tokens", "__part.content").drop("__part")
 
 
+def windows_by(
+    df: DataFrame, text: str, encode: Callable[[str], Sequence], decode: Callable[[Sequence], str], size: int = 1200, overlap: int = 100
+) -> DataFrame:
+    """The same windows in the tokens of a tokenizer that the caller passes; contents are trimmed, null texts have none."""
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap must lie between 0 and the size")
+    kind = "array<struct<tokens:int,content:string>>"
+
+    @F.arrow_udf(kind)
+    def cut(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts.to_pylist():
+            ids = encode(t) if t else []
+            parts = [ids[i : i + size] for i in range(0, len(ids), size - overlap)]
+            rows.append([{"tokens": len(p), "content": decode(p).strip(" \t\n\r\x0b\f")} for p in parts])
+        return pa.array(rows, pa.list_(pa.struct([("tokens", pa.int32()), ("content", pa.string())])))
+
+    out = df.select("*", F.posexplode(cut(text)).alias("chunk_order_index", "__part"))
+    return out.select("*", "__part.tokens", "__part.content").drop("__part")
+
+
+def chunks_by(df: DataFrame, text: str, chunk: Callable[[str], list[str]]) -> DataFrame:
+    """(…, chunk_order_index, content): the parts into which a function of the caller cuts each text."""
+
+    @F.arrow_udf("array<string>")
+    def cut(texts: pa.Array) -> pa.Array:
+        return pa.array([chunk(t) if t else [] for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return df.select("*", F.posexplode(cut(text)).alias("chunk_order_index", "content"))
+
+
+def rerank(docs: DataFrame, question: str, score: Callable[[str, list[str]], list[float]], top: int, least: float | None = None) -> DataFrame:
+    """(pos, score, rank): the ``top`` documents (pos, content) by a function that scores texts against a question, in batches.
+
+    Scores below ``least`` drop out; ties go by pos.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score(question, b.column(1).to_pylist()), pa.float64())], ["pos", "score"])
+
+    rows = docs.select("pos", "content").mapInArrow(run, f"pos {dict(docs.dtypes)['pos']}, score double")
+    best = (rows if least is None else rows.where(F.col("score") >= least)).orderBy(F.desc("score"), "pos").limit(top)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "pos")))  # ``top`` rows
+
+
 def split_windows(df: DataFrame, text: str, mark: str, size: int, overlap: int, only: bool = False) -> DataFrame:
     """Parts between a mark, each cut into windows where it is too long; with ``only`` a long part is an error."""
     parts = df.select("*", F.posexplode(F.split(text, F.lit(f"\\Q{mark}\\E"))).alias("part", "__text"))

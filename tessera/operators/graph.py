@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ids import high, low
+from tessera.sources.scratch import materialise
 
 
 def canonical(edges: DataFrame, src: str = "src", tgt: str = "tgt") -> DataFrame:
@@ -68,23 +71,27 @@ def top_degree_subgraph(nodes: DataFrame, edges: DataFrame, most: int) -> tuple[
 def neighbourhood(edges: DataFrame, start: str, depth: int = 3, most: int = 1000) -> tuple[DataFrame, bool]:
     """(node, depth) around a node, level by level, nodes of a level by degree descending, then id; and whether ``most`` cut it.
 
-    Each level joins the frontier with the adjacency list; nodes seen before drop out by an anti-join.  No node of an edge
-    that is not reached is read twice.
+    Each level is written, joins the adjacency list with the level before, and drops nodes of earlier levels by an
+    anti-join, so a level costs one scan.  Levels beyond ``most`` nodes are not entered: they could add none.
     """
+    edges = materialise(edges.select("src", "tgt"), "edges")
     both = endpoints(edges).where("node <> other")
-    deg = degrees(edges)
     spark = edges.sparkSession
-    seen = spark.createDataFrame([(start,)], "node string").join(deg.select("node"), "node", "left_semi").withColumn("depth", F.lit(0))
-    frontier = seen.select("node")
-    for level in range(1, depth + 1):
-        step = both.join(frontier, "node", "left_semi").select(F.col("other").alias("node")).distinct()
-        step = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(level))
-        seen = seen.unionByName(step)
-        frontier = step.select("node")
-    ordered = seen.join(deg, "node", "left").orderBy("depth", F.desc("degree"), "node")
-    cut = ordered.limit(most + 1)
-    truncated = cut.count() > most
-    return cut.limit(most), truncated
+    first = both.union(edges.where("src = tgt")).where(F.col("node") == start).select("node").limit(1).withColumn("depth", F.lit(0))
+    levels = [materialise(first, "level")]
+    n = levels[0].count()
+    while n and n <= most and len(levels) <= depth:
+        seen = reduce(DataFrame.unionByName, levels)
+        step = both.join(levels[-1].select("node"), "node", "left_semi").select(F.col("other").alias("node")).distinct()
+        step = step.join(seen.select("node"), "node", "left_anti").withColumn("depth", F.lit(len(levels)))
+        levels.append(materialise(step, "level"))
+        more = levels[-1].count()
+        if not more:
+            break
+        n += more
+    seen = reduce(DataFrame.unionByName, levels)
+    deg = degrees_of(seen.select("node"), edges)
+    return seen.join(deg, "node").orderBy("depth", F.desc("degree"), "node").limit(most), n > most
 
 
 def induced(edges: DataFrame, keep: DataFrame) -> DataFrame:
@@ -129,15 +136,30 @@ def merge_nodes(edges: DataFrame, sources: list[str], target: str) -> DataFrame:
     return moved.groupBy("src", "tgt").agg(F.max("weight").alias("weight"))
 
 
-def has_cycle(edges: DataFrame, limit: int = 64) -> bool:
-    """Whether directed edges (src, tgt) hold a cycle: ends without a way on are peeled off until none is left."""
-    left = edges.select("src", "tgt").distinct()
-    for _ in range(limit):
-        n = left.count()
-        if not n:
-            return False
-        # an edge stays while its end has an edge of its own
-        left = left.join(left.select(F.col("src").alias("tgt")).distinct(), "tgt", "left_semi").select("src", "tgt")
-        if left.count() == n:
+def has_cycle(edges: DataFrame) -> bool:
+    """Whether directed edges (src, tgt) hold a cycle; edges with a null end are none.
+
+    Each round, written before the next reads it, peels edges from nodes that none leads to and to nodes that none leaves;
+    where nothing peels, every way goes on for ever, which is a cycle.  Then nodes with one edge in and one out are bridged,
+    of neighbours those that a hash of the round puts first, so a chain shrinks by a factor and not by its ends alone.
+    """
+    left = materialise(edges.select("src", "tgt").where("src is not null and tgt is not null").distinct(), "edges")
+    n, turn = left.count(), 0
+    while n:
+        if not left.where("src = tgt").isEmpty():
+            return True
+        ins, outs = left.select(F.col("tgt").alias("src")).distinct(), left.select(F.col("src").alias("tgt")).distinct()
+        peeled = materialise(left.join(ins, "src", "left_semi").join(outs, "tgt", "left_semi").select("src", "tgt"), "peeled")
+        before, n, turn = n, peeled.count(), turn + 1
+        if n == before:
             return True
-    return True
+        one_in = peeled.groupBy(F.col("tgt").alias("mid")).agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("a")).where("n = 1").drop("n")
+        one_out = peeled.groupBy(F.col("src").alias("mid")).agg(F.count(F.lit(1)).alias("n"), F.min("tgt").alias("b")).where("n = 1").drop("n")
+        mids = one_in.join(one_out, "mid").withColumn("p", F.xxhash64("mid", F.lit(turn)))
+        near = lambda c: mids.select(F.col("mid").alias(c), F.col("p").alias(f"p_{c}"))
+        first = mids.join(near("a"), "a", "left").join(near("b"), "b", "left")
+        first = materialise(first.where("(p_a is null or p > p_a) and (p_b is null or p > p_b)").select("mid", "a", "b"), "bridged")
+        rest = peeled.join(first.select(F.col("mid").alias("src")), "src", "left_anti").join(first.select(F.col("mid").alias("tgt")), "tgt", "left_anti")
+        left = materialise(rest.select("src", "tgt").union(first.select("a", "b")).distinct(), "edges")
+        n = left.count()
+    return False

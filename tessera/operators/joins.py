@@ -17,9 +17,13 @@ def local_entities(hits: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataF
 
 def entity_edges(hits: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges at hit entities, each once, with both degrees' sum as rank; best by rank, weight, then ends."""
-    touched = graph.adjacency(hits.select(F.col("id").alias("node")).distinct(), edges).select("src", "tgt").distinct()
-    ranked = graph.edge_degrees(edges).withColumnRenamed("degree", "rank")
-    return touched.join(ranked, ["src", "tgt"]).orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt")
+    at = hits.select(F.col("id").alias("node")).distinct()
+    whole = edges.join(at.withColumnRenamed("node", "src"), "src", "left_semi").unionByName(edges.join(at.withColumnRenamed("node", "tgt"), "tgt", "left_semi").join(at.withColumnRenamed("node", "src"), "src", "left_anti"))
+    # degrees of the touched ends alone: other ends drop out before they are counted
+    ends = graph.endpoints(whole).select("node").distinct()
+    d = graph.endpoints(edges).join(ends, "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    a, b = d.select(F.col("node").alias("src"), F.col("degree").alias("d1")), d.select(F.col("node").alias("tgt"), F.col("degree").alias("d2"))
+    return whole.join(a, "src").join(b, "tgt").withColumn("rank", F.col("d1") + F.col("d2")).drop("d1", "d2").orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt")
 
 
 def edge_entities(edge_hits: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -113,16 +117,26 @@ def difference(old: DataFrame, new: DataFrame, key: str = "stable_id") -> DataFr
 
 
 def conflicts(items: DataFrame, group: str, opposites: list[tuple[str, str]]) -> DataFrame:
-    """Pairs (a < b) of a group's items whose texts hold opposite words: items are first cut down to those that hold one."""
+    """Items of a group whose texts hold a word that others' texts hold the opposite of: (group, topic, item_id, n_opposed, opposed).
+
+    One row for an item, topic and side, with how many items of the group stand against it and the smallest of them, so a hot
+    group costs as many rows as it has items and no pairs.  An item that holds both words does not stand against itself.
+    """
     sides = None
     for i, (x, y) in enumerate(opposites):
         for side, word in ((0, x), (1, y)):
             some = items.where(F.contains(F.lower("text"), F.lit(word))).select(group, "item_id", F.lit(i).alias("topic"), F.lit(side).alias("side"))
             sides = some if sides is None else sides.unionByName(some)
-    a = sides.where("side = 0").select(group, "topic", F.col("item_id").alias("x"))
-    b = sides.where("side = 1").select(group, "topic", F.col("item_id").alias("y"))
-    pairs = a.join(b, [group, "topic"]).where("x <> y")
-    return pairs.select(group, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    sides = sides.distinct()
+    # the two smallest ids of a side tell the smallest other one of every item
+    ids = sides.groupBy(group, "topic", "side").agg(F.count(F.lit(1)).alias("n"), F.min("item_id").alias("first"))
+    seconds = sides.join(ids, [group, "topic", "side"]).where("item_id <> first").groupBy(group, "topic", "side").agg(F.min("item_id").alias("second"))
+    other = ids.join(seconds, [group, "topic", "side"], "left").withColumn("side", 1 - F.col("side"))
+    both = sides.groupBy(group, "topic", "item_id").agg((F.count(F.lit(1)) > 1).alias("is_both"))
+    rows = sides.join(other, [group, "topic", "side"]).join(both, [group, "topic", "item_id"])
+    opposed = F.when(F.col("is_both") & (F.col("first") == F.col("item_id")), F.col("second")).otherwise(F.col("first"))
+    n = F.col("n") - F.col("is_both").cast("int")
+    return rows.select(group, "topic", "side", "item_id", n.alias("n_opposed"), opposed.alias("opposed")).where("n_opposed > 0")
 
 
 def ownership(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -137,3 +151,11 @@ def coverage(payload: DataFrame, records: DataFrame, key: str, required: list[st
     missing = F.coalesce(F.col("__found"), F.lit(False))
     rows = payload.select(key).join(records.withColumn("__found", F.lit(True)), key, "left")
     return rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~missing).alias("missing_record"), *[F.count_if(missing & F.col(c).isNull()).alias(f"missing_{c}") for c in required])
+
+
+def trace(objects: DataFrame, steps: list[tuple[str, DataFrame]]) -> DataFrame:
+    """Objects followed through a chain of tables, each joined on a named column of what came before; the first side is the
+    few objects that are asked for, so each step reads what they touch."""
+    for column, table in steps:
+        objects = objects.join(table, column)
+    return objects

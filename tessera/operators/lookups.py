@@ -40,6 +40,27 @@ def by_status(docs: DataFrame, statuses: list[str]) -> DataFrame:
     return out.withColumn("file_path", path).drop("content")
 
 
+def by_track(docs: DataFrame, track_id: str) -> DataFrame:
+    """Rows that came in under a track id."""
+    return docs.where(F.col("track_id") == track_id)
+
+
+def emptiness(tables: dict[str, DataFrame]) -> DataFrame:
+    """(name, is_empty) of some tables, of each of which one row is looked for."""
+    out = None
+    for name, df in tables.items():
+        one = df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty")).select(F.lit(name).alias("name"), "is_empty")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def issues(table: DataFrame, **equal: str) -> DataFrame:
+    """Issues with given values of some columns (document_id, source_us_id, semantic_object_id, issue_type), by id."""
+    for c, v in equal.items():
+        table = table.where(F.col(c) == v)
+    return table.orderBy("issue_id")
+
+
 def by_path(docs: DataFrame, path: str) -> DataFrame:
     """The first row, by id, of a file path."""
     return docs.where(F.col("file_path") == path).orderBy("id").limit(1)

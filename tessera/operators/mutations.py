@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.ids import content_id
 from tessera.functions.text import file_path, sanitize, summary
-from tessera.operators.ranking import first_of, last_write
+from tessera.operators.ranking import first_of, last_write, numbered
 
 
 def upsert(table: DataFrame, new: DataFrame, now: int, key: str = "id", pos: str = "pos") -> DataFrame:
@@ -82,9 +82,7 @@ def clean_query_cache(cache: DataFrame, kinds: str = "all") -> DataFrame:
 def version_plan(changes: DataFrame) -> DataFrame:
     """(step, action, stable_id) that bring a store from one document version to the next (stable_id, change): writes,
     then checks, activations, deactivations and deletions, each in the order of ids."""
-    from pyspark.sql import Window
-
     spark = changes.sparkSession
     steps = spark.createDataFrame([("ADDED", 0, "WRITE"), ("UPDATED", 0, "WRITE"), ("ADDED", 2, "ACTIVATE"), ("UPDATED", 2, "ACTIVATE"), ("UPDATED", 3, "DEACTIVATE_OLD"), ("REMOVED", 3, "DEACTIVATE_OLD"), ("REMOVED", 4, "DELETE")], "change string, phase int, action string")
     rows = changes.join(F.broadcast(steps), "change")  # seven rows
-    return rows.withColumn("step", F.row_number().over(Window.orderBy("phase", "stable_id", "action"))).select("step", "action", "stable_id")
+    return numbered(rows, "step", "phase", "stable_id", "action").select("step", "action", "stable_id")

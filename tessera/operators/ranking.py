@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import materialise
+
 #: How much each retrieval channel counts in fusion, and its priority when duplicates meet.
 CHANNEL_WEIGHTS = {
     "RAW_TEXT": 1.15,
@@ -40,6 +42,18 @@ def first_of(rows: DataFrame, keys: list[str], *order: Column | str) -> DataFram
     return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def numbered(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """Rows with their number from 1 in an order, of any size: they are range-sorted and written once, so that each part's
+    rows are counted and numbered by themselves."""
+    parts = rows.orderBy(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    parts = materialise(parts, "sorted")
+    counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.min("__at").alias("__low"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("__part", "__low", before.alias("__before"))  # a row for each part
+    out = parts.join(F.broadcast(starts), "__part")
+    return out.withColumn(name, F.col("__before") + F.col("__at") - F.col("__low") + 1).drop("__part", "__at", "__low", "__before")
+
+
 def last_write(rows: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
     return first_of(rows, keys, F.desc(pos))
 
@@ -141,3 +155,26 @@ def fallback(candidates: DataFrame, strict: bool = False) -> DataFrame:
         .otherwise("INSUFFICIENT_EVIDENCE")
     )
     return flags.select(status.alias("status"), "n")
+
+
+def evidence_first(candidates: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` candidates: those with evidence before those without, by score, then id."""
+    return candidates.orderBy(F.desc("has_evidence"), F.desc("fused_score"), "candidate_id").limit(most)
+
+
+def context_pack(candidates: DataFrame, most: int) -> DataFrame:
+    """Candidates with the part of a trusted context that they go to: factual, dropped, generic or issue.
+
+    The factual part is cut by :func:`evidence_first`.
+    """
+    part = F.when(F.col("channel").isin("ISSUE_SIDECAR", "VERSION_CONTEXT"), "issue").when(F.col("channel") == "GENERIC_GRAPH", "generic").otherwise("factual")
+    rows = candidates.withColumn("part", part)
+    kept = evidence_first(rows.where("part = 'factual'"), most).select("candidate_id", F.lit(True).alias("__kept"))
+    rows = rows.join(F.broadcast(kept), "candidate_id", "left")  # at most ``most`` rows
+    return rows.withColumn("part", F.when((F.col("part") == "factual") & F.col("__kept").isNull(), "dropped").otherwise(F.col("part"))).drop("__kept")
+
+
+def sequence_ids(rows: DataFrame, order: str, prefix: str = "DC") -> DataFrame:
+    """Rows of a result list with the id ``prefix`` and their place from 1."""
+    place = F.row_number().over(Window.orderBy(order))  # a list that a limit has cut
+    return rows.withColumn("id", F.concat(F.lit(prefix), place.cast("string")))

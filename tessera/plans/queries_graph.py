@@ -172,11 +172,11 @@ def agg_attributes_join_unique(spark, d):
 
 @query(
     "agg_references",
-    """WITH c AS (SELECT 'file-' || (o_custkey % 41) AS file_path, o_orderkey AS pos FROM orders WHERE o_orderkey <= 500), g AS (SELECT file_path, count(*) AS n, min(pos) AS f FROM c GROUP BY 1)
+    """WITH c AS (SELECT 'file-' || (o_custkey % 41) AS file_path, o_orderkey AS pos FROM orders), g AS (SELECT file_path, count(*) AS n, min(pos) AS f FROM c GROUP BY 1)
         SELECT file_path, CAST(row_number() OVER (ORDER BY n DESC, f) AS VARCHAR) AS reference_id, n FROM g""",
 )
 def agg_references(spark, d):
-    o = KG(spark, d).table("orders").where("o_orderkey <= 500")
+    o = KG(spark, d).table("orders")
     return aggregates.references(o.select(F.concat(F.lit("file-"), (F.col("o_custkey") % 41).cast("string")).alias("file_path"), F.col("o_orderkey").alias("pos")))
 
 
@@ -294,8 +294,8 @@ def join_export_pairs(spark, d):
 
 
 INTERVALS = {
-    "a": "SELECT l_orderkey % 50 AS g, l_orderkey * 10 + l_linenumber AS a_id, l_orderkey % 3000 AS s, l_orderkey % 3000 + CAST(l_quantity AS BIGINT) AS e FROM lineitem WHERE l_orderkey % 4 = 0",
-    "b": "SELECT o_orderkey % 50 AS g, o_orderkey AS b_id, o_orderkey % 3000 AS s, o_orderkey % 3000 + 20 AS e FROM orders WHERE o_orderkey % 3 = 0",
+    "a": "SELECT CAST(floor(l_orderkey / 64) AS BIGINT) AS g, l_orderkey * 10 + l_linenumber AS a_id, l_orderkey % 64 * 16 AS s, l_orderkey % 64 * 16 + CAST(l_quantity AS BIGINT) AS e FROM lineitem",
+    "b": "SELECT CAST(floor(o_orderkey / 64) AS BIGINT) AS g, o_orderkey AS b_id, o_orderkey % 64 * 16 AS s, o_orderkey % 64 * 16 + 20 AS e FROM orders",
 }
 
 
@@ -364,8 +364,9 @@ def join_scoped_terms(spark, d):
 
 @query(
     "join_conflicts",
-    """WITH i AS (SELECT o_orderkey AS item_id, o_custkey AS g, o_orderpriority AS t FROM orders), x AS (SELECT * FROM i WHERE t LIKE '%URGENT%'), y AS (SELECT * FROM i WHERE t LIKE '%LOW%')
-        SELECT DISTINCT x.g, least(x.item_id, y.item_id) AS a, greatest(x.item_id, y.item_id) AS b FROM x JOIN y ON x.g = y.g AND x.item_id <> y.item_id""",
+    """WITH i AS (SELECT o_orderkey AS item_id, o_custkey AS g, CASE WHEN o_orderpriority LIKE '%URGENT%' THEN 0 WHEN o_orderpriority LIKE '%LOW%' THEN 1 END AS side FROM orders),
+        s AS (SELECT g, 1 - side AS side, count(*) AS n, min(item_id) AS first FROM i WHERE side IS NOT NULL GROUP BY ALL)
+        SELECT i.g, CAST(0 AS INTEGER) AS topic, CAST(i.side AS INTEGER) AS side, item_id, n AS n_opposed, first AS opposed FROM i JOIN s ON s.g = i.g AND s.side = i.side""",
 )
 def join_conflicts(spark, d):
     i = KG(spark, d).table("orders").selectExpr("o_orderkey AS item_id", "o_custkey AS g", "o_orderpriority AS text")
@@ -494,9 +495,9 @@ def mut_reference_decisions(spark, d):
     return mutations.reference_decisions(c, "1")
 
 
-@query("mut_version_plan", "WITH c AS (SELECT o_orderkey AS stable_id, CASE o_orderstatus WHEN 'O' THEN 'ADDED' WHEN 'F' THEN 'UPDATED' ELSE 'REMOVED' END AS change FROM orders WHERE o_orderkey <= 300), s(change, phase, action) AS (VALUES ('ADDED', 0, 'WRITE'), ('UPDATED', 0, 'WRITE'), ('ADDED', 2, 'ACTIVATE'), ('UPDATED', 2, 'ACTIVATE'), ('UPDATED', 3, 'DEACTIVATE_OLD'), ('REMOVED', 3, 'DEACTIVATE_OLD'), ('REMOVED', 4, 'DELETE')) SELECT row_number() OVER (ORDER BY phase, stable_id, action) AS step, action, stable_id FROM c JOIN s USING (change)")
+@query("mut_version_plan", "WITH c AS (SELECT o_orderkey AS stable_id, CASE o_orderstatus WHEN 'O' THEN 'ADDED' WHEN 'F' THEN 'UPDATED' ELSE 'REMOVED' END AS change FROM orders), s(change, phase, action) AS (VALUES ('ADDED', 0, 'WRITE'), ('UPDATED', 0, 'WRITE'), ('ADDED', 2, 'ACTIVATE'), ('UPDATED', 2, 'ACTIVATE'), ('UPDATED', 3, 'DEACTIVATE_OLD'), ('REMOVED', 3, 'DEACTIVATE_OLD'), ('REMOVED', 4, 'DELETE')) SELECT row_number() OVER (ORDER BY phase, stable_id, action) AS step, action, stable_id FROM c JOIN s USING (change)")
 def mut_version_plan(spark, d):
-    c = KG(spark, d).table("orders").where("o_orderkey <= 300").selectExpr("o_orderkey AS stable_id", "CASE o_orderstatus WHEN 'O' THEN 'ADDED' WHEN 'F' THEN 'UPDATED' ELSE 'REMOVED' END AS change")
+    c = KG(spark, d).table("orders").selectExpr("o_orderkey AS stable_id", "CASE o_orderstatus WHEN 'O' THEN 'ADDED' WHEN 'F' THEN 'UPDATED' ELSE 'REMOVED' END AS change")
     return mutations.version_plan(c).withColumn("step", F.col("step").cast("long"))
 
 

@@ -15,9 +15,9 @@ def fn_summary(spark, d):
     return KG(spark, d).table("documents").select("doc_id", text.summary("text").alias("summary"))
 
 
-@query("fn_tokens", "SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ('" + "', '".join(text.STOPWORDS) + "')), ' ') AS tokens FROM documents WHERE lang = 'en'")
+@query("fn_tokens", "SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ('" + "', '".join(text.STOPWORDS) + "')), ' ') AS tokens FROM documents")
 def fn_tokens(spark, d):
-    return KG(spark, d).table("documents").where("lang = 'en'").select("doc_id", F.array_join(text.tokens("text"), " ").alias("tokens"))
+    return KG(spark, d).table("documents").select("doc_id", F.array_join(text.tokens("text"), " ").alias("tokens"))
 
 
 @query("fn_capped_name", "SELECT doc_id, left(text, 256) AS name FROM documents")
@@ -145,11 +145,11 @@ def txt_blocks(spark, d):
 
 ANSWERS = """SELECT l_orderkey AS chunk_id, string_agg(r, E'\\n' ORDER BY l_linenumber, l_partkey, l_suppkey) || E'\\n<|COMPLETE|>\\njunk' AS answer FROM (
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'entity<|#|>Part ' || l_partkey || '<|#|>Thing, Other<|#|>about ' || l_partkey || E'\\nrelation<|#|>Part ' || l_partkey || '<|#|>Supp ' || l_suppkey || '<|#|>' || l_returnflag || '<|#|>sold<|#|>' || CAST(l_quantity AS INTEGER) AS r
-    FROM lineitem WHERE l_orderkey % 10 = 0) GROUP BY l_orderkey"""
+    FROM lineitem) GROUP BY l_orderkey"""
 
 
 def _answers(spark, d):
-    li = KG(spark, d).table("lineitem").where("l_orderkey % 10 = 0")
+    li = KG(spark, d).table("lineitem")
     key, supp = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
     two = F.concat(
         F.lit("entity<|#|>Part "), key, F.lit("<|#|>Thing, Other<|#|>about "), key, F.lit("\nrelation<|##|>Part "), key, F.lit("<#>Supp "), supp, F.lit("<|#|>"),
@@ -160,13 +160,13 @@ def _answers(spark, d):
     return joined.select("chunk_id", F.concat(F.array_join(F.transform("rows", lambda x: x["r"]), "\n"), F.lit("\n<|COMPLETE|>\njunk")).alias("answer"))
 
 
-@query("txt_entity_records", "SELECT l_orderkey AS chunk_id, 'Part ' || l_partkey AS name, 'thing' AS entity_type, 'about ' || l_partkey AS description, count(*) AS n FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY ALL")
+@query("txt_entity_records", "SELECT l_orderkey AS chunk_id, 'Part ' || l_partkey AS name, 'thing' AS entity_type, 'about ' || l_partkey AS description, count(*) AS n FROM lineitem GROUP BY ALL")
 def txt_entity_records(spark, d):
     rows = chunking.entity_records(chunking.extraction_records(_answers(spark, d)))
     return rows.groupBy("chunk_id", "name", "entity_type", "description").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("txt_relation_records", "SELECT l_orderkey AS chunk_id, 'Part ' || l_partkey AS src, 'Supp ' || l_suppkey AS tgt, l_returnflag AS keywords, sum(CAST(CAST(l_quantity AS INTEGER) AS DOUBLE)) AS weight FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY ALL")
+@query("txt_relation_records", "SELECT l_orderkey AS chunk_id, 'Part ' || l_partkey AS src, 'Supp ' || l_suppkey AS tgt, l_returnflag AS keywords, sum(CAST(CAST(l_quantity AS INTEGER) AS DOUBLE)) AS weight FROM lineitem GROUP BY ALL")
 def txt_relation_records(spark, d):
     rows = chunking.relation_records(chunking.extraction_records(_answers(spark, d)))
     return rows.groupBy("chunk_id", "src", "tgt", "keywords").agg(F.sum("weight").alias("weight"))
@@ -266,9 +266,9 @@ def set_recall(spark, d):
     return _lists(spark, d).select("id", F.round(aggregates.set_recall(F.col("a"), F.col("b")), 6).alias("recall"))
 
 
-@query("agg_idf", "WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ('" + "', '".join(text.STOPWORDS) + "'))) AS token FROM documents WHERE lang = 'en'), n AS (SELECT count(*) AS n FROM documents WHERE lang = 'en') SELECT token, round(ln((n + 1.0) / (count(*) + 1)) + 1, 6) AS idf FROM t, n GROUP BY token, n")
+@query("agg_idf", "WITH t AS (SELECT DISTINCT doc_id, unnest(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ('" + "', '".join(text.STOPWORDS) + "'))) AS token FROM documents), n AS (SELECT count(*) AS n FROM documents) SELECT token, round(ln((n + 1.0) / (count(*) + 1)) + 1, 6) AS idf FROM t, n GROUP BY token, n")
 def agg_idf(spark, d):
-    docs = KG(spark, d).table("documents").where("lang = 'en'")
+    docs = KG(spark, d).table("documents")
     tokens = docs.select(F.col("doc_id").alias("doc"), F.explode(text.tokens("text")).alias("token"))
     return aggregates.document_frequencies(tokens, docs.count()).withColumn("idf", F.round("idf", 6))
 
@@ -277,7 +277,7 @@ CANDIDATES = """SELECT l_orderkey * 10 + l_linenumber AS candidate_id, CASE l_li
     l_extendedprice AS raw_score, CASE WHEN l_linenumber = 5 THEN 0.25E0 ELSE 1.0E0 END AS factual_weight, 'key-' || l_partkey AS dedup_key, 'D' || (l_suppkey % 5) AS domain_code, 'F' || (l_suppkey % 7) AS feature_key,
     CASE WHEN l_returnflag = 'A' THEN 'CONFLICT' ELSE 'CURRENT' END AS version_status, l_linestatus = 'F' AS has_evidence, l_returnflag = 'R' AS factual_path
     FROM (SELECT l_orderkey, l_linenumber, arg_min(l_extendedprice, o) AS l_extendedprice, arg_min(l_partkey, o) AS l_partkey, arg_min(l_suppkey, o) AS l_suppkey, arg_min(l_returnflag, o) AS l_returnflag, arg_min(l_linestatus, o) AS l_linestatus
-        FROM (SELECT *, l_partkey * 100000 + l_suppkey AS o FROM lineitem WHERE l_orderkey % 20 = 0) GROUP BY l_orderkey, l_linenumber)"""
+        FROM (SELECT *, l_partkey * 100000 + l_suppkey AS o FROM lineitem) GROUP BY l_orderkey, l_linenumber)"""
 NORMAL_SQL = f"""c AS ({CANDIDATES}), n AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY raw_score DESC, candidate_id) AS channel_rank,
     CASE WHEN max(raw_score) OVER w = min(raw_score) OVER w THEN 1.0 ELSE (raw_score - min(raw_score) OVER w) / (max(raw_score) OVER w - min(raw_score) OVER w) END AS normalized_score FROM c WINDOW w AS (PARTITION BY channel))"""
 
@@ -327,8 +327,8 @@ def flt_channel_generic(spark, d):
 
 @query(
     "qry_lexical_ranker",
-    "WITH stop AS (SELECT unnest(['" + "', '".join(text.STOPWORDS) + """']) AS s), d AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents WHERE lang = 'en'),
-        t AS (SELECT doc_id, token, count(*) AS tf FROM d WHERE length(token) > 1 AND token NOT IN (SELECT s FROM stop) GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents WHERE lang = 'en'),
+    "WITH stop AS (SELECT unnest(['" + "', '".join(text.STOPWORDS) + """']) AS s), d AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents),
+        t AS (SELECT doc_id, token, count(*) AS tf FROM d WHERE length(token) > 1 AND token NOT IN (SELECT s FROM stop) GROUP BY ALL), n AS (SELECT count(*) AS n FROM documents),
         i AS (SELECT token, ln((n + 1.0) / (count(*) + 1)) + 1 AS idf FROM t, n GROUP BY token, n), q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM benchmark),
         s AS (SELECT item_id, doc_id, round(sum((1 + ln(tf)) * idf), 4) AS score FROM q JOIN t USING (token) JOIN i USING (token) GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
         SELECT item_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
@@ -337,7 +337,7 @@ def qry_lexical_ranker(spark, d):
     from tessera.plans.retrieval import lexical_ranking
 
     kg = KG(spark, d)
-    docs = kg.table("documents").where("lang = 'en'").select(F.col("doc_id").alias("doc"), "text")
+    docs = kg.table("documents").select(F.col("doc_id").alias("doc"), "text")
     found = lexical_ranking(docs, kg.table("benchmark").select("item_id", "text"), "item_id", 5, decimals=4)
     return found.select("item_id", F.col("doc").alias("doc_id"), "score", "rank")
 
@@ -345,7 +345,7 @@ def qry_lexical_ranker(spark, d):
 VERSIONS = """SELECT o_custkey AS version_group_key, o_orderkey AS version_member_id, CASE o_orderkey % 6 WHEN 0 THEN 'CURRENT' WHEN 1 THEN 'HISTORICAL' WHEN 2 THEN 'SUPERSEDED' ELSE 'UNKNOWN' END AS version_status,
     o_orderkey % 8 = 0 AS latest_flag, CAST(o_orderdate AS VARCHAR(30)) AS valid_from, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate + INTERVAL 300 DAY AS VARCHAR(30)) END AS valid_to, CAST(NULL AS BIGINT) AS supersedes_member_id,
     'CONFIRMED' AS review_decision, o_orderkey % 9 <> 0 AS active, false AS deleted, o_orderkey % 31 <> 0 AS has_evidence, CASE WHEN o_orderkey % 23 = 0 THEN 1 ELSE 0 END AS n_issues,
-    o_orderkey % 100 / 100.0E0 AS semantic_relevance_score, o_orderkey % 10 / 10.0E0 AS evidence_quality_score, false AS document_deleted FROM orders WHERE o_custkey % 3 = 0"""
+    o_orderkey % 100 / 100.0E0 AS semantic_relevance_score, o_orderkey % 10 / 10.0E0 AS evidence_quality_score, false AS document_deleted FROM orders"""
 RESOLVE_SQL = """g AS (SELECT version_group_key, count(*) FILTER (WHERE active) AS n, count(*) FILTER (WHERE active AND NOT has_evidence) AS bare, count(*) FILTER (WHERE active AND n_issues > 0) AS issues,
     count(*) FILTER (WHERE active AND version_status = 'CURRENT') AS nc, min(version_member_id) FILTER (WHERE active AND version_status = 'CURRENT') AS c, count(*) FILTER (WHERE active AND latest_flag) AS nl, min(version_member_id) FILTER (WHERE active AND latest_flag) AS l FROM v GROUP BY 1),
     r AS (SELECT version_group_key, CASE WHEN n = 0 OR bare > 0 THEN 'NO_CONFIRMED_CURRENT' WHEN issues > 0 THEN 'VERSION_REVIEW_REQUIRED' WHEN nc > 1 THEN 'MULTIPLE_CURRENT_CONFLICT' WHEN nc = 1 THEN 'CONFIRMED_CURRENT' WHEN nl > 1 THEN 'MULTIPLE_LATEST_CONFLICT' WHEN nl = 1 THEN 'CONFIRMED_CURRENT' ELSE 'NO_CONFIRMED_CURRENT' END AS resolution,

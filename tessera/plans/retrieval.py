@@ -114,3 +114,25 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str,
     if p.mode == "bypass":
         out = {"chunks": spark.createDataFrame([], "chunk_id string, content string")}
     return out
+
+
+def text_only(docs: DataFrame, terms: list[str], k: int) -> DataFrame:
+    """(doc_id, score) of the ``k`` documents (doc_id, text) that hold most of some terms as tokens; none without any."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]+)"), F.lit(1)))
+    scored = docs.select("doc_id", F.size(F.array_intersect(found, F.array(*map(F.lit, terms)))).alias("score"))
+    return scored.where("score > 0").orderBy(F.desc("score"), "doc_id").limit(k)
+
+
+def user_format(**frames: DataFrame) -> dict[str, DataFrame]:
+    """Frames of :func:`retrieve` with the names and columns that callers get: entities, relationships, chunks, references."""
+    shapes = {
+        "entities": ("entities", {"id": "entity_name", "entity_type": "entity_type", "description": "description", "source_ids": "source_id", "file_path": "file_path"}),
+        "relations": ("relationships", {"src": "src_id", "tgt": "tgt_id", "description": "description", "keywords": "keywords", "weight": "weight", "source_ids": "source_id", "file_path": "file_path"}),
+        "chunks": ("chunks", {"chunk_id": "chunk_id", "content": "content", "file_path": "file_path", "reference_id": "reference_id"}),
+        "references": ("references", {"reference_id": "reference_id", "file_path": "file_path"}),
+    }
+    out = {}
+    for name, df in frames.items():
+        to, columns = shapes[name]
+        out[to] = df.select(*[(F.col(c) if c in df.columns else F.lit("")).alias(n) for c, n in columns.items()])
+    return out
