@@ -13,8 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import sanitize
 from tessera.operators import aggregates, chunking, lookups, mutations
 from tessera.plans.retrieval import KnowledgeBase, QueryParam, retrieve
+from tessera.sources.scratch import materialise
 from tessera.sources.tables import Store
 
 
@@ -38,23 +40,59 @@ class Engine:
         return df.withColumn("vector", made(text))
 
     def insert(self, texts: DataFrame, now: int = 0) -> DataFrame:
-        """Take in texts (pos, text, file_path): queue, chunk, extract, merge, commit.  Returns the status rows."""
+        """Take in texts (pos, text, file_path): queue, chunk, extract, merge, commit.  Returns the status rows.
+
+        Status rows are committed as pending before anything else, and only documents that were processed count as stored; so
+        after a lost job the same call, or :meth:`process`, goes on where it stopped, and no document is taken for a copy of
+        itself.
+        """
         store = self.store
-        full = store.read("full_docs")
-        queued = mutations.enqueue(texts, full)
-        fresh = queued.where("status = 'pending'").join(texts.select("pos", F.col("text").alias("content")), "pos")
+        done = store.read("doc_status").where("status = 'processed'").select("id")
+        queued = materialise(mutations.enqueue(texts, done), "queued")
+        status = self._status(queued, now)
+        store.commit("doc_status", store.read("doc_status").join(status.select("id"), "id", "left_anti").unionByName(status))
         time = F.lit(now).cast("long")
+        fresh = queued.where("status = 'pending'").join(texts.select("pos", sanitize("text").alias("content")), "pos")
         docs = fresh.select("id", "content", "file_path", time.alias("create_time"), time.alias("update_time"))
-        store.commit("full_docs", full.unionByName(docs))
-        docs = store.read("full_docs").join(fresh.select("id"), "id", "left_semi")
-        cut = self._chunks(docs)
-        cut = chunking.with_chunk_ids(cut, "full_doc_id")
+        full = store.read("full_docs")
+        store.commit("full_docs", full.join(docs.select("id"), "id", "left_anti").unionByName(docs))
+        self.process(now)
+        return lookups.existing_keys(queued, store.read("doc_status")).join(store.read("doc_status"), "id")
+
+    def process(self, now: int = 0) -> int:
+        """Chunk, extract and merge all documents that wait or that a lost job left half done; returns how many there were.
+
+        Each step gives the same tables when it runs again: chunks and answers go by id, and what a chunk says of an entity or
+        relation is merged anew from all kept answers on it.
+        """
+        store = self.store
+        status = store.read("doc_status")
+        waiting = status.where(F.col("status").isin("pending", "processing"))
+        docs = store.read("full_docs").join(waiting.select("id"), "id", "left_semi")
+        n = docs.count()
+        if not n:
+            return 0
+        ids = materialise(docs.select("id"), "processing")
+        self._mark(ids, "processing", None, now)
+        cut = chunking.with_chunk_ids(self._chunks(store.read("full_docs").join(ids, "id", "left_semi")), "full_doc_id")
+        cut = materialise(cut, "cut")
         rows = self._vectors(cut.select(F.col("chunk_id").alias("id"), "content", "full_doc_id", "file_path"), "content")
         store.commit("chunks", store.read("chunks").join(rows.select("id"), "id", "left_anti").unionByName(rows))
         self._merge(cut, now)
-        status = self._status(queued, cut, now)
-        store.commit("doc_status", store.read("doc_status").join(status.select("id"), "id", "left_anti").unionByName(status))
-        return lookups.existing_keys(queued, store.read("doc_status")).join(store.read("doc_status"), "id")
+        self._mark(ids, "processed", cut, now)
+        return n
+
+    def _mark(self, ids: DataFrame, status: str, cut: DataFrame | None, now: int) -> None:
+        """Set the status of documents, and their chunks where they are known."""
+        old = self.store.read("doc_status")
+        rows = old.join(ids, "id", "left_semi").withColumn("status", F.lit(status)).withColumn("updated_at", F.timestamp_seconds(F.lit(now)))
+        if cut is not None:
+            rows = rows.drop("chunks_list").join(self._chunk_lists(cut), "id", "left").withColumn("chunks_list", F.coalesce("chunks_list", F.array().cast("array<string>"))).withColumn("chunks_count", F.size("chunks_list"))
+        self.store.commit("doc_status", old.join(ids, "id", "left_anti").unionByName(rows))
+
+    @staticmethod
+    def _chunk_lists(cut: DataFrame) -> DataFrame:
+        return cut.groupBy(F.col("full_doc_id").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk_order_index", "chunk_id"))), lambda x: x["chunk_id"]).alias("chunks_list"))
 
     def _chunks(self, docs: DataFrame) -> DataFrame:
         named = docs.select(F.col("id").alias("full_doc_id"), "file_path", F.col("content").alias("whole"))
@@ -93,44 +131,58 @@ class Engine:
             for batch in batches:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(extract(batch.column(1).to_pylist()), pa.string())], ["chunk_id", "answer"])
 
-        said = cut.select("chunk_id", "content").distinct().mapInArrow(answers, "chunk_id string, answer string")
+        own = cut.select("chunk_id").distinct()
+        # answers are committed before they are used, and a chunk that has one is not asked about again
+        open_ = cut.select("chunk_id", "content").distinct().join(store.read("llm_response_cache").select("chunk_id"), "chunk_id", "left_anti")
+        said = open_.mapInArrow(answers, "chunk_id string, answer string")
         time = F.lit(now).cast("long")
         answered = said.select(
             F.concat(F.lit("default:extract:"), "chunk_id").alias("id"), F.col("answer").alias("return"), F.lit("extract").alias("cache_type"), "chunk_id",
             F.lit("").alias("original_prompt"), F.lit("").alias("queryparam"), time.alias("create_time"), time.alias("update_time"),
         )
-        own = cut.select("chunk_id").distinct()
-        store.commit("llm_response_cache", store.read("llm_response_cache").join(own, "chunk_id", "left_anti").unionByName(answered))
+        store.commit("llm_response_cache", store.read("llm_response_cache").unionByName(answered))
         said = self._said(own)
-        entities = self._entities(said)
-        held = self._supports("entity_chunks", store.read("nodes").select("id", "source_ids"))
-        self._list("entity_chunks", held.unionByName(entities.select(F.col("entity").alias("id"), "source_id")))
-        old = store.read("nodes").select(F.col("id").alias("entity"), "entity_type", F.explode(F.split("description", "<SEP>")).alias("description"), "source_ids")
-        old = old.select("entity", "entity_type", "description", F.explode("source_ids").alias("source_id")).withColumn("pos", F.col("source_id"))
-        merged = aggregates.merge_entities(old.unionByName(entities))
-        nodes = merged.select(F.col("entity").alias("id"), "entity_type", F.array_join("descriptions", "<SEP>").alias("description"), "source_ids", F.lit("").alias("file_path"))
-        new = self._relations(said)
+        answered = store.read("llm_response_cache").select(F.col("chunk_id").alias("source_id"))
         pair = F.concat_ws("<SEP>", "src", "tgt").alias("id")
-        held = self._supports("relation_chunks", store.read("edges").select(pair, "source_ids"))
-        self._list("relation_chunks", held.unionByName(new.select(pair, F.explode("source_ids").alias("source_id"))))
-        before = store.read("edges").select("src", "tgt", "weight", "keywords", "description", "source_ids")
-        both = before.unionByName(new).groupBy("src", "tgt").agg(
+        old_edges = store.read("edges").withColumn("id", pair)
+        new = self._relations(said).withColumn("id", pair)
+        touched = materialise(new.select("id"), "touched")
+        held = self._supports("relation_chunks", old_edges.select("id", "source_ids")).unionByName(new.select("id", F.explode("source_ids").alias("source_id")))
+        self._list("relation_chunks", held)
+        merged = self._again("relation_chunks", touched, lambda s: self._relations(s).withColumn("id", pair))
+        # what chunks without kept answers gave stays
+        bare = old_edges.join(touched, "id", "left_semi").withColumn("left", F.explode("source_ids")).join(answered.withColumnRenamed("source_id", "left"), "left", "left_anti").drop("left").distinct()
+        both = merged.unionByName(bare.select(*merged.columns)).groupBy("id", "src", "tgt").agg(
             F.sum("weight").alias("weight"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.split("keywords", ","))))), ",").alias("keywords"),
             F.array_join(F.array_distinct(F.flatten(F.collect_list(F.split("description", "<SEP>")))), "<SEP>").alias("description"), F.array_distinct(F.flatten(F.collect_list("source_ids"))).alias("source_ids"),
         )
         both = both.withColumn("file_path", F.lit("")).withColumn("__text", F.concat_ws("\t", "keywords", "src", "tgt", "description"))
-        store.commit("edges", self._vectors(both, "__text").drop("__text"))
-        ends = store.read("edges").select(F.explode(F.array("src", "tgt")).alias("id")).distinct().join(nodes.select("id"), "id", "left_anti")
+        both = self._vectors(both, "__text").drop("__text")
+        store.commit("edges", old_edges.join(touched, "id", "left_anti").unionByName(both))
+        old_nodes = store.read("nodes")
+        entities = self._entities(said)
+        touched = materialise(entities.select(F.col("entity").alias("id")).distinct(), "touched")
+        held = self._supports("entity_chunks", old_nodes.select("id", "source_ids"))
+        self._list("entity_chunks", held.unionByName(entities.select(F.col("entity").alias("id"), "source_id")))
+        fragments = self._again("entity_chunks", touched, lambda s: self._entities(s).withColumnRenamed("entity", "id"))
+        bare = old_nodes.join(touched, "id", "left_semi").select("id", "entity_type", F.explode(F.split("description", "<SEP>")).alias("description"), "source_ids")
+        bare = bare.select("id", "entity_type", "description", F.explode("source_ids").alias("source_id")).join(answered, "source_id", "left_anti").withColumn("pos", F.col("source_id"))
+        merged = aggregates.merge_entities(fragments.unionByName(bare.select(*fragments.columns)).withColumnRenamed("id", "entity"))
+        nodes = merged.select(F.col("entity").alias("id"), "entity_type", F.array_join("descriptions", "<SEP>").alias("description"), "source_ids", F.lit("").alias("file_path"))
+        ends = store.read("edges").select(F.explode(F.array("src", "tgt")).alias("id")).distinct().join(old_nodes.select("id").union(touched), "id", "left_anti")
         ends = ends.select("id", F.lit("UNKNOWN").alias("entity_type"), F.lit("").alias("description"), F.array().cast("array<string>").alias("source_ids"), F.lit("").alias("file_path"))
-        whole = nodes.unionByName(ends).withColumn("__text", F.concat_ws("\n", "id", "description"))
-        store.commit("nodes", self._vectors(whole, "__text").drop("__text"))
+        changed = nodes.unionByName(ends).withColumn("__text", F.concat_ws("\n", "id", "description"))
+        store.commit("nodes", old_nodes.join(touched, "id", "left_anti").unionByName(self._vectors(changed, "__text").drop("__text")))
+
+    def _again(self, table: str, touched: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What all kept answers of the chunks of some objects (id) say of these objects."""
+        chunks = self.store.read(table).join(touched, "id", "left_semi").select(F.explode("chunk_ids").alias("chunk_id")).distinct()
+        return parse(self._said(chunks)).join(touched, "id", "left_semi")
 
-    def _status(self, queued: DataFrame, cut: DataFrame, now: int) -> DataFrame:
-        lists = cut.groupBy(F.col("full_doc_id").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk_order_index", "chunk_id"))), lambda x: x["chunk_id"]).alias("chunks_list"))
+    def _status(self, queued: DataFrame, now: int) -> DataFrame:
         at = F.timestamp_seconds(F.lit(now))
-        rows = queued.join(lists, "id", "left").withColumn("chunks_list", F.coalesce("chunks_list", F.array().cast("array<string>")))
-        return rows.select(
-            "id", F.when(F.col("status") == "pending", "processed").otherwise(F.col("status")).alias("status"), "content_summary", F.col("content_length").cast("int").alias("content_length"),
+        return queued.withColumn("chunks_list", F.array().cast("array<string>")).select(
+            "id", "status", "content_summary", F.col("content_length").cast("int").alias("content_length"),
             F.size("chunks_list").alias("chunks_count"), "chunks_list", at.alias("created_at"), at.alias("updated_at"), "file_path", F.lit(None).cast("string").alias("track_id"),
             F.when(F.col("status") == "failed", F.concat(F.lit("duplicate of "), "original_id")).alias("error_msg"), F.create_map().cast("map<string,string>").alias("metadata"),
         )
