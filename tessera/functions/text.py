@@ -37,6 +37,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _strip(c: Column) -> Column:
+    """A text without white space (of ASCII) at both ends."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
+
+
 def sanitize(text: Column | str) -> Column:
     """Strip, decode HTML entities, and drop characters that UTF-8 or XML stores refuse (controls but tab, LF and CR)."""
 
@@ -44,9 +49,9 @@ def sanitize(text: Column | str) -> Column:
     def unescape(values: pa.Array) -> pa.Array:
         return pa.array([None if v is None else html.unescape(v) for v in values.to_pylist()], pa.string())
 
-    trimmed = F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+    trimmed = _strip(_col(text))
     clean = F.regexp_replace(unescape(trimmed), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
-    return F.regexp_replace(clean, r"^\s+|\s+$", "")
+    return _strip(clean)
 
 
 def _unquoted(c: Column, opening: str, closing: str) -> Column:
@@ -72,7 +77,7 @@ def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:
         c = F.translate(c, "“”‘’", "")
         c = F.regexp_replace(c, rf"['\"]+(?=[{_HAN}])|(?<=[{_HAN}])['\"]+", "")
         c = F.regexp_replace(F.translate(c, " ", " "), r"(?<=\D)\x{202F}", " ")
-    c = F.regexp_replace(c, r"^\s+|\s+$", "")
+    c = _strip(c)
     short = c.rlike(r"^[0-9]{1,2}$") | (c.rlike(r"^[0-9.]{1,5}$") & F.contains(c, F.lit(".")))
     return F.when(short, F.lit("")).otherwise(c)
 
@@ -80,7 +85,7 @@ def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:
 def without_thinking(text: Column | str) -> Column:
     """Drop everything up to an orphan closing think tag, then whole think blocks, then outer space."""
     c = F.regexp_replace(_col(text), r"(?s)^((?!<think>).)*?</think>", "")
-    return F.regexp_replace(F.regexp_replace(c, r"(?s)<think>.*?</think>", ""), r"^\s+|\s+$", "")
+    return _strip(F.regexp_replace(c, r"(?s)<think>.*?</think>", ""))
 
 
 def repair_delimiters(record: Column | str, core: str = "#") -> Column:
@@ -101,7 +106,7 @@ def split_on(text: Column | str, markers: list[str]) -> Column:
     if not markers:
         return F.array(_col(text))
     parts = F.split(_col(text), "|".join(map(re.escape, markers)))
-    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: _strip(x)), lambda x: x != "")
 
 
 def is_float(text: Column | str) -> Column:
@@ -109,7 +114,7 @@ def is_float(text: Column | str) -> Column:
 
 
 def summary(text: Column | str, most: int = 250) -> Column:
-    c = F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+    c = _strip(_col(text))
     return F.when(F.char_length(c) > most, F.concat(F.left(c, F.lit(most)), F.lit("..."))).otherwise(c)
 
 

@@ -55,12 +55,11 @@ def merge_relations(fragments: DataFrame) -> DataFrame:
 
     Weights add up, keywords are split at commas, sorted and joined once each; fragments are counted.
     """
-    pairs = fragments.withColumn("a", low("src", "tgt")).withColumn("b", high("src", "tgt"))
-    sums = pairs.groupBy("a", "b").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n_fragments"))
-    words = pairs.select("a", "b", F.explode(F.split("keywords", ",")).alias("k")).where("trim(k) <> ''").select("a", "b", F.trim("k").alias("k")).distinct()
-    words = words.groupBy("a", "b").agg(F.array_join(F.array_sort(F.collect_list("k")), ",").alias("keywords"))
-    out = sums.join(words, ["a", "b"], "left")
-    return out.select(F.col("a").alias("src"), F.col("b").alias("tgt"), "weight", F.coalesce("keywords", F.lit("")).alias("keywords"), "n_fragments")
+    pairs = fragments.select(low("src", "tgt").alias("src"), high("src", "tgt").alias("tgt"), "weight", "keywords")
+    # equal keyword texts fall together before they are split, so one grouping does
+    merged = pairs.groupBy("src", "tgt").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n_fragments"), F.collect_set("keywords").alias("k"))
+    words = F.filter(F.flatten(F.transform("k", lambda x: F.transform(F.split(x, ","), lambda y: F.trim(y)))), lambda x: x != "")
+    return merged.select("src", "tgt", "weight", F.array_join(F.array_sort(F.array_distinct(words)), ",").alias("keywords"), "n_fragments")
 
 
 def merge_attributes(rows: DataFrame, key: str, column: str, strategy: str, order: str, sep: str = "<SEP>") -> DataFrame:

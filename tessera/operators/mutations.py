@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.ids import content_id
 from tessera.functions.text import file_path, sanitize, summary
-from tessera.operators.ranking import first_of, last_write, numbered
+from tessera.operators.ranking import last_write, numbered
+from tessera.sources.scratch import materialise
 
 
 def upsert(table: DataFrame, new: DataFrame, now: int, key: str = "id", pos: str = "pos") -> DataFrame:
@@ -25,15 +26,18 @@ def delete(table: DataFrame, gone: DataFrame, key: str = "id") -> DataFrame:
 def enqueue(texts: DataFrame, full_docs: DataFrame, text: str = "text", path: str = "file_path", pos: str = "pos") -> DataFrame:
     """Status rows of offered texts (pos, text, file_path): a first text is pending under the md5 of its clean content; a text
     that came before or is stored is a failed duplicate, with an id of its own that names the original."""
-    clean = texts.withColumn("content", sanitize(text)).withColumn("doc_id", content_id("content", "doc-")).withColumn("file_path", file_path(path))
-    first = first_of(clean, ["doc_id"], pos).select("doc_id", F.col(pos).alias("__first"))
-    stored = full_docs.select(F.col("id").alias("doc_id"), F.lit(True).alias("__stored"))
-    rows = clean.join(first, "doc_id").join(stored, "doc_id", "left")
+    clean = texts.withColumn("content", sanitize(text)).withColumn("doc_id", content_id("content", "doc-"))
+    # ids and summaries alone go on, so that texts are cleaned once and never move
+    rows = clean.select(pos, "doc_id", summary("content").alias("content_summary"), F.char_length("content").alias("content_length"), file_path(path).alias("file_path"))
+    rows = materialise(rows, "cleaned")
+    first = rows.groupBy("doc_id").agg(F.min(pos).alias("__first"))
+    stored = full_docs.select(F.col("id").alias("doc_id"), F.lit(True).alias("__stored")).distinct()
+    rows = rows.join(first, "doc_id").join(stored, "doc_id", "left")
     again = F.col("__stored").isNotNull() | (F.col(pos) != F.col("__first"))
     dup = content_id(F.concat("doc_id", F.lit("-"), F.col(pos).cast("string")), "dup-")
     return rows.select(
-        F.when(again, dup).otherwise(F.col("doc_id")).alias("id"), F.when(again, "failed").otherwise("pending").alias("status"), summary("content").alias("content_summary"),
-        F.char_length("content").alias("content_length"), "file_path", F.when(again, F.col("doc_id")).alias("original_id"), pos,
+        F.when(again, dup).otherwise(F.col("doc_id")).alias("id"), F.when(again, "failed").otherwise("pending").alias("status"), "content_summary", "content_length", "file_path",
+        F.when(again, F.col("doc_id")).alias("original_id"), pos,
     )
 
 

@@ -12,28 +12,24 @@ from pyspark.sql import functions as F
 from tessera.functions.ids import content_id, cosine
 
 THRESHOLD = 0.2
-#: Queries that are scored against the table at once; more are scored block by block.
+#: Queries that are scored against a batch at once; more are scored block by block.
 QUERY_BLOCK = 2_048
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 40, threshold: float = THRESHOLD, column: str = "vector") -> DataFrame:
     """(query_id, id, similarity, rank) of the ``k`` most similar rows of each query at or above a threshold; ties by id.
 
-    The queries (query_id, vector) are a stated set, read in blocks of a fixed size.  Each task multiplies its batches with a
-    block and keeps ``k`` rows of each query, so at most that many a task are exchanged.
+    The queries (query_id, vector) are a stated set that is read to the driver: its vectors must fit there and in a task.  The
+    table is read once: each task multiplies its batches with the queries, block by block, and keeps of each query the ``k``
+    best of all its batches (ties at the edge with them), so at most that many a task are exchanged.
     """
     spark = vectors.sparkSession
     rows = queries.select("query_id", F.col(column).alias("v")).orderBy("query_id").collect()
-    out = None
-    for first in range(0, max(len(rows), 1), QUERY_BLOCK):
-        block = rows[first : first + QUERY_BLOCK]
-        ids = [r["query_id"] for r in block]
-        q = np.array([r["v"] for r in block], np.float64) if block else np.zeros((0, 1))
-        norms = np.linalg.norm(q, axis=1, keepdims=True)
-        shared = spark.sparkContext.broadcast((ids, q / np.where(norms == 0, 1, norms)))
-        kinds = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
-        part = vectors.select("id", column).mapInArrow(_best(shared, k, threshold, kinds), f"query_id {kinds[0]}, id {kinds[1]}, similarity double")
-        out = part if out is None else out.unionByName(part)
+    q = np.array([r["v"] for r in rows], np.float64) if rows else np.zeros((0, 1))
+    norms = np.linalg.norm(q, axis=1, keepdims=True)
+    shared = spark.sparkContext.broadcast(([r["query_id"] for r in rows], q / np.where(norms == 0, 1, norms)))
+    kinds = dict(queries.dtypes)["query_id"], dict(vectors.dtypes)["id"]
+    out = vectors.select("id", column).mapInArrow(_best(shared, k, threshold, kinds), f"query_id {kinds[0]}, id {kinds[1]}, similarity double")
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -44,21 +40,27 @@ _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
 def _best(shared, k: int, threshold: float, kinds: tuple[str, str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = shared.value
+        best: list[tuple[np.ndarray, list]] = [(np.zeros(0), [])] * len(ids)
         for batch in batches:
             if not batch.num_rows or not ids:
                 continue
             own = batch.column(0).to_pylist()
             v = np.array(batch.column(1).to_pylist(), np.float64)
             norm = np.linalg.norm(v, axis=1, keepdims=True)
-            sims = q @ (v / np.where(norm == 0, 1, norm)).T
-            rows = []
-            for i, s in enumerate(sims):
-                near = np.flatnonzero(s >= threshold)
-                if len(near) > k:
-                    # ties at the edge all stay, so that ids can break them
-                    edge = np.partition(s[near], len(near) - k)[len(near) - k]
-                    near = near[s[near] >= edge]
-                rows += [(ids[i], own[j], float(s[j])) for j in near]
+            v = (v / np.where(norm == 0, 1, norm)).T
+            for first in range(0, len(ids), QUERY_BLOCK):
+                for i, s in enumerate(q[first : first + QUERY_BLOCK] @ v, first):
+                    near = np.flatnonzero(s >= threshold)
+                    if not len(near):
+                        continue
+                    sims, names = np.concatenate([best[i][0], s[near]]), best[i][1] + [own[j] for j in near]
+                    if len(sims) > k:
+                        # ties at the edge all stay, so that ids can break them
+                        kept = np.flatnonzero(sims >= np.partition(sims, len(sims) - k)[len(sims) - k])
+                        sims, names = sims[kept], [names[j] for j in kept]
+                    best[i] = (sims, names)
+        for first in range(0, len(ids), 256):
+            rows = [(ids[i], n, float(s)) for i in range(first, min(first + 256, len(ids))) for s, n in zip(*best[i])]
             if rows:
                 types = (*(_ARROW[t] for t in kinds), pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["query_id", "id", "similarity"])

@@ -76,7 +76,8 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str,
     if p.mode in ("local", "hybrid", "mix"):
         hits = _hits(kb.nodes, vector, p, p.top_k)
         entities = joins.local_entities(hits, nodes, edges).select("id", "pos")
-        near = joins.entity_edges(hits, edges)
+        # tokens are at least one a row, so no more rows can fit the budget; a hub's other edges are never numbered
+        near = joins.entity_edges(hits, edges).limit(p.max_relation_tokens)
         relations = near.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt"))).select("src", "tgt", "pos")
     if p.mode in ("global", "hybrid", "mix"):
         keyed = kb.edges.withColumn("id", F.concat_ws("\x01", "src", "tgt"))
@@ -104,7 +105,7 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str,
         for owned in (by_entity, by_edge):
             w = Window.orderBy("owner_pos", F.desc("occurrences"), "chunk_pos")
             few = ranking.first_of(owned.withColumn("n", F.row_number().over(Window.partitionBy("owner").orderBy(F.desc("occurrences"), "chunk_pos"))), ["chunk_id"], "owner_pos")
-            few = few.where(F.col("n") <= p.related_chunks)
+            few = few.where(F.col("n") <= p.related_chunks).orderBy("owner_pos", F.desc("occurrences"), "chunk_pos").limit(p.chunk_top_k)
             lists.append(few.withColumn("pos", F.row_number().over(w)).select("chunk_id", "pos"))
     if lists:
         merged = ranking.interleave(lists, "chunk_id").select("chunk_id", F.col("turn").alias("pos")).where(F.col("pos") <= p.chunk_top_k)
