@@ -292,8 +292,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     drop_path(met)
     # texts of candidates alone, once for each node
     wanted = open_.select("node").distinct()
-    texts = docs.select(node, F.coalesce(F.col(text), F.lit("")).alias("text")).join(wanted, "node", "left_semi")
-    texts = materialise(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    # copies fall together before anything moves
+    one = docs.select(node, F.coalesce(F.col(text), F.lit("")).alias("text")).groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialise(one.join(wanted, "node", "left_semi"), "texts")
 
     def compare(pairs: DataFrame) -> DataFrame:
         """(a, b, sim) of pairs of nodes."""
