@@ -29,8 +29,17 @@ INTENT_TERMS = (
     ("CURRENT", ("当前", "现行", "最新", "current", "latest")),
 )
 
+#: Han characters, the characters beside which spaces go next to them, and full-width forms with their ASCII.
 _HAN = r"\x{4e00}-\x{9fa5}"
 _HAN_MATE = r"a-zA-Z0-9\(\)\[\]@#$%!&\*\-=+_"
+_WIDE, _NARROW = "－＋／＊（）—　", "-+/*()- "
+
+#: Damaged forms of a delimiter around the core ``{e}``, tried in this order; the cases in tests/test_text.py
+#: have one of each.
+DAMAGED = (
+    r"<\|{e}\|*?{e}\|>", r"<\|\\{e}\|>", r"<\|+>", r"<.?\|{e}\|.?>", r"<\|?{e}\|?>", r"<[^|]{e}\|>|<\|{e}[^|]>",
+    r"<\|{e}\|+(?!>)", r"<\|{e}:(?!>)", r"<\|+{e}>", r"<\|\|(?!>)", r"(?<!<)\|{e}\|>", r"<\|{e}\|>\|", r"\|\|{e}\|\|",
+)
 
 
 def _col(c: Column | str) -> Column:
@@ -68,7 +77,7 @@ def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:
     c = F.regexp_replace(_col(name), r"(?i)</p\s*>|<p\s*>|<p/>|</br\s*>|<br\s*>|<br/>", "")
     full = "".join(chr(0xFF21 + i) for i in range(26)) + "".join(chr(0xFF41 + i) for i in range(26)) + "".join(chr(0xFF10 + i) for i in range(10))
     half = "".join(chr(65 + i) for i in range(26)) + "".join(chr(97 + i) for i in range(26)) + "0123456789"
-    c = F.translate(c, full + "－＋／＊（）—　", half + "-+/*()- ")
+    c = F.translate(c, full + _WIDE, half + _NARROW)
     c = F.regexp_replace(c, rf"(?<=[{_HAN}])\s+(?=[{_HAN}{_HAN_MATE}])", "")
     c = F.regexp_replace(c, rf"(?<=[{_HAN_MATE}])\s+(?=[{_HAN}])", "")
     for opening, closing in (('"', '"'), ("'", "'"), ("“", "”"), ("‘", "’"), ("《", "》")):
@@ -91,13 +100,9 @@ def without_thinking(text: Column | str) -> Column:
 def repair_delimiters(record: Column | str, core: str = "#") -> Column:
     """Turn damaged forms of the field delimiter ``<|#|>`` back into it, from the closest forms to the least."""
     d, e = f"<|{core}|>", re.escape(core)
-    forms = (
-        rf"<\|{e}\|*?{e}\|>", rf"<\|\\{e}\|>", r"<\|+>", rf"<.?\|{e}\|.?>", rf"<\|?{e}\|?>", rf"<[^|]{e}\|>|<\|{e}[^|]>",
-        rf"<\|{e}\|+(?!>)", rf"<\|{e}:(?!>)", rf"<\|+{e}>", r"<\|\|(?!>)", rf"(?<!<)\|{e}\|>", rf"<\|{e}\|>\|", rf"\|\|{e}\|\|",
-    )
     c = _col(record)
-    for form in forms:
-        c = F.regexp_replace(c, form, d)
+    for form in DAMAGED:
+        c = F.regexp_replace(c, form.replace("{e}", e), d)
     return c
 
 
@@ -167,6 +172,11 @@ def decode_escapes(text: Column | str) -> Column:
     return decode(_col(text))
 
 
+def sort_key(label: Column | str) -> Column:
+    """What labels are sorted by: their lower case."""
+    return F.lower(_col(label))
+
+
 def term_key(term: Column | str) -> Column:
     """A term for lookup: NFKC, connectors as spaces, case folded, then without spaces and punctuation."""
 

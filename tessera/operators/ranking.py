@@ -27,6 +27,11 @@ CHANNEL_PRIORITY = {
     "GENERIC_GRAPH": 6,
 }
 RANK_CONSTANT = 60.0
+#: The rank of unranked candidates, points for hinted scopes, for doubtful versions and for missing evidence.
+LAST_RANK, BONUS, DOUBT, BARE = 999, 0.002, 0.003, 0.004
+SILENT_CHANNELS = ("ISSUE_SIDECAR", "VERSION_CONTEXT")
+TRUSTED_CHANNELS = ("PFSS_ENTITY", "PFSS_RELATION", "PFSS_PATH")
+DOUBTFUL_VERSIONS = ("CONFLICT", "UNKNOWN_CURRENT", "MULTIPLE_CURRENT_CONFLICT")
 
 
 def _lookup(column: str, table: dict, default) -> Column:
@@ -125,14 +130,15 @@ def deduplicate_channels(candidates: DataFrame, key: str = "dedup_key") -> DataF
 
 def fuse(candidates: DataFrame, domains: list[str], features: list[str]) -> DataFrame:
     """Add fused_score: weighted reciprocal rank with small bonuses for hinted scopes and penalties for doubt."""
-    silent = F.col("channel").isin("ISSUE_SIDECAR", "VERSION_CONTEXT")
-    weight = F.when(silent, F.lit(0.0)).otherwise(F.col("factual_weight"))
-    score = _lookup("channel", CHANNEL_WEIGHTS, 0.1) * weight * (1.0 / (F.lit(RANK_CONSTANT) + F.coalesce("channel_rank", F.lit(999))))
-    score = score + F.when(F.coalesce(F.col("domain_code").isin(domains), F.lit(False)), 0.002).otherwise(0.0)
-    score = score + F.when(F.coalesce(F.col("feature_key").isin(features), F.lit(False)), 0.002).otherwise(0.0)
-    doubtful = F.coalesce(F.col("version_status").isin("CONFLICT", "UNKNOWN_CURRENT", "MULTIPLE_CURRENT_CONFLICT"), F.lit(False))
-    bare = ~F.col("has_evidence") & F.col("channel").isin("PFSS_ENTITY", "PFSS_RELATION", "PFSS_PATH")
-    score = score - F.when(doubtful, 0.003).otherwise(0.0) - F.when(bare, 0.004).otherwise(0.0)
+    channel, status = F.col("channel"), F.col("version_status")
+    weight = F.when(channel.isin(*SILENT_CHANNELS), F.lit(0.0)).otherwise(F.col("factual_weight"))
+    score = _lookup("channel", CHANNEL_WEIGHTS, 0.1) * weight * (1.0 / (F.lit(RANK_CONSTANT) + F.coalesce("channel_rank", F.lit(LAST_RANK))))
+    rules = (
+        (F.col("domain_code").isin(domains), BONUS), (F.col("feature_key").isin(features), BONUS), (status.isin(*DOUBTFUL_VERSIONS), -DOUBT),
+        (~F.col("has_evidence") & channel.isin(*TRUSTED_CHANNELS), -BARE),
+    )
+    for holds, points in rules:
+        score = score + F.when(F.coalesce(holds, F.lit(False)), points).otherwise(0.0)
     return candidates.withColumn("fused_score", F.round(score, 9))
 
 

@@ -195,6 +195,10 @@ class Engine:
         """Frames that a question is answered from, in the mode that the parameters name."""
         return retrieve(self.knowledge(), list(map(float, np.asarray(self.embed([question]))[0])), param)
 
+    def clear_cache(self) -> None:
+        """Empty the cache of answers; deletions of documents that were there before can then rebuild nothing from it."""
+        self.store.drop("llm_response_cache")
+
     def delete(self, doc_id: str) -> DataFrame:
         """Take a document out: its own chunks, what they alone support, and its share of what others support too.  Returns the
         impact on entities."""

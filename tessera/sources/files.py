@@ -127,3 +127,30 @@ def export(rows: DataFrame, path: str, kind: str) -> None:
         rows.select(F.concat_ws("\n", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in rows.columns], F.lit("")).alias("value")).write.mode("overwrite").text(path)
     else:
         raise ValueError(f"unknown export format: {kind}")
+
+
+def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
+    """Nodes (id, ...) and edges (src, tgt, ...) as GraphML: a directory of files, each a graph by itself, that
+    :func:`read_graphml` reads as one.  Null attributes are left out."""
+    from xml.sax.saxutils import escape, quoteattr
+
+    def element(kind: str, names: list[str], ends: int):
+        marks = ("id",) if kind == "node" else ("source", "target")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_arrays([pa.array(['<graphml xmlns="http://graphml.graphdrawing.org/xmlns"><graph edgedefault="undirected">'])], ["value"])
+            for b in batches:
+                lines = []
+                for row in zip(*(c.to_pylist() for c in b.columns)):
+                    own = " ".join(f"{m}={quoteattr(v)}" for m, v in zip(marks, row))
+                    data = "".join(f'<data key="{n}">{escape(v)}</data>' for n, v in zip(names[ends:], row[ends:]) if v is not None)
+                    lines.append(f"<{kind} {own}>{data}</{kind}>")
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(["</graph></graphml>"])], ["value"])
+
+        return run
+
+    for df, kind, ends in ((nodes, "node", ["id"]), (edges, "edge", ["src", "tgt"])):
+        names = [*ends, *[c for c in df.columns if c not in ends]]
+        rows = df.select(*[F.col(c).cast("string").alias(c) for c in names])
+        rows.mapInArrow(element(kind, names, len(ends)), "value string").write.mode("append").text(path)
