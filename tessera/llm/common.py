@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import materialise, scratch_dir
+
+__all__ = ["drop_path", "drop_scratch", "held_out", "materialise", "n_tasks", "reach_workers", "scratch_dir", "worker_slot"]
+
 BATCH_ROWS = 1_000
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -42,37 +45,6 @@ def worker_slot(name: str, key: object, make: Callable[[], object]) -> object:
     return _kept[name][1]
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    On one machine a session that names none (a test) gets one; on a cluster that is an error, since a folder of one
-    machine would lose rows.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The part of the shared folder that belongs to this application."""
-    return f"{shared_dir(spark)}/tessera/{spark.sparkContext.applicationId}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: this cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def drop_path(df: DataFrame) -> None:
     """Remove the files behind a frame made by :func:`materialise` that no later step reads."""
     spark = df.sparkSession

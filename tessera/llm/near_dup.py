@@ -2,7 +2,7 @@
 
 A text's shingles are its runs of five words (of all its words, if it has fewer).  A shingle weighs its count times the
 mean inverse document frequency of its words; document frequencies are counted over all rows in a fixed table of hashed
-words.  Consistent weighted samples (Ioffe 2010) of these weights are banded: two texts meet in a band with the
+words.  (Its own document frequency would weigh down what a group of copies shares and so part the group: see the README.)  Consistent weighted samples (Ioffe 2010) of these weights are banded: two texts meet in a band with the
 probability of their weighted Jaccard similarity to the power of the band's rows.
 
 Texts that meet are compared exactly.  A band's bucket is never expanded into all pairs: its members are compared with
