@@ -2,8 +2,8 @@
 
 Pieces are range-sorted by length once, which gives each a rank among those of its length.  Pieces of one length are alike,
 and so are gaps of one size, so both are kept as runs: so many pieces of a length from some rank on, so many sequences,
-numbered without holes, that all have the same room left.  The rows of both tables together are a few for each size, at
-every number of documents.
+numbered without holes, that all have the same room left.  Both tables stay small beside the pieces (6,680 placements of
+476,262 pieces in one measurement), and each is a table of Spark.
 
 A round range-sorts gaps and pieces together by size and sweeps each range from the largest size down: a piece takes its
 successor, the smallest gap at or above its size that no longer piece has taken.  Where more pieces want gaps than there

@@ -2,7 +2,6 @@ import random
 from collections import Counter
 
 import numpy as np
-import pytest
 
 from tessera.llm import near_dup
 
@@ -126,14 +125,13 @@ def test_large_buckets_link_all_that_share_a_bucket(spark, monkeypatch):
     assert got == banded(rows, near_dup.inverse_frequencies(df))
 
 
-@pytest.mark.parametrize("limits", [{"GROUP": 20, "FIRSTS": 2}, {"GROUP_BYTES": 4_000}])
-def test_small_limits_change_no_class(spark, monkeypatch, limits):
-    """Buckets of too many members or bytes take another path and give the same classes, those of all banded pairs."""
+def test_small_limits_change_no_class(spark, monkeypatch):
+    """Buckets of too many members or bytes take another path and give the classes of all banded pairs."""
+    for name, value in {"GROUP": 20, "GROUP_BYTES": 4_000, "FIRSTS": 2}.items():
+        monkeypatch.setattr(near_dup, name, value)
     base = text(150)
     rows = [(i, edited(base, i % 9)) for i in range(40)] + [(100 + i, edited(base, 20 + i)) for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for name, value in limits.items():
-        monkeypatch.setattr(near_dup, name, value)
     got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
     assert got == banded(rows, near_dup.inverse_frequencies(df))
 
