@@ -80,7 +80,7 @@ def test_entities_of_more_chunks_than_nodes_keep(spark, tmp_path):
     assert e.store.read("relation_chunks").first()["count"] == 304
 
 
-@pytest.mark.parametrize("table", ["full_docs", "nodes"])
+@pytest.mark.parametrize("table", ["nodes"])
 def test_an_insert_that_stops_half_way_goes_on(spark, tmp_path, table, monkeypatch):
     """The job is lost at the commit of a table; the same call then gives what an undisturbed one gives."""
     rows = spark.createDataFrame([(0, "Alice met Bob", "a.txt"), (1, "Bob met Carol by Alice", "b.txt"), (2, "Bob met Carol by Alice", "c.txt")], "pos long, text string, file_path string")
