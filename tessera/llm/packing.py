@@ -166,7 +166,7 @@ def best_fit(pieces_of: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame,
             opened += min(need, n_left)
             n_ranges = RANGES
         else:
-            n_ranges = 1 if idle else RANGES
+            n_ranges = 1 if idle else n_ranges
             rows = state.select("kind", "size", "n", "first")
             rows = rows.repartitionByRange(n_ranges, F.desc("size")) if n_ranges > 1 else rows.coalesce(1)
             after = rows.sortWithinPartitions(F.desc("size"), "kind").mapInArrow(swept, STATE)
