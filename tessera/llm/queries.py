@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, fingerprints, html_blocks, labelled, near_dup, packing, quality_model, quality_rules, sharding, suffix_dedup, toxicity
+from tessera.llm import bpe, fingerprints, html_blocks, labelled, mixing, near_dup, packing, quality_model, quality_rules, sharding, spelling, suffix_dedup, toxicity, whitening
 from tessera.llm.common import held_out, n_tasks
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,6 +97,23 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(docs, keep_text=False).select("doc_id", "class_id", "is_first")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first eight whitened components of every embedding."""
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumn("deviation", whitening.as_long("deviation"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document; documents labelled of good quality weigh 2, of bad quality 0.5."""
+    weight = F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).alias("weight")
+    return mixing.mix(_docs(spark, sf_dir), _labels(spark, sf_dir).select("doc_id", weight))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spelling variants among the words of all documents."""
+    return spelling.variants(_docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_sharding": op2_sharding,
@@ -108,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_model": op8_quality_model,
     "op9_html": op9_html,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -129,4 +149,31 @@ ORACLE_SQL: dict[str, str] = {
                CAST(0 AS BIGINT) AS overflow, CAST(shard_bytes AS BIGINT) AS shard_bytes
         FROM leaf WHERE k = 1
     """,
+    # a source is full where all sources, filled up to its own level, do not exceed the whole
+    "op12_mixing": """
+        WITH q AS (
+            SELECT doc_id, CASE max(CASE quality WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 END) WHEN 2.0 THEN 2.0::DOUBLE WHEN 0.5 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight
+            FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, coalesce(weight, 1.0::DOUBLE) AS weight
+            FROM documents LEFT JOIN q USING (doc_id)
+        ), s AS (
+            SELECT source, sum(size) AS source_size, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT]::HUGEINT AS w FROM d GROUP BY source
+        ), f AS (
+            SELECT *, (SELECT sum(source_size) FROM s) AS whole,
+                   2 * (SELECT sum(least(2 * t.source_size * s.w, 2 * s.source_size * t.w)) FROM s AS t) <= 3 * s.w * (SELECT sum(source_size) FROM s) AS filled FROM s
+        ), a AS (
+            SELECT source, source_size, filled, w * (3 * whole - 4 * coalesce(sum(source_size) FILTER (filled) OVER (), 0)) AS words, 2 * sum(w) FILTER (NOT filled) OVER () AS parts FROM f
+        ), b AS (
+            SELECT source, source_size, CASE WHEN filled THEN source_size * 2.0::DOUBLE ELSE words::DOUBLE / parts::DOUBLE END AS target,
+                   CASE WHEN filled THEN 2 * source_size ELSE words // parts END AS budget FROM a
+        ), k AS (
+            SELECT doc_id, size, b.*, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs,
+                   sum(size) OVER (PARTITION BY d.source ORDER BY -ln((('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / weight, CAST(doc_id AS VARCHAR)
+                                   ROWS UNBOUNDED PRECEDING) AS upto
+            FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+        )
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+               CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - (upto - size))) AS BIGINT) AS taken FROM k
+    """,
 }
