@@ -45,8 +45,8 @@ def merge_entities(fragments: DataFrame, cap: int = 300, keep: str = "FIFO") ->
 
 
 def capped_ids(ids: DataFrame, key: str, cap: int, keep: str = "FIFO") -> DataFrame:
-    """The first (KEEP) or last (otherwise) ``cap`` rows of each key in the order of ``pos``."""
-    w = Window.partitionBy(key).orderBy(F.asc("pos") if keep == "KEEP" else F.desc("pos"))
+    """The first (KEEP) or last (otherwise) ``cap`` rows of each key in the order of ``pos``, then of ``source_id``."""
+    w = Window.partitionBy(key).orderBy(*([F.asc("pos"), F.asc("source_id")] if keep == "KEEP" else [F.desc("pos"), F.desc("source_id")]))
     return ids.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= cap).drop("__n")
 
 
@@ -82,6 +82,27 @@ def merge_attributes(rows: DataFrame, key: str, column: str, strategy: str, orde
     return once.groupBy(key).agg(F.array_join(ordered_distinct(F.col("v"), F.col("o")), sep).alias(column))
 
 
+def merged_value(column: str, kind: str, strategy: str, order: Column, sep: str = "<SEP>") -> Column:
+    """An aggregate: one value by a strategy of :func:`merge_attributes`; arrays become the union of their entries in order.
+
+    Meant for groups of a few rows, whose values it holds.
+    """
+    c = F.col(column)
+    some = F.when(c.isNotNull() & ((c.cast("string") != "") if not kind.startswith("array") else F.lit(True)), F.struct(order.alias("o"), c.alias("v")))
+    values = F.transform(F.array_sort(F.collect_list(some)), lambda x: x["v"])
+    if kind.startswith("array<string"):
+        return F.array_distinct(F.flatten(values))
+    if strategy == "max" and kind not in ("string", "boolean") and not kind.startswith("array"):
+        return F.max(c)
+    if kind != "string" or strategy in ("keep_first", "keep_last"):
+        return F.try_element_at(values, F.lit(-1 if strategy == "keep_last" else 1))
+    if strategy == "concatenate":
+        return F.array_join(F.array_distinct(values), "\n\n")
+    mark = "," if strategy == "join_unique_comma" else sep
+    parts = F.filter(F.flatten(F.transform(values, lambda v: F.transform(F.split(v, mark), lambda y: F.trim(y)))), lambda x: x != "")
+    return F.array_join(F.array_sort(F.array_distinct(parts)), ",") if strategy == "join_unique_comma" else F.array_join(F.array_distinct(parts), sep)
+
+
 def references(chunks: DataFrame, path: str = "file_path", pos: str = "pos") -> DataFrame:
     """(file_path, reference_id): paths by frequency, then by where they come first; empty and unknown ones have none."""
     known = chunks.where(F.col(path).isNotNull() & ~F.col(path).isin("", "unknown_source"))

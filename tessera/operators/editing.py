@@ -84,17 +84,15 @@ def merge_entities(nodes: DataFrame, edges: DataFrame, sources: list[str], targe
     """Nodes and edges with some entities merged into ``target``.
 
     Attributes merge by the named strategies of :func:`aggregates.merge_attributes`, the target's own first and then the
-    sources' in order; others keep the first value.  Edges are redirected, loops drop out, and edges that fall together keep
-    the largest weight.
+    sources' in order; others keep the first value, arrays become the union.  Edges are redirected, loops drop out, and edges
+    that fall together merge as :func:`graph.merge_nodes` says.
     """
     names = [target, *[s for s in sources if s != target]]
     order = F.array_position(F.array(*map(F.lit, names)), F.col("id"))
     own = nodes.where(F.col("id").isin(names)).withColumn("__order", order).withColumn("__key", F.lit(target))
-    merged = own.select(F.col("__key").alias("id")).distinct()
-    for c in nodes.columns:
-        if c != "id":
-            one = aggregates.merge_attributes(own, "__key", c, (strategies or {}).get(c, "keep_first"), "__order")
-            merged = merged.join(one.withColumnRenamed("__key", "id"), "id", "left")
+    kinds = dict(nodes.dtypes)
+    ways = [aggregates.merged_value(c, kinds[c], (strategies or {}).get(c, "keep_first"), F.col("__order")).cast(kinds[c]).alias(c) for c in nodes.columns if c != "id"]
+    merged = own.groupBy(F.col("__key").alias("id")).agg(*ways)  # as many rows as names
     rest = nodes.where(~F.col("id").isin(names))
     return rest.unionByName(merged.select(*nodes.columns)), graph.merge_nodes(edges, names, target)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ids import high, low
+from tessera.operators import aggregates
 from tessera.sources.scratch import materialise
 
 
@@ -129,11 +130,27 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, gone: DataFrame) -> tuple[D
     return nodes.join(ids, "id", "left_anti"), kept
 
 
-def merge_nodes(edges: DataFrame, sources: list[str], target: str) -> DataFrame:
-    """Edges with some nodes renamed to ``target``: loops drop out, edges that fall together keep the largest weight."""
-    to = lambda c: F.when(F.col(c).isin(*sources), F.lit(target)).otherwise(F.col(c))
-    moved = canonical(edges.withColumn("src", to("src")).withColumn("tgt", to("tgt"))).where("src <> tgt")
-    return moved.groupBy("src", "tgt").agg(F.max("weight").alias("weight"))
+#: How attributes of edges that fall together become one; other attributes keep the first value.
+EDGE_STRATEGIES = {"weight": "max", "description": "concatenate", "keywords": "join_unique_comma", "source_id": "join_unique", "source_ids": "join_unique", "file_path": "join_unique"}
+
+
+def merge_nodes(edges: DataFrame, sources: list[str], target: str, strategies: dict[str, str] | None = None) -> DataFrame:
+    """Edges with some nodes renamed to ``target``: loops drop out; edges that fall together become one, attribute by attribute.
+
+    ``strategies`` names a way of :func:`aggregates.merge_attributes` for each column and comes before
+    :data:`EDGE_STRATEGIES`; values come in the order of the old ends.  Columns keep their names and types, and edges at
+    other nodes are passed on without a shuffle.
+    """
+    names = [target, *sources]
+    ways = EDGE_STRATEGIES | (strategies or {})
+    kinds = dict(edges.dtypes)
+    to = lambda c: F.when(F.col(c).isin(*names), F.lit(target)).otherwise(F.col(c))
+    hit = F.coalesce(F.col("src").isin(*names) | F.col("tgt").isin(*names), F.lit(False))
+    moved = edges.where(hit).withColumn("__old", F.struct("src", "tgt")).withColumn("src", to("src")).withColumn("tgt", to("tgt"))
+    moved = canonical(moved).where("src <> tgt")
+    rest = [c for c in edges.columns if c not in ("src", "tgt")]
+    merged = moved.groupBy("src", "tgt").agg(*[aggregates.merged_value(c, kinds[c], ways.get(c, "keep_first"), F.col("__old")).cast(kinds[c]).alias(c) for c in rest])
+    return edges.where(~hit).unionByName(merged.select(*edges.columns))
 
 
 def has_cycle(edges: DataFrame) -> bool:

@@ -26,10 +26,31 @@ def mut_rename_entity(spark, d):
     return editing.rename_entity(kg.cte("nodes"), kg.cte("edges"), "supp-1", "a-seller")[1].select("src", "tgt", "weight")
 
 
-@query("mut_edit_entity", "SELECT src, tgt, max(weight) AS weight FROM (SELECT src, weight, CASE WHEN tgt = 'supp-1' THEN 'supp-2' ELSE tgt END AS tgt FROM edges) GROUP BY ALL", "edges")
+def _described(kg):
+    """Edges with all attributes of a relation, one row a pair."""
+    return kg.cte("frag").groupBy("src", "tgt").agg(
+        F.sum("weight").alias("weight"), F.array_join(F.array_sort(F.collect_set("keywords")), ",").alias("keywords"), F.concat(F.lit("sold by "), F.max("tgt")).alias("description"),
+        F.array_sort(F.collect_set("source_id")).alias("source_ids"), F.concat(F.lit("file-"), F.min("source_id")).alias("file_path"),
+    )
+
+
+@query(
+    "mut_edit_entity",
+    """+ e AS (SELECT src, tgt, sum(weight) AS weight, 'sold by ' || tgt AS description, 'file-' || min(source_id) AS file_path FROM frag GROUP BY src, tgt),
+        m AS (SELECT *, CASE WHEN tgt = 'supp-1' THEN 'supp-2' ELSE tgt END AS t FROM e),
+        k AS (SELECT src, CASE WHEN tgt = 'supp-1' THEN 'supp-2' ELSE tgt END AS t, array_to_string(list_sort(list_distinct(list(x))), ',') AS keywords, count(DISTINCT source_id) AS n_sources
+            FROM (SELECT src, tgt, source_id, unnest(string_split(keywords, ',')) AS x FROM frag) GROUP BY ALL),
+        u AS (SELECT src, tgt, array_to_string(list_sort(list_distinct(list(keywords))), ',') AS keywords FROM frag GROUP BY ALL)
+        SELECT m.src, m.t AS tgt, max(weight) AS weight, string_agg(description, E'\n\n' ORDER BY m.tgt) AS description, string_agg(DISTINCT file_path, '<SEP>' ORDER BY file_path) AS file_path,
+            min(CASE WHEN m.t = 'supp-2' THEN k.keywords ELSE u.keywords END) AS keywords, min(k.n_sources) AS n_sources
+        FROM m JOIN k ON k.src = m.src AND k.t = m.t JOIN u ON u.src = m.src AND u.tgt = m.tgt GROUP BY 1, 2""", "frag",
+)
 def mut_edit_entity(spark, d):
     kg = KG(spark, d)
-    return editing.rename_entity(kg.cte("nodes"), kg.cte("edges"), "supp-1", "supp-2", allow_merge=True)[1].select("src", "tgt", "weight")
+    edges = editing.rename_entity(kg.cte("nodes"), _described(kg), "supp-1", "supp-2", allow_merge=True)[1]
+    # paths of a pair come in the order of its old ends; here by name
+    paths = F.array_join(F.array_sort(F.split("file_path", "<SEP>")), "<SEP>")
+    return edges.select("src", "tgt", "weight", "description", paths.alias("file_path"), "keywords", F.size("source_ids").cast("long").alias("n_sources"))
 
 
 @query(
@@ -85,7 +106,7 @@ def _lost(f):
 @query(
     "mut_rebuild_entity",
     """+ l AS (SELECT *, CAST(substr(source_id, 7) AS BIGINT) % 3 = 0 AS gone FROM frag), h AS (SELECT DISTINCT src FROM l WHERE gone), s AS (SELECT src, keywords, min(pos) AS p FROM l WHERE NOT gone AND src IN (SELECT src FROM h) GROUP BY ALL)
-        SELECT src AS entity, string_agg(keywords, '<SEP>' ORDER BY p) AS description FROM s GROUP BY 1""", "frag",
+        SELECT src AS entity, string_agg(keywords, '<SEP>' ORDER BY p, keywords) AS description FROM s GROUP BY 1""", "frag",
 )
 def mut_rebuild_entity(spark, d):
     f = KG(spark, d).cte("frag")
@@ -261,9 +282,9 @@ def flt_query_mode(spark, d):
     return docs.select("doc_id", text.query_mode("line").alias("p")).select("doc_id", "p.mode", "p.context_only", "p.user_prompt", "p.query")
 
 
-@query("fn_sanitize", "SELECT doc_id, '<' || trim(text, E' \\n\\t\\r\\x0B\\f') || '>' AS text FROM documents WHERE NOT contains(text, '&')")
+@query("fn_sanitize", "SELECT doc_id, '<' || trim(text, E' \\n\\t\\r\\x0B\\f') || '>' AS text FROM documents")
 def fn_sanitize(spark, d):
-    docs = KG(spark, d).table("documents").where("not contains(text, '&')")
+    docs = KG(spark, d).table("documents")
     return docs.select("doc_id", text.sanitize(F.concat(F.lit("  &lt;\x01"), F.regexp_replace("text", r"^\s+|\s+$", ""), F.lit("\x02&gt;\n"))).alias("text"))
 
 
@@ -344,9 +365,9 @@ def txt_windows_tokenizer(spark, d):
     return chunking.windows_by(docs, "whole", list, "".join, 800, 200).select("doc_id", "chunk_order_index", "content", "tokens")
 
 
-@query("qry_rerank", "SELECT pos, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, pos) AS INTEGER) AS rank FROM (SELECT doc_id AS pos, length(text) / 1000.0E0 AS score FROM documents WHERE doc_id < 50) ORDER BY score DESC, pos LIMIT 20")
+@query("qry_rerank", "SELECT pos, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, pos) AS INTEGER) AS rank FROM (SELECT doc_id AS pos, length(text) / 1000.0E0 AS score FROM documents) ORDER BY score DESC, pos LIMIT 20")
 def qry_rerank(spark, d):
-    docs = KG(spark, d).table("documents").where("doc_id < 50").select(F.col("doc_id").alias("pos"), F.col("text").alias("content"))
+    docs = KG(spark, d).table("documents").select(F.col("doc_id").alias("pos"), F.col("text").alias("content"))
     found = chunking.rerank(docs, "which is long", lambda q, texts: [len(t) / 1000 for t in texts], 20)
     return found.select("pos", F.round("score", 6).alias("score"), "rank")
 

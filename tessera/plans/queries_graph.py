@@ -433,7 +433,7 @@ def graph_delete_nodes(spark, d):
     return graph.delete_nodes(kg.cte("nodes"), kg.cte("edges"), gone)[1].select("src", "tgt")
 
 
-@query("graph_merge_nodes", "+ m AS (SELECT src, CASE WHEN tgt IN ('supp-2', 'supp-3') THEN 'supp-1' ELSE tgt END AS tgt, weight FROM edges) SELECT least(src, tgt) AS src, greatest(src, tgt) AS tgt, max(weight) AS weight FROM m WHERE src <> tgt GROUP BY 1, 2", "edges")
+@query("graph_merge_nodes", "+ m AS (SELECT src, CASE WHEN tgt IN ('supp-2', 'supp-3') THEN 'supp-1' ELSE tgt END AS tgt, weight, n, tgt AS old FROM edges) SELECT least(src, tgt) AS src, greatest(src, tgt) AS tgt, max(weight) AS weight, arg_min(n, old) AS n FROM m WHERE src <> tgt GROUP BY 1, 2", "edges")
 def graph_merge_nodes(spark, d):
     return graph.merge_nodes(KG(spark, d).cte("edges"), ["supp-2", "supp-3"], "supp-1")
 

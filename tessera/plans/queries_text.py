@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -276,15 +278,16 @@ def agg_idf(spark, d):
 CANDIDATES = """SELECT l_orderkey * 10 + l_linenumber AS candidate_id, CASE l_linenumber WHEN 1 THEN 'RAW_TEXT' WHEN 2 THEN 'PFSS_ENTITY' WHEN 3 THEN 'PFSS_RELATION' WHEN 4 THEN 'PFSS_PATH' WHEN 5 THEN 'GENERIC_GRAPH' WHEN 6 THEN 'ISSUE_SIDECAR' ELSE 'VERSION_CONTEXT' END AS channel,
     l_extendedprice AS raw_score, CASE WHEN l_linenumber = 5 THEN 0.25E0 ELSE 1.0E0 END AS factual_weight, 'key-' || l_partkey AS dedup_key, 'D' || (l_suppkey % 5) AS domain_code, 'F' || (l_suppkey % 7) AS feature_key,
     CASE WHEN l_returnflag = 'A' THEN 'CONFLICT' ELSE 'CURRENT' END AS version_status, l_linestatus = 'F' AS has_evidence, l_returnflag = 'R' AS factual_path
-    FROM (SELECT l_orderkey, l_linenumber, arg_min(l_extendedprice, o) AS l_extendedprice, arg_min(l_partkey, o) AS l_partkey, arg_min(l_suppkey, o) AS l_suppkey, arg_min(l_returnflag, o) AS l_returnflag, arg_min(l_linestatus, o) AS l_linestatus
-        FROM (SELECT *, l_partkey * 100000 + l_suppkey AS o FROM lineitem) GROUP BY l_orderkey, l_linenumber)"""
+    FROM (SELECT l_orderkey, l_linenumber, r.l_partkey, r.l_suppkey, r.l_extendedprice, r.l_returnflag, r.l_linestatus
+        FROM (SELECT l_orderkey, l_linenumber, min(struct_pack(l_partkey := l_partkey, l_suppkey := l_suppkey, l_extendedprice := l_extendedprice, l_returnflag := l_returnflag, l_linestatus := l_linestatus)) AS r
+            FROM lineitem GROUP BY l_orderkey, l_linenumber))"""
 NORMAL_SQL = f"""c AS ({CANDIDATES}), n AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY raw_score DESC, candidate_id) AS channel_rank,
     CASE WHEN max(raw_score) OVER w = min(raw_score) OVER w THEN 1.0 ELSE (raw_score - min(raw_score) OVER w) / (max(raw_score) OVER w - min(raw_score) OVER w) END AS normalized_score FROM c WINDOW w AS (PARTITION BY channel))"""
 
 
 def _candidates(spark, d):
     KG(spark, d).table("lineitem").createOrReplaceTempView("lineitem")
-    return spark.sql(CANDIDATES.replace("arg_min(", "min_by("))
+    return spark.sql(re.sub(r"struct_pack\((.*?)\)\)", lambda m: f"struct({re.sub(r'\w+ := ', '', m[1])}))", CANDIDATES))
 
 
 @query("win_channel_rank", f"WITH {NORMAL_SQL} SELECT candidate_id, CAST(channel_rank AS INTEGER) AS channel_rank, round(normalized_score, 6) AS normalized_score FROM n")

@@ -105,8 +105,8 @@ def term_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of a GraphML file, each with its data as a map; edges are brought to canonical order."""
-    keys = spark.read.format("xml").option("rowTag", "node").option("attributePrefix", "_").schema("_id string, data array<struct<_VALUE:string,_key:string>>").load(path)
-    edges = spark.read.format("xml").option("rowTag", "edge").option("attributePrefix", "_").schema("_source string, _target string, data array<struct<_VALUE:string,_key:string>>").load(path)
+    keys = spark.read.format("xml").option("rowTag", "node").option("recursiveFileLookup", True).option("attributePrefix", "_").schema("_id string, data array<struct<_VALUE:string,_key:string>>").load(path)
+    edges = spark.read.format("xml").option("rowTag", "edge").option("recursiveFileLookup", True).option("attributePrefix", "_").schema("_source string, _target string, data array<struct<_VALUE:string,_key:string>>").load(path)
     data = F.map_from_entries(F.transform(F.coalesce("data", F.array().cast("array<struct<_VALUE:string,_key:string>>")), lambda d: F.struct(d["_key"], d["_VALUE"])))
     return (
         keys.select(F.col("_id").alias("id"), data.alias("properties")),
@@ -130,8 +130,8 @@ def export(rows: DataFrame, path: str, kind: str) -> None:
 
 
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Nodes (id, ...) and edges (src, tgt, ...) as GraphML: a directory of files, each a graph by itself, that
-    :func:`read_graphml` reads as one.  Null attributes are left out."""
+    """Nodes (id, ...) and edges (src, tgt, ...) as GraphML: two folders of files, each a graph by itself, that
+    :func:`read_graphml` reads as one.  Null attributes are left out; what an earlier call wrote there is replaced."""
     from xml.sax.saxutils import escape, quoteattr
 
     def element(kind: str, names: list[str], ends: int):
@@ -153,4 +153,4 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
     for df, kind, ends in ((nodes, "node", ["id"]), (edges, "edge", ["src", "tgt"])):
         names = [*ends, *[c for c in df.columns if c not in ends]]
         rows = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-        rows.mapInArrow(element(kind, names, len(ends)), "value string").write.mode("append").text(path)
+        rows.mapInArrow(element(kind, names, len(ends)), "value string").write.mode("overwrite").text(f"{path}/{kind}s")
