@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -74,7 +75,7 @@ class Vocabulary:
         if m < 1:
             return ids
         if m > _AT:
-            raise ValueError(f"a word of more than {_AT} bytes")
+            return self._merge_wide(ids)
         get = self.merges.get
         leaves = [_NONE if (hit := get(a << 32 | b)) is None else hit | i for i, (a, b) in enumerate(zip(ids, ids[1:]))]
         tree = [leaves]  # each level holds the minima of the one before, _FAN to a node; the last has one node
@@ -115,6 +116,27 @@ class Vocabulary:
                     at //= _FAN
         return [x for x in ids if x >= 0]
 
+    def _merge_wide(self, ids: list[int]) -> list[int]:
+        """The same for a word whose positions have no room in a leaf: leaves are pairs of rank and position in a heap."""
+        m, get = len(ids) - 1, self.merges.get
+        hit = [get(a << 32 | b) for a, b in zip(ids, ids[1:])]
+        heap = [(h >> _AT_BITS, i) for i, h in enumerate(hit) if h is not None]
+        heapify(heap)
+        after, before = array("q", range(1, m + 2)), array("q", range(-1, m))
+        while heap:
+            top, left = heappop(heap)
+            gone = after[left] if ids[left] >= 0 else m + 1
+            if gone > m or (h := get(ids[left] << 32 | ids[gone])) is None or h >> _AT_BITS != top:
+                continue  # the pair has changed since
+            ids[left], ids[gone] = top & _ID, -1
+            right = after[left] = after[gone]
+            if right <= m:
+                before[right] = left
+            for a, b in ((before[left], left), (left, right)):
+                if a >= 0 and b <= m and (h := get(ids[a] << 32 | ids[b])) is not None:
+                    heappush(heap, (h >> _AT_BITS, a))
+        return [x for x in ids if x >= 0]
+
     def _word(self, word: str) -> bytes:
         hit = self.word_cache.get(word)
         if hit is None:
@@ -174,7 +196,8 @@ def vocabulary(path: str) -> Vocabulary:
 def encode(df: DataFrame, vocab_path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add ``out``: the ids of ``text`` packed as little-endian unsigned 32-bit integers (binary).
 
-    Null and empty texts give empty binaries.  All other columns pass; one named as ``out`` is replaced.
+    Null and empty texts give empty binaries, and no text is too long: words of more than 2^26 bytes, whose positions have
+    no room in a leaf of the tree, are merged over a heap of the same pairs.  All other columns pass; one named as ``out`` is replaced.
     """
     reach_workers(df.sparkSession)
 

@@ -28,10 +28,11 @@ from tessera.llm.common import reach_workers
 SAMPLE_PAGES = 150
 DRAWN_PAGES = 450
 PATH_DIM, WORD_DIM, SHARES = 64, 16, 6
-PATH_ELEMENTS = 256  # elements above a block that its path names, so that deep pages take linear time
 HIDDEN = 16
 STEPS = 220
 BATCH = 24
+#: Blocks that are read together, padding included; a longer page is read alone.
+BLOCKS_AT_ONCE = 1 << 13
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: Tags that do not end a block.
@@ -52,15 +53,25 @@ _CLOSED_BY = {
     "td": frozenset(["td", "th", "tr"]),
     "th": frozenset(["td", "th", "tr"]),
     "option": frozenset(["option", "optgroup"]),
-    "head": frozenset(["body"]),
 }
+#: Tags that the head holds; any other start tag ends it, and so does text, as its end tag and that of the body's start may be left out.
+_OF_HEAD = frozenset("head base link meta noscript script style template title".split())
 
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    above: tuple | None  # names of the nearest block-level element, and the same of those above it
     text: str
     linked: int
+    sums: np.ndarray | None = None  # the hashed names of all block-level elements above
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        node, names = self.above, []
+        while node is not None:
+            names.append(node[0])
+            node = node[1]
+        return tuple(x for own in reversed(names) for x in own)
 
 
 class _Reader(HTMLParser):
@@ -76,22 +87,29 @@ class _Reader(HTMLParser):
         self.linked = 0
         self.links = 0
         self.unseen = 0
+        self.names: dict[str, int] = {}  # how many open block-level elements have a name
+        self.sums = np.zeros(PATH_DIM, np.float32)  # the hashed names, each once
 
-    def _path(self) -> tuple[str, ...]:
-        """The names of the block-level elements above a block, the nearest :data:`PATH_ELEMENTS` of them."""
-        node, names = self.open[-1][1] if self.open else None, []
-        while node is not None and len(names) < PATH_ELEMENTS:
-            names.append(node[0])
-            node = node[1]
-        return tuple(x for own in reversed(names) for x in own)
+    def _count(self, names: tuple[str, ...], by: int) -> None:
+        for name in names:
+            n = self.names[name] = self.names.get(name, 0) + by
+            if n == (by > 0):
+                at, sign = _slot(name, PATH_DIM)
+                self.sums[at] += sign * by
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(self._path(), text, self.linked))
+            self.blocks.append(Block(self.open[-1][1] if self.open else None, text, self.linked, self.sums.copy()))
         self.parts, self.linked = [], 0
 
+    def _end_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self._close(len(self.open) - 1)
+
     def handle_starttag(self, tag, attrs):
+        if tag not in _OF_HEAD:
+            self._end_head()
         if tag in _INLINE:
             if tag in ("br", "wbr", "img"):
                 self.parts.append(" " if tag != "wbr" else "")
@@ -116,6 +134,7 @@ class _Reader(HTMLParser):
             for k, v in attrs:
                 if k in ("class", "id", "role") and v:
                     names += [f".{x}" for x in regex.findall(r"[a-z]+", v.lower())]
+            self._count(tuple(names), 1)
             self.open.append((tag, (tuple(names), above[1]), len(self.open)))
         self.last.setdefault(tag, []).append(len(self.open) - 1)
         self.links += tag == "a"
@@ -127,8 +146,10 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def _close(self, at: int) -> None:
-        for tag, *_ in reversed(self.open[at:]):
+        for tag, node, _ in reversed(self.open[at:]):
             self.last[tag].pop()
+            if tag not in _INLINE:
+                self._count(node[0], -1)
             self.links -= tag == "a"
             self.unseen -= tag in _UNSEEN
         del self.open[at:]
@@ -141,6 +162,8 @@ class _Reader(HTMLParser):
             self._close(places[-1])
 
     def handle_data(self, data):
+        if self.unseen and data.strip():
+            self._end_head()
         if not self.unseen:
             self.parts.append(data)
             if self.links:
@@ -167,11 +190,14 @@ def vectors(found: list[Block]) -> np.ndarray:
     x = np.zeros((len(found), PATH_DIM + WORD_DIM + SHARES), np.float32)
     for i, b in enumerate(found):
         row = x[i]
-        for name in dict.fromkeys(b.path):
-            at, sign = _slot(name, PATH_DIM)
-            row[at] += sign
-        if b.path:
-            at, sign = _slot("leaf " + b.path[-1], PATH_DIM)
+        if b.sums is not None:
+            row[:PATH_DIM] = b.sums
+        else:
+            for name in dict.fromkeys(b.path):
+                at, sign = _slot(name, PATH_DIM)
+                row[at] += sign
+        if b.above:
+            at, sign = _slot("leaf " + b.above[0][-1], PATH_DIM)
             row[at] += sign
         words = _WORD.findall(b.text.lower())
         for w in words:
@@ -427,8 +453,12 @@ def label(w: dict[str, np.ndarray], pages: list[list[Block]]) -> list[np.ndarray
     """Whether each block of each page belongs to its main text; pages of like length are read together."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
-    for first in range(0, len(order), 64):
-        own = order[first : first + 64]
+    while order:
+        # longest last; as many as their padded blocks allow
+        own = [order.pop()]
+        most = len(pages[own[0]])
+        while order and len(own) < 64 and (len(own) + 1) * most <= BLOCKS_AT_ONCE:
+            own.append(order.pop())
         x, lengths = _padded([vectors(pages[i]) for i in own])
         p = predict(w, x, lengths)
         for k, i in enumerate(own):

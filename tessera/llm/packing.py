@@ -22,6 +22,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from tessera.llm import bpe
 from tessera.llm.common import materialise, n_tasks, reach_workers, worker_slot
 
 CAPACITY = 1024
+LONG_SPACE = 10_000
 END = 2
 
 PIECES = T.ArrayType(
@@ -44,13 +46,23 @@ class _Ranked(bpe.Vocabulary):
     def __init__(self, path: str):
         super().__init__(path)
         ranks = {raw: i for i, raw in self.bytes_of.items() if i not in self.special.values()}
+        self.long_space = regex.compile(r"\s{%d,}+" % LONG_SPACE)
         in_order = sorted(self.merges.values())
         self.engine = None
         if all(a >> bpe._AT_BITS & bpe._ID < b >> bpe._AT_BITS & bpe._ID for a, b in zip(in_order, in_order[1:])) and len(ranks) == 256 + len(in_order):
             self.engine = tiktoken.Encoding("file", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
 
     def _whole(self, text: str) -> bytes:
-        return array("I", self.engine(text)).tobytes() if self.engine else super()._whole(text)
+        if not self.engine:
+            return super()._whole(text)
+        # the engine's pattern keeps a state for each white-space character of a run, so long runs are words of their own here
+        out, start = [], 0
+        for run in self.long_space.finditer(text):
+            end = run.end() - (run.end() < len(text))  # the last one belongs to what follows
+            out += [array("I", self.engine(text[start : run.start()])).tobytes(), self._word(text[run.start() : end])]
+            start = end
+        out.append(array("I", self.engine(text[start:])).tobytes())
+        return b"".join(out)
 
 
 def _vocabulary(path: str) -> _Ranked:
@@ -212,12 +224,17 @@ def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) ->
     before = F.sum("n").over(Window.partitionBy("size").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
     base = parts.select(F.col("size").alias("__size"), F.col("__part").alias("__p"), F.coalesce(before, F.lit(0)).alias("__before"))
     plan, _ = best_fit(parts.groupBy("size").agg(F.sum("n").alias("n")), capacity)
-    plan = plan.select(F.col("size").alias("__len"), F.col("first").alias("__first"), F.col("n").alias("__n"), F.col("sequence").alias("__sequence"), "offset")
-    small = F.broadcast if plan.count() <= PLAN_ROWS else lambda df: df
+    # a row a length: its runs by first rank, so that each piece finds its own by halving and meets no other
+    run = F.struct("first", "sequence", "offset")
+    plan = plan.groupBy(F.col("size").alias("__len")).agg(F.array_sort(F.collect_list(run)).alias("__runs"))
+    total, most = plan.agg(F.sum(F.size("__runs")), F.max(F.size("__runs"))).first()
+    small = F.broadcast if (total or 0) <= PLAN_ROWS else lambda df: df
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range((most or 1).bit_length()))))
+    last = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= F.size("__runs")) & (F.try_element_at("__runs", at + step)["first"] <= F.col("__at")), at + step).otherwise(at))
     ranked = ranked.join(F.broadcast(base), (F.col(length) == F.col("__size")) & (F.col("__part") == F.col("__p")))
     ranked = ranked.withColumn("__at", F.col("__before") + F.col("__rank"))
-    own = (F.col(length) == F.col("__len")) & (F.col("__at") >= F.col("__first")) & (F.col("__at") < F.col("__first") + F.col("__n"))
     columns = [c for c in items.columns if c != "__row"]
-    placed = ranked.join(small(plan), own).select(*columns, (F.col("__sequence") + F.col("__at") - F.col("__first")).alias("sequence_id"), "offset")
+    placed = ranked.join(small(plan), F.col(length) == F.col("__len")).withColumn("__run", F.element_at("__runs", last))
+    placed = placed.select(*columns, (F.col("__run.sequence") + F.col("__at") - F.col("__run.first")).alias("sequence_id"), F.col("__run.offset").alias("offset"))
     none = F.lit(None).cast("long")
     return placed.unionByName(items.where(~fits).select(*columns, none.alias("sequence_id"), none.alias("offset")))

@@ -35,3 +35,16 @@ def test_nulls_and_clashing_columns(spark):
     rows = bpe.decode(bpe.encode(df, PATH), PATH).select("doc_id", "ids", "decoded", bpe.n_ids().alias("n")).collect()
     assert sorted((r.doc_id, bytes(r.ids) == b"", r.decoded, r.n) for r in rows) == [(1, True, "", 0), (2, False, "a b", 2), (2, True, "", 0)]
     assert bpe.encode(df.limit(0), PATH).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab é\n", max_size=60))
+def test_wide_words_merge_alike(text):
+    v = bpe.vocabulary(PATH)
+    ids = [v.of_byte[b] for b in text.encode()]
+    assert v._merge_wide(list(ids)) == v.merge(list(ids))
+
+
+@pytest.mark.parametrize("text", [" " * 200_000, "\n" * 100_000 + "x", "ab" * 100_000, "a  " * 50_000])
+def test_long_texts(text):
+    same(text)

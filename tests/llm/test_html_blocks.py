@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -58,15 +60,15 @@ def test_fit_on_empty_table(spark):
 
 def test_words_are_read_to_the_end_of_a_block():
     start = "same words " * 60
-    a, b = (hb.vectors([hb.Block(("p",), start + end, 0)]) for end in ("alpha beta gamma", "delta omega kappa"))
+    a, b = (hb.vectors([hb.Block((("p",), None), start + end, 0)]) for end in ("alpha beta gamma", "delta omega kappa"))
     words = slice(hb.PATH_DIM, hb.PATH_DIM + hb.WORD_DIM)
     assert not np.array_equal(a[0, words], b[0, words])
-    more = hb.vectors([hb.Block(("p",), start * 2, 0)])
+    more = hb.vectors([hb.Block((("p",), None), start * 2, 0)])
     assert more[0, hb.PATH_DIM + hb.WORD_DIM + 2] == np.float32(np.log1p(240) / 5)
 
 
 def test_training_reads_pages_to_their_end():
-    x = hb.vectors([hb.Block(("p",), f"words {i}", 0) for i in range(60)])
+    x = hb.vectors([hb.Block((("p",), None), f"words {i}", 0) for i in range(60)])
     y = np.ones(60)
     tail = y.copy()
     tail[50:] = 0
@@ -124,3 +126,48 @@ def test_repeated_and_long_pages(spark, weights):
     rows = hb.extract(df, weights).collect()
     assert len(rows) == 3 and rows[0].text == rows[1].text and rows[0].text.count("\n") > 2_950
     assert rows[0].n_chars == len(rows[0].text)
+
+
+def test_tags_that_may_be_left_out(spark):
+    said = ["Main text here.", "More."]
+    for page in (
+        "<html><head><title>t</title><p>Main text here.</p><p>More.</p></html>",
+        "<head><title>t</title><meta charset=x><link rel=y>Main text here.<p>More.",
+        "<html><head><script>var a</script><b>Main text here.</b><p>More.</html>",
+        "<html><head><noscript><p>hidden</p></noscript><style>p{}</style><body>Main text here.<p>More.",
+        "<title>t</title><p>Main text here.<p>More.",
+        "<html><head></head><p>Main text here.</p>More.</html>",
+    ):
+        assert [b.text for b in hb.blocks(page)] == said, page
+
+
+def plain_blocks(html):
+    """Texts of blocks by cutting at tags, for pages whose elements all have their end tags."""
+    import html as entities
+
+    shown = re.sub(r"(?is)<(script|style|head|noscript|template|iframe|title)\b.*?</\1\s*>|<!--.*?-->|<![^>]*>", "", html)
+    inline = "|".join(sorted(hb._INLINE - {"br", "img"}, key=len, reverse=True))
+    shown = re.sub(rf"(?i)</?(?:{inline})(?=[\s>/])[^>]*>", "", re.sub(r"(?i)<(br|img)\b[^>]*>", " ", shown))
+    parts = re.split(r"<[^>]*>", shown)
+    return [t for t in (" ".join(entities.unescape(p).split()) for p in parts) if t]
+
+
+def test_blocks_as_a_second_reader_sees_them():
+    import duckdb
+
+    pages = [r[0] for r in duckdb.connect().execute("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()]
+    same = sum([b.text for b in hb.blocks(p)] == plain_blocks(p) for p in pages if p)
+    assert same == sum(1 for p in pages if p)
+
+
+def test_all_of_a_deep_path_counts_and_long_pages_are_read_alone():
+    deep = "<div class=first>" + "<div>" * 3000
+    found = hb.blocks("<section class=outer>" + deep + "<p>text here</p>" + "</div>" * 3001 + "<p>after</p></section>")
+    plain = [hb.vectors([hb.Block(b.above, b.text, b.linked)]) for b in found]
+    assert all(np.array_equal(hb.vectors([b]), p) for b, p in zip(found, plain)) and len(found) == 2
+    assert ".first" in found[0].path and ".first" not in found[1].path
+    w = hb.new_weights()
+    pages = [hb.blocks("<p>a b</p>" * n) for n in (1, 3, 9000, 2, 5000, 5000, 7, 0)]
+    got = hb.label(w, pages)
+    assert [len(g) for g in got] == [len(p) for p in pages]
+    assert all(np.array_equal(g, hb.label(w, [p])[0]) for g, p in zip(got, pages))

@@ -101,3 +101,10 @@ def test_pieces_and_places(spark):
 
 def test_empty_table(spark):
     assert packing.pack(packing.pieces(spark.createDataFrame([], "doc_id long, text string"), PATH)).count() == 0
+
+
+def test_long_white_space_and_long_words_as_the_library_has_them():
+    v, library = packing._Ranked(PATH), Tokenizer.from_file(PATH)
+    for text in (" " * 2_000_000, "\n" * 1_200_000 + " x", "a" * 300_000, "b" + "\u00a0 " * 60_000 + "c", " " * 20_000 + "\n" * 20_000 + "d", "x" + " " * 9_999 + "y" + " " * 10_000 + "z " + "\t" * 30_000):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(v.encode(text), np.uint32).tolist() == wanted, text[:5]
