@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -7,8 +8,17 @@ from tessera.llm import fingerprints as fp
 
 
 def units(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    return [u for w in words for u in ([w] if len(w) <= 32 else [w[i : i + 8] for i in range(len(w) - 7)])]
+    """Units character by character: a cut after each one but between letters of a syllable."""
+    kind = lambda c: "v" if re.match(f"[{fp.VOWELS}]", c) else "c" if re.match(f"[{fp.LETTERS}]", c) else " " if c in " \t\n\v\f\r" else "x"
+    out, before = [], " "
+    for c in text or "":
+        now = kind(c)
+        if before + now in ("cc", "cv", "vv"):
+            out[-1] += c
+        elif now != " ":
+            out.append(c)
+        before = now
+    return out
 
 
 def brute_next(rows):
@@ -46,7 +56,7 @@ def test_edits_follow_the_next_document(spark):
 
 def test_windows_keep_the_rightmost_minimum(spark):
     """Every window of hashes has its rightmost minimum among the kept ones, and nothing else is kept."""
-    k, window = 4, 8
+    k, window = fp.K, fp.WINDOW
     df = spark.createDataFrame(ROWS, "doc_id long, text string")
     gram = F.expr("transform(sequence(0, greatest(size(u) - 4, 0)), i -> xxhash64(xxhash64(xxhash64(u[i]), xxhash64(u[i + 1])), xxhash64(xxhash64(u[i + 2]), xxhash64(u[i + 3]))))")
     marks = fp.with_fingerprint(df, "text", "m", k, window)
@@ -72,12 +82,37 @@ def test_empty_tables_and_null_or_repeated_keys(spark):
 
 def test_passages_without_spaces_share_hashes_at_any_offset(spark):
     passage = "".join(chr(0x4E00 + (i * i * 31 + 7 * i) % 4000) for i in range(60))
-    texts = [passage, "x" + passage, "abc" + passage + "def", passage[5:25] + "zz" * 30]
+    texts = [passage, "x" + passage, "abc" + passage + "def", passage[5:26] + "zz" * 30]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = fp.with_fingerprint(df).select("doc_id", fp.hashes_of("marks").alias("h")).collect()
     own = {r.doc_id: set(r.h) for r in rows}
     assert all(len(own[0] & own[i]) >= 0.7 * len(own[0]) for i in (1, 2))
-    assert own[0] & own[3]  # 20 characters in a row guarantee one
+    assert own[0] & own[3]  # 21 characters in a row guarantee one
+
+
+def test_shared_units_share_a_hash_whatever_the_length_of_runs(spark):
+    """Passages of 19 whole units inside runs of 1 to 100 characters more on either side, with and without spaces."""
+    rnd = random.Random(1)
+    draw = {
+        "han": lambda n: "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(n)),
+        "kana": lambda n: "".join(chr(0x3041 + rnd.randrange(80)) for _ in range(n)),
+        "letters": lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyzäé") for _ in range(n)),
+        "code": lambda n: "".join(rnd.choice("ABCDEFabcdef0123456789+/=") for _ in range(n)),
+        "cyrillic": lambda n: "".join(chr(0x0410 + rnd.randrange(64)) for _ in range(n)),
+        "words": lambda n: "".join(rnd.choice("aeioutnrs  ") for _ in range(n)),
+    }
+    rows, pairs = [], []
+    for kind, made in draw.items():
+        for n in range(1, 101):
+            shared = made(160)
+            inner = units(shared)[1:-1]  # the first and the last may go on outside
+            both = [made(n) + shared, made(101 - n) + shared + made(n)]
+            if len(inner) >= fp.K + fp.WINDOW - 1:
+                pairs.append((kind, n, len(rows)))
+                rows += [(len(rows), both[0]), (len(rows) + 1, both[1])]
+    got = {r.doc_id: set(r.h) for r in fp.with_fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", fp.hashes_of("marks").alias("h")).collect()}
+    assert len(pairs) > 500
+    assert [(kind, n) for kind, n, i in pairs if not got[i] & got[i + 1]] == []
 
 
 def test_likeness_is_the_jaccard_share_of_hashes(spark):
