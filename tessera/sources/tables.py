@@ -1,10 +1,22 @@
-"""The tables of a workspace: versioned Parquet snapshots behind a pointer."""
+"""The tables of a workspace: bucketed Parquet snapshots behind one manifest for all of them.
+
+A commit is one small file that names, for every table, the folder of each of its buckets.  Folders are never changed once
+written, so readers of a commit see all tables as of one moment, a job that is lost before its commit leaves nothing to see,
+and what was there before is still there: that is what undoing reads.  A change of few rows rewrites the buckets of their
+keys alone.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import materialise
+
 #: The tables of a workspace and their columns.
 SCHEMAS = {
     "full_docs": "id string, content string, file_path string, create_time long, update_time long",
@@ -18,49 +30,278 @@ SCHEMAS = {
     "nodes": "id string, entity_type string, description string, source_ids array<string>, file_path string, vector array<float>",
     "edges": "src string, tgt string, weight double, keywords string, description string, source_ids array<string>, file_path string, vector array<float>",
     "chunks": "id string, content string, full_doc_id string, file_path string, vector array<float>",
+    "lc_documents": "id string, active_version string, updated_by string",
+    "lc_versions": "id string, document_id string, status string, updated_by string",
+    "lc_contributions": "id string, document_id string, version_id string, kind string, object_id string, payload string, hash string, active boolean",
+    "lc_objects": "id string, kind string, object_id string, payload string, hash string, vector array<float>",
+    "lc_tombstones": "id string, document_id string, version_id string, scope string, reason string, deleted_by string",
+    "lc_mutations": "id string, operation string, status string, n_applied int, n_compensated int, commit long, error string",
+    "lc_steps": "id string, mutation_id string, step int, action string, status string",
 }
+#: The columns that tell rows of a table apart, where it is not ``id``.
+KEYS = {"edges": ["src", "tgt"]}
+BUCKETS = 16
+
+
+class Conflict(RuntimeError):
+    """Another job has committed to the same tables, or to the same rows, in between."""
 
 
 class Store:
-    """Tables under ``root/workspace=<name>/<table>``.
+    """Tables under ``root/workspace=<name>``; rows are dealt into buckets by a hash of their keys.
 
-    A commit writes a new numbered snapshot and then its one-row pointer; readers follow the newest pointer, so a lost job
-    leaves the table as it was, and rolling back is reading an older number.
+    ``buckets`` holds for tables that are written as a whole from now on: a change rewrites whole buckets, so a table of
+    many TB wants thousands of them.
     """
 
-    def __init__(self, spark: SparkSession, root: str, workspace: str = "default"):
-        self.spark, self.root, self.workspace = spark, root.rstrip("/"), workspace
+    def __init__(self, spark: SparkSession, root: str, workspace: str = "default", buckets: int = BUCKETS):
+        self.spark, self.root, self.workspace, self.buckets = spark, root.rstrip("/"), workspace, buckets
+
+    # --- files ---
+
+    def at(self, *parts: str) -> str:
+        return "/".join([f"{self.root}/workspace={self.workspace}", *parts])
+
+    def _fs(self, path: str):
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+    def names(self, path: str) -> list[str]:
+        """Names in a folder; none where it is not there."""
+        fs, at = self._fs(path)
+        return sorted(f.getPath().getName() for f in fs.listStatus(at)) if fs.exists(at) else []
+
+    def get(self, path: str) -> dict | None:
+        fs, at = self._fs(path)
+        if not fs.exists(at):
+            return None
+        stream = fs.open(at)
+        try:
+            return json.loads(bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
+        finally:
+            stream.close()
+
+    def put(self, path: str, value: dict, replace: bool = False) -> None:
+        """Write a small file so that it is there as a whole or not at all."""
+        fs, at = self._fs(path)
+        _, draft = self._fs(f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        try:
+            stream.write(bytearray(json.dumps(value).encode()))
+        finally:
+            stream.close()
+        if fs.exists(at):
+            if not replace:
+                fs.delete(draft, False)
+                raise Conflict(f"{path} is there already")
+            fs.delete(at, False)
+        if not fs.rename(draft, at):
+            raise Conflict(f"{path} could not be put in place")
 
-    def _path(self, table: str, part: str) -> str:
+    def remove(self, path: str) -> None:
+        fs, at = self._fs(path)
+        fs.delete(at, True)
+
+    # --- commits ---
+
+    def latest(self) -> int:
+        """The number of the newest commit; 0 before the first."""
+        return max((int(n[:-5]) for n in self.names(self.at("_commits")) if n.endswith(".json") and n[0] != "_"), default=0)
+
+    def manifest(self, commit: int | None = None) -> dict:
+        """{commit, note, tables: {name: {buckets, folders}}, keys: {table: folder of changed keys, null for all}}."""
+        commit = self.latest() if commit is None else commit
+        if not commit:
+            return {"commit": 0, "note": "", "tables": {}, "keys": {}}
+        found = self.get(self.at("_commits", f"{commit:012d}.json"))
+        if found is None:
+            raise ValueError(f"no such commit: {commit}")
+        return found
+
+    def schema(self, table: str) -> str:
         if table not in SCHEMAS:
             raise ValueError(f"no such table: {table}")
-        return f"{self.root}/workspace={self.workspace}/{table}/{part}"
-
-    def version(self, table: str) -> int:
-        """The newest snapshot's number; 0 before the first commit."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._path(table, "pointers"))
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return 0
-        return self.spark.read.schema("version long").parquet(self._path(table, "pointers")).agg(F.max("version")).first()[0] or 0
-
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        version = self.version(table) if version is None else version
-        if not version:
-            return self.spark.createDataFrame([], SCHEMAS[table])
-        return self.spark.read.schema(SCHEMAS[table]).parquet(self._path(table, f"v{version}"))
+        return SCHEMAS[table]
+
+    def load(self, table: str, entry: dict | None, buckets: set[int] | None = None) -> DataFrame:
+        """The rows of a table behind an entry of a manifest, of some of its buckets or of all."""
+        folders = {int(b): f for b, f in (entry or {}).get("folders", {}).items() if buckets is None or int(b) in buckets}
+        if not folders:
+            return self.spark.createDataFrame([], self.schema(table))
+        return self.spark.read.schema(self.schema(table)).parquet(*[self.at(table, f, f"__bucket={b}") for b, f in sorted(folders.items())])
+
+    def read(self, table: str, commit: int | None = None) -> DataFrame:
+        """A table as of a commit, the newest by default."""
+        self.schema(table)
+        return self.load(table, self.manifest(commit)["tables"].get(table))
+
+    def begin(self, name: str = "commit") -> Transaction:
+        """A transaction; one of this name that was lost goes on after its last finished stage, unless others committed since."""
+        return Transaction(self, name)
 
     def commit(self, table: str, rows: DataFrame) -> int:
-        version = self.version(table) + 1
-        columns = [f.name for f in self.spark.createDataFrame([], SCHEMAS[table]).schema]
-        rows.select(*columns).write.mode("overwrite").parquet(self._path(table, f"v{version}"))
-        self.spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(self._path(table, "pointers"))
-        return version
+        """Replace a table; returns the number of the commit."""
+        t = Transaction(self, None)
+        t.replace(table, rows)
+        return t.publish(f"replace {table}")
+
+    def change(self, table: str, new: DataFrame | None = None, gone: DataFrame | None = None) -> int:
+        """Put rows in and take rows out by their keys; returns the number of the commit."""
+        t = Transaction(self, None)
+        t.change(table, new, gone)
+        return t.publish(f"change {table}")
 
     def drop(self, table: str) -> None:
         """Empty a table; its snapshots stay for readers that hold them."""
-        self.commit(table, self.spark.createDataFrame([], SCHEMAS[table]))
+        self.commit(table, self.spark.createDataFrame([], self.schema(table)))
+
+    def undo(self, commit: int) -> int:
+        """Bring the rows that a commit changed back to what they were before it; returns the number of the new commit.
+
+        Rows are told by the keys that the commit has kept, their earlier values read from the commit before.  A later
+        commit on one of these rows is a :class:`Conflict`, unless it has been undone before.
+        """
+        own, before = self.manifest(commit), self.manifest(commit - 1)
+        later = [m for m in map(self.manifest, range(commit + 1, self.latest() + 1))]
+        settled = {m["undoes"] for m in later if "undoes" in m} | {m["commit"] for m in later if "undoes" in m}
+        t = Transaction(self, None)
+        for table, folder in own["keys"].items():
+            for m in later:
+                if table in m["keys"] and m["commit"] not in settled:
+                    if folder is None or m["keys"][table] is None or not self.keys(table, folder).join(self.keys(table, m["keys"][table]), self.key(table)).isEmpty():
+                        raise Conflict(f"commit {m['commit']} has changed rows of commit {commit} since")
+            if folder is None:
+                t.point(table, before["tables"].get(table))
+            else:
+                keys = self.keys(table, folder)
+                t.change(table, self.load(table, before["tables"].get(table)).join(keys, self.key(table), "left_semi"), keys)
+        return t.publish(f"undo {commit}", undoes=commit)
+
+    def key(self, table: str) -> list[str]:
+        return KEYS.get(table, ["id"])
+
+    def keys(self, table: str, folder: str) -> DataFrame:
+        return self.spark.read.schema(", ".join(f"{k} string" for k in self.key(table))).parquet(self.at(table, folder))
+
+
+class Transaction:
+    """Changes of several tables that readers see together or never.
+
+    Work is done in named stages (:meth:`stage`); after each, what it has written is noted, so that the same transaction,
+    begun again after its job was lost, skips the stages that are done.  Reads see the changes so far.
+    """
+
+    def __init__(self, store: Store, name: str | None):
+        self.store, self.name = store, name
+        self.state = {"base": store.latest(), "tables": {}, "keys": {}, "kept": {}, "stages": []}
+        found = store.get(self._note) if name else None
+        if found and found["base"] == self.state["base"]:
+            self.state = found
+        self.base = store.manifest(self.state["base"])
+
+    @property
+    def _note(self) -> str:
+        return self.store.at("_open", f"{self.name}.json")
+
+    def _entry(self, table: str) -> dict | None:
+        own = self.state["tables"]
+        return own[table] if table in own else self.base["tables"].get(table)
+
+    def read(self, table: str) -> DataFrame:
+        self.store.schema(table)
+        return self.store.load(table, self._entry(table))
+
+    def point(self, table: str, entry: dict | None) -> None:
+        """Let a table be what an entry of an earlier manifest says."""
+        self.state["tables"][table], self.state["keys"][table] = entry, None
+
+    def _bucket(self, table: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(*self.store.key(table)), F.lit(n)).cast("int")
+
+    def _write(self, table: str, rows: DataFrame, n: int) -> dict[str, str]:
+        columns = self.store.spark.createDataFrame([], self.store.schema(table)).columns
+        folder = f"w-{uuid.uuid4().hex}"
+        dealt = rows.select(*columns, self._bucket(table, n).alias("__bucket"))
+        # large buckets are split over tasks, small ones share a task
+        dealt.hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(self.store.at(table, folder))
+        return {name.partition("=")[2]: folder for name in self.store.names(self.store.at(table, folder)) if name.startswith("__bucket=")}
+
+    def replace(self, table: str, rows: DataFrame) -> None:
+        n = self.store.buckets
+        self.point(table, {"buckets": n, "folders": self._write(table, rows, n)})
+
+    def change(self, table: str, new: DataFrame | None = None, gone: DataFrame | None = None) -> None:
+        """Rows of ``new`` replace those of their keys, keys of ``gone`` go; buckets of other keys are not read or written.
+
+        The keys are kept with the commit, for :meth:`Store.undo`.  ``new`` has one row a key.
+        """
+        key, spark = self.store.key(table), self.store.spark
+        entry = self._entry(table) or {"buckets": self.store.buckets, "folders": {}}
+        n = entry["buckets"]
+        columns = spark.createDataFrame([], self.store.schema(table)).columns
+        fresh = materialise((new if new is not None else spark.createDataFrame([], self.store.schema(table))).select(*columns), "fresh")
+        keys = fresh.select(*key) if gone is None else fresh.select(*key).union(gone.select(*key)).distinct()
+        folder = f"k-{uuid.uuid4().hex}"
+        keys.write.parquet(self.store.at(table, folder))
+        keys = self.store.keys(table, folder)
+        touched = {r[0] for r in keys.select(self._bucket(table, n)).distinct().collect()}  # at most as many as buckets
+        earlier = self.state["keys"].get(table, "none")
+        if earlier not in ("none", None):  # changed before in this transaction: both sets of keys
+            both = f"k-{uuid.uuid4().hex}"
+            keys.union(self.store.keys(table, earlier)).distinct().write.parquet(self.store.at(table, both))
+            folder = both
+        if touched:
+            left = self.store.load(table, entry, touched).join(keys, key, "left_anti")
+            written = self._write(table, left.unionByName(fresh), n)
+            folders = {b: f for b, f in entry["folders"].items() if int(b) not in touched} | written
+        else:
+            folders = entry["folders"]
+        self.state["tables"][table] = {"buckets": n, "folders": folders}
+        self.state["keys"][table] = None if earlier is None else folder
+
+    def stage(self, name: str, work: Callable[[], None]) -> None:
+        """Do ``work`` unless it is done; if it fails, tables are as before the stage."""
+        if name in self.state["stages"]:
+            return
+        before = json.dumps(self.state)
+        try:
+            work()
+        except BaseException:
+            self.state = json.loads(before)
+            raise
+        self.state["stages"].append(name)
+        if self.name:
+            self.store.put(self._note, self.state, replace=True)
+
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows that later stages need, written once."""
+        folder = f"{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(self.store.at("_open", folder))
+        self.state["kept"][name] = [folder, rows.schema.json()]
+        return self.kept(name)
+
+    def kept(self, name: str) -> DataFrame:
+        from pyspark.sql.types import StructType
+
+        folder, schema = self.state["kept"][name]
+        return self.store.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(self.store.at("_open", folder))
+
+    def publish(self, note: str = "", **more: int) -> int:
+        """Make all changes visible at once; returns the number of the commit.
+
+        Commits of others to other tables meanwhile are no matter; to the same tables they are a :class:`Conflict`.
+        """
+        store, latest = self.store, self.store.manifest()
+        for m in map(store.manifest, range(self.state["base"] + 1, latest["commit"] + 1)):
+            if set(m["keys"]) & set(self.state["tables"]):
+                raise Conflict(f"commit {m['commit']} has changed {sorted(set(m['keys']) & set(self.state['tables']))} since")
+        number = latest["commit"] + 1
+        tables = latest["tables"] | self.state["tables"]
+        value = {"commit": number, "note": note, "tables": {t: e for t, e in tables.items() if e}, "keys": self.state["keys"]} | more
+        store.put(store.at("_commits", f"{number:012d}.json"), value)
+        if self.name:
+            store.remove(self._note)
+        return number
 
 
 def flatten_cache(nested: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 import io
 import zipfile
 
+import pytest
+
 from tessera.operators import vectors
 from tessera.sources import files
-from tessera.sources.tables import Store
+from tessera.sources.tables import Conflict, Store
 from tessera.streaming.ingest import enqueue_stream, event_counts
 
 
@@ -56,3 +58,61 @@ def test_vector_upsert_replaces(spark):
     new = spark.createDataFrame([("b", "zz"), ("c", "w")], "id string, content string")
     got = {r.id: r.vector for r in vectors.upsert(old, new, lambda texts: [[float(len(t))] for t in texts], 1).collect()}
     assert got == {"a": [1.0], "b": [2.0], "c": [1.0]}
+
+
+def _rows(spark, store, ids, content="x"):
+    return spark.createDataFrame([(i, content, "p", 1, 1) for i in ids], store.read("full_docs").schema)
+
+
+def _ids(df):
+    return {(r.id, r.content) for r in df.collect()}
+
+
+def test_a_small_change_rewrites_the_buckets_of_its_keys_alone(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.commit("full_docs", _rows(spark, s, [f"d{i}" for i in range(200)]))
+    before = s.manifest()["tables"]["full_docs"]["folders"]
+    s.change("full_docs", _rows(spark, s, ["d1", "new"], "y"), _rows(spark, s, ["d2"]).select("id"))
+    after = s.manifest()["tables"]["full_docs"]["folders"]
+    assert 1 <= sum(before[b] != after[b] for b in before) <= 3
+    got = _ids(s.read("full_docs"))
+    assert len(got) == 200 and ("d1", "y") in got and ("new", "y") in got and ("d2", "x") not in got
+    assert len(_ids(s.read("full_docs", 1))) == 200 and ("d2", "x") in _ids(s.read("full_docs", 1))
+
+
+def test_tables_of_a_transaction_change_together(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.commit("full_docs", _rows(spark, s, ["a"]))
+    t = s.begin("both")
+    t.stage("one", lambda: t.change("full_docs", _rows(spark, s, ["b"])))
+    with pytest.raises(ZeroDivisionError):
+        t.stage("two", lambda: (t.change("full_docs", _rows(spark, s, ["c"])), 1 / 0))
+    assert _ids(s.read("full_docs")) == {("a", "x")} and _ids(t.read("full_docs")) == {("a", "x"), ("b", "x")}
+    again = s.begin("both")  # the job was lost; the finished stage is not done again
+    again.stage("one", lambda: 1 / 0)
+    again.stage("two", lambda: again.change("full_docs", _rows(spark, s, ["d"])))
+    again.publish()
+    assert _ids(s.read("full_docs")) == {("a", "x"), ("b", "x"), ("d", "x")}
+    # a note from before another commit is not gone on with
+    lost = s.begin("other")
+    lost.stage("one", lambda: lost.change("full_docs", _rows(spark, s, ["z"])))
+    s.change("full_docs", _rows(spark, s, ["e"]))
+    assert s.begin("other").state["stages"] == []
+    with pytest.raises(Conflict):
+        lost.publish()
+
+
+def test_undo_restores_rows_and_keeps_what_others_did(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.commit("full_docs", _rows(spark, s, [f"d{i}" for i in range(20)]))
+    n = s.change("full_docs", _rows(spark, s, ["d1", "new"], "y"), _rows(spark, s, ["d2"]).select("id"))
+    s.change("full_docs", _rows(spark, s, ["d7"], "other"))
+    s.undo(n)
+    assert _ids(s.read("full_docs")) == {(f"d{i}", "other" if i == 7 else "x") for i in range(20)}
+    m = s.change("full_docs", _rows(spark, s, ["d3"], "y"))
+    k = s.change("full_docs", _rows(spark, s, ["d3"], "z"))
+    with pytest.raises(Conflict):
+        s.undo(m)
+    s.undo(k)
+    s.undo(m)
+    assert ("d3", "x") in _ids(s.read("full_docs"))
