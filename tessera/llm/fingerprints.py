@@ -1,13 +1,14 @@
 """Winnowing fingerprints of documents, with DataFrame functions alone.
 
-Units are chosen by what they hold, never by how long a run of characters is: in Latin, Greek and Cyrillic letters a unit is
-a syllable of sorts (consonants and the vowels after them, or the consonants that end a run of letters), and any other
-character that is no white space (digits, signs, characters of scripts without spaces) is a unit of its own.  Whether a unit
+Units are chosen by what they hold, never by how long a run of characters is: among Latin, Greek and Cyrillic letters a unit
+ends after each o and u (of these scripts, with marks too) and at the end of the run, so a word is one unit or two and a run
+of any length is cut; any other character that is no white space (digits, signs, characters of scripts without spaces) is a
+unit of its own.  Whether a unit
 ends between two characters depends on these two alone, so a passage has the same units wherever it stands, but for the
 first and the last, which may go on outside of it.  Each ``k`` neighbouring units give one hash; of every ``window``
 neighbouring hashes the smallest is kept, the rightmost of equal ones, with its position.  Two texts that share ``k + window
-- 1`` = 19 whole units in a row therefore share at least one kept hash (the guarantee of winnowing): some ten words, or 21
-characters of a script without spaces, where the first and the last may be cut.
+- 1`` = 11 whole units in a row therefore share at least one kept hash (the guarantee of winnowing): some eight words, or 13
+characters of a script without spaces, whatever stands beside them.
 
 The hash of a k-gram rolls by doubling: the hash of ``2m`` units combines those of two runs of ``m``.  Window minima are
 found the same way, so each step costs a few passes over an array and no substring is cut twice.
@@ -19,10 +20,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 4
-WINDOW = 16
-#: Letters of the scripts whose words have syllables, and those of them that end one.
+WINDOW = 8
+#: Letters whose runs are cut after some of them, and these.
 LETTERS = "A-Za-z\\u00AA\\u00B5\\u00BA\\u00C0-\\u00D6\\u00D8-\\u00F6\\u00F8-\\u024F\\u0370-\\u03FF\\u0400-\\u052F\\u1E00-\\u1EFF"
-VOWELS = "AEIOUaeiou\\u00C0-\\u00C6\\u00C8-\\u00CF\\u00D2-\\u00D6\\u00D8-\\u00DC\\u00E0-\\u00E6\\u00E8-\\u00EF\\u00F2-\\u00F6\\u00F8-\\u00FC\\u0391\\u0395\\u0397\\u0399\\u039F\\u03A5\\u03A9\\u03B1\\u03B5\\u03B7\\u03B9\\u03BF\\u03C5\\u03C9\\u0410\\u0415\\u0418\\u041E\\u0423\\u042B\\u042D-\\u0430\\u0435\\u0438\\u043E\\u0443\\u044B\\u044D-\\u044F"
+ENDS = "OUou\u00D2-\u00D6\u00D8-\u00DC\u00F2-\u00F6\u00F8-\u00FC\u039F\u03A5\u03BF\u03C5\u041E\u0423\u043E\u0443"
 _POS = 31  # bits of a position under a hash
 
 
@@ -40,8 +41,8 @@ def _doubled(df: DataFrame, values: str, width: int, combine) -> DataFrame:
 
 
 def _units(text: Column) -> Column:
-    closed = f"[{LETTERS}&&[^{VOWELS}]]"
-    unit = rf"{closed}*+[{VOWELS}]++|{closed}++|[^\x20\x09-\x0D]"
+    closed = f"[{LETTERS}&&[^{ENDS}]]"
+    unit = rf"{closed}*+[{ENDS}]++|{closed}++|[^\x20\x09-\x0D]"
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(unit), F.lit(0))
 
 
