@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.ids import content_id
@@ -25,16 +25,19 @@ def delete(table: DataFrame, gone: DataFrame, key: str = "id") -> DataFrame:
 
 def enqueue(texts: DataFrame, full_docs: DataFrame, text: str = "text", path: str = "file_path", pos: str = "pos") -> DataFrame:
     """Status rows of offered texts (pos, text, file_path): a first text is pending under the md5 of its clean content; a text
-    that came before or is stored is a failed duplicate, with an id of its own that names the original."""
+    that came before or is stored is a failed duplicate, with an id of its own that names the original.  Positions may repeat;
+    of texts at one position the one with the smaller path counts as first."""
     clean = texts.withColumn("content", sanitize(text)).withColumn("doc_id", content_id("content", "doc-"))
     # ids and summaries alone go on, so that texts are cleaned once and never move
     rows = clean.select(pos, "doc_id", summary("content").alias("content_summary"), F.char_length("content").alias("content_length"), file_path(path).alias("file_path"))
-    rows = materialise(rows, "cleaned")
+    nth = F.row_number().over(Window.partitionBy("doc_id", pos).orderBy("file_path"))
+    rows = materialise(rows.withColumn("__nth", nth), "cleaned")
     first = rows.groupBy("doc_id").agg(F.min(pos).alias("__first"))
     stored = full_docs.select(F.col("id").alias("doc_id"), F.lit(True).alias("__stored")).distinct()
     rows = rows.join(first, "doc_id").join(stored, "doc_id", "left")
-    again = F.col("__stored").isNotNull() | (F.col(pos) != F.col("__first"))
-    dup = content_id(F.concat("doc_id", F.lit("-"), F.col(pos).cast("string")), "dup-")
+    again = F.col("__stored").isNotNull() | (F.col(pos) != F.col("__first")) | (F.col("__nth") > 1)
+    more = F.when(F.col("__nth") > 1, F.concat(F.lit("-"), F.col("__nth").cast("string"))).otherwise(F.lit(""))
+    dup = content_id(F.concat("doc_id", F.lit("-"), F.col(pos).cast("string"), more), "dup-")
     return rows.select(
         F.when(again, dup).otherwise(F.col("doc_id")).alias("id"), F.when(again, "failed").otherwise("pending").alias("status"), "content_summary", "content_length", "file_path",
         F.when(again, F.col("doc_id")).alias("original_id"), pos,

@@ -23,6 +23,7 @@ SCHEMAS = {
     "doc_status": "id string, status string, content_summary string, content_length int, chunks_count int, chunks_list array<string>, created_at timestamp, updated_at timestamp, file_path string, track_id string, error_msg string, metadata map<string,string>",
     "text_chunks": "id string, tokens int, content string, chunk_order_index int, full_doc_id string, file_path string, llm_cache_list array<string>, create_time long, update_time long",
     "llm_response_cache": "id string, `return` string, cache_type string, chunk_id string, original_prompt string, queryparam string, create_time long, update_time long",
+    "extractions": "id string, entities array<struct<turn:int,pos:int,name:string,entity_type:string,description:string>>, relations array<struct<turn:int,pos:int,src:string,tgt:string,keywords:string,description:string,weight:double>>",
     "full_entities": "id string, entity_names array<string>, count int",
     "full_relations": "id string, relation_pairs array<struct<src:string,tgt:string>>, count int",
     "entity_chunks": "id string, chunk_ids array<string>, count int",

@@ -10,27 +10,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators import mutations
+from tessera.plans.engine import contents
+from tessera.sources.scratch import materialise
 from tessera.sources.tables import Store
 
 
 def enqueue_stream(spark: SparkSession, source: str, schema: str, store: Store, checkpoint: str) -> StreamingQuery:
-    """Follow Parquet files (pos, text, file_path) under a directory until none is left; each batch adds to full_docs and
-    doc_status of a store."""
+    """Follow Parquet files (pos, text, file_path) under a directory until none is left; each batch adds cleaned texts to
+    full_docs and rows to doc_status of a store, in one commit."""
 
     def batch(df: DataFrame, _: int) -> None:
-        full = store.read("full_docs")
-        queued = mutations.enqueue(df, full)
-        content = df.select("pos", F.col("text").alias("content"))
-        fresh = queued.where("status = 'pending'").join(content, "pos")
-        docs = fresh.select("id", "content", "file_path", F.lit(0).cast("long").alias("create_time"), F.lit(0).cast("long").alias("update_time"))
+        t = store.begin("enqueue-stream")
+        queued = materialise(mutations.enqueue(df, t.read("full_docs")), "queued")
         states = queued.select(
             "id", "status", "content_summary", F.col("content_length").cast("int").alias("content_length"), F.lit(0).alias("chunks_count"), F.array().cast("array<string>").alias("chunks_list"),
             F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"), "file_path", F.lit(None).cast("string").alias("track_id"), F.lit(None).cast("string").alias("error_msg"),
             F.create_map(F.lit("original"), F.coalesce("original_id", F.lit(""))).alias("metadata"),
         )
-        old = store.read("doc_status")
-        store.commit("doc_status", old.join(states.select("id"), "id", "left_anti").unionByName(states))
-        store.commit("full_docs", full.join(docs.select("id"), "id", "left_anti").unionByName(docs))
+        t.change("doc_status", states)
+        t.change("full_docs", contents(df, queued))
+        t.publish("enqueue stream")
 
     stream = spark.readStream.schema(schema).parquet(source)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
