@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from tessera.functions.text import is_float, normalize_name, repair_delimiters
 
 #: The form of extraction answers.
 DELIMITER, COMPLETE = "<|#|>", "<|COMPLETE|>"
+_TOKEN = re.compile("[^\x20\x09-\x0d]+")
 
 
 def words(text: Column | str) -> Column:
@@ -144,3 +146,78 @@ def relation_records(records: DataFrame) -> DataFrame:
     rows = rows.withColumn("keywords", F.regexp_replace(normalize_name(F.get("fields", F.lit(3)), True), "，", ",")).withColumn("description", normalize_name(F.get("fields", F.lit(4))))
     weight = F.when((F.size("fields") > 5) & is_float(last), last.cast("double")).otherwise(F.lit(1.0))
     return rows.withColumn("weight", weight).where("src <> '' and tgt <> '' and src <> tgt").drop("fields", "kind")
+
+
+def windows_with_offsets(df: DataFrame, text: str, size: int = 1200, overlap: int = 100) -> DataFrame:
+    """(…, chunk_order_index, tokens, start, length, content): token windows of :func:`windows` as they stand in the text.
+
+    ``content`` is the text from ``start`` (code points, from 0) on, white space inside kept, so a repeated passage has the
+    place it was cut from.  Tokens are runs of other characters than ASCII white space; null texts have none.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap must lie between 0 and the size")
+
+    @F.arrow_udf("array<struct<tokens:int,start:long,length:long>>")
+    def cut(texts: pa.Array) -> pa.Array:
+        rows = []
+        for t in texts.to_pylist():
+            spans = [m.span() for m in _TOKEN.finditer(t or "")]
+            own = [spans[i : i + size] for i in range(0, len(spans), size - overlap)]
+            rows.append([{"tokens": len(w), "start": w[0][0], "length": w[-1][1] - w[0][0]} for w in own])
+        return pa.array(rows, pa.list_(pa.struct([("tokens", pa.int32()), ("start", pa.int64()), ("length", pa.int64())])))
+
+    out = df.select("*", F.posexplode(cut(text)).alias("chunk_order_index", "__span"))
+    whole = F.substring(F.col(text), (F.col("__span.start") + 1).cast("int"), F.col("__span.length").cast("int"))
+    return out.select("*", "__span.tokens", "__span.start", "__span.length", whole.alias("content")).drop("__span")
+
+
+def section_units(df: DataFrame, key: str, text: str, is_title: Column, is_heading: Column, kinds: dict[str, Column]) -> DataFrame:
+    """(unit_id, key, block, section, title, kind, start, length, line_start, line_end, content): texts cut into sections.
+
+    ``is_title`` and ``is_heading`` are conditions on ``line``: a title opens a block and its first section, a heading
+    another section of the block.  Lines before the first title are left out, but a text without any title is one block 0.
+    ``kinds`` names conditions on ``content``, of which the first that holds counts, else ``unknown``.  Sections of a block
+    follow each other without gap or overlap and cover it; empty ones (white space alone) have no unit.  ``start`` counts
+    code points from 0, the lines' ends included in what they end; equal contents at other places have other ids.
+    """
+    lines = df.select(F.col(key).alias("key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    lines = lines.withColumn("t", F.coalesce(is_title, F.lit(False))).withColumn("h", F.coalesce(is_heading, F.lit(False)))
+    lines = lines.select("key", "line_no", F.char_length("line").alias("n"), "t", "h", F.when(F.col("t"), F.col("line")).alias("title"))
+    w = Window.partitionBy("key").orderBy("line_no")
+    lines = lines.withColumn("start", F.sum(F.col("n") + 1).over(w) - F.col("n") - 1).withColumn("block", F.sum(F.col("t").cast("long")).over(w))
+    lines = lines.withColumn("cut", F.sum((F.col("t") | F.col("h")).cast("long")).over(w))
+    spans = lines.groupBy("key", "block", "cut").agg(
+        F.min("start").alias("start"), (F.max(F.col("start") + F.col("n") + 1) - F.min("start")).alias("length"), F.min("line_no").alias("line_start"), F.max("line_no").alias("line_end"), F.max("title").alias("title")
+    )
+    blocks = Window.partitionBy("key", "block").orderBy("cut")
+    spans = spans.withColumn("section", F.row_number().over(blocks) - 1).withColumn("title", F.first("title", ignorenulls=True).over(blocks)).withColumn("last", F.max("block").over(Window.partitionBy("key")))
+    # the spans of a text meet it once more as one row, so that texts are not carried along with every line
+    spans = spans.where((F.col("block") > 0) | (F.col("last") == 0)).groupBy("key").agg(F.collect_list(F.struct("block", "section", "title", "start", "length", "line_start", "line_end")).alias("s"))
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("whole")).join(spans, "key").select("key", "whole", F.inline("s"))
+    rows = rows.withColumn("content", F.substring(F.col("whole"), (F.col("start") + 1).cast("int"), F.col("length").cast("int"))).where("trim(translate(content, '\n\t\r', '   ')) <> ''")
+    kind = F.lit("unknown")
+    for name, holds in reversed(kinds.items()):
+        kind = F.when(holds, F.lit(name)).otherwise(kind)
+    unit = F.concat(F.lit("unit-"), F.md5(F.concat_ws(":", F.col("key").cast("string"), F.col("start").cast("string"), "content").cast("binary")))
+    return rows.select(unit.alias("unit_id"), F.col("key").alias(key), "block", "section", "title", kind.alias("kind"), "start", F.char_length("content").cast("long").alias("length"), "line_start", "line_end", "content")
+
+
+def enrich_units(units: DataFrame, objects: DataFrame, id: str = "unit_id", content: str = "content", most_words: int = 3) -> DataFrame:
+    """Units with ``n_known`` and ``context``: JSON of the known objects (object_id, object_type, term) that a unit names.
+
+    A term of up to ``most_words`` words is named where its words follow each other in the content, case aside.  Units and
+    objects meet by an equi-join on such runs of words, so no unit is held against all objects.  Units that name nothing have
+    an empty list.  Ids are distinct; terms of more words are not found.
+    """
+    tokens = F.regexp_extract_all(F.lower(content), F.lit(r"([^\x20\x09-\x0D.,;:!?()]+)"), F.lit(1))
+    rows = units.select(F.col(id).alias("unit"), tokens.alias("w"))
+
+    def of(n: int) -> Column:
+        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " ")))
+
+    runs = F.array_distinct(F.flatten(F.array_compact(F.array(*map(of, range(1, most_words + 1))))))
+    terms = objects.select(F.lower(F.trim("term")).alias("run"), "object_id", "object_type").distinct()
+    found = rows.select("unit", F.explode(runs).alias("run")).join(terms, "run").groupBy("unit").agg(F.array_sort(F.collect_set(F.struct("object_id", "object_type", F.col("run").alias("term")))).alias("known"))
+    out = units.join(found.withColumnRenamed("unit", id), id, "left")
+    known = F.coalesce("known", F.array().cast("array<struct<object_id:string,object_type:string,term:string>>"))
+    return out.withColumn("n_known", F.size(known)).withColumn("context", F.to_json(F.struct(F.col(id).alias("unitId"), known.alias("knownObjects")))).drop("known")

@@ -106,3 +106,108 @@ def select_by_intent(ranked: DataFrame, intent: str) -> DataFrame:
         rows = rows.withColumn("bucket", bucket).withColumn("nth", F.row_number().over(v))
         return rows.where("nth <= if(bucket = 'current', 1, 2)").drop("bucket", "nth")
     return rows.where(F.col("place") <= {"CURRENT": 1, "COMPARE": 3}.get(intent, 2))
+
+
+#: Terms of evidence that says what a version replaces, terms that say no more than that something changed, and
+#: terms that contradict each other between two versions.
+REPLACING = (
+    "supersedes",
+    "replaces",
+    "replace",
+    "替代",
+    "替换",
+    "废弃旧规则",
+    "覆盖旧规则",
+    "本规则覆盖",
+)
+CHANGED = (
+    "新增",
+    "优化",
+    "调整",
+    "变更",
+    "更新",
+    "废弃",
+    "new",
+    "optimize",
+    "adjust",
+    "changed",
+    "update",
+    "updated",
+    "deprecated",
+)
+OPPOSITES = (
+    ("editable", "readonly"),
+    ("editable", "read-only"),
+    ("can edit", "cannot edit"),
+    ("generate", "not generate"),
+    ("生成", "不生成"),
+    ("可修改", "不可修改"),
+    ("只读", "可编辑"),
+    ("yes", "no"),
+)
+
+
+def version_signals(items: DataFrame) -> DataFrame:
+    """Items (group_key, object_key, evidence_text, rule_text, supersedes, ...) with ``explicit``, ``weak``, ``conflicting``
+    and ``opponent``.
+
+    Items of a group conflict where one rule text has a term and another, different one has its opposite.  For each pair of
+    terms a group keeps the first and the last text on either side with its key, so an item finds an opponent without meeting
+    the others; the opponent is the item with the smallest text, or with the largest where that is the item's own.
+    """
+    has = lambda c, words: F.coalesce(F.exists(F.array(*map(F.lit, words)), lambda t: F.contains(F.lower(c), t)), F.lit(False))
+    rows = items.withColumn("explicit", has("evidence_text", REPLACING)).withColumn("weak", has("evidence_text", CHANGED) & ~F.col("explicit"))
+    rule = F.lower(F.coalesce("rule_text", F.lit("")))
+    own = F.struct(rule.alias("text"), F.col("object_key").alias("key"))
+    sides = []
+    for i, (a, b) in enumerate(OPPOSITES):
+        for side, term in ((0, a), (1, b)):
+            held = F.when(F.contains(rule, F.lit(term)), own)
+            sides += [F.min(held).alias(f"lo_{i}_{side}"), F.max(held).alias(f"hi_{i}_{side}")]
+    rows = rows.join(rows.groupBy("group_key").agg(*sides), "group_key")
+    found = []
+    for i, (a, b) in enumerate(OPPOSITES):
+        for side, term in ((0, a), (1, b)):
+            low, high = F.col(f"lo_{i}_{1 - side}"), F.col(f"hi_{i}_{1 - side}")
+            other = F.when(low["text"] != rule, low["key"]).when(high["text"] != rule, high["key"])
+            found.append(F.when(F.contains(rule, F.lit(term)), other))
+    rows = rows.withColumn("opponent", F.coalesce(*found))
+    return rows.select(*items.columns, "explicit", "weak", F.col("opponent").isNotNull().alias("conflicting"), "opponent")
+
+
+def version_relations(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Relations (src, tgt, relation, reason), issues (object_key, code) and coverage (one row) of versioned objects.
+
+    Items have group_key, object_key, version, rule_text, evidence_text, has_evidence, latest, status and supersedes (array of
+    versions of the group).  Items without a group or evidence are issues and nothing else.  HAS_VERSION joins every other
+    object to its version; SUPERSEDES needs evidence that says so, else it is an issue; VERSION_CONFLICT joins a version to
+    one that contradicts it (see :func:`version_signals`); VERSION_REVIEW_REQUIRED marks versions of groups with several
+    latest ones or none, with weak terms alone, or of unknown status, and those that conflict.  Everything is counted in
+    groups, so a group costs as much as it has rows.
+    """
+    code = F.when(F.coalesce("group_key", F.lit("")) == "", "MISSING_VERSION_GROUP_KEY").when(~F.coalesce("has_evidence", F.lit(False)), "MISSING_VERSION_EVIDENCE")
+    marked = items.withColumn("code", code)
+    fit = version_signals(marked.where("code is null").drop("code"))
+    n_super = F.size(F.coalesce("supersedes", F.array().cast("array<string>")))
+    g = fit.groupBy("group_key").agg(F.count(F.lit(1)).alias("n"), F.count_if("latest").alias("n_latest"), F.sum(n_super).alias("n_super"))
+    rows = fit.join(g, "group_key").withColumn("id", F.concat_ws("@", "group_key", "version"))
+    one = lambda df, src, tgt, relation, reason: df.select(src.alias("src"), tgt.alias("tgt"), F.lit(relation).alias("relation"), reason.alias("reason"))
+    own, at = F.col("object_key"), F.col("id")
+    out = one(rows, own, at, "HAS_VERSION", F.lit("VERSION"))
+    replaced = rows.withColumn("old", F.explode("supersedes"))
+    out = out.unionByName(one(replaced.where("explicit"), at, F.concat_ws("@", "group_key", "old"), "SUPERSEDES", F.lit("EXPLICIT_SUPERSEDES_EVIDENCE")))
+    status = F.coalesce("status", F.lit("UNKNOWN"))
+    unknown = status.isin("UNKNOWN", "REVIEW_REQUIRED") & (n_super == 0) & ~((F.col("n") == 1) & (status == "UNKNOWN"))
+    reason = (
+        F.when(F.col("n_latest") > 1, "MULTIPLE_LATEST_FLAGS").when(F.col("weak"), "WEAK_VERSION_KEYWORD_ONLY").when((F.col("n") > 1) & (F.col("n_latest") == 0) & (F.col("n_super") == 0), "MULTI_VERSION_UNKNOWN")
+        .when(F.col("conflicting"), "CONFLICT_WITHOUT_SUPERSEDES").when(unknown, "MISSING_EXPLICIT_VERSION_STATUS")
+    )
+    out = out.unionByName(one(rows.withColumn("why", reason).where("why is not null"), own, at, "VERSION_REVIEW_REQUIRED", F.col("why")))
+    out = out.unionByName(one(rows.where("conflicting"), own, F.col("opponent"), "VERSION_CONFLICT", F.lit("CONFLICT_WITHOUT_SUPERSEDES"))).distinct()
+    issues = marked.where("code is not null").select("object_key", "code").unionByName(replaced.where("not explicit").select("object_key", F.lit("UNSAFE_SUPERSEDES_BLOCKED").alias("code")))
+    n_items = items.agg(F.count(F.lit(1)).alias("n_objects"))
+    counts = out.agg(*[F.count_if(F.col("relation") == r).alias(f"n_{r.lower()}") for r in ("HAS_VERSION", "SUPERSEDES", "VERSION_CONFLICT", "VERSION_REVIEW_REQUIRED")])
+    faults = issues.agg(*[F.count_if(F.col("code") == c).alias(f"n_{c.lower()}") for c in ("MISSING_VERSION_GROUP_KEY", "MISSING_VERSION_EVIDENCE", "UNSAFE_SUPERSEDES_BLOCKED")])
+    coverage = n_items.crossJoin(counts).crossJoin(faults)  # one row each
+    passed = (F.col("n_missing_version_group_key") == 0) & (F.col("n_missing_version_evidence") == 0)
+    return out, issues, coverage.withColumn("passed", passed)

@@ -274,6 +274,14 @@ class Transaction:
         if self.name:
             self.store.put(self._note, self.state, replace=True)
 
+    def preimage(self) -> dict:
+        """What the tables are now, as folders: enough to bring them back."""
+        return json.loads(json.dumps(self.state))
+
+    def restore(self, before: dict) -> None:
+        """Bring the tables back to a :meth:`preimage`."""
+        self.state = json.loads(json.dumps(before))
+
     def keep(self, name: str, rows: DataFrame) -> DataFrame:
         """Rows that later stages need, written once."""
         folder = f"{name}-{uuid.uuid4().hex}"
