@@ -32,7 +32,7 @@ HIDDEN = 16
 STEPS = 220
 BATCH = 24
 #: Blocks that are read together, padding included; a longer page is read alone.
-BLOCKS_AT_ONCE = 1 << 13
+BLOCKS_AT_ONCE = 1 << 14
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: Tags that do not end a block.
@@ -200,9 +200,11 @@ def vectors(found: list[Block]) -> np.ndarray:
             at, sign = _slot("leaf " + b.above[0][-1], PATH_DIM)
             row[at] += sign
         words = _WORD.findall(b.text.lower())
+        sums = [0.0] * WORD_DIM  # whole numbers, exact in either type
         for w in words:
             at, sign = _slot(w, WORD_DIM)
-            row[PATH_DIM + at] += sign
+            sums[at] += sign
+        row[PATH_DIM : PATH_DIM + WORD_DIM] = sums
         n = len(b.text)
         row[PATH_DIM : PATH_DIM + WORD_DIM] *= 0.5 / max(len(words), 1) ** 0.5
         row[PATH_DIM + WORD_DIM :] = (
