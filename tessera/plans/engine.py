@@ -20,6 +20,7 @@ from tessera.functions.ids import content_id
 from tessera.functions.text import SEP, sanitize
 from tessera.operators import aggregates, chunking, editing, graph, lookups, mutations
 from tessera.operators.ranking import first_of
+from tessera.plans.progress import Cancelled, Run, cancel
 from tessera.plans.retrieval import KnowledgeBase, QueryParam, retrieve
 from tessera.sources.scratch import materialise
 from tessera.sources.tables import Store, Transaction
@@ -101,19 +102,46 @@ class Engine:
         n = ids.count()
         if not n:
             return 0
+        with Run(store, "process", n) as run:
+            try:
+                self._process(run, ids, now)
+            except Exception as e:
+                if not run.cancelled():
+                    raise
+                bad = ids.withColumn("error_msg", F.lit("cancelled"))
+                t = Transaction(store, None)
+                self._mark(t, ids, None, bad, now)
+                t.publish("cancelled")
+                raise Cancelled(run.name) from e
+        return n
+
+    def cancel(self) -> bool:
+        """Stop the processing that runs on this workspace, from any thread of the application: its Spark jobs end, and its
+        documents are marked as failed with the reason; the next call tries them again.  False if nothing runs."""
+        return cancel(self.store, "process")
+
+    def _process(self, run: Run, ids: DataFrame, now: int) -> None:
+        store = self.store
+        run.at("chunks")
         cut = materialise(chunking.with_chunk_ids(self._chunks(store.read("full_docs").join(ids, "id", "left_semi")), "full_doc_id"), "cut")
+        run.at("answers")
         errors = self._ask(cut, now)
         bad = errors.join(cut.select("chunk_id", "full_doc_id").distinct(), "chunk_id").groupBy(F.col("full_doc_id").alias("id")).agg(F.min("error").alias("error_msg"))
         bad = materialise(bad, "failed")
         good = materialise(cut.join(bad.select(F.col("id").alias("full_doc_id")), "full_doc_id", "left_anti"), "good")
         t = store.begin("process")
-        t.stage("chunks", lambda: self._put_chunks(t, good, now))
-        t.stage("relations", lambda: self._put_relations(t, good))
-        t.stage("entities", lambda: self._put_entities(t, good))
-        t.stage("index", lambda: self._put_index(t, good))
-        t.stage("status", lambda: self._mark(t, ids, good, bad, now))
+        stages = {
+            "chunks": lambda: self._put_chunks(t, good, now),
+            "relations": lambda: self._put_relations(t, good),
+            "entities": lambda: self._put_entities(t, good),
+            "index": lambda: self._put_index(t, good),
+            "status": lambda: self._mark(t, ids, good, bad, now),
+        }
+        for name, work in stages.items():
+            run.at(name)
+            t.stage(name, work)
+        run.at("publish")
         t.publish("process")
-        return n
 
     def _ask(self, cut: DataFrame, now: int) -> DataFrame:
         """Put the answers of chunks that have none into the cache; returns (chunk_id, error) of those that failed.
@@ -182,8 +210,9 @@ class Engine:
         )
         t.change("text_chunks", rows)
 
-    def _mark(self, t: Transaction, ids: DataFrame, good: DataFrame, bad: DataFrame, now: int) -> None:
-        rows = t.read("doc_status").join(ids, "id", "left_semi").drop("chunks_list", "error_msg").join(self._chunk_lists(good), "id", "left").join(bad, "id", "left")
+    def _mark(self, t: Transaction, ids: DataFrame, good: DataFrame | None, bad: DataFrame, now: int) -> None:
+        lists = ids.limit(0).withColumn("chunks_list", F.array().cast("array<string>")) if good is None else self._chunk_lists(good)
+        rows = t.read("doc_status").join(ids, "id", "left_semi").drop("chunks_list", "error_msg").join(lists, "id", "left").join(bad, "id", "left")
         rows = rows.withColumn("status", F.when(F.col("error_msg").isNull(), "processed").otherwise("failed")).withColumn("updated_at", F.timestamp_seconds(F.lit(now)))
         rows = rows.withColumn("chunks_list", F.coalesce("chunks_list", F.array().cast("array<string>"))).withColumn("chunks_count", F.size("chunks_list"))
         t.change("doc_status", rows)

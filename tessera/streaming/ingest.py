@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tessera.operators import mutations
 from tessera.plans.engine import contents
@@ -15,6 +15,32 @@ from tessera.sources.scratch import materialise
 from tessera.sources.tables import Store
 
 
+class ProgressLog(StreamingQueryListener):
+    """Writes a row for each micro-batch of a store's streams that had input: name, batch, rows read (twice what came,
+    as a batch is read for its ids and again for its texts), rows a second."""
+
+    def __init__(self, store: Store):
+        self.store = store
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.numInputRows:
+            row = {"run": str(p.runId), "name": p.name or "", "batch": p.batchId, "at": p.timestamp, "n_rows": p.numInputRows, "rows_a_second": p.processedRowsPerSecond}
+            self.store.put(self.store.at("_progress", f"{p.runId}-{p.batchId}.json"), row, replace=True)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress(store: Store) -> DataFrame:
+    """The rows of :class:`ProgressLog`."""
+    columns = "run string, name string, batch long, at string, n_rows long, rows_a_second double"
+    return store.spark.read.schema(columns).json(store.at("_progress")) if store.names(store.at("_progress")) else store.spark.createDataFrame([], columns)
+
+
 def enqueue_stream(spark: SparkSession, source: str, schema: str, store: Store, checkpoint: str) -> StreamingQuery:
     """Follow Parquet files (pos, text, file_path) under a directory until none is left; each batch adds cleaned texts to
     full_docs and rows to doc_status of a store, in one commit."""
