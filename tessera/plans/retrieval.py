@@ -75,7 +75,8 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str,
     nodes, edges = kb.nodes.drop("vector"), kb.edges.drop("vector")
     if p.mode in ("local", "hybrid", "mix"):
         hits = _hits(kb.nodes, vector, p, p.top_k)
-        entities = joins.local_entities(hits, nodes, edges).select("id", "pos")
+        # hits are nodes, and nothing here reads their degrees
+        entities = hits.select("id", "pos")
         # tokens are at least one a row, so no more rows can fit the budget; a hub's other edges are never numbered
         near = joins.entity_edges(hits, edges).limit(p.max_relation_tokens)
         relations = near.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt"))).select("src", "tgt", "pos")
