@@ -107,6 +107,7 @@ def pieces(df: DataFrame, vocab_path: str, text: str = "text", capacity: int = C
 STATE = "kind int, size long, n long, first long, sequence long, offset long"
 _GAP, _PIECE, _PLACED = 0, 1, 2
 RANGES = 8
+UNION = 12
 PLAN_ROWS = 200_000  # a larger plan is not broadcast
 
 
@@ -185,6 +186,8 @@ def best_fit(pieces_of: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame,
         after = materialise(after, "runs")
         n_placed, n_left, tokens = counted(after)
         placed.append(after.where(F.col("kind") == _PLACED))
+        if len(placed) == UNION:  # plans over the placements stay small, however many rounds there are
+            placed = [materialise(reduce(DataFrame.unionByName, placed).coalesce(RANGES), "placed")]
         state = after.where(F.col("kind") != _PLACED)
         idle = not n_placed
     return reduce(DataFrame.unionByName, placed, state.limit(0)), opened
