@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import materialise, reach_workers
 from tessera.llm.labelled import LABELLED_ROWS, isotonic, labelled_sample
+from tessera.llm.word_windows import LONG, window_ids, word_ids
 
 FEATURES = 128
 WIDTH = 0.35
@@ -39,18 +40,14 @@ def statistics(text: str) -> list[float]:
     if not n:
         return [0.0] * 16
     share = lambda table: (n - len(raw.translate(None, table))) / n
-    words = raw.split()
-    m = max(len(words), 1)
-    times = Counter(words)
-    top = max(times.values(), default=0)
-    same_as_next = sum(map(bytes.__eq__, words, words[1:]))
-    windows = list(zip(words, words[1:], words[2:]))
+    n_words, different, top, same_as_next, n_windows, n_different = (_long_shape if n > LONG else _shape)(raw)
+    m = max(n_words, 1)
     lines = raw.split(b"\n")
     full = [x for x in lines if x.strip(_SPACE)]
     loud, symbols = share(_LOUD), share(_SYMBOLS)
     return [
         np.log1p(n) / 12,
-        np.log1p(len(words)) / 10,
+        np.log1p(n_words) / 10,
         min(n / m / 20, 2.0),
         share(_UPPER),
         share(_LOWER),
@@ -60,14 +57,30 @@ def statistics(text: str) -> list[float]:
         share(_STOPS) * 4,
         min(loud * 4, 2.0),
         (n - len(text)) / n * 2,
-        len(times) / m,
+        different / m,
         top / m,
         same_as_next / m,
-        1 - len(set(windows)) / max(len(windows), 1),
+        1 - n_different / max(n_windows, 1),
         1 - len(set(full)) / max(len(full), 1),
     ]
 
 
+def _shape(raw: bytes) -> tuple[int, ...]:
+    """Numbers of words, different words, copies of the most frequent one, words equal to the next, windows of three words
+    and different windows."""
+    words = raw.split()
+    times = Counter(words)
+    windows = list(zip(words, words[1:], words[2:]))
+    return len(words), len(times), max(times.values(), default=0), sum(map(bytes.__eq__, words, words[1:])), len(windows), len(set(windows))
+
+
+def _long_shape(raw: bytes) -> tuple[int, ...]:
+    """The same numbers without an object a word or window."""
+    ids = word_ids(raw)
+    times, windows = np.bincount(ids), window_ids(ids, 3)
+    return len(ids), len(times), int(times.max(initial=0)), int((ids[1:] == ids[:-1]).sum()), len(windows), int(windows.max(initial=-1)) + 1
+
+
 def fourier(x: np.ndarray, n: int = FEATURES, width: float = WIDTH, seed: int = 11) -> np.ndarray:
     """Random cosine features of rows of statistics, and a constant; the draw depends on the seed alone."""
     rng = np.random.default_rng(seed)

@@ -32,6 +32,7 @@ LEAST_ODDS = 4.5
 LEAST_WORDS = 20
 GAINS = 12  # gains from 0 (or less) to 11 (or more) bytes
 CACHE_ENTRIES = 100_000
+CACHE_BYTES = 64  # longer windows are compressed each time, so that the cache is bounded in bytes too
 #: ASCII punctuation is left out of windows.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -75,9 +76,10 @@ class Gains:
             framed = self.before + word + self.after
             hit = len(self.of_ordinary(framed)) - len(self.of_toxic(framed))
             hit = min(max(hit, 0), GAINS - 1)
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            self.cache[word] = hit
+            if len(word) <= CACHE_BYTES:
+                if len(self.cache) >= CACHE_ENTRIES:
+                    self.cache.clear()
+                self.cache[word] = hit
         return hit
 
     def histogram(self, text: str) -> np.ndarray:
