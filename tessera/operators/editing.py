@@ -108,6 +108,21 @@ def rebuild_entities(fragments: DataFrame, lost: DataFrame, cap: int = 300) -> D
     return aggregates.merge_entities(left, cap)
 
 
+def describe_by_relations(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """Nodes (id, description, ...) among ``ids`` that no fragment is left of, described by their edges (src, tgt, description).
+
+    The different descriptions of a node's edges are joined in the order of the first other end that has them; a node whose
+    edges say nothing keeps its own.
+    """
+    said = edges.where(F.coalesce("description", F.lit("")) != "")
+    ends = F.explode(F.array(F.struct(F.col("src").alias("id"), F.col("tgt").alias("other")), F.struct(F.col("tgt").alias("id"), F.col("src").alias("other"))))
+    told = said.select(ends.alias("e"), F.col("description").alias("d")).select("e.id", "e.other", "d").join(ids.select("id").distinct(), "id", "left_semi")
+    once = told.groupBy("id", "d").agg(F.min("other").alias("other"))
+    lists = once.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("other", "d"))), lambda x: x["d"]), SEP).alias("__told"))
+    found = nodes.join(ids.select("id").distinct(), "id", "left_semi").join(lists, "id", "left")
+    return found.withColumn("description", F.coalesce("__told", "description")).select(*nodes.columns)
+
+
 def rebuild_relations(fragments: DataFrame, lost: DataFrame) -> DataFrame:
     """Relations that lose chunks (source_id), merged anew from the fragments of their other chunks, of either direction."""
     gone = lost.select("source_id").distinct()

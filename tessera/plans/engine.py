@@ -338,7 +338,7 @@ class Engine:
 
     def query(self, question: str, param: QueryParam = QueryParam()) -> dict[str, DataFrame]:
         """Frames that a question is answered from, in the mode that the parameters name."""
-        return retrieve(self.knowledge(), list(map(float, np.asarray(self.embed([question]))[0])), param)
+        return retrieve(self.knowledge(), list(map(float, np.asarray(self.embed([question]))[0])), param, question=question)
 
     def clear_cache(self) -> None:
         """Empty the cache of answers and what was read from them; deletions of documents that were there before can then

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import ids, text
 from tessera.operators import aggregates, cache, chunking, editing, graph, joins, lookups, ranking, vectors
 from tessera.plans.registry import KG, query
+from tessera.plans.retrieval import QueryParam, post_process
 
 
 def _name(prefix, column):
@@ -114,6 +115,20 @@ def mut_rebuild_entity(spark, d):
     return editing.rebuild_entities(fragments, _lost(f)).select("entity", F.array_join("descriptions", "<SEP>").alias("description"))
 
 
+@query(
+    "mut_rebuild_by_relations",
+    """+ e AS (SELECT src, tgt, CASE WHEN n % 5 = 0 THEN '' ELSE n || ' times, ' || weight::BIGINT END AS d FROM edges), x AS (SELECT src AS id, tgt AS other, d FROM e UNION ALL SELECT tgt, src, d FROM e),
+        o AS (SELECT id, d, min(other) AS p FROM x WHERE d <> '' GROUP BY ALL), l AS (SELECT id, string_agg(d, '<SEP>' ORDER BY p, d) AS told FROM o GROUP BY 1)
+        SELECT nodes.id, coalesce(told, name) AS description FROM nodes LEFT JOIN l ON l.id = nodes.id WHERE length(nodes.id) % 2 = 0""", "edges", "nodes",
+)
+def mut_rebuild_by_relations(spark, d):
+    kg = KG(spark, d)
+    said = F.when(F.col("n") % 5 == 0, "").otherwise(F.concat(F.col("n").cast("string"), F.lit(" times, "), F.col("weight").cast("long").cast("string")))
+    edges = kg.cte("edges").select("src", "tgt", said.alias("description"))
+    nodes = kg.cte("nodes").select("id", F.col("name").alias("description"))
+    return editing.describe_by_relations(nodes, edges, nodes.where("length(id) % 2 = 0"))  # what lost its fragments
+
+
 @query(
     "mut_rebuild_relation",
     """+ l AS (SELECT *, CAST(substr(source_id, 7) AS BIGINT) % 3 = 0 AS gone FROM frag), h AS (SELECT DISTINCT src, tgt FROM l WHERE gone)
@@ -377,3 +392,15 @@ def agg_retrieval_summary(spark, d):
     o = KG(spark, d).table("orders").select(F.explode(F.array(F.lit(0), F.lit(1))).alias("even"))
     rows = o.select(F.array(F.lit("a"), F.lit("b")).alias("expected"), F.when(F.col("even") == 0, F.split(F.lit("x,a,b"), ",")).otherwise(F.split(F.lit("y,b,z,a"), ",")).alias("ranked"))
     return aggregates.retrieval_summary(rows, 3)
+
+
+@query(
+    "qry_chunk_list",
+    """WITH s AS (SELECT doc_id, text, length(text) / 1000.0E0 AS score, len(list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS tokens FROM documents),
+        r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS pos FROM s WHERE score >= 1.5), c AS (SELECT *, sum(tokens) OVER (ORDER BY pos) AS running FROM r WHERE pos <= 20)
+        SELECT 'DC' || pos AS id, doc_id FROM c WHERE running <= 9000""",
+)
+def qry_chunk_list(spark, d):
+    docs = KG(spark, d).table("documents").select("doc_id", F.col("doc_id").alias("pos"), F.col("text").alias("content"))
+    p = QueryParam(chunk_top_k=20, max_total_tokens=9_000, rerank=lambda q, texts: [len(t) / 1000 for t in texts], min_rerank_score=1.5)
+    return post_process(docs, "which is long", p).select("id", "doc_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -28,7 +29,12 @@ def lexical_ranking(docs: DataFrame, questions: DataFrame, key: str, k: int, dec
 
 @dataclass(frozen=True)
 class QueryParam:
-    """What a query may set."""
+    """What a query may set.
+
+    ``model`` maps prompts to answers and goes before the workspace's own.  ``rerank`` scores texts against a question; scores
+    below ``min_rerank_score`` drop out, and a text without one has 1.  ``history``, ``response_type`` and ``user_prompt`` are for
+    the caller's prompt.
+    """
 
     mode: str = "mix"
     top_k: int = 40
@@ -40,6 +46,13 @@ class QueryParam:
     cosine_threshold: float = 0.2
     hl_keywords: tuple[str, ...] = field(default_factory=tuple)
     ll_keywords: tuple[str, ...] = field(default_factory=tuple)
+    model: Callable[[list[str]], list[str]] | None = None
+    rerank: Callable[[str, list[str]], list[float | None]] | None = None
+    min_rerank_score: float = 0.0
+    history: tuple[tuple[str, str], ...] = ()
+    response_type: str = "Multiple Paragraphs"
+    user_prompt: str = ""
+    only_need_prompt: bool = False
 
 
 MODES = ("local", "global", "hybrid", "mix", "naive", "bypass")
@@ -61,28 +74,43 @@ def _hits(table: DataFrame, vector: list[float], p: QueryParam, k: int) -> DataF
     return found.select("id", F.col("rank").alias("pos"), "similarity")
 
 
-def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str, DataFrame]:
+def post_process(chunks: DataFrame, question: str, p: QueryParam) -> DataFrame:
+    """What is left of a result list of chunks (pos, content, ...): reranked where there is a function for it, the best
+    ``chunk_top_k`` of those with enough score, as many as the token budget holds; with their place and ids DC1, DC2, ..."""
+    rows = chunks
+    if p.rerank is not None:
+        rerank = p.rerank
+        scored = lambda q, texts: [1.0 if s is None else float(s) for s in rerank(q, texts)]
+        best = chunking.rerank(rows.select("pos", "content"), question, scored, p.chunk_top_k, p.min_rerank_score)
+        rows = rows.join(best, "pos").drop("pos").withColumnRenamed("rank", "pos")
+    rows = rows.orderBy("pos").limit(p.chunk_top_k).withColumn("tokens", F.size(chunking.words("content")))
+    return ranking.sequence_ids(ranking.token_budget(rows, p.max_total_tokens), "pos")
+
+
+def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam, low: list[float] | None = None, high: list[float] | None = None, question: str = "") -> dict[str, DataFrame]:
     """Frames ``entities``, ``relations``, ``chunks`` and ``references`` that answer a query vector in a mode.
 
     Local: entities near the query and edges at them; global: edges near it and their ends; hybrid takes turns between both;
     mix adds chunks near the query; naive has chunks alone.  Each list is cut at its token budget, a prefix that no later row
-    can join again.
+    can join again.  Entities are looked up by ``low`` and relations by ``high`` where these are given; an empty one leaves its
+    half out.
     """
     if p.mode not in MODES:
         raise ValueError(f"no such mode: {p.mode}")
     spark = kb.nodes.sparkSession
+    low, high = (vector if v is None else v for v in (low, high))
     entities = relations = None
     nodes, edges = kb.nodes.drop("vector"), kb.edges.drop("vector")
-    if p.mode in ("local", "hybrid", "mix"):
-        hits = _hits(kb.nodes, vector, p, p.top_k)
+    if p.mode in ("local", "hybrid", "mix") and len(low):
+        hits = _hits(kb.nodes, low, p, p.top_k)
         # hits are nodes, and nothing here reads their degrees
         entities = hits.select("id", "pos")
         # tokens are at least one a row, so no more rows can fit the budget; a hub's other edges are never numbered
         near = joins.entity_edges(hits, edges).limit(p.max_relation_tokens)
         relations = near.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt"))).select("src", "tgt", "pos")
-    if p.mode in ("global", "hybrid", "mix"):
+    if p.mode in ("global", "hybrid", "mix") and len(high):
         keyed = kb.edges.withColumn("id", F.concat_ws("\x01", "src", "tgt"))
-        hits = _hits(keyed, vector, p, p.top_k)
+        hits = _hits(keyed, high, p, p.top_k)
         found = hits.join(keyed.drop("vector"), "id").select("src", "tgt", "pos")
         ends = joins.edge_entities(found, nodes)
         ends = ends.withColumn("pos", F.row_number().over(Window.orderBy("pos", "side"))).select("id", "pos")
@@ -109,9 +137,8 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam) -> dict[str,
             few = few.where(F.col("n") <= p.related_chunks).orderBy("owner_pos", F.desc("occurrences"), "chunk_pos").limit(p.chunk_top_k)
             lists.append(few.withColumn("pos", F.row_number().over(w)).select("chunk_id", "pos"))
     if lists:
-        merged = ranking.interleave(lists, "chunk_id").select("chunk_id", F.col("turn").alias("pos")).where(F.col("pos") <= p.chunk_top_k)
-        full = merged.join(kb.chunks.drop("vector"), "chunk_id").withColumn("tokens", F.size(chunking.words("content")))
-        out["chunks"] = ranking.token_budget(full, p.max_total_tokens)
+        merged = ranking.interleave(lists, "chunk_id").select("chunk_id", F.col("turn").alias("pos"))
+        out["chunks"] = post_process(merged.join(kb.chunks.drop("vector"), "chunk_id"), question, p)
         out["references"] = aggregates.references(out["chunks"])
     if p.mode == "bypass":
         out = {"chunks": spark.createDataFrame([], "chunk_id string, content string")}
