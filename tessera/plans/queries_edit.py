@@ -398,9 +398,9 @@ def agg_retrieval_summary(spark, d):
     "qry_chunk_list",
     """WITH s AS (SELECT doc_id, text, length(text) / 1000.0E0 AS score, len(list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS tokens FROM documents),
         r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS pos FROM s WHERE score >= 1.5), c AS (SELECT *, sum(tokens) OVER (ORDER BY pos) AS running FROM r WHERE pos <= 20)
-        SELECT 'DC' || pos AS id, doc_id FROM c WHERE running <= 9000""",
+        SELECT 'DC' || pos AS id, doc_id FROM c WHERE running <= 60000""",
 )
 def qry_chunk_list(spark, d):
     docs = KG(spark, d).table("documents").select("doc_id", F.col("doc_id").alias("pos"), F.col("text").alias("content"))
-    p = QueryParam(chunk_top_k=20, max_total_tokens=9_000, rerank=lambda q, texts: [len(t) / 1000 for t in texts], min_rerank_score=1.5)
+    p = QueryParam(chunk_top_k=20, max_total_tokens=60_000, rerank=lambda q, texts: [len(t) / 1000 for t in texts], min_rerank_score=1.5)
     return post_process(docs, "which is long", p).select("id", "doc_id")
