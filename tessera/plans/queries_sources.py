@@ -144,22 +144,30 @@ def fn_sort_key(spark, d):
 
 
 def _knowledge(spark, d):
-    """Documents as chunks, suppliers and parts as nodes, sales as edges, each with the embedding of its number."""
+    """Documents as chunks, suppliers and parts as nodes, sales as edges.
+
+    Nodes and edges have the embedding of a number out of their md5 and one dimension more, so no two are equally near.
+    """
     kg = KG(spark, d)
-    e = kg.table("embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").alias("vector"))
+    e = kg.table("embeddings").select(F.col("vec_id").alias("k"), F.col("embedding").cast("array<double>").alias("vector"))
     n = F.lit(e.count())
-    with_vector = lambda df: df.withColumn("k", F.pmod(F.xxhash64(df.columns[0]), n)).join(e, "k").drop("k")
+
+    def with_vector(df, *key):
+        number = F.conv(F.substring(F.md5(F.concat_ws(">", *key).cast("binary")), 1, 8), 16, 10).cast("long")
+        near = df.withColumn("number", number).withColumn("k", F.col("number") % n).join(e, "k")
+        return near.withColumn("vector", F.array_append("vector", F.col("number") / F.lit(2.0**32))).drop("k", "number")
+
     chunks = kg.table("documents").select(F.col("doc_id").alias("k"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("text").alias("content"), F.col("source").alias("file_path")).join(e, "k").drop("k")
     frag = kg.cte("frag")
-    of = frag.groupBy(F.col("src").alias("id")).agg(F.array_sort(F.collect_set(F.substring("source_id", 7, 20))).alias("source_ids"))
+    sources = F.array_sort(F.collect_set(F.substring("source_id", 7, 20))).alias("source_ids")
+    of = frag.groupBy(F.col("src").alias("id")).agg(sources)
     nodes = kg.cte("nodes").join(of, "id", "left").select("id", "entity_type", F.col("name").alias("description"), F.coalesce("source_ids", F.array().cast("array<string>")).alias("source_ids"))
-    edges = frag.groupBy("src", "tgt").agg(F.sum("weight").cast("double").alias("weight"), F.array_sort(F.collect_set(F.substring("source_id", 7, 20))).alias("source_ids"))
-    edges = edges.select(F.concat_ws(">", "src", "tgt").alias("x"), "src", "tgt", F.lit("sold").alias("description"), "weight", "source_ids")
-    return KnowledgeBase(chunks, with_vector(nodes), with_vector(edges).drop("x"))
+    edges = frag.groupBy("src", "tgt").agg(F.sum("weight").cast("double").alias("weight"), sources).withColumn("description", F.lit("sold"))
+    return KnowledgeBase(chunks.withColumn("vector", F.array_append("vector", F.lit(0.0))), with_vector(nodes, "id"), with_vector(edges, "src", "tgt"))
 
 
 def _question(spark, d):
-    return KG(spark, d).table("embeddings").where("vec_id = 0").first()["embedding"]
+    return [*map(float, KG(spark, d).table("embeddings").where("vec_id = 0").first()["embedding"]), 0.0]
 
 
 @query(
@@ -174,15 +182,83 @@ def qry_naive(spark, d):
     return found["chunks"].select("chunk_id", F.col("pos").cast("long").alias("pos"))
 
 
-# what the other modes give is the business of tests: their rows, by mode
+_WORDS = "len(list_filter(string_split_regex({}, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> ''))"
+_NUMBER = "('0x' || substr(md5({}), 1, 8))::BIGINT"
+
+
+def _near(name, rows, key, k):
+    """The rows of a table nearest to the question, as (key columns, pos)."""
+    near = f"(SELECT {key}, list_cosine_similarity(r.vector, q.vector) AS sim FROM {rows} r, question q)"
+    return f"{name} AS (SELECT {key}, row_number() OVER (ORDER BY sim DESC, {key}) AS pos FROM {near} WHERE sim >= 0.2 QUALIFY pos <= {k})"
+
+
+def _owned(name, owners, taken):
+    """Chunks that a list of owners (owner, pos, source_ids) refers to, as (chunk_id, pos): few an owner, at their first one."""
+    return f"""{name}_refs AS (SELECT owner, o.pos AS owner_pos, unnest(range(1, len(source_ids) + 1)) AS place, unnest(source_ids) AS chunk_id FROM {owners} o),
+        {name}_all AS (SELECT *, count(*) OVER (PARTITION BY chunk_id) AS n FROM {name}_refs QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY owner_pos, place) = 1),
+        {name}_own AS (SELECT * FROM {name}_all WHERE chunk_id IN (SELECT chunk_id FROM texts){taken}),
+        {name}_few AS (SELECT * FROM {name}_own QUALIFY row_number() OVER (PARTITION BY owner ORDER BY n DESC, place) <= 5),
+        {name} AS (SELECT chunk_id, row_number() OVER (ORDER BY owner_pos, n DESC, place) AS pos FROM {name}_few QUALIFY pos <= 20)"""
+
+
+def _in_turns(name, key, *lists):
+    every = " UNION ALL ".join(f"SELECT {key}, pos, {i} AS source FROM {x}" for i, x in enumerate(lists))
+    return f"""{name}_once AS (SELECT * FROM ({every}) QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY pos, source) = 1),
+        {name} AS (SELECT {key}, row_number() OVER (ORDER BY pos, source) AS pos FROM {name}_once)"""
+
+
+def _cut(name, rows, most):
+    return f"{name} AS (SELECT * FROM (SELECT *, sum(tokens) OVER (ORDER BY pos) AS running FROM {rows}) WHERE running <= {most})"
+
+
+def _mode_sql(mode):
+    local, far = mode != "global", mode != "local"
+    found = "list_sort(list(DISTINCT substr(source_id, 7)))"
+    vector = f"list_append(e.embedding::DOUBLE[], {_NUMBER.format('x.key')} / 4294967296.0)"
+    embedded = f"JOIN embeddings e ON e.vec_id = {_NUMBER.format('x.key')} % (SELECT count(*) FROM embeddings)"
+    parts = [
+        "+ question AS (SELECT list_append(embedding::DOUBLE[], 0.0) AS vector FROM embeddings WHERE vec_id = 0)",
+        "texts AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, text, list_append(embedding::DOUBLE[], 0.0) AS vector FROM documents JOIN embeddings ON vec_id = doc_id)",
+        f"held AS (SELECT src AS id, {found} AS source_ids FROM frag GROUP BY 1)",
+        f"node AS (SELECT id, entity_type, name, coalesce(source_ids, []) AS source_ids, {vector} AS vector FROM (SELECT *, id AS key FROM nodes) x LEFT JOIN held USING (id) {embedded})",
+        f"edge AS (SELECT src, tgt, weight, source_ids, {vector} AS vector FROM (SELECT src, tgt, src || '>' || tgt AS key, sum(weight) AS weight, {found} AS source_ids FROM frag GROUP BY 1, 2) x {embedded})",
+    ]
+    if local:
+        parts += [
+            _near("node_hits", "node", "id", 10),
+            """edge_order AS (SELECT src, tgt, row_number() OVER (ORDER BY a.degree + b.degree DESC, weight DESC, src, tgt) AS pos FROM edge JOIN deg a ON a.node = src JOIN deg b ON b.node = tgt
+            WHERE src IN (SELECT id FROM node_hits) OR tgt IN (SELECT id FROM node_hits))""",
+        ]
+    if far:
+        parts += [
+            _near("edge_hits", "edge", "src, tgt", 10),
+            """sides AS (SELECT src AS id, pos * 2 AS place FROM edge_hits UNION ALL SELECT tgt, pos * 2 + 1 FROM edge_hits),
+            ends_order AS (SELECT id, row_number() OVER (ORDER BY min(place)) AS pos FROM sides GROUP BY id)""",
+        ]
+    parts += [
+        _in_turns("entity_turns", "id", *["node_hits"] * local, *["ends_order"] * far), _in_turns("relation_turns", "src, tgt", *["edge_order"] * local, *["edge_hits"] * far),
+        f"entity_sizes AS (SELECT id AS owner, id, pos, source_ids, {_WORDS.format("concat_ws(' ', id, entity_type, name)")} AS tokens FROM entity_turns JOIN node USING (id))",
+        "relation_sizes AS (SELECT src || '>' || tgt AS owner, src, tgt, pos, source_ids, 3 AS tokens FROM relation_turns JOIN edge USING (src, tgt))",
+        _cut("entities", "entity_sizes", 6000), _cut("relations", "relation_sizes", 8000),
+        _owned("by_entity", "entities", ""), _owned("by_edge", "relations", " AND chunk_id NOT IN (SELECT chunk_id FROM by_entity_own)"),
+    ]
+    if mode == "mix":
+        parts.append(_near("text_hits", "texts", "chunk_id", 20))
+    parts += [
+        _in_turns("chunk_turns", "chunk_id", *["text_hits"] * (mode == "mix"), "by_entity", "by_edge"),
+        f"chunk_sizes AS (SELECT chunk_id, pos, {_WORDS.format('text')} AS tokens FROM chunk_turns JOIN texts USING (chunk_id) WHERE pos <= 20)", _cut("chunks", "chunk_sizes", 30000),
+    ]
+    return ", ".join(parts) + " SELECT 'entities' AS part, id AS key, pos FROM entities UNION ALL SELECT 'relations', owner, pos FROM relations UNION ALL SELECT 'chunks', chunk_id, pos FROM chunks"
+
+
 for _mode in ("local", "global", "hybrid", "mix"):
 
     def _retrieve(spark, d, mode=_mode):
         found = retrieve(_knowledge(spark, d), _question(spark, d), QueryParam(mode=mode, top_k=10))
-        part = lambda name, *key: found[name].select(F.lit(name).alias("part"), F.concat_ws(">", *key).alias("key"))
+        part = lambda name, *key: found[name].select(F.lit(name).alias("part"), F.concat_ws(">", *key).alias("key"), F.col("pos").cast("long").alias("pos"))
         return part("entities", "id").unionByName(part("relations", "src", "tgt")).unionByName(part("chunks", "chunk_id"))
 
-    query(f"qry_{_mode}")(_retrieve)
+    query(f"qry_{_mode}", _mode_sql(_mode), "frag", "nodes", "deg")(_retrieve)
 
 
 @query("vec_upsert", "SELECT id FROM (SELECT CAST(vec_id AS VARCHAR) AS id FROM embeddings UNION SELECT 'new-' || n_nationkey FROM nation)")
