@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,6 +136,25 @@ def retrieval_summary(results: DataFrame, k: int) -> DataFrame:
     )
 
 
+def benchmark_statistics(results: DataFrame, metrics: list[str], score: str = "score") -> DataFrame:
+    """One row: counts of results with metrics and without, their share in percent, the mean of each metric and of the score,
+    least and highest score.
+
+    A result has metrics where one of them is not null; a null among them counts as 0, one that is no number does not count.
+    What has no values at all is 0.
+    """
+    good = reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in metrics])
+    value = lambda c: F.when(good & ~F.isnan(F.coalesce(c, F.lit(0.0))), F.coalesce(c, F.lit(0.0)))
+    rounded = lambda c, n=4: F.coalesce(F.round(c, n), F.lit(0.0))
+    n, ok = F.count(F.lit(1)), F.count_if(good)
+    means = [rounded(F.avg(value(F.col(m)))).alias(f"mean_{m}") for m in (*metrics, score)]
+    own = value(F.col(score))
+    return results.agg(
+        n.alias("n_total"), ok.alias("n_successful"), (n - ok).alias("n_failed"), rounded(F.lit(100.0) * ok / n, 2).alias("success_rate"), *means,
+        rounded(F.min(own)).alias("min_score"), rounded(F.max(own)).alias("max_score"),
+    )
+
+
 def set_recall(gold: Column, observed: Column) -> Column:
     """Share of a set of gold items that was observed; 1 for an empty set."""
     gold = F.array_distinct(F.filter(gold, lambda x: x.isNotNull() & (x != "")))

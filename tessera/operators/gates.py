@@ -146,6 +146,35 @@ def validate_candidates(candidates: DataFrame, allowed: list[str]) -> DataFrame:
     return candidates.withColumn("status", status).withColumn("confidence", confidence).withColumn("issues", F.filter(issues, lambda x: x.isNotNull()))
 
 
+#: A keyword that names no relation type though it looks like one; others are lower-case words with underscores.
+BARE_RELATIONS = ("contains",)
+SNAKE_CASE = "^[a-z]+(_[a-z]+)+$"
+
+
+def validate_relations(candidates: DataFrame, allowed: list[str], evidence_required: bool = True) -> DataFrame:
+    """Candidates (keywords, relation_type, has_evidence, has_span, feature_key, domain_code) with their type, a status, a
+    confidence and issues.
+
+    The type is the first allowed one among the keywords, else ``CandidateRelation`` where they name it, else the candidate's
+    own if that is one of these, else null.  Keywords are parted by white space, commas, semicolons and slashes, also wide ones.
+    """
+    words = F.split(F.coalesce("keywords", F.lit("")), r"[,，;；/\s]+")
+    own = F.col("relation_type")
+    named = F.get(F.filter(F.array(*map(F.lit, [*allowed, "CandidateRelation"])), lambda t: F.array_contains(words, t)), 0)
+    rows = candidates.withColumn("relation_type", F.coalesce(named, F.when(own.isin(*allowed, "CandidateRelation"), own)))
+    snake = F.exists(words, lambda w: w.rlike(SNAKE_CASE) | w.isin(*BARE_RELATIONS))
+    bare = ~F.col("has_evidence") & F.lit(evidence_required)
+    unsure = F.coalesce(own == "CandidateRelation", F.lit(False))
+    status = F.when(bare, "MISSING_EVIDENCE").when(unsure | (own.isNull() & ~snake), "REVIEW_REQUIRED").when(own.isNull() | snake, "INVALID_TYPE").otherwise("VALID")
+    confidence = F.element_at(F.create_map(*[F.lit(x) for pair in (("MISSING_EVIDENCE", 0.1), ("REVIEW_REQUIRED", 0.5), ("INVALID_TYPE", 0.2), ("VALID", 0.9)) for x in pair]), F.col("status"))
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    issues = F.array(
+        F.when(bare, "MISSING_EVIDENCE"), F.when(~bare & own.isNull(), "INVALID_RELATION_TYPE"), F.when(snake, "SNAKE_CASE_RELATION"), F.when(~F.col("has_span"), "SOURCE_SPAN_MISSING"),
+        F.when(blank("feature_key"), "MISSING_FEATURE_KEY"), F.when(blank("domain_code"), "MISSING_DOMAIN_CODE"),
+    )
+    return rows.withColumn("status", status).withColumn("confidence", confidence).withColumn("issues", F.filter(issues, lambda x: x.isNotNull()))
+
+
 def repair_plan(errors: DataFrame, key: str, attempt: int, most: int = 2) -> DataFrame:
     """(key, gate, action, reason): one action for the errors (key, pos, gate, error) of each gate, the first of them as the
     reason; nothing once the attempts are used up."""

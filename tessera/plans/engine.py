@@ -22,6 +22,7 @@ from tessera.operators import aggregates, chunking, editing, graph, lookups, mut
 from tessera.operators.ranking import first_of
 from tessera.plans.progress import Cancelled, Run, cancel
 from tessera.plans.retrieval import KnowledgeBase, QueryParam, retrieve
+from tessera.sources.exchange import export_sections, graph_sections
 from tessera.sources.scratch import materialise
 from tessera.sources.tables import Store, Transaction
 
@@ -340,6 +341,10 @@ class Engine:
         """Frames that a question is answered from, in the mode that the parameters name."""
         return retrieve(self.knowledge(), list(map(float, np.asarray(self.embed([question]))[0])), param, question=question)
 
+    def export(self, path: str, kind: str = "csv", vectors: bool = False) -> None:
+        """Write entities, relations and the relation index under a path as csv, excel, md or txt."""
+        export_sections(graph_sections(self.store.read("nodes"), self.store.read("edges"), vectors), path, kind)
+
     def clear_cache(self) -> None:
         """Empty the cache of answers and what was read from them; deletions of documents that were there before can then
         rebuild nothing from it."""

@@ -101,6 +101,40 @@ def gate_candidates(spark, d):
     return gates.validate_candidates(p, ["Part", "Supplier"]).select("id", "status", "confidence", F.array_join("issues", ",").alias("issues"))
 
 
+@query(
+    "gate_relation_candidates",
+    """WITH c AS (SELECT *, CASE l_suppkey % 5 WHEN 0 THEN 'SELLS' WHEN 1 THEN 'SELLS' WHEN 2 THEN 'CandidateRelation' ELSE CASE l_partkey % 3 WHEN 0 THEN 'MADE_OF' WHEN 1 THEN 'CandidateRelation' END END AS t,
+            l_suppkey % 5 IN (1, 3) AS snake, l_quantity <= 5 AS bare FROM lineitem),
+        s AS (SELECT *, CASE WHEN bare THEN 'MISSING_EVIDENCE' WHEN t = 'CandidateRelation' THEN 'REVIEW_REQUIRED' WHEN t IS NULL THEN CASE WHEN snake THEN 'INVALID_TYPE' ELSE 'REVIEW_REQUIRED' END
+            WHEN snake THEN 'INVALID_TYPE' ELSE 'VALID' END AS status FROM c)
+        SELECT l_orderkey AS id, l_linenumber AS line, coalesce(t, '') AS type, status, CASE status WHEN 'MISSING_EVIDENCE' THEN 0.1 WHEN 'REVIEW_REQUIRED' THEN 0.5 WHEN 'INVALID_TYPE' THEN 0.2 ELSE 0.9 END::DOUBLE AS confidence,
+            concat_ws(',', CASE WHEN bare THEN 'MISSING_EVIDENCE' END, CASE WHEN NOT bare AND t IS NULL THEN 'INVALID_RELATION_TYPE' END, CASE WHEN snake THEN 'SNAKE_CASE_RELATION' END,
+            CASE WHEN l_linenumber % 2 = 0 THEN 'SOURCE_SPAN_MISSING' END, 'MISSING_DOMAIN_CODE') AS issues FROM s""",
+)
+def gate_relation_candidates(spark, d):
+    c = KG(spark, d).table("lineitem").selectExpr(
+        "l_orderkey AS id", "l_linenumber AS line", "CASE l_suppkey % 5 WHEN 0 THEN 'odd, SELLS' WHEN 1 THEN 'has_child；SELLS/MADE_OF' WHEN 2 THEN 'CandidateRelation ' WHEN 3 THEN 'it,contains' ELSE 'free words' END AS keywords",
+        "CASE l_partkey % 3 WHEN 0 THEN 'MADE_OF' WHEN 1 THEN 'CandidateRelation' ELSE 'other' END AS relation_type", "l_quantity > 5 AS has_evidence", "l_linenumber % 2 = 1 AS has_span", "'f' AS feature_key", "cast(null AS string) AS domain_code",
+    )
+    return gates.validate_relations(c, ["SELLS", "MADE_OF"]).select("id", "line", F.coalesce("relation_type", F.lit("")).alias("type"), "status", "confidence", F.array_join("issues", ",").alias("issues"))
+
+
+@query(
+    "agg_benchmark",
+    """WITH r AS (SELECT CASE WHEN l_linenumber < 7 THEN CASE WHEN l_suppkey % 4 = 0 THEN 0 ELSE l_discount::DOUBLE END END AS a, l_suppkey % 4 = 1 AS nan FROM lineitem)
+        SELECT count(*) AS n_total, count(a) AS n_successful, count(*) - count(a) AS n_failed, round(100.0 * count(a) / count(*), 2) AS success_rate, coalesce(round(avg(a) FILTER (NOT nan), 4), 0) AS mean_faithfulness,
+            coalesce(round(avg(1 - a) FILTER (NOT nan), 4), 0) AS mean_score, coalesce(round(min(1 - a) FILTER (NOT nan), 4), 0) AS min_score, coalesce(round(max(1 - a) FILTER (NOT nan), 4), 0) AS max_score, coalesce(round(avg(a), 4), 0) AS mean_recall FROM r""",
+)
+def agg_benchmark(spark, d):
+    r = KG(spark, d).table("lineitem").selectExpr(
+        "l_linenumber < 7 AS ok", "l_suppkey % 4 AS kind", "cast(l_discount AS double) AS a"
+    ).selectExpr(
+        "CASE WHEN ok THEN CASE kind WHEN 0 THEN null WHEN 1 THEN double('NaN') ELSE a END END AS faithfulness", "CASE WHEN ok THEN CASE kind WHEN 0 THEN double(0) ELSE a END END AS recall",
+        "CASE kind WHEN 0 THEN double(1) WHEN 1 THEN double('NaN') ELSE 1 - a END AS score",
+    )
+    return aggregates.benchmark_statistics(r, ["faithfulness", "recall"])
+
+
 @query(
     "graph_path_validation",
     """SELECT o_orderkey AS id, CASE WHEN o_orderkey % 13 = 0 THEN 'DANGLING_PATH' WHEN o_custkey % 8 > 4 THEN 'INVALID_HOP_LIMIT' WHEN o_orderkey % 7 = 0 THEN 'NOT_FACTUAL_ISSUE_EDGE' WHEN o_orderkey % 5 = 0 THEN 'BACKGROUND_ONLY'

@@ -10,7 +10,7 @@ from tessera.functions import text
 from tessera.operators import chunking, vectors
 from tessera.plans.registry import KG, query
 from tessera.plans.retrieval import KnowledgeBase, QueryParam, retrieve
-from tessera.sources import files
+from tessera.sources import exchange, files
 from tessera.sources.scratch import scratch_dir
 from tessera.sources.tables import Store, flatten_cache
 
@@ -102,6 +102,65 @@ def src_export_markdown(spark, d):
     return spark.read.text(at).withColumnRenamed("value", "line")
 
 
+def _graph(spark, d):
+    kg = KG(spark, d)
+    nodes = kg.cte("nodes").selectExpr("id", "entity_type", "name AS description", "array(id) AS source_ids")
+    edges = kg.cte("edges").selectExpr("least(src, tgt) AS src", "greatest(src, tgt) AS tgt", "cast(weight AS double) AS weight", "array(src, tgt) AS source_ids")
+    return exchange.graph_sections(nodes, edges)
+
+
+@query(
+    "src_export_graph",
+    """SELECT 'entities' AS section, id AS a, '' AS b, entity_type AS value FROM nodes UNION ALL SELECT 'relations', node, other, least(node, other) || '<SEP>' || greatest(node, other) FROM ends
+        UNION ALL SELECT 'relationships', 'rel-' || md5(src || tgt), '', CAST(weight::DOUBLE AS VARCHAR) FROM edges""",
+    "nodes", "ends",
+)
+def src_export_graph(spark, d):
+    at = _fresh(spark, "sections")
+    exchange.export_sections(_graph(spark, d), at)
+    read = lambda name: spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{at}/{name}")
+    part = lambda name, *c: read(name).select(F.lit(name).alias("section"), *[F.expr(e).alias(n) for n, e in zip(("a", "b", "value"), c)])
+    out = part("entities", "entity_name", "''", "get_json_object(graph_data, '$.entity_type')").unionByName(part("relations", "src_entity", "tgt_entity", "source_id"))
+    return out.unionByName(part("relationships", "relationship_id", "''", "get_json_object(data, '$.weight')"))
+
+
+@query("src_export_sheets", "SELECT p_partkey::VARCHAR AS a, p_name AS b, p_type AS c FROM part")
+def src_export_sheets(spark, d):
+    at = _fresh(spark, "sheets")
+    exchange.export_sections({"parts": KG(spark, d).table("part").select("p_partkey", "p_name", "p_type")}, at, "excel")
+    cells = "Cell array<struct<Data:struct<_VALUE:string>>>"
+    rows = spark.read.format("xml").option("rowTag", "Row").schema(cells).load(f"{at}/parts")
+    return rows.select(*[F.col("Cell")[i]["Data"]["_VALUE"].alias(n) for i, n in enumerate("abc")]).where("a <> 'p_partkey'")
+
+
+@query(
+    "src_json_repaired",
+    "SELECT c_custkey AS id, c_name || CASE WHEN c_custkey % 3 = 0 THEN '!' ELSE '' END AS name, c_mktsegment || CASE WHEN c_custkey % 3 = 0 THEN '!' ELSE '' END AS deep, (SELECT count(*) FROM customer WHERE c_custkey % 3 = 0) AS n_repaired FROM customer",
+)
+def src_json_repaired(spark, d):
+    at = _fresh(spark, "json")
+    bad = lambda c: F.when(F.col("c_custkey") % 3 == 0, F.concat(F.col(c).cast("binary"), F.lit(b"\xff!")).cast("string")).otherwise(F.col(c))
+    rows = KG(spark, d).table("customer").select(F.col("c_custkey").alias("id"), bad("c_name").alias("name"), F.array(F.struct(bad("c_mktsegment").alias("s"))).alias("deep"))
+    n = exchange.write_json(rows, at)
+    back = exchange.load_json(spark, at, "id long, name string, deep array<struct<s:string>>")
+    return back.select("id", "name", F.col("deep")[0]["s"].alias("deep"), F.lit(n).cast("long").alias("n_repaired"))
+
+
+@query(
+    "src_copy_cache",
+    "SELECT 'default:' || CASE o_orderkey % 3 WHEN 0 THEN 'extract' ELSE 'summary' END || ':h' || o_orderkey AS id, o_comment AS answer FROM (SELECT DISTINCT o_orderkey, o_orderstatus AS o_comment FROM orders) WHERE o_orderkey % 3 < 2",
+)
+def src_copy_cache(spark, d):
+    source, target = Store(spark, _fresh(spark, "kv")), Store(spark, _fresh(spark, "kv"))
+    none, time = F.lit(None).cast("string"), F.lit(1).cast("long")
+    kind = "CASE o_orderkey % 3 WHEN 0 THEN 'default:extract' WHEN 1 THEN 'default:summary' ELSE 'mix:query' END"
+    orders = KG(spark, d).table("orders").select("o_orderkey", "o_orderstatus").distinct()
+    rows = orders.select(F.expr(f"concat({kind}, ':h', o_orderkey)").alias("id"), F.col("o_orderstatus").alias("return"), none.alias("cache_type"), none.alias("chunk_id"), none.alias("original_prompt"), none.alias("queryparam"), time.alias("create_time"), time.alias("update_time"))
+    source.commit("llm_response_cache", rows)
+    exchange.copy_cache(source, target)
+    return target.read("llm_response_cache").select("id", F.col("return").alias("answer"))
+
+
 @query("src_directory", "SELECT c_custkey AS n, c_name AS text FROM customer")
 def src_directory(spark, d):
     at = _fresh(spark, "texts")
