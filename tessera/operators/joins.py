@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,16 +86,27 @@ def valid_at(at: Column) -> Column:
 
 def resolve_terms(terms: DataFrame, registry: DataFrame, scope: list[str]) -> DataFrame:
     """The registry entry of each term (key and scope columns): scopes must agree where the entry names them; of several
-    entries the one that names most wins, then a confirmed one, then the more confident, then the id."""
-    r = registry.select(F.col("key"), *[F.col(c).alias(f"r_{c}") for c in scope], "canonical", "status", "confidence", "entry_id")
-    fits = F.lit(True)
-    named = F.lit(0)
-    for c in scope:
-        fits = fits & (F.col(f"r_{c}").isNull() | (F.col(f"r_{c}") == F.col(c)))
-        named = named + F.col(f"r_{c}").isNotNull().cast("int")
-    rows = terms.join(r, "key").where(fits).withColumn("specificity", named)
-    best = first_of(rows, ["term_id"], F.desc("specificity"), (F.col("status") == "CONFIRMED").desc(), F.desc("confidence"), "entry_id")
-    return best.drop(*[f"r_{c}" for c in scope])
+    entries the one that names most wins, then a confirmed one, then the more confident, then the id.
+
+    Only the best entry of each key and set of named scopes can win, so the others go before the join; a term meets the rest
+    by equal keys, once for each choice of scopes that an entry may name.  So the cost grows with both tables and not with
+    how many entries share a key.
+    """
+    columns = [f"r_{c}" for c in scope]
+    r = registry.select("key", *[F.col(c).alias(f"r_{c}") for c in scope], "canonical", "status", "confidence", "entry_id")
+    better = ((F.col("status") == "CONFIRMED").desc(), F.desc("confidence"), "entry_id")
+    r = first_of(r, ["key", *columns], *better)
+    naming = F.array(*[F.col(c).isNotNull() for c in columns])
+    choices = F.array(*[F.array(*map(F.lit, held)) for held in product((False, True), repeat=len(scope))])
+    asked = terms.withColumn("__named", F.explode(choices))
+    for i, c in enumerate(scope):
+        asked = asked.where(~F.col("__named")[i] | F.col(c).isNotNull())
+    meets = [F.col("key") == F.col("__key"), F.col("__named") == F.col("__naming")]
+    meets += [F.when(F.col("__named")[i], F.col(c)).eqNullSafe(F.col(f"r_{c}")) for i, c in enumerate(scope)]
+    rows = asked.join(r.withColumn("__naming", naming).withColumnRenamed("key", "__key"), reduce(lambda x, y: x & y, meets)).drop("__key", "__naming")
+    rows = rows.withColumn("specificity", F.size(F.filter("__named", lambda x: x))).drop("__named")
+    best = first_of(rows, ["term_id"], F.desc("specificity"), *better)
+    return best.drop(*columns)
 
 
 def check_signatures(relations: DataFrame, signatures: DataFrame) -> DataFrame:
