@@ -133,12 +133,18 @@ def file_path(path: Column | str, unknown: str = "unknown_source") -> Column:
     return F.coalesce(F.when((c == "") | (c == "no-file-path"), None).otherwise(c), F.lit(unknown))
 
 
+def _dated(ts: Column, rest: str) -> Column:
+    """A time as its year, in four digits or as many as it has and without a sign, and the rest of a pattern."""
+    # yyyy puts a plus sign before years of five digits
+    return F.when(F.year(ts) > 9999, F.date_format(ts, f"y{rest}")).otherwise(F.date_format(ts, f"yyyy{rest}"))
+
+
 def epoch_text(seconds: Column | str) -> Column:
-    return F.from_unixtime(_col(seconds), "yyyy-MM-dd HH:mm:ss")
+    return _dated(F.timestamp_seconds(_col(seconds)), "-MM-dd HH:mm:ss")
 
 
 def iso_text(ts: Column | str) -> Column:
-    return F.concat(F.date_format(_col(ts), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    return F.concat(_dated(_col(ts), "-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
 
 
 def track_id(prefix: str = "upload") -> Column:

@@ -50,3 +50,8 @@ def test_graphml_round_trip(spark, tmp_path):
     n, e = files.read_graphml(spark, str(tmp_path / "g"))
     assert {(r.id, tuple(sorted(r.properties.items()))) for r in n.collect()} == {("a & b", (("name", "x<y"),)), ("c", (("name", "z"), ("size", "3")))}
     assert [(r.src, r.tgt, r.properties) for r in e.select("src", "tgt", F.col("properties")).collect()] == [("a & b", "c", {"weight": "2.5"})]
+
+
+def test_years_of_five_digits(spark):
+    row = spark.sql("select 777599913600 as s, timestamp_seconds(777599913600) as t, timestamp'0099-03-04 05:06:07' as old").select(text.epoch_text("s").alias("s"), text.iso_text("t").alias("t"), text.iso_text("old").alias("old")).first()
+    assert tuple(row) == ("26611-03-01 00:00:00", "26611-03-01T00:00:00+00:00", "0099-03-04T05:06:07+00:00")
