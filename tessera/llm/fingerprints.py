@@ -16,6 +16,8 @@ found the same way, so each step costs a few passes over an array and no substri
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,9 +42,20 @@ def _doubled(df: DataFrame, values: str, width: int, combine) -> DataFrame:
     return df
 
 
+def _class(of: str, less: str = "") -> str:
+    """The characters of a class less those of another, as a class that lists those under U+0100 one by one before the rest.
+
+    The pattern engine looks these up in a table, while it tries ranges one after the other.
+    """
+    has = re.compile(f"[{of}]"), re.compile(f"[{less}]" if less else r"(?!)")
+    low = "".join(f"\\x{i:02X}" for i in range(256) if has[0].match(chr(i)) and not has[1].match(chr(i)))
+    rest = f"[\u0100-\u1EFF&&[{of}]" + (f"&&[^{less}]]" if less else "]")
+    return f"[[{low}]{rest}]"
+
+
 def _units(text: Column) -> Column:
-    closed = f"[{LETTERS}&&[^{ENDS}]]"
-    unit = rf"{closed}*+[{ENDS}]++|{closed}++|[^\x20\x09-\x0D]"
+    closed, ends = _class(LETTERS, ENDS), _class(ENDS)
+    unit = rf"{closed}*+{ends}++|{closed}++|[^\x20\x09-\x0D]"
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(unit), F.lit(0))
 
 
@@ -96,13 +109,8 @@ def as_text(marks: str | Column) -> Column:
     """A fingerprint as ``position:hash`` in hexadecimal digits, joined by spaces; an empty one as an empty string."""
     col = F.col(marks) if isinstance(marks, str) else marks
     top = (1 << _POS) - 1
-    return F.array_join(
-        F.transform(
-            col,
-            lambda m: F.concat(F.lower(F.hex(F.lit(top) - m.bitwiseAND(F.lit(top)))), F.lit(":"), F.lower(F.hex(F.shiftright(m, _POS)))),
-        ),
-        " ",
-    )
+    marks = F.transform(col, lambda m: F.concat(F.hex(F.lit(top) - m.bitwiseAND(F.lit(top))), F.lit(":"), F.hex(F.shiftright(m, _POS))))
+    return F.lower(F.array_join(marks, " "))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -130,3 +130,11 @@ def test_very_long_texts(spark):
     rows = [(1, "word " * 200_000), (2, "x1y2" * 100_000)]
     got = run(spark, rows, 2)
     assert got[1].n_chars == 1_000_000 and got[2].n_chars == 400_000 and got[1].fingerprint and got[2].fingerprint
+
+
+def test_units_of_all_characters(spark):
+    """Classes that list characters one by one hold what the ranges hold."""
+    chars = [chr(i) for i in range(1, 0x2100)]
+    rows = spark.createDataFrame([(c, f"b{c}b{c}o{c}") for c in chars], "c string, t string").select("t", fp._units(F.col("t")).alias("u")).collect()
+    assert all(r.u == units(r.t) for r in rows)
+    assert "\\x41-" not in fp._class(fp.LETTERS) and "\\x61\\x62" in fp._class(fp.LETTERS, fp.ENDS)
