@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import reach_workers
-from tessera.llm.labelled import LABELLED_ROWS
 from tessera.llm.word_windows import LONG, n_repeated, window_ids, word_ids
 
 N = 4
 BUCKETS = 1 << 16
 LEAN = 0.1
 LEAST_SHARE = 0.01
+#: More trusted keys than this are joined by a shuffle and not broadcast.
+BROADCAST_KEYS = 2_000_000
 WINDOW = 5
 _SPACE = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -172,7 +173,7 @@ def judge(df: DataFrame, trusted_ids: DataFrame, text: str = "text", key: str =
     spark = df.sparkSession
     reach_workers(spark)
     ids = trusted_ids.select(F.col(key).alias("__id")).where(F.col("__id").isNotNull()).distinct().withColumn("__good", F.lit(True))
-    if ids.count() <= LABELLED_ROWS:
+    if ids.count() <= BROADCAST_KEYS:
         ids = F.broadcast(ids)  # as many keys at most
     rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(key).alias("__id")).join(ids, "__id", "left")
     both = bucket_counts(corpus_counts(rows.select("text", F.coalesce("__good", F.lit(False)).alias("trusted"))))

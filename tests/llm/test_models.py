@@ -188,3 +188,18 @@ def test_quality_scores_match_plain_features(tables):
         x = np.array([quality_model.statistics(r.text or "")])
         raw = quality_model.fourier(x)[0] @ model.weights
         assert abs(r.score - np.clip(np.interp(raw, model.knots, model.values), 0, 1)) < 1e-9
+
+
+def test_all_trusted_documents_count(spark, tmp_path, monkeypatch):
+    """op5 counts every labelled document outside the held-out fold, however many there are."""
+    from tessera.llm import queries
+
+    n = 40_000
+    spark.range(n).selectExpr("id AS doc_id", "'some text' AS text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(n).selectExpr("id AS doc_id", "CAST(id % 10 < 9 AS int) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+    judge = quality_rules.judge
+    monkeypatch.setattr(quality_rules, "judge", lambda docs, trusted: seen.append(trusted.count()) or judge(docs, trusted))
+    assert queries.op5_quality_rules(spark, str(tmp_path)).count() == n
+    learned = spark.range(n).where("id % 10 < 9 and crc32(cast(cast(id as string) as binary)) % 5 <> 0").count()
+    assert seen == [learned] and learned > 24_000
