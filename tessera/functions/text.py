@@ -74,7 +74,8 @@ def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:
     Paragraph and line-break tags go, full-width forms become ASCII, spaces next to Han characters go, a pair of outer quotes
     goes, and short numbers become empty.  With ``inner_quotes`` also quotes in and around Han text go.
     """
-    c = F.regexp_replace(_col(name), r"(?i)</p\s*>|<p\s*>|<p/>|</br\s*>|<br\s*>|<br/>", "")
+    given = _col(name)
+    c = F.regexp_replace(given, r"(?i)</p\s*>|<p\s*>|<p/>|</br\s*>|<br\s*>|<br/>", "")
     full = "".join(chr(0xFF21 + i) for i in range(26)) + "".join(chr(0xFF41 + i) for i in range(26)) + "".join(chr(0xFF10 + i) for i in range(10))
     half = "".join(chr(65 + i) for i in range(26)) + "".join(chr(97 + i) for i in range(26)) + "0123456789"
     c = F.translate(c, full + _WIDE, half + _NARROW)
@@ -86,9 +87,9 @@ def normalize_name(name: Column | str, inner_quotes: bool = False) -> Column:
         c = F.translate(c, "“”‘’", "")
         c = F.regexp_replace(c, rf"['\"]+(?=[{_HAN}])|(?<=[{_HAN}])['\"]+", "")
         c = F.regexp_replace(F.translate(c, " ", " "), r"(?<=\D)\x{202F}", " ")
-    c = _strip(c)
-    short = c.rlike(r"^[0-9]{1,2}$") | (c.rlike(r"^[0-9.]{1,5}$") & F.contains(c, F.lit(".")))
-    return F.when(short, F.lit("")).otherwise(c)
+    # no step so far changes plain text
+    c = _strip(F.when(given.rlike(r"[^ -~]|[<'\"]"), c).otherwise(given))
+    return F.regexp_replace(c, r"^(?:[0-9]{1,2}|(?=[0-9]*[.])[0-9.]{1,5})$[\x{85}\x{2028}\x{2029}]?", "")
 
 
 def without_thinking(text: Column | str) -> Column:
@@ -100,10 +101,13 @@ def without_thinking(text: Column | str) -> Column:
 def repair_delimiters(record: Column | str, core: str = "#") -> Column:
     """Turn damaged forms of the field delimiter ``<|#|>`` back into it, from the closest forms to the least."""
     d, e = f"<|{core}|>", re.escape(core)
-    c = _col(record)
+    given = c = _col(record)
     for form in DAMAGED:
         c = F.regexp_replace(c, form.replace("{e}", e), d)
-    return c
+    if not core or set(core) & set("<|>"):
+        return c
+    # each form holds one of these beside whole delimiters
+    return F.when(F.replace(given, F.lit(d), F.lit("")).rlike(rf"[<|>]|{e}"), c).otherwise(given)
 
 
 def split_on(text: Column | str, markers: list[str]) -> Column:

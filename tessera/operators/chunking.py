@@ -121,29 +121,46 @@ def text_blocks(df: DataFrame, text: str, is_title: Column, key: str) -> DataFra
     return lines.groupBy(key, "block").agg(F.min_by("line", "line_no").alias("title"), F.count(F.lit(1)).alias("n_lines"))
 
 
-def extraction_records(answers: DataFrame, key: str = "chunk_id", text: str = "answer") -> DataFrame:
-    """(key, pos, kind, fields): records of extraction answers, delimiters repaired; text after the end mark is left out."""
+def extraction_records(answers: DataFrame, key: str = "chunk_id", text: str = "answer", kind: str | None = None) -> DataFrame:
+    """(key, pos, kind, fields): records of extraction answers, delimiters repaired; text after the end mark is left out.
+
+    With a ``kind`` only its records are repaired and put out: damaged forms begin with ``<`` or ``|``, so repairing does not
+    change the letters that a record begins with.
+    """
     body = F.split(F.col(text), F.lit(f"\\Q{COMPLETE}\\E"))[0]
-    rows = answers.select(key, F.posexplode(F.split(body, "\n")).alias("pos", "__record"))
-    fields = F.transform(F.split(repair_delimiters(F.trim("__record")), F.lit(f"\\Q{DELIMITER}\\E")), lambda x: F.trim(x))
-    rows = rows.where("trim(__record) <> ''").withColumn("fields", fields).withColumn("kind", F.lower(F.get("fields", F.lit(0))))
-    return rows.drop("__record")
+
+    def fields(record: Column) -> Column:
+        parts = F.transform(F.split(repair_delimiters(F.trim(record)), F.lit(f"\\Q{DELIMITER}\\E")), lambda x: F.trim(x))
+        wanted = F.trim(record) != ""
+        return F.when(wanted if kind is None else wanted & F.startswith(F.lower(F.trim(record)), F.lit(kind)), parts)
+
+    # fields are made before rows are: a filter on them would repair each record once more for every condition
+    rows = answers.select(key, F.posexplode(F.transform(F.split(body, "\n"), fields)).alias("pos", "fields")).where("fields is not null")
+    rows = rows.withColumn("kind", F.lower(F.get("fields", F.lit(0))))
+    return rows if kind is None else rows.where(F.col("kind") == kind)
+
+
+def _made(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows with more columns that later filters do not compute again."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def entity_records(records: DataFrame) -> DataFrame:
     """Valid entities (name, entity_type, description): four fields, none empty; of a list of types the first, in lower case."""
     rows = records.where((F.col("kind") == "entity") & (F.size("fields") == 4))
     kind = F.regexp_replace(F.lower(F.split(normalize_name(F.get("fields", F.lit(2)), True), ",")[0]), " ", "")
-    rows = rows.withColumn("name", normalize_name(F.get("fields", F.lit(1)), True)).withColumn("entity_type", kind).withColumn("description", normalize_name(F.get("fields", F.lit(3))))
+    rows = _made(rows, name=normalize_name(F.get("fields", F.lit(1)), True), entity_type=kind, description=normalize_name(F.get("fields", F.lit(3))))
     return rows.where("name <> '' and description <> '' and entity_type <> '' and not entity_type rlike '[()<>|/\\\\\\\\]'").drop("fields", "kind")
 
 
 def relation_records(records: DataFrame) -> DataFrame:
     """Valid relations (src, tgt, keywords, description, weight): five fields, different ends; a weight that is no number is 1."""
     rows = records.where((F.col("kind") == "relation") & (F.size("fields") >= 5))
-    rows = rows.withColumn("src", normalize_name(F.get("fields", F.lit(1)), True)).withColumn("tgt", normalize_name(F.get("fields", F.lit(2)), True))
     last = F.element_at("fields", -1)
-    rows = rows.withColumn("keywords", F.regexp_replace(normalize_name(F.get("fields", F.lit(3)), True), "，", ",")).withColumn("description", normalize_name(F.get("fields", F.lit(4))))
+    rows = _made(
+        rows, src=normalize_name(F.get("fields", F.lit(1)), True), tgt=normalize_name(F.get("fields", F.lit(2)), True),
+        keywords=F.regexp_replace(normalize_name(F.get("fields", F.lit(3)), True), "，", ","), description=normalize_name(F.get("fields", F.lit(4))),
+    )
     weight = F.when((F.size("fields") > 5) & is_float(last), last.cast("double")).otherwise(F.lit(1.0))
     return rows.withColumn("weight", weight).where("src <> '' and tgt <> '' and src <> tgt").drop("fields", "kind")
 

@@ -55,3 +55,35 @@ def test_graphml_round_trip(spark, tmp_path):
 def test_years_of_five_digits(spark):
     row = spark.sql("select 777599913600 as s, timestamp_seconds(777599913600) as t, timestamp'0099-03-04 05:06:07' as old").select(text.epoch_text("s").alias("s"), text.iso_text("t").alias("t"), text.iso_text("old").alias("old")).first()
     assert tuple(row) == ("26611-03-01 00:00:00", "26611-03-01T00:00:00+00:00", "0099-03-04T05:06:07+00:00")
+
+
+def test_plain_texts_skip_no_repair(spark):
+    """Names and records that skip steps come out as by all steps, and filters do not repair again."""
+    import random
+    import re
+
+    from tessera.operators import chunking
+
+    rnd = random.Random(5)
+    parts = ["<|#|>", "<", ">", "|", "#", "\\", ":", "a", " ", "<|#|>", "||#||", "<#>"]
+    records = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(3000)]
+
+    def slow(c):
+        for form in text.DAMAGED:
+            c = F.regexp_replace(c, form.replace("{e}", re.escape("#")), "<|#|>")
+        return c
+
+    df = spark.createDataFrame([(r,) for r in records], "r string")
+    assert df.where(~text.repair_delimiters("r").eqNullSafe(slow(F.col("r")))).count() == 0
+    names = {"12": "", " 1.5 ": "", "123": "123", "1.2345": "1.2345", "....": "", "12 ": "", "1a": "1a", "": "", "plain name": "plain name", "\ta ": "a", "'x'": "x", "Ａ1": "A1"}
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", text.normalize_name("n", True).alias("out")).collect()
+    assert {r.n: r.out for r in got} == names
+    answers = spark.createDataFrame([("c", " entity<#>A<|#|>Thing, Other<|#|>about A\n\nrelation<|##|>A<|#|>B<|#|>k<|#|>d<|#|>2.5\nENTITY<|#|>B<|#|>x<|#|>y\nentityx<|#|>B<|#|>x<|#|>y\n<|COMPLETE|>\nentity<|#|>C<|#|>x<|#|>y")], "chunk_id string, answer string")
+    for kind in (None, "entity"):
+        found = chunking.entity_records(chunking.extraction_records(answers, kind=kind))
+        assert sorted((r.pos, r.name, r.entity_type, r.description) for r in found.collect()) == [(0, "A", "thing", "about A"), (3, "B", "x", "y")]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines())
+    for kind in (None, "relation"):
+        found = chunking.relation_records(chunking.extraction_records(answers, kind=kind)).collect()
+        assert [(r.pos, r.src, r.tgt, r.keywords, r.weight) for r in found] == [(2, "A", "B", "k", 2.5)]
