@@ -18,6 +18,8 @@ from tessera.sources.tables import Store
 
 #: A sheet holds no more rows than this, its header among them.
 SHEET_ROWS = 1_048_576
+#: A csv file holds no more rows than this: values may span lines, so readers do not split a file.
+CSV_ROWS = 500_000
 _WORKBOOK = '<?xml version="1.0" encoding="UTF-8"?><Workbook xmlns="urn:schemas-microsoft-com:office:spreadsheet" xmlns:ss="urn:schemas-microsoft-com:office:spreadsheet">'
 
 
@@ -144,7 +146,7 @@ def export_sections(sections: dict[str, DataFrame], path: str, kind: str = "csv"
     for name, rows in sections.items():
         texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
         if kind == "csv":
-            texts.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{name}")
+            texts.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS).csv(f"{path}/{name}")
         else:
             texts.mapInArrow(_table(rows.columns, name.capitalize(), kind), "value string").write.mode("overwrite").text(f"{path}/{name}")
 

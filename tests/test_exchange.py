@@ -90,3 +90,14 @@ def test_relations_without_need_of_evidence(spark):
         0: ("SELLS", "VALID", 0.9, []), 1: ("SELLS", "INVALID_TYPE", 0.2, ["SNAKE_CASE_RELATION"]), 2: ("CandidateRelation", "REVIEW_REQUIRED", 0.5, []),
         3: ("SELLS", "VALID", 0.9, []), 4: (None, "REVIEW_REQUIRED", 0.5, ["INVALID_RELATION_TYPE"]),
     }
+
+
+def test_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """One task that writes many rows writes several files, so that no reader has them all."""
+    import os
+
+    monkeypatch.setattr(exchange, "CSV_ROWS", 100)
+    exchange.export_sections({"s": spark.range(950).selectExpr("id", "concat('a\n', id) AS t").coalesce(1)}, f"{tmp_path}/out")
+    assert len([f for f in os.listdir(f"{tmp_path}/out/s") if f.endswith(".csv")]) == 10
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{tmp_path}/out/s")
+    assert {(r.id, r.t) for r in back.collect()} == {(str(i), f"a\n{i}") for i in range(950)}
