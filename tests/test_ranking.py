@@ -15,3 +15,19 @@ def test_last_write_takes_the_first_of_equal_lines(spark, tmp_path):
     spark.createDataFrame(values, "l_orderkey long, l_linenumber int, l_returnflag string").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     found = all_queries()[0]["win_last_write"](spark, str(tmp_path)).collect()
     assert {r["id"]: r["value"] for r in found} == {k: next(f + "1" for i, _, f in values if i == k) for k in range(7)}
+
+
+def test_channels_are_not_held_by_one_task(spark):
+    rows = [(i, "ab"[i % 2], float(i * 7 % 13)) for i in range(200)] + [(900, "c", 1.0), (901, None, 2.0), (902, None, 4.0)]
+    df = spark.createDataFrame(rows, "candidate_id int, channel string, raw_score double").repartition(5)
+    found = {r.candidate_id: r for r in ranking.normalize_channels(df).collect()}
+    scaled = {r.candidate_id: r.normalized_score for r in ranking.scale_channels(df).collect()}
+    for c in ("a", "b", "c", None):
+        own = sorted((r for r in rows if r[1] == c), key=lambda r: (-r[2], r[0]))
+        low, high = own[-1][2], own[0][2]
+        for i, r in enumerate(own, 1):
+            assert (found[r[0]].channel_rank, found[r[0]].normalized_score) == (i, 1.0 if low == high else (r[2] - low) / (high - low))
+            assert scaled[r[0]] == found[r[0]].normalized_score
+    for out in (ranking.scale_channels(df), ranking.normalize_channels(df)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("Window" in line and "channel" in line for line in plan.splitlines())
