@@ -34,6 +34,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 40, threshold: float
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def matrix(lists: pa.Array) -> np.ndarray:
+    """Lists of one length as rows of doubles, without an object for each number."""
+    flat = lists.flatten()
+    if lists.null_count or flat.null_count or len(set(lists.value_lengths().unique().to_pylist())) != 1:
+        return np.array(lists.to_pylist(), np.float64)
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
 _ARROW = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
 
 
@@ -45,7 +53,7 @@ def _best(shared, k: int, threshold: float, kinds: tuple[str, str]) -> Callable[
             if not batch.num_rows or not ids:
                 continue
             own = batch.column(0).to_pylist()
-            v = np.array(batch.column(1).to_pylist(), np.float64)
+            v = matrix(batch.column(1))
             norm = np.linalg.norm(v, axis=1, keepdims=True)
             v = (v / np.where(norm == 0, 1, norm)).T
             for first in range(0, len(ids), QUERY_BLOCK):
