@@ -41,6 +41,7 @@ _SPAN = WIDTH - GRAM + 1  # gram positions in a string
 _LEFT = _SPAN - 1  # most bytes before an anchor
 _ROW = WIDTH + _LEFT + 2  # suffix, reversed left part, both lengths
 _LAST = np.int64(2**63 - 1)
+_BLOCK = 1 << 16  # suffixes whose strings are looked up at once, but for those of one gram
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -64,12 +65,16 @@ def _unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64)
 
 
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text begins, and the end; all texts one after another."""
+    return np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), np.frombuffer(b"".join(texts), np.uint8)
+
+
 class Run:
     """Some rows' texts one after another, their anchors and the strings that each anchor holds."""
 
     def __init__(self, texts: list[bytes]):
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        self.raw = np.frombuffer(b"".join(texts), np.uint8)
+        self.bounds, self.raw = _joined(texts)
         anchors, hashes, firsts, lasts, docs = [], [], [], [], []
         first = 0
         while first < len(texts):
@@ -142,11 +147,14 @@ class Run:
         p, s1, s2, doc = self.anchor[use], self.first[use], self.last[use], self.doc[use]
         right, left = s2 + WIDTH - p, p - s1
         rows = np.zeros((len(use), _ROW), np.uint8)
-        padded = np.concatenate([self.raw, np.zeros(WIDTH, np.uint8)])
-        for j in range(WIDTH):
-            rows[:, j] = np.where(j < right, padded[p + j], 0)
-        for j in range(_LEFT):
-            rows[:, WIDTH + j] = np.where(j < left, padded[np.maximum(p - 1 - j, 0)], 0)
+        padded = np.concatenate([np.zeros(_LEFT, np.uint8), self.raw, np.zeros(WIDTH, np.uint8)])
+        around = np.lib.stride_tricks.sliding_window_view(padded, _LEFT + WIDTH)
+        columns = np.arange(WIDTH)
+        for a in range(0, len(use), 50_000):
+            z = slice(a, a + 50_000)
+            near = around[p[z]]
+            np.multiply(near[:, _LEFT:], columns < right[z, None], out=rows[z, :WIDTH])
+            np.multiply(near[:, _LEFT - 1 :: -1], columns[:_LEFT] < left[z, None], out=rows[z, WIDTH:-2])
         rows[:, -2], rows[:, -1] = right, left + 1
         flat = rows.view(f"S{_ROW}").reshape(-1)
         order = np.argsort(flat, kind="stable")
@@ -156,7 +164,7 @@ class Run:
         key = keys[doc[order]]
         least = np.minimum.reduceat(key, heads) if len(heads) else key
         most = np.maximum.reduceat(key, heads) if len(heads) else key
-        return {"rows": rows[order][heads], "least": least, "many": least != most, "entry": np.cumsum(new) - 1, "p": p[order], "doc": doc[order]}
+        return {"rows": rows[order][heads], "least": least, "many": least != most, "first": heads, "p": p[order], "doc": doc[order]}
 
 
 def front_code(rows: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -169,13 +177,15 @@ def front_code(rows: np.ndarray) -> tuple[np.ndarray, bytes]:
 
 
 def front_decode(shared: np.ndarray, rest: bytes, width: int = _ROW) -> np.ndarray:
-    n = len(shared)
-    rows = np.zeros((n, width), np.uint8)
-    own = np.arange(width) >= shared[:, None]
-    rows[own] = np.frombuffer(rest, np.uint8)
-    last = np.where(own, np.arange(n)[:, None], 0)
-    np.maximum.accumulate(last, axis=0, out=last)
-    return rows[last, np.arange(width)]
+    rows = np.zeros((len(shared), width), np.uint8)
+    if not len(shared):
+        return rows
+    flat, shared = np.frombuffer(rest, np.uint8), shared.astype(np.int64)
+    start = np.cumsum(width - shared) - width  # where the row's first byte would stand, had it shared none
+    for j in range(width):
+        own = np.flatnonzero(shared <= j)  # rows that bring their byte here
+        rows[:, j] = np.repeat(flat[start[own] + j], np.diff(np.append(own, len(rows))))
+    return rows
 
 
 def merge(runs: list[list[bytes]], shared: list[list[int]], width: int = _ROW) -> tuple[list[int], list[int]]:
@@ -269,11 +279,47 @@ def _range_of(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.searchsorted(cuts, head, "right")
 
 
+def _segments(rows: np.ndarray, shared: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The strings of different sorted suffixes as stretches of one smallest document: suffix, first and last offset before
+    the anchor, document.
+
+    The string at an offset is what stands that far to the left and the rest to the right, so it has a number for each part:
+    how many suffixes before, in the order of the part, differ from their neighbour within it.
+    """
+    n = len(rows)
+    right, left = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64) - 1
+    before = np.ascontiguousarray(rows[:, WIDTH:-2])
+    turned = np.argsort(before.view(f"S{_LEFT}").reshape(-1), kind="stable")
+    differ = before[turned][1:] != before[turned][:-1]
+    same = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), _LEFT)])
+    values = np.full((n, _SPAN), -1, np.int64)
+    held = np.zeros((n, _SPAN), bool)
+    of_left = np.zeros(n, np.int64)
+    for o in range(_SPAN):
+        use = np.flatnonzero((left >= o) & (right >= WIDTH - o))
+        if not len(use):
+            continue
+        of_left[turned] = np.cumsum(same < o)
+        key = (np.cumsum(shared < WIDTH - o) * (n + 1) + of_left)[use]
+        by = np.argsort(key, kind="stable")
+        new = np.concatenate([[True], key[by[1:]] != key[by[:-1]]])
+        values[use[by], o] = np.minimum.reduceat(low[use[by]], np.flatnonzero(new))[np.cumsum(new) - 1]
+        held[use, o] = True
+    new = held.copy()
+    new[:, 1:] &= ~held[:, :-1] | (values[:, 1:] != values[:, :-1])
+    last = held.copy()
+    last[:, :-1] &= ~held[:, 1:] | (values[:, 1:] != values[:, :-1])
+    which, first = np.nonzero(new)
+    return which, first, np.nonzero(last)[1], values[which, first]
+
+
 def _answers(runs: dict[int, tuple[np.ndarray, ...]]) -> dict[int, tuple[np.ndarray, ...]]:
     """For each run: entries, first and last offset of strings before their anchors, and the smallest document there."""
     names = list(runs)
     rows = [runs[r][0] for r in names]
-    order, prefix = merge([[x.tobytes() for x in m] for m in rows], [runs[r][1].tolist() for r in names])
+    flat = [m.tobytes() for m in rows]
+    order, prefix = merge([[x[a : a + _ROW] for a in range(0, len(x), _ROW)] for x in flat], [runs[r][1].tolist() for r in names])
+    del flat
     if not order:
         return {}
     order, prefix = np.array(order), np.array(prefix)
@@ -300,39 +346,34 @@ def _answers(runs: dict[int, tuple[np.ndarray, ...]]) -> dict[int, tuple[np.ndar
     for i in range(len(names)):
         at = np.flatnonzero(use & (order == i))
         out_of[i].append(np.stack([entry[at], WIDTH - right[at], left[at], low[context[at]]], axis=1) if len(at) else np.zeros((0, 4), np.int64))
-    # else each string is looked up
-    extra: list[list[tuple[int, int, int, int]]] = [[] for _ in names]
+    # else each string is looked up, some grams at a time
+    extra: list[list[np.ndarray]] = [[] for _ in names]
     ends = np.append(heads[1:], len(order))
     bounds = np.append(gram_heads, len(heads))
-    for g in np.flatnonzero(~alone):
-        found: dict[bytes, int] = {}
-        strings: list[list[bytes]] = []
-        for c in range(bounds[g], bounds[g + 1]):
-            i = heads[c]
-            row = rows[order[i]][nth[i]]
-            whole = row[WIDTH : WIDTH + left[i]][::-1].tobytes() + row[: right[i]].tobytes()
-            own = [whole[j : j + WIDTH] for j in range(len(whole) - WIDTH + 1)]  # from the furthest left
-            strings.append([bytes([left[i] - j]) + s for j, s in enumerate(own)])
-            value = int(low[c])
-            for s in strings[-1]:
-                if value < found.get(s, _LAST):
-                    found[s] = value
-        for c, own in zip(range(bounds[g], bounds[g + 1]), strings):
-            least_of = [found.get(s, int(_LAST)) for s in own]
-            segments = []
-            for j, value in enumerate(least_of):
-                offset = own[j][0]
-                if segments and segments[-1][2] == value:
-                    segments[-1][0] = offset
-                else:
-                    segments.append([offset, offset, value])
-            for i in range(heads[c], ends[c]):
-                for o1, o2, value in segments:
-                    if value < least[i] or many[i]:
-                        extra[order[i]].append((int(entry[i]), o1, o2, value))
+    several = np.flatnonzero(~alone)
+    sizes_of = np.cumsum(bounds[several + 1] - bounds[several])
+    for block in np.split(several, np.searchsorted(sizes_of, np.arange(_BLOCK, int(sizes_of[-1]), _BLOCK))) if len(several) else []:
+        n_of = bounds[block + 1] - bounds[block]
+        c = np.repeat(bounds[block] - np.cumsum(n_of) + n_of, n_of) + np.arange(n_of.sum())
+        if not len(c):
+            continue
+        at = heads[c]
+        own_rows = np.zeros((len(c), _ROW), np.uint8)
+        for i in range(len(names)):
+            own = order[at] == i
+            own_rows[own] = rows[i][nth[at[own]]]
+        which, o1, o2, value = _segments(own_rows, prefix[at], low[c])
+        n = ends[c[which]] - at[which]
+        seg = np.repeat(np.arange(len(which)), n)
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + at[which[seg]]
+        use = (value[seg] < least[place]) | many[place]
+        seg, place = seg[use], place[use]
+        told = np.stack([entry[place], o1[seg], o2[seg], value[seg]], axis=1)
+        for i in range(len(names)):
+            extra[i].append(told[order[place] == i])
     result = {}
     for i, r in enumerate(names):
-        rows_out = np.concatenate([out_of[i][0], np.array(extra[i], np.int64).reshape(-1, 4)])
+        rows_out = np.concatenate(out_of[i] + extra[i])
         if len(rows_out):
             result[r] = tuple(rows_out.T)
     return result
@@ -421,17 +462,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", as_
     again = keyed.groupBy("bucket").applyInArrow(repeated, "run long, again binary")
     again = materialise(again.groupBy("run").agg(F.collect_list("again").alias("again")), "repeated")
 
-    def _open(payload: bytes, packed: list[bytes]) -> tuple[pa.Table, Run, dict[str, np.ndarray], np.ndarray]:
+    def _open(payload: bytes, packed: list[bytes]) -> dict[str, np.ndarray]:
         table = _read(payload)
-        run = Run(_texts(table, text))
         known = np.concatenate([_unpack_sorted(x) for x in packed] or [np.zeros(0, np.uint64)])
-        keys = _keys(table, key)
-        return table, run, run.suffixes(known, keys), keys
+        return Run(_texts(table, text)).suffixes(known, _keys(table, key))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run_name, payload, packed in _rows(batch):
-                found = _open(payload, packed)[2]
+                found = _open(payload, packed)
                 rows = found["rows"]
                 cut = np.searchsorted(_range_of(rows, cuts), np.arange(len(cuts) + 2))
                 out = []
@@ -439,59 +478,66 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", as_
                     if a < b:
                         shared, rest = front_code(rows[a:b])
                         out.append((i, run_name, int(a), _pack(shared), zstandard.ZstdCompressor(level=3).compress(rest), _pack(found["least"][a:b]), np.packbits(found["many"][a:b]).tobytes()))
-                if out:
-                    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["range", "run", "base", "shared", "rest", "least", "many"])
+                # where the suffixes are, for cutting: a group of its own that only passes through
+                places = [_pack(found[c].astype(np.uint32)) for c in ("p", "doc", "first")]
+                out.append((-1 - run_name, run_name, 0, *places, b""))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["range", "run", "base", "shared", "rest", "least", "many"])
 
     def combine(group: pa.Table) -> pa.Table:
         own = {}
+        if group.num_rows and group.column("range")[0].as_py() < 0:
+            return pa.table({"run": group.column("run"), "answer": pa.nulls(group.num_rows, pa.binary()), **{c: group.column(k) for c, k in (("p", "shared"), ("doc", "rest"), ("first", "least"))}})
         for r in group.to_pylist():
             shared = _unpack(r["shared"], np.uint8)
             rows = front_decode(shared, zstandard.ZstdDecompressor().decompress(r["rest"]))
             many = np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(rows)).astype(bool)
             own[r["run"]] = (rows, shared, _unpack(r["least"], np.int64), many, r["base"] + np.arange(len(rows)))
         found = _answers(own)
-        return pa.table({"run": pa.array(list(found), pa.int64()), "answer": pa.array([_pack(np.stack(a, axis=1).reshape(-1)) for a in found.values()], pa.binary())})
+        return pa.table({"run": pa.array(list(found), pa.int64()), "answer": pa.array([_pack(np.stack(a, axis=1).reshape(-1)) for a in found.values()], pa.binary()), **{c: pa.nulls(len(found), pa.binary()) for c in ("p", "doc", "first")}})
 
     joined = runs.select("run", "payload").join(again.hint("shuffle_hash"), "run")
-    sent = joined.mapInArrow(send, "range int, run long, base long, shared binary, rest binary, least binary, many binary")
-    answers = sent.groupBy("range").applyInArrow(combine, "run long, answer binary")
-    answers = materialise(answers.groupBy("run").agg(F.collect_list("answer").alias("answers")), "answers")
+    sent = joined.mapInArrow(send, "range long, run long, base long, shared binary, rest binary, least binary, many binary")
+    answers = sent.groupBy("range").applyInArrow(combine, "run long, answer binary, p binary, doc binary, first binary")
+    places = (F.first(c, ignorenulls=True).alias(c) for c in ("p", "doc", "first"))
+    answers = materialise(answers.groupBy("run").agg(F.collect_list("answer").alias("answers"), *places), "answers")
 
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, payload, packed, told in _rows(batch):
-                table, run, found, keys = _open(payload, packed or [])
-                marks = np.zeros(len(run.raw) + 1, np.int32)
+            for _, payload, told, *places in _rows(batch):
+                table = _read(payload)
+                bounds, raw = _joined(_texts(table, text))
+                marks = np.zeros(len(raw) + 1, np.int32)
                 if told:
+                    p, doc, first = (_unpack(x, np.uint32).astype(np.int64) for x in places)
+                    keys = _keys(table, key)
                     entry, o1, o2, low = np.concatenate([_unpack(x, np.int64).reshape(-1, 4) for x in told]).T
-                    heads = np.searchsorted(found["entry"], entry, "left")
-                    n = np.searchsorted(found["entry"], entry, "right") - heads
+                    heads, ends = first[entry], np.append(first[1:], len(p))[entry]
+                    n = ends - heads
                     which = np.repeat(np.arange(len(entry)), n)
                     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + heads[which]
-                    later = low[which] < keys[found["doc"][at]]
+                    later = low[which] < keys[doc[at]]
                     which, at = which[later], at[later]
-                    p = found["p"][at]
+                    p = p[at]
                     np.add.at(marks, p - o2[which], 1)
                     np.add.at(marks, p - o1[which] + WIDTH, -1)
                 np.cumsum(marks, out=marks)
                 gone = marks[:-1] > 0
-                del marks, found
+                del marks
                 kept, removed, spans = [], [], []
-                for a, b in zip(run.bounds, run.bounds[1:]):
+                for a, b in zip(bounds, bounds[1:]):
                     own = gone[a:b]
                     n = int(own.sum())
                     removed.append(n)
                     spans.append(int(own[:1].sum() + (own[1:] & ~own[:-1]).sum()) if n else 0)
-                    left = (run.raw[a:b][~own] if n else run.raw[a:b]).tobytes()
+                    left = (raw[a:b][~own] if n else raw[a:b]).tobytes()
                     kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 out = table.append_column("kept", pa.array(kept, pa.string() if as_text else pa.binary()))
-                for c, values in (("n_bytes", np.diff(run.bounds)), ("n_removed", removed), ("n_spans", spans)):
+                for c, values in (("n_bytes", np.diff(bounds)), ("n_removed", removed), ("n_spans", spans)):
                     out = out.append_column(c, pa.array(values, pa.int64()))
                 yield from out.combine_chunks().to_batches(max_chunksize=2_000)
 
-    known = again.join(answers, "run", "left")
-    joined = runs.select("run", "payload").join(known.hint("shuffle_hash"), "run", "left")
+    joined = runs.select("run", "payload").join(answers.hint("shuffle_hash"), "run", "left")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("kept", T.StringType() if as_text else T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
     )

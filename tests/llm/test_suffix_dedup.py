@@ -71,3 +71,53 @@ def test_front_code_round_trip():
     rng = np.random.default_rng(1)
     rows = np.sort(rng.integers(0, 3, (200, 6), np.uint8).view("S6").reshape(-1)).view(np.uint8).reshape(-1, 6)
     assert (sd.front_decode(*sd.front_code(rows), 6) == rows).all()
+
+
+def test_strings_of_grams_with_several_suffixes_are_looked_up_together(monkeypatch):
+    """Few calls however many strings, and what looking up every string gives."""
+    import sys
+
+    rnd = random.Random(7)
+    gram = "sixteen letters."
+    some = ["".join(rnd.choice("ab") for _ in range(rnd.choice((3, 40)))) for _ in range(8)]
+    texts = [rnd.choice(some) + gram + rnd.choice(some) for _ in range(400)]
+    names, own = [list(range(0, 400, 2)), list(range(1, 400, 2))], {}
+    for r, docs in enumerate(names):
+        rows, keys = [], []
+        for d in docs:
+            raw, p = texts[d].encode(), texts[d].index(gram)
+            left, right = raw[max(0, p - sd._LEFT) : p][::-1], raw[p : p + sd.WIDTH]
+            if len(left) + len(right) >= sd.WIDTH:
+                rows.append(right.ljust(sd.WIDTH, b"\0") + left.ljust(sd._LEFT, b"\0") + bytes([len(right), len(left) + 1]))
+                keys.append(d)
+        different = sorted(set(rows))
+        least = [min(k for k, x in zip(keys, rows) if x == y) for y in different]
+        made = np.frombuffer(b"".join(different), np.uint8).reshape(-1, sd._ROW)
+        many = np.array([rows.count(y) > 1 for y in different])
+        own[r] = (made, sd.front_code(made)[0], np.array(least, np.int64), many, np.arange(len(different)))
+    first: dict = {}
+    wanted = {r: set() for r in own}
+    strings = {}
+    for r, (made, _, least, _, _) in own.items():
+        for e, row in enumerate(made):
+            right, left = int(row[-2]), int(row[-1]) - 1
+            for o in range(sd.WIDTH - right, left + 1):
+                s = (o, row[sd.WIDTH : sd.WIDTH + o][::-1].tobytes() + row[: sd.WIDTH - o].tobytes())
+                strings[r, e, o] = s
+                first[s] = min(first.get(s, 10**9), int(least[e]))
+    for (r, e, o), s in strings.items():
+        if first[s] < own[r][2][e] or own[r][3][e]:
+            wanted[r].add((e, o, first[s]))
+    calls = [0]
+    merged = sd.merge([[x.tobytes() for x in own[r][0]] for r in own], [own[r][1].tolist() for r in own])
+    monkeypatch.setattr(sd, "merge", lambda *_: merged)
+    for block in (1 << 16, 5):
+        monkeypatch.setattr(sd, "_BLOCK", block, raising=False)
+        calls[0] = 0
+        sys.setprofile(lambda *_: calls.__setitem__(0, calls[0] + 1))
+        try:
+            got = sd._answers(own)
+        finally:
+            sys.setprofile(None)
+        assert {r: {(e, o, v) for e, o1, o2, v in zip(*map(np.ndarray.tolist, a)) for o in range(o1, o2 + 1)} for r, a in got.items()} == wanted
+        assert calls[0] < 2 * len(strings)
