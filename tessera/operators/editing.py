@@ -142,9 +142,10 @@ def import_graph(chunks: DataFrame, entities: DataFrame, relations: DataFrame) -
     cut = chunks.select(content_id("content", "chunk-").alias("id"), "content", "source_id")
     of = cut.groupBy("source_id").agg(F.min("id").alias("chunk_id"))
     at = lambda df: df.join(of, "source_id", "left").withColumn("chunk_id", F.coalesce("chunk_id", F.lit("UNKNOWN")))
-    nodes = first_of(at(entities), ["name"], F.desc("pos")).select(F.col("name").alias("id"), F.coalesce("entity_type", F.lit("UNKNOWN")).alias("entity_type"), F.coalesce("description", F.lit("")).alias("description"), "chunk_id")
-    pairs = graph.canonical(at(relations))
-    edges = first_of(pairs, ["src", "tgt"], F.desc("pos")).select("src", "tgt", "description", "keywords", F.coalesce("weight", F.lit(1.0)).alias("weight"), "chunk_id")
+    # the last row of each name or pair is found before chunks are joined, so the others never move to their chunks
+    last = lambda df, *keys: df.groupBy(*keys).agg(F.max(F.struct("pos", *[c for c in df.columns if c not in ("pos", *keys)])).alias("r")).select(*keys, "r.*")
+    nodes = at(last(entities, "name")).select(F.col("name").alias("id"), F.coalesce("entity_type", F.lit("UNKNOWN")).alias("entity_type"), F.coalesce("description", F.lit("")).alias("description"), "chunk_id")
+    edges = at(first_of(graph.canonical(relations), ["src", "tgt"], F.desc("pos"))).select("src", "tgt", "description", "keywords", F.coalesce("weight", F.lit(1.0)).alias("weight"), "chunk_id")
     ends = edges.select(F.explode(F.array("src", "tgt")).alias("id"), "chunk_id").groupBy("id").agg(F.min("chunk_id").alias("chunk_id"))
     ends = ends.join(nodes.select("id"), "id", "left_anti").select("id", F.lit("UNKNOWN").alias("entity_type"), F.lit("UNKNOWN").alias("description"), "chunk_id")
     return cut, nodes.unionByName(ends), edges

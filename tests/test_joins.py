@@ -22,3 +22,21 @@ def test_terms_of_one_key_meet_few_entries(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in plan.splitlines() if "Join Inner" in line)
     assert "__named" in join and "<=>" in join  # scopes are keys of the join and no filter after it
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_do_not_count_are_not_joined_with_chunks(spark):
+    from tessera.operators import editing
+
+    chunks = spark.createDataFrame([("one", "s1"), ("two", "s2")], "content string, source_id string")
+    entities = spark.createDataFrame([(1, "a", "t", "old", "s1"), (2, "a", None, None, "s2"), (None, "b", "t", "d", "lost")], "pos long, name string, entity_type string, description string, source_id string")
+    relations = spark.createDataFrame([(1, "b", "a", "old", "k", 1.0, "s2"), (2, "a", "b", "new", "k", None, "s1"), (1, "c", "a", "d", "k", 2.0, None)], "pos long, src string, tgt string, description string, keywords string, weight double, source_id string")
+    cut, nodes, edges = editing.import_graph(chunks, entities, relations)
+    of = {r.source_id: r.id for r in cut.collect()}
+    assert sorted(map(tuple, nodes.collect())) == [("a", "UNKNOWN", "", of["s2"]), ("b", "t", "d", "UNKNOWN"), ("c", "UNKNOWN", "UNKNOWN", "UNKNOWN")]
+    assert sorted((r.src, r.tgt, r.description, r.weight, r.chunk_id) for r in edges.collect()) == [("a", "b", "new", 1.0, of["s1"]), ("a", "c", "d", 2.0, "UNKNOWN")]
+    plan = plan_of(edges)
+    assert plan.index("Join LeftOuter") < plan.index("Window")
