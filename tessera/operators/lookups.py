@@ -102,9 +102,12 @@ def paginate(docs: DataFrame, page: int = 1, page_size: int = 50, sort: str = "u
 
 def relation_info(relations: DataFrame, pairs: DataFrame) -> DataFrame:
     """Relation rows of pairs (a, b), found under the id of the canonical order or else of the reverse."""
-    ids = pairs.select("a", "b", F.posexplode(relation_ids("a", "b")).alias("try", "id"))
-    hits = ids.join(relations, "id")
-    return hits.groupBy("a", "b").agg(F.min_by("id", "try").alias("id"))
+    # ids move as the 16 bytes that they are made of, and are written out again at the end
+    raw = lambda c: F.unhex(F.substring(c, 5, 32))
+    known = relations.where(F.col("id") == F.concat(F.lit("rel-"), F.lower(F.hex(raw("id"))))).select(raw("id").alias("raw"))
+    tries = pairs.select("a", "b", F.posexplode(F.transform(relation_ids("a", "b"), raw)).alias("try", "raw"))
+    hits = tries.join(known, "raw", "left_semi").groupBy("a", "b").agg(F.min("try").alias("try"))
+    return hits.select("a", "b", F.element_at(relation_ids("a", "b"), F.col("try") + 1).alias("id"))
 
 
 def entity_info(nodes: DataFrame, vectors: DataFrame, name: str) -> DataFrame:

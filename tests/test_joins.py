@@ -40,3 +40,15 @@ def test_rows_that_do_not_count_are_not_joined_with_chunks(spark):
     assert sorted((r.src, r.tgt, r.description, r.weight, r.chunk_id) for r in edges.collect()) == [("a", "b", "new", 1.0, of["s1"]), ("a", "c", "d", 2.0, "UNKNOWN")]
     plan = plan_of(edges)
     assert plan.index("Join LeftOuter") < plan.index("Window")
+
+
+def test_relation_ids_move_as_bytes(spark):
+    from tessera.functions.ids import relation_ids
+    from tessera.operators import lookups
+
+    pairs = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "c"), ("d", "e"), ("f", "g"), ("x", None)], "a string, b string")
+    ids = {(r.a, r.b): r.ids for r in pairs.select("a", "b", relation_ids("a", "b").alias("ids")).collect()}
+    stored = [ids["a", "b"][0], ids["a", "b"][1], ids["c", "c"][0], ids["d", "e"][1], ids["d", "e"][1], ids["f", "g"][0].upper(), "rel-" + ids["f", "g"][0][4:].upper(), "other", None]
+    found = lookups.relation_info(spark.createDataFrame([(x,) for x in stored], "id string"), pairs)
+    assert sorted(map(tuple, found.collect())) == [("a", "b", ids["a", "b"][0]), ("b", "a", ids["a", "b"][0]), ("c", "c", ids["c", "c"][0]), ("d", "e", ids["d", "e"][1])]
+    assert "unhex" in plan_of(found).lower()
