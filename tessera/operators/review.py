@@ -86,10 +86,17 @@ def json_nodes(docs: DataFrame, key: str, text: str) -> DataFrame:
     ``path`` names array places (``$.a[0].b``), ``place`` leaves them out (``$.a[].b``); ``value`` is JSON text.  Texts that
     are no JSON have no nodes.  One round a level of nesting, each written before the next reads it.
     """
-    spark = docs.sparkSession
-    level = docs.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(None).cast("string").alias("name"), F.to_json(F.try_parse_json(text)).alias("value"))
-    level = materialise(level.where("value is not null"), "json-level")
-    found = level
+    return _nodes(_roots(docs, key, text).where("value is not null"), key)
+
+
+def _roots(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The node at ``$`` of each text, written; its value is null where the text is no JSON."""
+    rows = docs.select(F.col(key).alias("key"), F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(None).cast("string").alias("name"), F.to_json(F.try_parse_json(text)).alias("value"))
+    return materialise(rows, "json-level")
+
+
+def _nodes(level: DataFrame, key: str) -> DataFrame:
+    spark, found = level.sparkSession, level
     while True:
         open_ = level.where(F.substring("value", 1, 1).isin("{", "[")).withColumn("v", F.parse_json("value"))
         open_.createOrReplaceTempView("tessera_json_level")
@@ -114,14 +121,15 @@ def json_faults(
     (VALUE_NOT_ALLOWED), ``banned`` fields that appear nowhere below a place (BANNED_FIELD), ``kinds`` the kind of value there
     (WRONG_KIND).  A text that is no JSON has the one fault NOT_JSON.
     """
-    nodes = materialise(json_nodes(docs, key, text), "json-nodes")
+    roots = _roots(docs, key, text)
+    nodes = _nodes(roots.where("value is not null"), key)
     row = lambda df, path, code: df.select(key, path.alias("path"), F.lit(code).alias("code"))
-    bad = row(docs.where(F.try_parse_json(text).isNull()), F.lit("$"), "NOT_JSON")
+    bad = row(roots.where("value is null").withColumnRenamed("key", key), F.lit("$"), "NOT_JSON")
     for place, names in (required or {}).items():
         whole = nodes.where((F.col("place") == place) & (F.col("kind") == "object")).select(key, "path", F.explode(F.array(*map(F.lit, names))).alias("name"))
         path = F.concat("path", F.lit("."), "name").alias("path")
         wanted = whole.select(key, path)
-        bad = bad.unionByName(row(wanted.join(nodes.select(key, "path"), [key, "path"], "left_anti"), F.col("path"), "REQUIRED_KEY"))
+        bad = bad.unionByName(row(wanted.join(nodes.where(F.col("name").isin(*names)).select(key, "path"), [key, "path"], "left_anti"), F.col("path"), "REQUIRED_KEY"))
     for place, values in (allowed or {}).items():
         text_of = F.btrim(F.col("value"), F.lit('"'))
         bad = bad.unionByName(row(nodes.where((F.col("place") == place) & ~text_of.isin(*values)), F.col("path"), "VALUE_NOT_ALLOWED"))

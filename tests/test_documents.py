@@ -59,3 +59,8 @@ def test_version_relations_of_a_large_group_are_linear(spark):
     assert counts == {"HAS_VERSION": n + 1, "SUPERSEDES": 1, "VERSION_CONFLICT": n, "VERSION_REVIEW_REQUIRED": n}
     assert {(r.object_key, r.code) for r in issues.collect()} == {("lost", "MISSING_VERSION_GROUP_KEY"), ("bare", "MISSING_VERSION_EVIDENCE"), ("o00009", "UNSAFE_SUPERSEDES_BLOCKED")}
     assert coverage.first().passed is False and coverage.first().n_version_conflict == n
+
+
+def test_a_field_is_not_present_because_of_another_whose_name_has_a_dot(spark):
+    df = spark.createDataFrame([(1, '{"x": {}, "x.version": 1}'), (2, '{"x": {"version": 1}}')], "id long, body string")
+    assert sorted(map(tuple, review.json_faults(df, "id", "body", {"$.x": ["version"]}).collect())) == [(1, "$.x.version", "REQUIRED_KEY")]
