@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 TEXT_SUFFIXES = ("txt", "md", "mdx", "html", "htm", "json", "jsonl", "csv", "tsv", "xml", "yaml", "yml", "log", "py", "java", "sql", "rst", "tex")
 OFFICE_SUFFIXES = ("docx", "pptx", "xlsx")
+GRAPH_ROWS = 500_000  # nodes or edges of a GraphML file at most: a task reads files whole
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 _A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
 _S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -130,27 +131,32 @@ def export(rows: DataFrame, path: str, kind: str) -> None:
 
 
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
-    """Nodes (id, ...) and edges (src, tgt, ...) as GraphML: two folders of files, each a graph by itself, that
+    """Nodes (id, ...) and edges (src, tgt, ...) as GraphML: two folders of files of at most ``GRAPH_ROWS`` each, each a graph by itself, that
     :func:`read_graphml` reads as one.  Null attributes are left out; what an earlier call wrote there is replaced."""
     from xml.sax.saxutils import escape, quoteattr
 
+    head, tail = '<graphml xmlns="http://graphml.graphdrawing.org/xmlns"><graph edgedefault="undirected">', "</graph></graphml>"
+
     def element(kind: str, names: list[str], ends: int):
         marks = ("id",) if kind == "node" else ("source", "target")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield pa.RecordBatch.from_arrays([pa.array(['<graphml xmlns="http://graphml.graphdrawing.org/xmlns"><graph edgedefault="undirected">'])], ["value"])
+            lines, n = [head], 0
             for b in batches:
-                lines = []
                 for row in zip(*(c.to_pylist() for c in b.columns)):
+                    if n and n % GRAPH_ROWS == 0:
+                        lines += [tail, head]
+                    n += 1
                     own = " ".join(f"{m}={quoteattr(v)}" for m, v in zip(marks, row))
                     data = "".join(f'<data key="{n}">{escape(v)}</data>' for n, v in zip(names[ends:], row[ends:]) if v is not None)
                     lines.append(f"<{kind} {own}>{data}</{kind}>")
                 yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-            yield pa.RecordBatch.from_arrays([pa.array(["</graph></graphml>"])], ["value"])
+                lines = []
+            yield pa.RecordBatch.from_arrays([pa.array([*lines, tail])], ["value"])
 
         return run
 
     for df, kind, ends in ((nodes, "node", ["id"]), (edges, "edge", ["src", "tgt"])):
         names = [*ends, *[c for c in df.columns if c not in ends]]
         rows = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-        rows.mapInArrow(element(kind, names, len(ends)), "value string").write.mode("overwrite").text(f"{path}/{kind}s")
+        rows.mapInArrow(element(kind, names, len(ends)), "value string").write.mode("overwrite").option("maxRecordsPerFile", GRAPH_ROWS + 2).text(f"{path}/{kind}s")

@@ -87,3 +87,16 @@ def test_plain_texts_skip_no_repair(spark):
     for kind in (None, "relation"):
         found = chunking.relation_records(chunking.extraction_records(answers, kind=kind)).collect()
         assert [(r.pos, r.src, r.tgt, r.keywords, r.weight) for r in found] == [(2, "A", "B", "k", 2.5)]
+
+
+def test_graphml_files_are_whole_graphs_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    from xml.etree import ElementTree
+
+    monkeypatch.setattr(files, "GRAPH_ROWS", 3, raising=False)
+    for n in (0, 3, 7):
+        at = tmp_path / f"g{n}"
+        nodes = spark.range(n).selectExpr("concat('n', id) AS id").coalesce(1)
+        files.write_graphml(nodes, nodes.selectExpr("id AS src", "concat(id, 'x') AS tgt"), str(at))
+        sizes = sorted(len(ElementTree.parse(f).getroot()[0]) for f in (at / "edges").glob("part-*"))
+        assert sum(sizes) == n and max(sizes, default=0) <= 3
+        assert {r.src for r in files.read_graphml(spark, str(at))[1].collect()} == {f"n{i}" for i in range(n)}
