@@ -56,10 +56,12 @@ def sanitize(text: Column | str) -> Column:
 
     @F.arrow_udf(T.StringType())
     def unescape(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else html.unescape(v) for v in values.to_pylist()], pa.string())
+        return pa.array((html.unescape(v.as_py()) if v.is_valid else None for v in values), pa.string())
 
     trimmed = _strip(_col(text))
-    clean = F.regexp_replace(unescape(trimmed), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
+    # texts without an ampersand hold no entity and do not go to Python
+    decoded = F.coalesce(unescape(F.when(F.contains(trimmed, F.lit("&")), trimmed)), trimmed)
+    clean = F.regexp_replace(decoded, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]", "")
     return _strip(clean)
 
 

@@ -100,3 +100,11 @@ def test_graphml_files_are_whole_graphs_of_a_bounded_size(spark, tmp_path, monke
         sizes = sorted(len(ElementTree.parse(f).getroot()[0]) for f in (at / "edges").glob("part-*"))
         assert sum(sizes) == n and max(sizes, default=0) <= 3
         assert {r.src for r in files.read_graphml(spark, str(at))[1].collect()} == {f"n{i}" for i in range(n)}
+
+
+def test_texts_without_entities_do_not_go_to_python(spark):
+    rows = [(" a &amp; b ", "a & b"), (" plain\x01 ", "plain"), ("&#32;x&lt;y&#9;", "x<y"), (None, None), ("", ""), ("&", "&")]
+    df = spark.createDataFrame(rows, "t string, wanted string").select(text.sanitize("t").alias("got"), "wanted")
+    assert [r.got for r in df.collect()] == [r.wanted for r in df.collect()]
+    sent = [x for x in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "EvalPython" in x]
+    assert len(sent) == 1 and "contains" in sent[0].lower()
