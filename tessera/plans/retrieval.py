@@ -12,6 +12,10 @@ from tessera.functions import text
 from tessera.operators import aggregates, chunking, joins, ranking, vectors
 
 
+#: Pairs of a question and a document that a task of :func:`lexical_ranking` scores, about.
+PAIRS_A_TASK = 1_000_000
+
+
 def lexical_ranking(docs: DataFrame, questions: DataFrame, key: str, k: int, decimals: int = 9) -> DataFrame:
     """(key, doc, score, rank) of the ``k`` documents (doc, text) that match each question (key, text) best.
 
@@ -22,7 +26,10 @@ def lexical_ranking(docs: DataFrame, questions: DataFrame, key: str, k: int, dec
     asked = questions.select(key, F.explode(F.array_distinct(text.tokens("text"))).alias("token"))
     posted = tf.join(asked.select("token").distinct(), "token", "left_semi")
     idf = aggregates.document_frequencies(posted, n)
-    scored = asked.join(posted, "token").join(idf, "token").groupBy(key, "doc").agg(F.round(F.sum((1 + F.log("tf")) * F.col("idf")), decimals).alias("score"))
+    hits = posted.join(asked.join(idf, "token"), "token").select(key, "doc", ((1 + F.log("tf")) * F.col("idf")).alias("part"))
+    # dealt by document, so a task scores a bounded number of pairs
+    parts = n * questions.count() // PAIRS_A_TASK + 1
+    scored = hits.repartition(parts, "doc").groupBy(key, "doc").agg(F.round(F.sum("part"), decimals).alias("score"))
     w = Window.partitionBy(key).orderBy(F.desc("score"), "doc")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

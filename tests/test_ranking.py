@@ -31,3 +31,14 @@ def test_channels_are_not_held_by_one_task(spark):
     for out in (ranking.scale_channels(df), ranking.normalize_channels(df)):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert not any("Window" in line and "channel" in line for line in plan.splitlines())
+
+
+def test_a_task_scores_a_bounded_number_of_pairs(spark, monkeypatch):
+    from tessera.plans import retrieval
+
+    monkeypatch.setattr(retrieval, "PAIRS_A_TASK", 8, raising=False)
+    docs = spark.createDataFrame([(i, "red fox" if i % 3 else "blue dog blue") for i in range(20)], "doc long, text string")
+    questions = spark.createDataFrame([("a", "Red fox?"), ("b", "blue")], "q string, text string")
+    found = retrieval.lexical_ranking(docs, questions, "q", 2, decimals=4)
+    assert sorted((r.q, r.doc, r.rank) for r in found.collect()) == [("a", 1, 1), ("a", 2, 2), ("b", 0, 1), ("b", 3, 2)]
+    assert "RepartitionByExpression [doc" in found._jdf.queryExecution().analyzed().toString()
