@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import first_of
-from tessera.sources.scratch import materialise
-from tessera.sources.tables import Store, Transaction
+from tessera.sources.scratch import dealt, materialise, materialise_dealt
+from tessera.sources.tables import LAYERED, Store, Transaction
 
 Step = tuple[str, Callable[[Transaction], None]]
 
@@ -77,37 +77,51 @@ class Lifecycle:
 
     def rebuild(self, versions: DataFrame, batch: str, **stop: str) -> Outcome:
         """Write the objects of versions (version_id) anew from what they contributed, and drop objects nobody contributes."""
-        ids = materialise(versions.select("version_id").distinct(), "rebuild")
+        ids = self._dealt(versions.select("version_id").distinct(), "rebuild")
         rows = self.store.read("lc_contributions").join(ids, "version_id", "left_semi")
-        counts = [0, 0]
+        counts, wanted = [0, 0], []
         steps: list[Step] = [
             ("MARK_REBUILDING", lambda t: self._state(t, ids, "REBUILDING", batch)),
-            ("UPSERT_OBJECTS", lambda t: self._write(t, rows, counts)),
+            ("UPSERT_OBJECTS", lambda t: wanted.append(self._write(t, rows, counts))),
             ("REMOVE_EXTRA", lambda t: t.change("lc_objects", None, self._orphans(t, t.read("lc_objects")))),
-            ("VALIDATE", lambda t: self._validate(t, rows)),
+            ("VALIDATE", lambda t: self._validate(t, wanted[-1])),
             ("ACTIVATE", lambda t: self._state(t, ids, "ACTIVE", batch)),
         ]
         return self._run("REBUILD", batch, steps, counts, ids, **stop)
 
     def _put(self, operation: str, bundle: DataFrame, batch: str, **stop: str) -> Outcome:
-        rows = materialise(contributions(bundle), "bundle")
-        docs = materialise(rows.groupBy("document_id").agg(F.max("version_id").alias("version_id")), "documents")
-        active = self.store.read("lc_documents").join(docs.select(F.col("document_id").alias("id"), F.col("version_id").alias("new")), "id")
-        old = materialise(active.where("active_version is not null and active_version <> new").select(F.col("active_version").alias("version_id")), "superseded")
-        ids, counts = docs.select("version_id"), [0, 0]
-
-        def stage(t: Transaction) -> None:
-            t.change("lc_versions", docs.select(F.col("version_id").alias("id"), "document_id", F.lit("STAGED").alias("status"), F.lit(batch).alias("updated_by")))
+        store, spark = self.store, self.store.spark
+        known = store.manifest()["tables"]
+        size = bundle.count() if not any(t in known for t in LAYERED) else 0
+        n = {t: store.width(t, lambda: size, known) for t in ("lc_contributions", "lc_documents", "lc_versions")}
+        at = lambda table, folder: dealt(spark, store.at(table, folder), n[table], LAYERED[table], store.schema(table))
+
+        # written once, where steps make them layers: rows are moved to the bucket of their version and are counted once there
+        told = store.prepare("lc_contributions", contributions(bundle.repartition(n["lc_contributions"], "version_id")), n["lc_contributions"], aligned=True)
+        rows = at("lc_contributions", told)
+        pairs = rows.select("document_id", "version_id").distinct().repartition(n["lc_documents"], "document_id")
+        newest = pairs.groupBy(F.col("document_id").alias("id")).agg(F.max("version_id").alias("active_version")).withColumn("updated_by", F.lit(batch))
+        named = store.prepare("lc_documents", newest, n["lc_documents"], aligned=True)
+        docs = at("lc_documents", named).select("id", F.col("active_version").alias("new"))
+        staged = store.prepare("lc_versions", docs.select(F.col("new").alias("id"), F.col("id").alias("document_id"), F.lit("STAGED").alias("status"), F.lit(batch).alias("updated_by")), n["lc_versions"])
+        ids = at("lc_versions", staged).select(F.col("id").alias("version_id"))
+        active = store.read("lc_documents").join(docs, "id").where("active_version is not null and active_version <> new")
+        old = self._dealt(active.select(F.col("active_version").alias("version_id")), "superseded")
+        counts, wanted = [0, 0], []
 
         def activate(t: Transaction) -> None:
-            t.change("lc_contributions", rows)
-            t.change("lc_documents", docs.select(F.col("document_id").alias("id"), F.col("version_id").alias("active_version"), F.lit(batch).alias("updated_by")))
+            again = t.read("lc_contributions").join(rows.select("version_id").hint("shuffle_hash"), "version_id", "left_semi")
+            if again.isEmpty():
+                t.attach("lc_contributions", told, n["lc_contributions"])
+            else:  # versions that are put again keep what they contribute beside these rows
+                t.change("lc_contributions", rows)
+            t.attach("lc_documents", named, n["lc_documents"])
             self._state(t, ids, "ACTIVE", batch)
 
         steps: list[Step] = [
-            ("STAGE_VERSION", stage),
-            ("UPSERT_OBJECTS", lambda t: self._write(t, rows, counts)),
-            ("VALIDATE", lambda t: self._validate(t, rows)),
+            ("STAGE_VERSION", lambda t: t.attach("lc_versions", staged, n["lc_versions"])),
+            ("UPSERT_OBJECTS", lambda t: wanted.append(self._write(t, rows, counts))),
+            ("VALIDATE", lambda t: self._validate(t, wanted[-1])),
             ("ACTIVATE", activate),
             ("DEACTIVATE_OLD", lambda t: self._deactivate(t, old, "SUPERSEDED", batch)),
             ("DELETE_OBJECTS", lambda t: self._delete_objects(t, old)),
@@ -115,7 +129,7 @@ class Lifecycle:
         return self._run(operation, batch, steps, counts, ids, **stop)
 
     def _drop(self, operation: str, gone: DataFrame, scope: str, batch: str, **stop: str) -> Outcome:
-        gone = materialise(gone.select(F.col("id").alias("version_id"), "document_id"), "gone")
+        gone = self._dealt(gone.select(F.col("id").alias("version_id"), "document_id"), "gone")
         ids = gone.select("version_id")
 
         def activate(t: Transaction) -> None:
@@ -138,13 +152,17 @@ class Lifecycle:
 
     # --- steps ---
 
+    def _dealt(self, versions: DataFrame, name: str) -> DataFrame:
+        """Versions (version_id, ...) written once, dealt as contributions are, so that these are found in place."""
+        return materialise_dealt(versions, name, self.store.width("lc_contributions"), "version_id")
+
     @staticmethod
     def _state(t: Transaction, ids: DataFrame, status: str, batch: str) -> None:
-        rows = t.read("lc_versions").join(ids.select(F.col("version_id").alias("id")), "id", "left_semi")
+        rows = t.read("lc_versions").join(ids.select(F.col("version_id").alias("id")).hint("shuffle_hash"), "id", "left_semi")
         t.change("lc_versions", rows.withColumn("status", F.lit(status)).withColumn("updated_by", F.lit(batch)))
 
-    def _write(self, t: Transaction, rows: DataFrame, counts: list[int]) -> None:
-        """Put objects in; only those whose hash is new are written and embedded."""
+    def _write(self, t: Transaction, rows: DataFrame, counts: list[int]) -> DataFrame:
+        """Put objects in; only those whose hash is new are written and embedded.  Returns all that are wanted."""
         wanted = materialise(projection(rows), "objects")
         same = t.read("lc_objects").select("id", "hash")
         changed = materialise(wanted.join(same, ["id", "hash"], "left_anti"), "changed")
@@ -157,28 +175,34 @@ class Lifecycle:
             return pa.array(np.asarray(embed([x or "" for x in texts.to_pylist()]), np.float32).tolist(), pa.list_(pa.float32()))
 
         t.change("lc_objects", changed.withColumn("vector", made("payload")))
+        return wanted
 
     @staticmethod
-    def _validate(t: Transaction, rows: DataFrame) -> None:
-        lacking = projection(rows).join(t.read("lc_objects"), ["id", "hash"], "left_anti")
+    def _validate(t: Transaction, wanted: DataFrame) -> None:
+        lacking = wanted.join(t.read("lc_objects"), ["id", "hash"], "left_anti")
         n = lacking.count()
         if n:
             raise ValueError(f"{n} objects were not written")
 
+    @staticmethod
+    def _contributed(t: Transaction, ids: DataFrame) -> DataFrame:
+        """What versions (version_id) contribute, found bucket by bucket."""
+        return t.read("lc_contributions").join(ids.select("version_id").hint("shuffle_hash"), "version_id", "left_semi")
+
     @staticmethod
     def _deactivate(t: Transaction, ids: DataFrame, status: str, batch: str) -> None:
-        own = t.read("lc_contributions").join(ids, "version_id", "left_semi")
-        t.change("lc_contributions", own.withColumn("active", F.lit(False)))
+        t.put_whole("lc_contributions", Lifecycle._contributed(t, ids).withColumn("active", F.lit(False)))
         Lifecycle._state(t, ids, status, batch)
 
     @staticmethod
     def _orphans(t: Transaction, objects: DataFrame) -> DataFrame:
-        """Ids of objects that no active version contributes."""
-        held = t.read("lc_contributions").where("active").select(F.concat_ws(":", "kind", "object_id").alias("id")).distinct()
-        return objects.select("id").join(held, "id", "left_anti")
+        """Ids among objects (id) that no active version contributes: one count over both, so no list of objects is sorted or joined."""
+        held = t.read("lc_contributions").where("active").select(F.concat_ws(":", "kind", "object_id").alias("id"), F.lit(True).alias("held"))
+        both = held.unionByName(objects.select("id", F.lit(False).alias("held")))
+        return both.groupBy("id").agg(F.max("held").alias("held")).where("not held").select("id")
 
     def _delete_objects(self, t: Transaction, ids: DataFrame) -> None:
-        own = t.read("lc_contributions").join(ids, "version_id", "left_semi").select(F.concat_ws(":", "kind", "object_id").alias("id")).distinct()
+        own = self._contributed(t, ids).select(F.concat_ws(":", "kind", "object_id").alias("id"))
         t.change("lc_objects", None, self._orphans(t, own))
 
     # --- running, reversing, logging ---

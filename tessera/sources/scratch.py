@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,3 +36,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def deal(rows: DataFrame, path: str, n: int, by: str, aligned: bool = False) -> None:
+    """Write rows under ``path``, dealt into ``n`` buckets by the hash of a column; ``aligned`` ones are dealt so already."""
+    dealing = rows if aligned else rows.repartition(n, by)
+    dealing.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(n, by).saveAsTable(_table(path))
+
+
+def dealt(spark: SparkSession, path: str, n: int, by: str, schema: str) -> DataFrame:
+    """Rows that :func:`deal` wrote, in this session or another; tables dealt alike are joined by that column in place."""
+    if not spark.catalog.tableExists(_table(path)):
+        spark.sql(f"CREATE TABLE {_table(path)} ({schema}) USING parquet CLUSTERED BY ({by}) INTO {n} BUCKETS LOCATION '{path}'")
+    return spark.table(_table(path))
+
+
+def _table(path: str) -> str:
+    """The name under which a session knows a dealt folder: files of a path never change, so one name holds for ever."""
+    return f"dealt_{hashlib.md5(path.encode()).hexdigest()}"
+
+
+def materialise_dealt(df: DataFrame, name: str, n: int, by: str) -> DataFrame:
+    """:func:`materialise`, dealt into ``n`` buckets by the hash of a column."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    deal(df, path, n, by)
+    return df.sparkSession.table(_table(path))

@@ -3,7 +3,8 @@
 A commit is one small file that names, for every table, the folder of each of its buckets.  Folders are never changed once
 written, so readers of a commit see all tables as of one moment, a job that is lost before its commit leaves nothing to see,
 and what was there before is still there: that is what undoing reads.  A change of few rows rewrites the buckets of their
-keys alone.
+keys alone.  Tables of versions of documents are not rewritten: each change is a layer over what was there, dealt alike, so
+that layers meet bucket by bucket when they are read and only what changes is moved.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.scratch import materialise
+from tessera.sources.scratch import deal, dealt, materialise
 
 #: The tables of a workspace and their columns.
 SCHEMAS = {
@@ -41,7 +44,12 @@ SCHEMAS = {
 }
 #: The columns that tell rows of a table apart, where it is not ``id``.
 KEYS = {"edges": ["src", "tgt"]}
+#: Tables whose changes are layers, and the column by whose hash they are dealt; a layer replaces all rows of its values of it.
+LAYERED = {"lc_documents": "id", "lc_versions": "id", "lc_contributions": "version_id", "lc_objects": "id", "lc_tombstones": "id"}
 BUCKETS = 16
+#: Rows of a bucket of a layered table when it is written first, and layers beyond which it is written as one.
+BUCKET_ROWS = 500_000
+LAYERS = 8
 
 
 class Conflict(RuntimeError):
@@ -125,12 +133,44 @@ class Store:
         return SCHEMAS[table]
 
     def load(self, table: str, entry: dict | None, buckets: set[int] | None = None) -> DataFrame:
-        """The rows of a table behind an entry of a manifest, of some of its buckets or of all."""
+        """The rows of a table behind an entry of a manifest, of some of its buckets or, of layered ones always, of all."""
+        if table in LAYERED:
+            return self._layered(table, entry)
         folders = {int(b): f for b, f in (entry or {}).get("folders", {}).items() if buckets is None or int(b) in buckets}
         if not folders:
             return self.spark.createDataFrame([], self.schema(table))
         return self.spark.read.schema(self.schema(table)).parquet(*[self.at(table, f, f"__bucket={b}") for b, f in sorted(folders.items())])
 
+    def _layered(self, table: str, entry: dict | None) -> DataFrame:
+        schema, by, parts = self.schema(table), LAYERED[table], []
+        layers = (entry or {}).get("layers", [])
+        for i, layer in enumerate(layers):
+            if not layer["rows"]:
+                continue
+            rows = dealt(self.spark, self.at(table, layer["rows"]), entry["buckets"], by, schema)
+            columns = rows.columns
+            for later in layers[i + 1 :]:
+                for folder, kept in ((later["rows"], schema), (later["gone"], f"{by} string")):
+                    if folder:
+                        over = dealt(self.spark, self.at(table, folder), entry["buckets"], by, kept).select(by)
+                        rows = rows.join(over.hint("shuffle_hash"), by, "left_anti")
+            parts.append(rows.select(*columns))
+        return reduce(DataFrame.union, parts) if parts else self.spark.createDataFrame([], schema)
+
+    def width(self, table: str, rows: Callable[[], int] | None = None, tables: dict | None = None) -> int:
+        """Into how many buckets a layered table is dealt: as it is, else as others of the workspace, else by its number of rows."""
+        tables = self.manifest()["tables"] if tables is None else tables
+        known = {t: e["buckets"] for t, e in tables.items() if t in LAYERED and e}
+        if known:
+            return known.get(table, max(known.values()))
+        return max(self.buckets, ceil(rows() / BUCKET_ROWS) if rows else 1)
+
+    def prepare(self, table: str, rows: DataFrame, n: int, aligned: bool = False) -> str:
+        """Write rows of a layered table as a folder that :meth:`Transaction.attach` makes a layer."""
+        folder = f"w-{uuid.uuid4().hex}"
+        deal(rows.select(*[c.name for c in self.load(table, None).schema]), self.at(table, folder), n, LAYERED[table], aligned)
+        return folder
+
     def read(self, table: str, commit: int | None = None) -> DataFrame:
         """A table as of a commit, the newest by default."""
         self.schema(table)
@@ -171,18 +211,21 @@ class Store:
                 if table in m["keys"] and m["commit"] not in settled:
                     if folder is None or m["keys"][table] is None or not self.keys(table, folder).join(self.keys(table, m["keys"][table]), self.key(table)).isEmpty():
                         raise Conflict(f"commit {m['commit']} has changed rows of commit {commit} since")
-            if folder is None:
+            if folder is None or own["tables"].get(table) == t.base["tables"].get(table):  # nothing came on top
                 t.point(table, before["tables"].get(table))
+                t.state["keys"][table] = folder
             else:
-                keys = self.keys(table, folder)
+                keys = self.keys(table, folder).distinct()
                 t.change(table, self.load(table, before["tables"].get(table)).join(keys, self.key(table), "left_semi"), keys)
         return t.publish(f"undo {commit}", undoes=commit)
 
     def key(self, table: str) -> list[str]:
         return KEYS.get(table, ["id"])
 
-    def keys(self, table: str, folder: str) -> DataFrame:
-        return self.spark.read.schema(", ".join(f"{k} string" for k in self.key(table))).parquet(self.at(table, folder))
+    def keys(self, table: str, folder: str | list[str]) -> DataFrame:
+        """Keys that a commit has kept; those of layered tables are in several folders, and may repeat."""
+        folders = [folder] if isinstance(folder, str) else folder
+        return self.spark.read.schema(", ".join(f"{k} string" for k in self.key(table))).parquet(*[self.at(table, f) for f in folders])
 
 
 class Transaction:
@@ -228,6 +271,10 @@ class Transaction:
         return {name.partition("=")[2]: folder for name in self.store.names(self.store.at(table, folder)) if name.startswith("__bucket=")}
 
     def replace(self, table: str, rows: DataFrame) -> None:
+        if table in LAYERED:
+            n = max(self.store.buckets, ceil(rows.count() / BUCKET_ROWS))
+            self.point(table, {"buckets": n, "layers": [{"rows": self.store.prepare(table, rows, n), "gone": None}]})
+            return
         n = self.store.buckets
         self.point(table, {"buckets": n, "folders": self._write(table, rows, n)})
 
@@ -236,6 +283,9 @@ class Transaction:
 
         The keys are kept with the commit, for :meth:`Store.undo`.  ``new`` has one row a key.
         """
+        if table in LAYERED:
+            self._change_layered(table, new, gone)
+            return
         key, spark = self.store.key(table), self.store.spark
         entry = self._entry(table) or {"buckets": self.store.buckets, "folders": {}}
         n = entry["buckets"]
@@ -260,6 +310,52 @@ class Transaction:
         self.state["tables"][table] = {"buckets": n, "folders": folders}
         self.state["keys"][table] = None if earlier is None else folder
 
+    def _change_layered(self, table: str, new: DataFrame | None, gone: DataFrame | None) -> None:
+        key, by = self.store.key(table), LAYERED[table]
+        if key == [by]:
+            self.put_whole(table, new, gone)
+            return
+        # the other rows of values that are hit go along, and the keys are kept by themselves
+        now = self.read(table)
+        fresh = materialise((new if new is not None else now.limit(0)).select(*now.columns), "fresh")
+        keys = fresh.select(*key) if gone is None else fresh.select(*key).union(gone.select(*key)).distinct()
+        folder = f"k-{uuid.uuid4().hex}"
+        keys.write.parquet(self.store.at(table, folder))
+        keys = self.store.keys(table, folder)
+        hit = materialise(now.join(keys, key, "left_semi").select(by).union(fresh.select(by)).distinct(), "hit")
+        self.put_whole(table, now.join(hit, by, "left_semi").join(keys, key, "left_anti").select(*now.columns).unionByName(fresh), hit, [folder])
+
+    def put_whole(self, table: str, rows: DataFrame | None = None, gone: DataFrame | None = None, keys: list[str] | None = None) -> None:
+        """Put a layer over a layered table: all rows with its values of the column it is dealt by go, and ``rows`` come.
+
+        ``gone`` names values without a row in ``rows``.  Keys that change are those of ``rows`` and ``gone`` unless ``keys``
+        has folders of them.
+        """
+        by, n = LAYERED[table], self._width(table)
+        out = None
+        if gone is not None:
+            out = f"g-{uuid.uuid4().hex}"
+            deal(gone.select(by), self.store.at(table, out), n, by)
+        self._lay(table, n, None if rows is None else self.store.prepare(table, rows, n), out, keys)
+
+    def attach(self, table: str, folder: str, n: int) -> None:
+        """Make a prepared folder a layer; no row outside it has its values of the column it is dealt by, or those rows go."""
+        if self._entry(table) and n != self._entry(table)["buckets"]:
+            raise Conflict(f"{table} is dealt otherwise since")
+        self._lay(table, n, folder, None, None)
+
+    def _width(self, table: str) -> int:
+        return self.store.width(table, None, self.base["tables"] | self.state["tables"])
+
+    def _lay(self, table: str, n: int, rows: str | None, gone: str | None, keys: list[str] | None) -> None:
+        entry = self._entry(table) or {"buckets": n, "layers": []}
+        entry = {"buckets": n, "layers": [*entry["layers"], {"rows": rows, "gone": gone}]}
+        if len(entry["layers"]) > LAYERS:
+            entry["layers"] = [{"rows": self.store.prepare(table, self.store.load(table, entry), n), "gone": None}]
+        earlier = self.state["keys"].get(table, [])
+        self.state["tables"][table] = entry
+        self.state["keys"][table] = None if earlier is None else [*earlier, *(keys or [f for f in (rows, gone) if f])]
+
     def stage(self, name: str, work: Callable[[], None]) -> None:
         """Do ``work`` unless it is done; if it fails, tables are as before the stage."""
         if name in self.state["stages"]:

@@ -67,3 +67,23 @@ def test_replace_delete_rebuild_and_undo(spark, life):
     with pytest.raises(ValueError):
         life.compensate("REBUILD:again")
     assert before["lc_tombstones"] == []
+
+
+def test_a_new_version_writes_its_own_rows_alone(spark, tmp_path):
+    life = Lifecycle(Store(spark, str(tmp_path), buckets=2), lambda texts: [[float(len(t))] for t in texts])
+    store = life.store
+    life.register(bundle(spark, *[(f"d{i}", 1, "node", f"x{i % 7}", "one") for i in range(60)]), "r")
+    known = set(store.names(store.at("lc_contributions")))
+    life.upsert(bundle(spark, ("d1", 2, "node", "x1", "two"), ("d1", 2, "node", "y", "two")), "u")
+    new = [f for f in store.names(store.at("lc_contributions")) if f not in known]
+    written = sum(spark.read.parquet(store.at("lc_contributions", f)).count() for f in new)
+    assert written == 3  # two rows of the new version, one of the old that is not active any more
+    assert store.read("lc_contributions").where("active").count() == 61
+    # a version that is put again keeps what else it contributed
+    life.upsert(bundle(spark, ("d1", 2, "node", "y", "three")), "again")
+    got = {(r.object_id, r.payload) for r in store.read("lc_contributions").where("version_id = 'd1@2' and active").collect()}
+    assert got == {("x1", "two"), ("y", "three")}
+    life.compensate("UPSERT_NEW_VERSION:again")
+    life.compensate("UPSERT_NEW_VERSION:u")
+    assert {(r.id, r.active_version) for r in store.read("lc_documents").where("id = 'd1'").collect()} == {("d1", "d1@1")}
+    assert store.read("lc_contributions").where("active").count() == 60

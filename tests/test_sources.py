@@ -116,3 +116,26 @@ def test_undo_restores_rows_and_keeps_what_others_did(spark, tmp_path):
     s.undo(k)
     s.undo(m)
     assert ("d3", "x") in _ids(s.read("full_docs"))
+
+
+def test_layers_meet_in_place_are_written_as_one_and_undone(spark, tmp_path):
+    s = Store(spark, str(tmp_path), buckets=2)
+    rows = lambda ids, by: spark.createDataFrame([(i, f"{i}@1", by) for i in ids], s.schema("lc_documents"))
+    read = lambda: {(r.id, r.updated_by) for r in s.read("lc_documents").collect()}
+    s.change("lc_documents", rows("abcdef", "0"))
+    s.change("lc_documents", rows("ab", "1"), spark.createDataFrame([("c",)], "id string"))
+    plan = s.read("lc_documents")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Exchange" not in plan
+    want = {("a", "1"), ("b", "1"), ("d", "0"), ("e", "0"), ("f", "0")}
+    assert read() == want
+    for t in spark.catalog.listTables(pattern="dealt_*"):  # as in another session
+        spark.sql(f"DROP TABLE {t.name}")
+    assert read() == want
+    last = [s.change("lc_documents", rows("d", str(k))) for k in range(2, 10)]
+    assert len(s.manifest()["tables"]["lc_documents"]["layers"]) <= 8 and read() == want - {("d", "0")} | {("d", "9")}
+    with pytest.raises(Conflict):
+        s.undo(last[-2])
+    s.undo(last[-1])
+    assert read() == want - {("d", "0")} | {("d", "8")}
+    s.undo(2)  # others came on top, of other rows
+    assert read() == {(i, "0") for i in "abcef"} | {("d", "8")}
