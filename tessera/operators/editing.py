@@ -117,7 +117,9 @@ def describe_by_relations(nodes: DataFrame, edges: DataFrame, ids: DataFrame) ->
     said = edges.where(F.coalesce("description", F.lit("")) != "")
     ends = F.explode(F.array(F.struct(F.col("src").alias("id"), F.col("tgt").alias("other")), F.struct(F.col("tgt").alias("id"), F.col("src").alias("other"))))
     told = said.select(ends.alias("e"), F.col("description").alias("d")).select("e.id", "e.other", "d").join(ids.select("id").distinct(), "id", "left_semi")
-    once = told.groupBy("id", "d").agg(F.min("other").alias("other"))
+    # moved before they are sorted for the smallest end, so no task holds both what made its edges and a sort of their ends;
+    # by both ends, since a node of many edges that say the same is more than a task should have
+    once = told.repartition("id", "other").groupBy("id", "d").agg(F.min("other").alias("other"))
     lists = once.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("other", "d"))), lambda x: x["d"]), SEP).alias("__told"))
     found = nodes.join(ids.select("id").distinct(), "id", "left_semi").join(lists, "id", "left")
     return found.withColumn("description", F.coalesce("__told", "description")).select(*nodes.columns)
