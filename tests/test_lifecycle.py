@@ -87,3 +87,15 @@ def test_a_new_version_writes_its_own_rows_alone(spark, tmp_path):
     life.compensate("UPSERT_NEW_VERSION:u")
     assert {(r.id, r.active_version) for r in store.read("lc_documents").where("id = 'd1'").collect()} == {("d1", "d1@1")}
     assert store.read("lc_contributions").where("active").count() == 60
+
+
+def test_a_deletion_writes_its_own_rows_alone(spark, tmp_path):
+    life = Lifecycle(Store(spark, str(tmp_path), buckets=2), lambda texts: [[float(len(t))] for t in texts])
+    store = life.store
+    life.register(bundle(spark, *[(f"d{i}", 1, "node", f"x{i % 7}", "one") for i in range(60)], ("d7", 1, "node", "own", "one")), "r")
+    known = set(store.names(store.at("lc_contributions")))
+    life.delete_documents(spark.createDataFrame([("d7",)], "document_id string"), "d")
+    new = [f for f in store.names(store.at("lc_contributions")) if f not in known]
+    assert sum(spark.read.parquet(store.at("lc_contributions", f)).count() for f in new) == 2
+    assert store.read("lc_contributions").where("not active").count() == 2
+    assert {r.object_id for r in store.read("lc_objects").collect()} == {f"x{i}" for i in range(7)}
