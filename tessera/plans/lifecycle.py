@@ -159,7 +159,8 @@ class Lifecycle:
     @staticmethod
     def _state(t: Transaction, ids: DataFrame, status: str, batch: str) -> None:
         rows = t.read("lc_versions").join(ids.select(F.col("version_id").alias("id")).hint("shuffle_hash"), "id", "left_semi")
-        t.change("lc_versions", rows.withColumn("status", F.lit(status)).withColumn("updated_by", F.lit(batch)))
+        alike = t.width("lc_versions") == t.width("lc_contributions")  # ids are dealt as one of them
+        t.put_whole("lc_versions", rows.withColumn("status", F.lit(status)).withColumn("updated_by", F.lit(batch)), aligned=alike)
 
     def _write(self, t: Transaction, rows: DataFrame, counts: list[int]) -> DataFrame:
         """Put objects in; only those whose hash is new are written and embedded.  Returns all that are wanted."""
@@ -191,7 +192,9 @@ class Lifecycle:
 
     @staticmethod
     def _deactivate(t: Transaction, ids: DataFrame, status: str, batch: str) -> None:
-        t.put_whole("lc_contributions", Lifecycle._contributed(t, ids).withColumn("active", F.lit(False)))
+        if ids.isEmpty():  # first versions supersede none
+            return
+        t.put_whole("lc_contributions", Lifecycle._contributed(t, ids).withColumn("active", F.lit(False)), aligned=True)
         Lifecycle._state(t, ids, status, batch)
 
     @staticmethod
@@ -202,6 +205,8 @@ class Lifecycle:
         return both.groupBy("id").agg(F.max("held").alias("held")).where("not held").select("id")
 
     def _delete_objects(self, t: Transaction, ids: DataFrame) -> None:
+        if ids.isEmpty():
+            return
         own = self._contributed(t, ids).select(F.concat_ws(":", "kind", "object_id").alias("id"))
         t.change("lc_objects", None, self._orphans(t, own))
 

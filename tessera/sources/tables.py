@@ -325,18 +325,19 @@ class Transaction:
         hit = materialise(now.join(keys, key, "left_semi").select(by).union(fresh.select(by)).distinct(), "hit")
         self.put_whole(table, now.join(hit, by, "left_semi").join(keys, key, "left_anti").select(*now.columns).unionByName(fresh), hit, [folder])
 
-    def put_whole(self, table: str, rows: DataFrame | None = None, gone: DataFrame | None = None, keys: list[str] | None = None) -> None:
+    def put_whole(self, table: str, rows: DataFrame | None = None, gone: DataFrame | None = None, keys: list[str] | None = None, aligned: bool = False) -> None:
         """Put a layer over a layered table: all rows with its values of the column it is dealt by go, and ``rows`` come.
 
         ``gone`` names values without a row in ``rows``.  Keys that change are those of ``rows`` and ``gone`` unless ``keys``
-        has folders of them.
+        has folders of them.  ``aligned`` rows come from the table bucket by bucket and are written by the tasks that read them:
+        a bucket then has a file for each layer that they come from.
         """
-        by, n = LAYERED[table], self._width(table)
+        by, n = LAYERED[table], self.width(table)
         out = None
         if gone is not None:
             out = f"g-{uuid.uuid4().hex}"
             deal(gone.select(by), self.store.at(table, out), n, by)
-        self._lay(table, n, None if rows is None else self.store.prepare(table, rows, n), out, keys)
+        self._lay(table, n, None if rows is None else self.store.prepare(table, rows, n, aligned), out, keys)
 
     def attach(self, table: str, folder: str, n: int) -> None:
         """Make a prepared folder a layer; no row outside it has its values of the column it is dealt by, or those rows go."""
@@ -344,7 +345,8 @@ class Transaction:
             raise Conflict(f"{table} is dealt otherwise since")
         self._lay(table, n, folder, None, None)
 
-    def _width(self, table: str) -> int:
+    def width(self, table: str) -> int:
+        """Into how many buckets a layered table is dealt, with the changes so far."""
         return self.store.width(table, None, self.base["tables"] | self.state["tables"])
 
     def _lay(self, table: str, n: int, rows: str | None, gone: str | None, keys: list[str] | None) -> None:

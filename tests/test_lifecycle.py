@@ -99,3 +99,27 @@ def test_a_deletion_writes_its_own_rows_alone(spark, tmp_path):
     assert sum(spark.read.parquet(store.at("lc_contributions", f)).count() for f in new) == 2
     assert store.read("lc_contributions").where("not active").count() == 2
     assert {r.object_id for r in store.read("lc_objects").collect()} == {f"x{i}" for i in range(7)}
+
+
+def test_rows_are_deactivated_where_they_are(spark, tmp_path, monkeypatch):
+    from tessera.sources import tables as module
+
+    life = Lifecycle(Store(spark, str(tmp_path), buckets=2), lambda texts: [[float(len(t))] for t in texts])
+    store = life.store
+    life.register(bundle(spark, *[(f"d{i}", 1, "node", f"x{i % 7}", "one") for i in range(60)]), "r")
+    assert [len(store.manifest()["tables"][x]["layers"]) for x in ("lc_objects", "lc_contributions")] == [1, 1]  # nothing to look for
+    life.upsert(bundle(spark, *[(f"d{i}", 2, "node", f"x{i % 5}", "two") for i in range(30)]), "u")
+    deal, plans = module.deal, []
+
+    def seen(rows, path, n, by, aligned=False):
+        if "lc_contributions" in path or "lc_versions" in path:
+            plans.append((rows if aligned else rows.repartition(n, by))._jdf.queryExecution().executedPlan().toString())
+        deal(rows, path, n, by, aligned)
+
+    monkeypatch.setattr(module, "deal", seen)
+    life.delete_documents(spark.createDataFrame([(f"d{i}",) for i in range(20, 40)], "document_id string"), "d")
+    assert len(plans) == 2 and not any("Exchange" in p for p in plans)
+    got = store.read("lc_contributions").where("active").select("version_id").collect()
+    assert sorted(r.version_id for r in got) == sorted([f"d{i}@2" for i in range(20)] + [f"d{i}@1" for i in range(40, 60)])
+    assert store.read("lc_contributions").count() == 90
+    assert {(r.object_id, r.payload) for r in store.read("lc_objects").collect()} == {(f"x{i}", "two") for i in range(5)} | {("x5", "one"), ("x6", "one")}
