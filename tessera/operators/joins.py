@@ -20,8 +20,17 @@ def local_entities(hits: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataF
 
 def entity_edges(hits: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges at hit entities, each once, with both degrees' sum as rank; best by rank, weight, then ends."""
+    return ranked_edges(touched_edges(hits, edges), edges)
+
+
+def touched_edges(hits: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges at hit entities (id), each once."""
     at = hits.select(F.col("id").alias("node")).distinct()
-    whole = edges.join(at.withColumnRenamed("node", "src"), "src", "left_semi").unionByName(edges.join(at.withColumnRenamed("node", "tgt"), "tgt", "left_semi").join(at.withColumnRenamed("node", "src"), "src", "left_anti"))
+    return edges.join(at.withColumnRenamed("node", "src"), "src", "left_semi").unionByName(edges.join(at.withColumnRenamed("node", "tgt"), "tgt", "left_semi").join(at.withColumnRenamed("node", "src"), "src", "left_anti"))
+
+
+def ranked_edges(whole: DataFrame, edges: DataFrame) -> DataFrame:
+    """Some edges with the sum of their ends' degrees among all edges as rank; best by rank, weight, then ends."""
     # degrees of the touched ends alone: other ends drop out before they are counted
     ends = graph.endpoints(whole).select("node").distinct()
     d = graph.endpoints(edges).join(ends, "node", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("degree"))

@@ -214,7 +214,7 @@ def _knowledge(spark, d):
     def with_vector(df, *key):
         number = F.conv(F.substring(F.md5(F.concat_ws(">", *key).cast("binary")), 1, 8), 16, 10).cast("long")
         near = df.withColumn("number", number).withColumn("k", F.col("number") % n).join(e, "k")
-        return near.withColumn("vector", F.array_append("vector", F.col("number") / F.lit(2.0**32))).drop("k", "number")
+        return near.withColumn("vector", F.concat("vector", F.array(F.col("number") / F.lit(2.0**32)))).drop("k", "number")
 
     chunks = kg.table("documents").select(F.col("doc_id").alias("k"), F.col("doc_id").cast("string").alias("chunk_id"), F.col("text").alias("content"), F.col("source").alias("file_path")).join(e, "k").drop("k")
     frag = kg.cte("frag")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import aggregates, chunking, joins, ranking, vectors
+from tessera.sources.scratch import materialise
 
 
 #: Pairs of a question and a document that a task of :func:`lexical_ranking` scores, about.
@@ -81,6 +82,12 @@ def _hits(table: DataFrame, vector: list[float], p: QueryParam, k: int) -> DataF
     return found.select("id", F.col("rank").alias("pos"), "similarity")
 
 
+def _at(table: DataFrame, few: DataFrame) -> DataFrame:
+    """Rows of a table at the ids of a list of hits or their ends: at most three a hit, so they stand in the plan, and the filter
+    goes below joins and groups that a table is made of."""
+    return table.where(F.col("id").isin([r["id"] for r in few.select("id").collect()]))
+
+
 def post_process(chunks: DataFrame, question: str, p: QueryParam) -> DataFrame:
     """What is left of a result list of chunks (pos, content, ...): reranked where there is a function for it, the best
     ``chunk_top_k`` of those with enough score, as many as the token budget holds; with their place and ids DC1, DC2, ..."""
@@ -101,6 +108,9 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam, low: list[fl
     mix adds chunks near the query; naive has chunks alone.  Each list is cut at its token budget, a prefix that no later row
     can join again.  Entities are looked up by ``low`` and relations by ``high`` where these are given; an empty one leaves its
     half out.
+
+    Tables may be plans over larger ones.  Each list is written once and looked up as the few rows that it is, so what
+    looks it up goes below what the tables are made of, and nothing but the search over edges moves a whole table.
     """
     if p.mode not in MODES:
         raise ValueError(f"no such mode: {p.mode}")
@@ -109,21 +119,22 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam, low: list[fl
     entities = relations = None
     nodes, edges = kb.nodes.drop("vector"), kb.edges.drop("vector")
     if p.mode in ("local", "hybrid", "mix") and len(low):
-        hits = _hits(kb.nodes, low, p, p.top_k)
+        hits = materialise(_hits(kb.nodes, low, p, p.top_k), "hits")
         # hits are nodes, and nothing here reads their degrees
         entities = hits.select("id", "pos")
+        touched = materialise(joins.touched_edges(hits, edges), "touched")
         # tokens are at least one a row, so no more rows can fit the budget; a hub's other edges are never numbered
-        near = joins.entity_edges(hits, edges).limit(p.max_relation_tokens)
-        relations = near.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt"))).select("src", "tgt", "pos")
+        near = joins.ranked_edges(touched, edges).limit(p.max_relation_tokens)
+        relations = near.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("rank"), F.desc("weight"), "src", "tgt"))).drop("rank")
     if p.mode in ("global", "hybrid", "mix") and len(high):
         keyed = kb.edges.withColumn("id", F.concat_ws("\x01", "src", "tgt"))
-        hits = _hits(keyed, high, p, p.top_k)
-        found = hits.join(keyed.drop("vector"), "id").select("src", "tgt", "pos")
+        hits = materialise(_hits(keyed, high, p, p.top_k), "hits").select("id", "pos")
+        found = materialise(hits.join(_at(keyed.drop("vector"), hits), "id").drop("id"), "found")
         ends = joins.edge_entities(found, nodes)
         ends = ends.withColumn("pos", F.row_number().over(Window.orderBy("pos", "side"))).select("id", "pos")
         entities = ends if entities is None else ranking.interleave([entities, ends], "id").select("id", F.col("turn").alias("pos"))
         key = lambda df: df.withColumn("k", F.concat_ws("\x01", "src", "tgt"))
-        relations = found if relations is None else ranking.interleave([key(relations), key(found)], "k").select("src", "tgt", F.col("turn").alias("pos"))
+        relations = found if relations is None else ranking.interleave([key(relations), key(found)], "k").drop("k", "pos").withColumnRenamed("turn", "pos")
     out: dict[str, DataFrame] = {}
     lists = []
     if p.mode in ("mix", "naive"):
@@ -131,10 +142,11 @@ def retrieve(kb: KnowledgeBase, vector: list[float], p: QueryParam, low: list[fl
         lists.append(near.select(F.col("id").alias("chunk_id"), "pos"))
     if entities is not None:
         size = lambda *c: F.size(chunking.words(F.concat_ws(" ", *c)))
-        entities = entities.join(nodes, "id").withColumn("tokens", size("id", "entity_type", "description"))
-        out["entities"] = ranking.token_budget(entities, p.max_entity_tokens)
-        relations = relations.join(edges, ["src", "tgt"]).withColumn("tokens", size("src", "tgt", "description"))
-        out["relations"] = ranking.token_budget(relations, p.max_relation_tokens)
+        entities = materialise(entities, "entities")
+        entities = entities.join(_at(nodes, entities), "id").withColumn("tokens", size("id", "entity_type", "description"))
+        out["entities"] = materialise(ranking.token_budget(entities, p.max_entity_tokens), "entities")
+        relations = relations.withColumn("tokens", size("src", "tgt", "description"))
+        out["relations"] = materialise(ranking.token_budget(relations, p.max_relation_tokens), "relations")
         bare = kb.chunks.select("chunk_id")
         by_entity = joins.owned_chunks(out["entities"], bare)
         by_edge = joins.owned_chunks_without(out["relations"].withColumn("id", F.concat_ws("\x01", "src", "tgt")), bare, by_entity)

@@ -110,3 +110,35 @@ def test_modes_as_loops_have_them(spark, mode):
         assert [(r.src, r.tgt) for r in by_pos(got["relations"])] == relations
         assert [r.chunk_id for r in by_pos(got["chunks"])] == chunks
         assert entities and relations and chunks
+
+
+def moved(spark, first):
+    """Rows that the stages from a number on wrote for others, and the next stage's number."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    stages = [found.apply(i) for i in range(found.size())]
+    return sum(s.shuffleWriteRecords() for s in stages if s.stageId() >= first), max((s.stageId() for s in stages), default=-1) + 1
+
+
+@pytest.mark.parametrize("mode", ["local", "global", "hybrid", "mix"])
+def test_tables_that_are_plans_are_moved_once_at_most(spark, tmp_path, mode):
+    """Nodes and edges grouped from what chunks say of them: lists of few rows are looked up below the groups."""
+    from pyspark.sql import functions as F
+
+    n = 4000
+    said = spark.range(n).selectExpr("concat('n', id % 400) AS src", "concat('m', id % 1000) AS tgt", "concat('c', id) AS chunk_id", "array(id % 7, id % 11, id % 13 + 1.0D) AS at")
+    said.write.parquet(f"{tmp_path}/said")
+    said = spark.read.parquet(f"{tmp_path}/said")
+    sources = F.array_sort(F.collect_set("chunk_id")).alias("source_ids")
+    edges = said.groupBy("src", "tgt").agg(F.count(F.lit(1)).cast("double").alias("weight"), sources).withColumn("description", F.lit("said"))
+    edges = edges.withColumn("vector", F.array(F.ascii("src") * 1.0, F.length("tgt") * 1.0, F.crc32("tgt") / 2.0**32))
+    names = spark.range(400).selectExpr("concat('n', id) AS id", "'kind' AS entity_type", "'who' AS description", "array(id % 3 * 1.0D, 1.0D, id / 400) AS vector")
+    nodes = names.join(said.groupBy(F.col("src").alias("id")).agg(sources), "id", "left")
+    chunks = said.where("crc32(chunk_id) % 2 = 0").selectExpr("chunk_id", "chunk_id AS content", "'f' AS file_path", "at AS vector")
+    _, first = moved(spark, 0)
+    got = retrieve(KnowledgeBase(chunks, nodes, edges), [1.0, 1.0, 0.5], QueryParam(mode=mode, top_k=3, chunk_top_k=5))
+    rows = {name: got[name].count() for name in ("entities", "relations", "chunks")}
+    assert all(rows.values())
+    whole = 0 if mode == "local" else n
+    assert moved(spark, first)[0] < whole + n / 2
