@@ -341,9 +341,9 @@ class Engine:
         """Frames that a question is answered from, in the mode that the parameters name."""
         return retrieve(self.knowledge(), list(map(float, np.asarray(self.embed([question]))[0])), param, question=question)
 
-    def export(self, path: str, kind: str = "csv", vectors: bool = False) -> None:
+    def export(self, path: str, kind: str = "csv", vectors: bool = False, compression: str = "none") -> None:
         """Write entities, relations and the relation index under a path as csv, excel, md or txt."""
-        export_sections(graph_sections(self.store.read("nodes"), self.store.read("edges"), vectors), path, kind)
+        export_sections(graph_sections(self.store.read("nodes"), self.store.read("edges"), vectors), path, kind, compression)
 
     def clear_cache(self) -> None:
         """Empty the cache of answers and what was read from them; deletions of documents that were there before can then

@@ -11,7 +11,7 @@ from tessera.operators import chunking, vectors
 from tessera.plans.registry import KG, query
 from tessera.plans.retrieval import KnowledgeBase, QueryParam, retrieve
 from tessera.sources import exchange, files
-from tessera.sources.scratch import scratch_dir
+from tessera.sources.scratch import materialise, scratch_dir
 from tessera.sources.tables import Store, flatten_cache
 
 
@@ -106,7 +106,8 @@ def _graph(spark, d):
     kg = KG(spark, d)
     nodes = kg.cte("nodes").selectExpr("id", "entity_type", "name AS description", "array(id) AS source_ids")
     edges = kg.cte("edges").selectExpr("least(src, tgt) AS src", "greatest(src, tgt) AS tgt", "cast(weight AS double) AS weight", "array(src, tgt) AS source_ids")
-    return exchange.graph_sections(nodes, edges)
+    # two sections are made of edges, which are grouped once
+    return exchange.graph_sections(nodes, materialise(edges, "edges"))
 
 
 @query(
@@ -117,7 +118,7 @@ def _graph(spark, d):
 )
 def src_export_graph(spark, d):
     at = _fresh(spark, "sections")
-    exchange.export_sections(_graph(spark, d), at)
+    exchange.export_sections(_graph(spark, d), at, compression="gzip")
     read = lambda name: spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{at}/{name}")
     part = lambda name, *c: read(name).select(F.lit(name).alias("section"), *[F.expr(e).alias(n) for n, e in zip(("a", "b", "value"), c)])
     out = part("entities", "entity_name", "''", "get_json_object(graph_data, '$.entity_type')").unionByName(part("relations", "src_entity", "tgt_entity", "source_id"))

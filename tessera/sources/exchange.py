@@ -135,20 +135,21 @@ def _table(names: list[str], title: str, kind: str):
     return run
 
 
-def export_sections(sections: dict[str, DataFrame], path: str, kind: str = "csv") -> None:
+def export_sections(sections: dict[str, DataFrame], path: str, kind: str = "csv", compression: str = "none") -> None:
     """Write each section into a folder of its own under a path: as csv, md, txt or excel; other kinds are an error.
 
     Excel stands for spreadsheets in XML, which Excel opens and Spark can write in parts; each part is a workbook.  An empty
-    section gives a folder without tables.
+    section gives a folder without tables.  Sections say the same things several times over, so large ones are best written
+    with a compression (gzip), which readers know by the ending of the files.
     """
     if kind not in ("csv", "excel", "md", "txt"):
         raise ValueError(f"unknown export format: {kind}")
     for name, rows in sections.items():
         texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
         if kind == "csv":
-            texts.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS).csv(f"{path}/{name}")
+            texts.write.mode("overwrite").option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS).option("compression", compression).csv(f"{path}/{name}")
         else:
-            texts.mapInArrow(_table(rows.columns, name.capitalize(), kind), "value string").write.mode("overwrite").text(f"{path}/{name}")
+            texts.mapInArrow(_table(rows.columns, name.capitalize(), kind), "value string").write.mode("overwrite").option("compression", compression).text(f"{path}/{name}")
 
 
 def copy_cache(source: Store, target: Store, kinds: tuple[str, ...] = ("extract", "summary"), batches: int = 4) -> DataFrame:

@@ -101,3 +101,23 @@ def test_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
     assert len([f for f in os.listdir(f"{tmp_path}/out/s") if f.endswith(".csv")]) == 10
     back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{tmp_path}/out/s")
     assert {(r.id, r.t) for r in back.collect()} == {(str(i), f"a\n{i}") for i in range(950)}
+
+
+def test_an_exported_graph_takes_a_part_of_its_text_and_groups_edges_once(spark, monkeypatch):
+    import os
+
+    from tessera.plans import all_queries
+    from tessera.sources.scratch import scratch_dir
+
+    at = []
+    write = exchange.export_sections
+    monkeypatch.setattr(exchange, "export_sections", lambda sections, path, *a, **k: (at.append((sections, path)), write(sections, path, *a, **k)))
+    found = all_queries()[0]["src_export_graph"](spark, "/root/testdata/sf0.001")
+    ((sections, path),) = at
+    assert path.startswith(scratch_dir(spark))
+    folder = path.removeprefix("file://")
+    held = sum(os.path.getsize(os.path.join(a, f)) for a, _, names in os.walk(folder) for f in names if f.startswith("part-"))
+    texts = sum(spark.read.text(f"{path}/{name}").selectExpr("sum(length(value))").first()[0] for name in sections)
+    assert held < texts / 3
+    assert {name: found.where(f"section = '{name}'").count() for name in sections} == {name: rows.count() for name, rows in sections.items()}
+    assert all("lineitem" not in f for name in ("relations", "relationships") for f in sections[name].inputFiles())
