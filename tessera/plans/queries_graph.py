@@ -503,9 +503,10 @@ def mut_version_plan(spark, d):
 
 @query("win_last_write", "SELECT l_orderkey AS id, arg_max(l_comment, p) AS value FROM (SELECT l_orderkey, l_returnflag || l_linenumber AS l_comment, l_linenumber AS p FROM lineitem) GROUP BY 1")
 def win_last_write(spark, d):
-    # an order may have several lines of one number: the first in the table counts, as in arg_max
+    # an order may have several lines of one number: the first in the table counts, as in arg_max, which passes over nulls
     at = F.struct("_metadata.file_path", "_metadata.row_index").alias("at")
     rows = KG(spark, d).table("lineitem").select(F.col("l_orderkey").alias("id"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("value"), F.col("l_linenumber").alias("pos"), at)
+    rows = rows.withColumn("pos", F.when(F.col("value").isNotNull(), F.col("pos")))
     return ranking.last_write(rows, ["id"], "pos", "at").select("id", "value")
 
 

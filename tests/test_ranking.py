@@ -17,6 +17,20 @@ def test_last_write_takes_the_first_of_equal_lines(spark, tmp_path):
     assert {r["id"]: r["value"] for r in found} == {k: next(f + "1" for i, _, f in values if i == k) for k in range(7)}
 
 
+def test_last_write_passes_over_nulls_as_its_sql_does(spark, tmp_path):
+    import duckdb
+
+    from tessera.plans import all_queries
+
+    values = [(1, 2, None), (1, 1, "A"), (2, None, "N"), (2, 1, "R"), (3, None, "A"), (4, 1, None), (5, 1, "N"), (5, 1, None)]
+    spark.createDataFrame(values, "l_orderkey long, l_linenumber int, l_returnflag string").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect(config={"threads": 1})
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    queries, sql = all_queries()
+    found = {r["id"]: r["value"] for r in queries["win_last_write"](spark, str(tmp_path)).collect()}
+    assert found == dict(con.execute(sql["win_last_write"]).fetchall()) == {1: "A1", 2: "R1", 3: None, 4: None, 5: "N1"}
+
+
 def test_channels_are_not_held_by_one_task(spark):
     rows = [(i, "ab"[i % 2], float(i * 7 % 13)) for i in range(200)] + [(900, "c", 1.0), (901, None, 2.0), (902, None, 4.0)]
     df = spark.createDataFrame(rows, "candidate_id int, channel string, raw_score double").repartition(5)
